@@ -76,11 +76,11 @@ def best_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
             break
         levels.append(state.select("tree", "id", "jump"))
         up = state.select("tree", F.col("id").alias("jump"), F.col("jump").alias("next"), F.col("gain").alias("more"), F.col("depth").alias("deeper"))
-        state = durable(
-            state.join(up, ["tree", "jump"], "left").select(
-                "tree", "id", F.col("next").alias("jump"), (F.col("gain") + F.coalesce("more", F.lit(0.0))).alias("gain"), (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth")
-            )
+        # only messages that have not reached their root look further
+        moved = state.where(F.col("jump").isNotNull()).join(up, ["tree", "jump"]).select(
+            "tree", "id", F.col("next").alias("jump"), (F.col("gain") + F.col("more")).alias("gain"), (F.col("depth") + F.col("deeper")).alias("depth")
         )
+        state = durable(state.where(F.col("jump").isNull()).unionByName(moved))
     answered = ids.select("tree", F.col("parent").alias("id")).where(F.col("id").isNotNull()).distinct()
     order = Window.partitionBy("tree").orderBy(F.desc("gain"), "id")
     leaves = state.where(F.col("jump").isNull()).join(answered, ["tree", "id"], "left_anti").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= branches)
