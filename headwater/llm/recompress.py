@@ -4,14 +4,14 @@ Each round names pairs of neighbouring symbols. Symbols fall into a left and a r
 followed by a right one becomes one symbol, named by a hash of the two, so that equal pairs have equal names in
 every document without an exchange. Runs of equal symbols are of one class and stay whole, to be met as repeats of
 the same context. A pair depends on its two neighbours alone, so a sequence of words that stands in two places
-loses at most one symbol at either end in each round. A symbol of round j spans at most 2**j words: after four rounds
-at most 1 + 2 + 4 + 8 = 15 words at either end differ, and in a window of 35 words the symbol boundary that comes first
-at or after word 15 is the same in all its places, and lies at word 30 at most.
+loses at most one symbol at either end in each round. A symbol of round j spans at most 2**j words: after three
+rounds at most 1 + 2 + 4 = 7 words at either end differ, and all symbol boundaries from word 7 to word 27 of a window of
+35 are the same in all its places. A symbol spans at most 8 words, so there is such a boundary.
 
-That boundary names the window's context: the 15 words before it and 5 after it lie within the window. Contexts that
-occur once rule out all windows they stand for; contexts that recur leave candidates, which a 128-bit hash of all
-their words verifies. Rows that carry equal hashes are combined within a batch before the exchange, so a passage of
-which a third of all rows have a copy costs one row a batch.
+A boundary's context is the 7 words before and the 8 after it, which lie within the window; the boundary of the least
+context hash stands for the window. Contexts that occur once rule out all windows they stand for; contexts that
+recur leave candidates, which a 128-bit hash of all their words verifies. Rows that carry equal hashes are combined
+within a batch before the exchange, so a passage of which a third of all rows have a copy costs one row a batch.
 
 Windows of fewer than ``window`` words do not exist: shorter texts, null and empty ones lose nothing. Repeated rows
 and ids are allowed. Windows are judged on the input.
@@ -37,9 +37,9 @@ BATCH = 1024
 
 
 def rounds_for(window: int) -> int:
-    """The most rounds after which both ends together lose less than the window."""
+    """The most rounds after which both ends together lose less than half the window."""
     r = 0
-    while 2 * (2 ** (r + 1) - 1) < window:
+    while 4 * (2 ** (r + 1) - 1) < window:
         r += 1
     return r
 
@@ -67,24 +67,29 @@ class Batch:
         self.window, rounds = window, rounds_for(window)
         self.margin = 2**rounds - 1  # words that either end can lose
         self.words, self.offsets = hashed_words(texts)
+        size, after = len(self.words), self.margin + 1
         at, text = boundaries(self.words, self.offsets, rounds)
-        lo, hi = self.offsets[text], self.offsets[text + 1]
-        after = self.after = window - 2 * self.margin
-        before = np.concatenate([[-1], at[:-1]])
-        before = np.where(np.concatenate([[-1], text[:-1]]) == text, before, lo - 1)
-        # windows [s, s + window) whose first boundary at or after s + margin is this one
-        first, last = np.maximum(before - self.margin + 1, lo), np.minimum(at - self.margin, hi - window)
-        use = (first <= last) & (at + after <= hi)
-        self.at, self.text, self.first, self.last = at[use], text[use], first[use], last[use]
-
-    def contexts(self) -> np.ndarray:
-        return Sequences(self.words).at(self.at - self.margin, self.margin + self.after)
-
-    def windows(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, texts) of the windows of the contexts marked."""
-        n = (self.last - self.first + 1)[repeated]
-        start = np.repeat(self.first[repeated] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return start, np.repeat(self.text[repeated], n)
+        at = at[(at - self.offsets[text] >= self.margin) & (at + after <= self.offsets[text + 1])]
+        name = Sequences(self.words).at(at - self.margin, self.margin + after)
+        rank = np.full(size, np.iinfo(np.uint64).max, np.uint64)
+        rank[at] = name
+        # windows [s, s + window) within one text, and the boundary that stands for each
+        start = np.arange(max(0, size - window + 1))
+        owner = np.searchsorted(self.offsets, start, side="right") - 1
+        start = start[start + window <= self.offsets[owner + 1]] if len(start) else start
+        span = window - 2 * self.margin
+        least = np.lib.stride_tricks.sliding_window_view(rank, span)[start + self.margin].argmin(axis=1) if len(start) else start
+        self.start, self.chosen = start, start + self.margin + least
+        self.at = np.unique(self.chosen)
+        self.names = rank[self.at]
+        self.text = np.searchsorted(self.offsets, self.at, side="right") - 1
+
+    def windows(self, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, texts) of the windows that the marked boundaries stand for."""
+        flag = np.zeros(len(self.words) + 1, bool)
+        flag[self.at[marked]] = True
+        start = self.start[flag[self.chosen]] if len(self.chosen) else self.start
+        return start, np.searchsorted(self.offsets, start, side="right") - 1
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +171,7 @@ def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def ask_contexts(batches):
         for b in _slices(batches):
             x = Batch(b.column(2), window)
-            h = x.contexts()
+            h = x.names
             did, part = (b.column(i).to_numpy() for i in (0, 1))
             head, recurs = _deal([h])
             several = np.zeros(len(h), bool)
@@ -213,12 +218,12 @@ def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["one", "two", "did", "part", "pos", "recurs"],
             )
 
-    joined = keyed.drop("id").join(marked, ["did", "part"])
-    asked = joined.select("did", "part", "text", "marked").mapInArrow(ask_windows, "one long, two long, did long, part long, pos long, recurs boolean")
-    lone = durable(_grouped(_recurring(asked, ["one", "two"], False), "lone"))
-    release(docs.sparkSession)
-    found = marked.join(lone, ["did", "part"], "left")
-    return keyed.join(found, ["did", "part"], "left").select("id", "text", "marked", "lone")
+    # one exchange of the texts serves both joins
+    base = keyed.join(marked, ["did", "part"], "left")
+    some = base.where(F.col("marked").isNotNull()).select("did", "part", "text", "marked", "id")
+    asked = some.mapInArrow(ask_windows, "one long, two long, did long, part long, pos long, recurs boolean")
+    lone = _grouped(_recurring(asked, ["one", "two"], False), "lone")
+    return base.join(lone, ["did", "part"], "left").select("id", "text", "marked", "lone")
 
 
 def _marks(x: Batch, lists: pa.Array) -> np.ndarray:
