@@ -48,6 +48,13 @@ def checked_broadcast(spark: SparkSession, value, n_bytes: int):
     return spark.sparkContext.broadcast(value)
 
 
+def whole_texts(spark: SparkSession, rows: int = 2000) -> None:
+    """Keep Arrow batches of whole texts small, unless the session has set a size of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def map_text(
     df: DataFrame, text_col: str, keep: list[str], fields: list[T.StructField], per_batch: Callable[[list[str]], list[list]], start: Callable[[], object] | None = None
 ) -> DataFrame:
@@ -57,6 +64,7 @@ def map_text(
     A kept column whose name equals a new field's name is dropped in favour of the new field. Null texts arrive
     as ''.
     """
+    whole_texts(df.sparkSession)
     names = {f.name for f in fields}
     keep = [c for c in keep if c not in names]
     src = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
@@ -68,8 +76,8 @@ def map_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = start() if start else None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                part = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
                 texts = part.column(part.num_columns - 1).to_pylist()
                 out = per_batch(texts, state) if start else per_batch(texts)
                 yield pa.RecordBatch.from_arrays(

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast
+from headwater.llm.common import checked_broadcast, whole_texts
 from headwater.llm.words import Sequences, hashed_words
 
 WIDTH, LEAST, RADIUS = 5, 0.8, 16
@@ -145,6 +145,7 @@ def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, item_id, similarity, first_word, n_windows): one row for each item that a document holds."""
+    whole_texts(docs.sparkSession)
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     kinds = [docs.schema[id_col].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
@@ -172,6 +173,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that hold no item, with all their columns."""
+    whole_texts(docs.sparkSession)
     spark, cols = docs.sparkSession, docs.columns
     at = cols.index(text_col)
     out = docs

@@ -3,8 +3,8 @@
 A forward Viterbi pass gives each lattice position the best score from the start. Those scores are exact heuristics
 for a backward A* search from the end, so complete paths leave the queue in order of total score. No piece crosses
 from a word into the following space or over a line break, so a text's lattice is a chain of word lattices: words
-are searched once per worker and kept, and the N best of a text are the best combinations of word segmentations. A
-text whose N - 1 smallest losses for leaving a word's best segmentation are known needs no other words.
+are passed once per worker and kept, with the loss of their second segmentation, and the N best of a text are the best
+combinations of word segmentations. Only the N - 1 words of the smallest losses can differ in them; those are searched.
 
 Scores are those of the model's pieces. A character without a piece becomes its UTF-8 byte pieces, as one edge of
 score (least piece score - 10); this includes the model's space mark itself, so decoding is exact. Encoding puts one
@@ -20,6 +20,7 @@ import re
 from array import array
 from itertools import count
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,20 @@ from headwater.llm.common import checked_broadcast, map_text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 #: Words kept by a worker; beyond that the store starts anew.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 400_000
+
+
+class _Words(dict):
+    """Passed units; the store starts anew beyond ``KEPT_WORDS``."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, unit: str) -> tuple:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[unit] = made = self.make(unit)
+        return made
 
 
 class Lattice:
@@ -60,7 +74,10 @@ class Lattice:
                 self.vocab.setdefault(text[:end], None)
             self.vocab[text] = (i, score)
         self.least = min(s for _, _, s in pieces) - 10
-        self.words: dict[str, tuple] = {}
+        self.words = _Words(self.word)
+        self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.size = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.first = np.cumsum(self.size) - self.size
 
     def search(self, unit: str) -> list[tuple[float, list[int]]]:
         """The n best segmentations of a unit, best first."""
@@ -104,32 +121,61 @@ class Lattice:
         return found
 
     def word(self, unit: str) -> tuple:
-        """(packed ids of the best, its score, loss of the second, all segmentations)."""
-        got = self.search(unit)
-        kept = (array("i", got[0][1]).tobytes(), got[0][0], got[0][0] - got[1][0] if len(got) > 1 else float("inf"), [got[0][0] - s for s, _ in got], [p for _, p in got])
-        if len(self.words) >= KEPT_WORDS:
-            self.words.clear()
-        self.words[unit] = kept
-        return kept
+        """(packed ids of the best segmentation, its score, loss of the second) by one forward pass that keeps two scores."""
+        size, vocab, none = len(unit), self.vocab, float("-inf")
+        best, second, back = [none] * (size + 1), [none] * (size + 1), [None] * (size + 1)
+        best[0] = 0.0
+        for i in range(size):
+            one, two, single = best[i], second[i], False
+            for j in range(i + 1, size + 1):
+                hit = vocab.get(unit[i:j], 0)
+                if hit is None:
+                    continue
+                if hit == 0:
+                    break
+                single = single or j == i + 1
+                v = one + hit[1]
+                if v > best[j]:
+                    second[j], best[j], back[j] = best[j], v, (i, hit[0])
+                elif v > second[j]:
+                    second[j] = v
+                if two + hit[1] > second[j]:
+                    second[j] = two + hit[1]
+            if not single:
+                v = one + self.least
+                if v > best[i + 1]:
+                    second[i + 1], best[i + 1], back[i + 1] = best[i + 1], v, (i, -1)
+                elif v > second[i + 1]:
+                    second[i + 1] = v
+                second[i + 1] = max(second[i + 1], two + self.least)
+        ids, at = [], size
+        while at:
+            start, piece = back[at]
+            ids += [piece] if piece >= 0 else [self.byte_ids[b] for b in reversed(unit[start:at].encode())]
+            at = start
+        return array("i", ids[::-1]).tobytes(), best[size], best[size] - second[size]
 
     def encode(self, text: str) -> tuple[array, list[tuple[float, list]]]:
         """The best ids and the n best paths as (score, changes); a change is (unit's number, its ids)."""
         if not text:
             return array("i"), [(0.0, [])]
-        words, new = self.words, self.word
-        got = [words.get(u) or new(u) for u in _UNITS.findall(" " + text)]
+        units = _UNITS.findall(" " + text)
+        packed, scores, losses = zip(*map(self.words.__getitem__, units))
         ids = array("i")
-        ids.frombytes(b"".join([g[0] for g in got]))
-        total = sum([g[1] for g in got])
-        open_ = heapq.nsmallest(self.n - 1, ((g[2], i) for i, g in enumerate(got) if g[2] != float("inf")))
+        ids.frombytes(b"".join(packed))
+        total = sum(scores)
+        # the words that lose least: only they can differ in one of the n best paths, and only they are searched
         paths: list[tuple[float, list]] = [(0.0, [])]
-        for _, i in open_:
-            losses, segments = got[i][3], got[i][4]
-            paths = sorted(((a + losses[k], c + [(i, segments[k])] if k else c) for a, c in paths for k in range(len(losses))), key=lambda x: x[0])[: self.n]
+        for _, i in heapq.nsmallest(self.n - 1, zip(losses, range(len(losses)))):
+            segments = self.search(units[i])
+            paths = sorted(((a + scores[i] - s, c + [(i, p)] if k else c) for a, c in paths for k, (s, p) in enumerate(segments)), key=lambda x: x[0])[: self.n]
         return ids, [(total - a, c) for a, c in paths]
 
     def decode(self, ids) -> str:
-        return b"".join([self.bytes_of[i] for i in ids]).decode("utf-8", "replace")[1:]
+        ids = np.asarray(ids, np.int64)
+        size = self.size[ids]
+        at = np.repeat(self.first[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.flat[at].tobytes().decode("utf-8", "replace")[1:]
 
 
 _loaded: dict[tuple, Lattice] = {}

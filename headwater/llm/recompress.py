@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headwater.llm.common import durable, release
+from headwater.llm.common import durable, release, whole_texts
 from headwater.llm.words import Sequences, hashed_words, mix
 
 WINDOW = 35
@@ -166,6 +166,7 @@ def _grouped(rows: DataFrame, name: str) -> DataFrame:
 
 def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, text, marked, lone): for each row the boundaries of recurring contexts and its candidate windows that stand alone."""
+    whole_texts(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
 
     def ask_contexts(batches):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, map_text
+from headwater.llm.common import checked_broadcast, map_text, whole_texts
 
 #: The pattern rules, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -123,6 +123,7 @@ def secret_report(df: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 def redact(df: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, mark: str = "[SECRET]") -> DataFrame:
     """The same rows and columns with every found span replaced by ``mark``; null texts stay null."""
+    whole_texts(df.sparkSession)
     cols = df.columns
     found = scan_secrets(df, text_col, cols, vocabulary, out="__spans").select(*cols, "__spans")
     at = cols.index(text_col)
