@@ -1,11 +1,600 @@
-"""Catalogue of driver queries with their SQL equivalents."""
+"""Catalogue of driver queries, each with its SQL equivalent.
+
+The supplied tables hold no feed text, so the operators run with rule sets of tokens that do occur in them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from headwater.functions import dates, html, ids, text
+from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
+from headwater.operators import dedup, diff, feedback, quality
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+RULES = RuleSet(
+    (
+        Trigger("ALPHA", "direct", phrases=("of the", "in the"), positive=("the",), actions=("ARCHIVE", "VERIFY_TIMING", "CONTACT_OFFICIAL_CHANNEL")),
+        Trigger("BETA", "indirect", phrases=("und die",), positive=("und", "der"), negative=("nicht",), actions=("VERIFY_SOURCE", "IDENTIFY_ORGANIZATION")),
+        Trigger("GAMMA", "historical", phrases=("de la",), positive=("que", "la"), required_any=("que", "les"), actions=("ARCHIVE",)),
+    ),
+    ("direct", "historical", "indirect"),
+    future=("with", "para"),
+    completed=("was", "fue"),
+)
+_FOLD = "trim(regexp_replace(lower(strip_accents(replace(replace(replace(text, '&amp;', '&'), '&quot;', '\"'), '&#39;', ''''))), '[^a-z0-9]+', ' ', 'g'))"
+_DOCS = f"d AS (SELECT *, {_FOLD} AS t FROM documents)"
+_has = lambda term: f"contains(' ' || t || ' ', ' {term} ')"
+
+
+def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _docs(spark: SparkSession, sf: str) -> DataFrame:
+    return _t(spark, sf, "documents").withColumn("t", text.fold_search(F.col("text")))
+
+
+def query(sql: str | None = None, name: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[name or f.__name__] = f
+        if sql:
+            _SQL[name or f.__name__] = sql
+        return f
+
+    return add
+
+
+# --- text
+
+
+@query(f"SELECT doc_id, md5({_FOLD}) AS folded FROM documents")
+def norm_search(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5("t").alias("folded"))
+
+
+@query(
+    "SELECT doc_id, md5(trim(regexp_replace(lower(strip_accents(replace(replace(replace(text, '&amp;', '&'), '&quot;', '\"'), '&#39;', ''''))), '\\s+', ' ', 'g'))) AS folded FROM documents"
+)
+def norm_loose(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.fold_loose(F.col("text"))).alias("folded"))
+
+
+@query("SELECT page_id, md5(trim(regexp_replace(lower(url), '\\s+', ' ', 'g'))) AS folded FROM pages")
+def norm_plain(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.md5(text.plain_fold(F.col("url"))).alias("folded"))
+
+
+@query("SELECT doc_id, coalesce(nullif(trim(lang), ''), nullif(trim(source), ''), '') AS first_text FROM documents")
+def first_text(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", text.first_text(F.col("lang"), F.col("source")).alias("first_text"))
+
+
+_TERMS = ("the", "und", "que", "les", "zebra")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id FROM d WHERE {' OR '.join(map(_has, _TERMS))}")
+def term_match_any(spark, sf):
+    return _docs(spark, sf).where(text.any_term(F.col("t"), _TERMS)).select("doc_id")
+
+
+@query(
+    f"WITH {_DOCS}, r(code) AS (VALUES {', '.join(f'({t!r})' for t in _TERMS)}), m AS (SELECT code, count(*) AS n FROM d, r WHERE contains(' ' || t || ' ', ' ' || code || ' ') GROUP BY code) "
+    "SELECT r.code, CAST(coalesce(n, 0) AS BIGINT) AS n FROM r LEFT JOIN m USING (code)"
+)
+def term_match_counts(spark, sf):
+    hits = _docs(spark, sf).select(F.explode(text.matched_terms(F.col("t"), _TERMS)).alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+    return quality.zero_filled(spark.createDataFrame([(t,) for t in _TERMS], "code string"), hits, "code").select("code", "n")
+
+
+@query("SELECT doc_id FROM documents WHERE regexp_matches(lower(strip_accents(text)), '(^|[^\\p{L}\\p{N}])the([^\\p{L}\\p{N}]|$)')")
+def term_match_boundary(spark, sf):
+    return _t(spark, sf, "documents").where(text.boundary_term(text.fold_loose(F.col("text")), "the")).select("doc_id")
+
+
+@query("SELECT p_partkey FROM part WHERE contains(' ' || lower(p_type) || ' ', 'st')")
+def term_match_raw(spark, sf):
+    return _t(spark, sf, "part").where(text.raw_contains(F.col("p_type"), "st")).select("p_partkey")
+
+
+@query(f"WITH {_DOCS} SELECT doc_id FROM d WHERE regexp_matches(' ' || t || ' ', ' (?:the|und) (?:.* )?(?:of|die) ')")
+def ordered_context(spark, sf):
+    return _docs(spark, sf).where(text.ordered_context(F.col("t"), ("the", "und"), ("of", "die"))).select("doc_id")
+
+
+@query(
+    f"WITH {_DOCS}, r(code) AS (VALUES {', '.join(f'({t!r})' for t in _TERMS)}) SELECT doc_id, coalesce(string_agg(code, ',' ORDER BY code) FILTER (contains(' ' || t || ' ', ' ' || code || ' ')), '') AS terms FROM d, r GROUP BY doc_id"
+)
+def grouped_terms_sorted(spark, sf):
+    groups = {"a": ["the", "und", "zebra"], "b": ["que", "les", "the"]}
+    return _docs(spark, sf).select("doc_id", F.array_join(text.grouped_terms(F.col("t"), groups), ",").alias("terms"))
+
+
+@query(
+    "SELECT doc_id, md5(CASE WHEN length(text) <= 220 THEN text ELSE substr(text, CAST(greatest(strpos(lower(text), 'und') - 61, 0) AS BIGINT) + 1, 220) END) AS excerpt FROM documents"
+)
+def evidence_window(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(text.evidence_excerpt(F.col("text"), ["und"])).alias("excerpt"))
+
+
+@query(f"WITH {_DOCS} SELECT doc_id, term, md5(CASE WHEN length(text) <= 300 THEN text ELSE substr(text, CAST(greatest(strpos(lower(text), term) - 101, 0) AS BIGINT) + 1, 300) END) AS excerpt FROM d, (VALUES ('the'), ('und')) v(term) WHERE contains(' ' || t || ' ', ' ' || term || ' ')")
+def matched_evidence(spark, sf):
+    e = text.matched_evidence({"text": F.col("text")}, ["the", "und"])
+    return _t(spark, sf, "documents").select("doc_id", F.explode(e).alias("e")).select("doc_id", "e.term", F.md5("e.excerpt").alias("excerpt"))
+
+
+@query("SELECT page_id, regexp_replace(url || ' - example.com', '(?: - (?:https?://\\S+|[A-Za-z0-9.\\-]+\\.[a-z]{2,}))+\\s*$', '') AS title FROM pages")
+def feed_suffix_strip(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", text.strip_suffix(F.concat("url", F.lit(" - example.com")), F.lit("")).alias("title"))
+
+
+@query("SELECT doc_id, CASE WHEN length(source) > 3 AND NOT contains(source, ' ') THEN substr(source, 1, 3) || '[...]' ELSE source END AS title FROM documents")
+def overlong_title(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", text.shorten_spaceless(F.col("source"), 3).alias("title"))
+
+
+# --- classification
+
+
+@query("SELECT p_partkey, CASE WHEN contains(lower(p_type), 'steel') OR contains(lower(p_type), 'tin') THEN 'metal' WHEN contains(lower(p_type), 'brushed') THEN 'finish' ELSE 'other' END AS class FROM part")
+def first_match_class(spark, sf):
+    rules = (("metal", ("steel", "tin")), ("finish", ("brushed",)))
+    match = lambda c, k: text.raw_contains(c, k, pad=False)
+    return _t(spark, sf, "part").select("p_partkey", first_match(F.col("p_type"), rules, "other", match).alias("class"))
+
+
+@query(
+    "SELECT p_partkey, CASE WHEN regexp_matches(p_name, '(?i)(^|[^\\p{L}\\p{N}])blue([^\\p{L}\\p{N}]|$)') THEN 'blue' WHEN regexp_matches(p_name, '(?i)(^|[^\\p{L}\\p{N}])part([^\\p{L}\\p{N}]|$)') THEN 'part' END AS name FROM part"
+)
+def first_in_list_query(spark, sf):
+    return _t(spark, sf, "part").select("p_partkey", first_in_list(F.col("p_name"), ("blue", "part")).alias("name"))
+
+
+_QUERIES["first_in_list"], _SQL["first_in_list"] = _QUERIES.pop("first_in_list_query"), _SQL.pop("first_in_list_query")
+
+
+@query(
+    """WITH m AS (SELECT doc_id, string_split(regexp_extract(text, '(?:the|The) ([a-z]+ [a-z]+ [a-z]+)', 1), ' ') AS w FROM documents),
+k AS (SELECT doc_id, CASE WHEN len(w) >= 2 AND w[2] IN ('of', 'and') THEN w[1:1] WHEN len(w) >= 3 AND w[3] IN ('of', 'and') THEN w[1:2] ELSE w END AS w FROM m)
+SELECT doc_id, CASE WHEN len(w) >= 2 THEN array_to_string(w, ' ') END AS name FROM k"""
+)
+def entity_extract(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", extract_name(F.col("text"), ["(?:the|The) ([a-z]+ [a-z]+ [a-z]+)"], ["of", "and"]).alias("name"))
+
+
+# --- rules
+
+
+def _detected(spark, sf) -> DataFrame:
+    return _docs(spark, sf).select("doc_id", "source", "t", detect_all(F.col("t"), RULES).alias("found"))
+
+
+_pa = f"({_has('of the')} OR {_has('in the')})"
+_pb, _qb = _has("und die"), f"({_has('und')} OR {_has('der')})"
+_pg, _qg = _has("de la"), f"({_has('que')} OR {_has('la')})"
+_DETECT = f"""{_DOCS}, f AS (
+SELECT doc_id, source, t, 'ALPHA' AS code, 'direct' AS trigger_class, CASE WHEN {_pa} THEN 'STRONG' ELSE 'WEAK' END AS strength, 0 AS a, 0 AS c FROM d WHERE {_pa} OR {_has("the")}
+UNION ALL SELECT doc_id, source, t, 'BETA', 'indirect', CASE WHEN {_pb} OR ({_has("und")} AND {_has("der")}) THEN 'MODERATE' ELSE 'WEAK' END, 2, 1 FROM d WHERE ({_pb} OR {_qb}) AND NOT {_has("nicht")}
+UNION ALL SELECT doc_id, source, t, 'GAMMA', 'historical', CASE WHEN {_pg} THEN 'STRONG' WHEN {_has("que")} AND {_has("la")} THEN 'MODERATE' ELSE 'WEAK' END, 1, 2 FROM d WHERE ({_pg} OR {_qg}) AND ({_has("que")} OR {_has("les")})
+), p AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY a, CASE strength WHEN 'STRONG' THEN 0 WHEN 'MODERATE' THEN 1 ELSE 2 END, c) AS n FROM f)"""
+
+
+@query(f"WITH {_DETECT} SELECT doc_id, code, strength FROM f")
+def rule_detection(spark, sf):
+    return _detected(spark, sf).select("doc_id", F.explode("found").alias("f")).select("doc_id", "f.code", "f.strength")
+
+
+@query(f"WITH {_DETECT} SELECT doc_id, code, trigger_class, strength FROM p WHERE n = 1")
+def primary_rule(spark, sf):
+    return _detected(spark, sf).where(F.size("found") > 0).select("doc_id", primary(F.col("found"), RULES).alias("p")).select("doc_id", "p.code", "p.trigger_class", "p.strength")
+
+
+@query(
+    f"WITH {_DETECT} SELECT doc_id, CASE WHEN trigger_class = 'historical' THEN 'HISTORICAL' WHEN {_has('with')} OR {_has('para')} THEN 'FUTURE' WHEN {_has('was')} OR {_has('fue')} THEN 'COMPLETED' ELSE 'CURRENT_OR_UNCLEAR' END AS timing FROM p WHERE n = 1"
+)
+def rule_timing(spark, sf):
+    p = _detected(spark, sf).where(F.size("found") > 0).withColumn("p", primary(F.col("found"), RULES))
+    none = F.lit(None).cast("date")
+    return p.select("doc_id", timing(F.col("p"), none, none, F.lit("2026-07-12").cast("date"), F.col("t"), RULES).alias("timing"))
+
+
+@query(
+    """WITH e AS (SELECT event_id, event_type, date_diff('day', CAST(ts AS DATE), DATE '2024-01-20') AS age FROM events)
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'HISTORICAL' WHEN age < 0 THEN 'FUTURE' WHEN event_type = 'signup' AND age <= 5 THEN 'FUTURE' WHEN age > 10 THEN 'COMPLETED' ELSE 'CURRENT_OR_UNCLEAR' END AS state FROM e"""
+)
+def timing_state(spark, sf):
+    ref = F.lit("2024-01-20").cast("date")
+    age = F.datediff(ref, F.to_date("ts"))
+    state = (
+        F.when(F.col("event_type") == "error", "HISTORICAL").when(age < 0, "FUTURE").when((F.col("event_type") == "signup") & ~dates.is_stale(F.col("ts"), ref, 5), "FUTURE").when(age > 10, "COMPLETED")
+    )
+    return _t(spark, sf, "events").select("event_id", state.otherwise("CURRENT_OR_UNCLEAR").alias("state"))
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type = 'error' THEN 'ARCHIVE' WHEN event_type = 'signup' AND value IS NOT NULL THEN 'CONTACT_OFFICIAL_CHANNEL' WHEN event_type = 'view' THEN 'VERIFY_TIMING' ELSE 'ARCHIVE' END AS action FROM events"
+)
+def suggested_action_query(spark, sf):
+    state = F.when(F.col("event_type") == "error", "HISTORICAL").when(F.col("event_type") == "signup", "FUTURE").when(F.col("event_type") == "view", "CURRENT_OR_UNCLEAR").otherwise("NONE")
+    allowed = F.array(*map(F.lit, ("ARCHIVE", "CONTACT_OFFICIAL_CHANNEL", "VERIFY_TIMING")))
+    return _t(spark, sf, "events").select("event_id", suggested_action(state, F.lit("direct"), F.lit("STRONG"), F.col("value").cast("string"), allowed).alias("action"))
+
+
+_QUERIES["suggested_action"], _SQL["suggested_action"] = _QUERIES.pop("suggested_action_query"), _SQL.pop("suggested_action_query")
+
+
+@query(
+    f"WITH {_DETECT}, s AS (SELECT 'class' AS dim, trigger_class AS value FROM p WHERE n = 1 UNION ALL SELECT 'strength', strength FROM p WHERE n = 1 UNION ALL SELECT 'code', code FROM p WHERE n = 1) SELECT dim, value, count(*) AS n FROM s GROUP BY ALL"
+)
+def rule_summary(spark, sf):
+    p = _detected(spark, sf).where(F.size("found") > 0).select(primary(F.col("found"), RULES).alias("p")).select(F.col("p.trigger_class").alias("class"), "p.strength", "p.code")
+    return quality.summary_sets(p, "class", "strength", "code")
+
+
+# --- HTML, URLs and ids
+
+_CLEAN = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)\\s*>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, md5({_CLEAN}) AS cleaned FROM pages")
+def html_clean(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", F.md5(html.clean_text(F.col("html"))).alias("cleaned"))
+
+
+_inner = lambda tag: _CLEAN.replace("(html,", f"(regexp_extract(html, '(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>', 1),")
+
+
+@query(f"SELECT page_id, {_inner('title')} AS title, {_inner('h1')} AS heading FROM pages")
+def html_title_h1(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", html.tag_text(F.col("html"), "title").alias("title"), html.tag_text(F.col("html"), "h1").alias("heading"))
+
+
+@query("WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*\\bhref\\s*=[^>]*>.*?</a\\s*>')) AS a FROM pages) SELECT page_id, regexp_extract(a, '(?is)\\bhref\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1) AS href, count(*) AS n FROM a GROUP BY ALL")
+def html_links(spark, sf):
+    a = _t(spark, sf, "pages").select("page_id", F.explode(html.anchors(F.col("html"))).alias("a"))
+    return a.groupBy("page_id", html.attribute(F.col("a"), "href").alias("href")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT page_id, regexp_matches(html, '(?i)<input[^>]+type\\s*=\\s*[\"'']?password') OR regexp_matches(html, '(?is)<form[^>]*>.*?(login|sign ?in|masuk)') AS is_login FROM pages")
+def login_page_flag(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", html.is_login_page(F.col("html")).alias("is_login"))
+
+
+_RED = "text"
+for _p, _m in ((r"(?i)https?://\S+", "[url]"), (r"(?i)bearer\s+\S+", "[token]"), (r"(?i)(password|secret|token|api[_-]?key)\s*[:=]\s*\S+", r"\1=[redacted]"), (r"(?s)<[^>]*>", " "), (r"[\x00-\x1f\x7f]+", " ")):
+    _RED = f"regexp_replace({_RED}, '{_p}', '{_m}', 'g')"
+
+
+@query(f"SELECT doc_id, md5(substr(trim(regexp_replace({_RED}, '\\s+', ' ', 'g')), 1, 240)) AS message FROM documents")
+def redact(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", F.md5(html.redact(F.col("text"))).alias("message"))
+
+
+_TRACK = ", ".join(f"'{x}'" for x in html.TRACKING)
+_URL = f"""u AS (SELECT page_id, lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host,
+regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+', '/', 'g'), '/+$', '') AS route,
+list_sort(list_filter(string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: p <> '' AND lower(string_split(p, '=')[1]) NOT IN ({_TRACK}))) AS q FROM pages),
+n AS (SELECT page_id, CASE WHEN scheme = '' THEN '' ELSE scheme || '://' || host || route || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END END AS url, host FROM u)"""
+
+
+@query(f"WITH {_URL} SELECT page_id, url FROM n")
+def url_normalize(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", html.normalize_url(F.col("url")).alias("url"))
+
+
+@query("SELECT page_id, starts_with(url, 'https://') AND lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) IN ('example.com', 'site1.example') AS allowed FROM pages")
+def url_allowlist(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", html.is_allowed_url(F.col("url"), ["example.com", "site1.example"]).alias("allowed"))
+
+
+@query("SELECT page_id, regexp_matches(url, '(?i)^https?://\\S+$') AS traceable FROM pages")
+def traceable_source(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", html.is_traceable(F.lit("feed"), F.col("url")).alias("traceable"))
+
+
+@query("SELECT page_id, 'rq_' || substr(sha256('page' || chr(10) || lower(url) || chr(10) || 'feed' || chr(10) || lower(url)), 1, 20) AS id FROM pages")
+def stable_id(spark, sf):
+    return _t(spark, sf, "pages").select("page_id", ids.record_id(F.lit("page"), F.col("url"), F.lit("feed"), F.col("url")).alias("id"))
+
+
+@query(f"SELECT doc_id, sha256({_FOLD} || chr(10) || lang || chr(10) || '2026-07-12') AS content_hash FROM documents")
+def content_hash(spark, sf):
+    return _t(spark, sf, "documents").select("doc_id", ids.content_hash(F.col("text"), F.col("lang"), F.lit("2026-07-12")).alias("content_hash"))
+
+
+# --- dates
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS period, date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') > 1095 AS stale FROM orders")
+def date_staleness(spark, sf):
+    o = _t(spark, sf, "orders")
+    return o.select("o_orderkey", dates.period(F.col("o_orderdate")).alias("period"), dates.is_stale(F.col("o_orderdate"), F.lit("1998-08-02").cast("date"), 1095).alias("stale"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN strftime(ts, '%Y-%m-%d') ELSE '' END AS value, CASE WHEN event_id % 3 = 0 THEN 'valid' WHEN event_id % 3 = 1 THEN 'invalid' ELSE 'missing' END AS status FROM events")
+def public_dates(spark, sf):
+    e = _t(spark, sf, "events").withColumn("raw", F.when(F.col("event_id") % 3 == 0, F.date_format("ts", "yyyy-MM-dd")).when(F.col("event_id") % 3 == 1, "31 Februari 2026"))
+    return e.select("event_id", dates.public_date(F.col("raw")).alias("d")).select("event_id", "d.value", "d.status")
+
+
+# --- dedup
+
+
+@query("WITH r AS (SELECT doc_id, row_number() OVER (PARTITION BY trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) ORDER BY doc_id) AS n FROM documents) SELECT doc_id FROM r WHERE n = 1")
+def dedup_first_seen(spark, sf):
+    d = _t(spark, sf, "documents").select("doc_id", F.sha2(text.plain_fold(F.col("text")), 256).alias("k"))
+    return dedup.first_seen(d, F.col("k"), [F.col("doc_id")]).select("doc_id")
+
+
+@query(f"WITH {_DOCS}, k AS (SELECT doc_id, CASE WHEN length(t) >= 12 THEN t END AS k FROM d) SELECT doc_id, k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 AS is_duplicate FROM k")
+def dup_title_flag(spark, sf):
+    return dedup.flag_duplicates(_docs(spark, sf).select("doc_id", F.when(F.length("t") >= 12, F.sha2("t", 256)).alias("k")), F.col("k")).select("doc_id", "is_duplicate")
+
+
+@query()
+def greedy_dedup(spark, sf):
+    d = _docs(spark, sf).select("doc_id", "source", F.sha2("t", 256).alias("hash"), F.substring("t", 1, 24).alias("head"))
+    return dedup.greedy_keys(d, "source", "doc_id", ["hash", "head"]).select("doc_id", "dropped_by")
+
+
+@query(f"WITH {_URL}, r AS (SELECT url, page_id, row_number() OVER (PARTITION BY lower(url) ORDER BY page_id) AS k FROM n) SELECT url AS value, CAST(page_id AS BIGINT) AS pos FROM r WHERE k = 1 ORDER BY page_id LIMIT 20")
+def top_titles(spark, sf):
+    return dedup.top_distinct(_t(spark, sf, "pages"), html.normalize_url(F.col("url")), F.col("page_id"))
+
+
+@query(
+    f"""WITH {_DOCS}, b AS (SELECT item_id, substr(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')), 1, 12) AS h FROM benchmark),
+m AS (SELECT doc_id, 1 AS tier, item_id FROM d JOIN benchmark USING (text) UNION ALL SELECT doc_id, 2, item_id FROM d JOIN b ON substr(t, 1, 12) = h),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tier, item_id) AS n FROM m) SELECT doc_id, CAST(tier AS INTEGER) AS tier, item_id FROM r WHERE n = 1"""
+)
+def exact_dup_cross_corpus(spark, sf):
+    d = _docs(spark, sf).select("doc_id", F.col("text").alias("exact"), F.substring("t", 1, 12).alias("head"))
+    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("b_exact"), F.substring(text.fold_search(F.col("text")), 1, 12).alias("b_head"))
+    return dedup.match_tiers(d, b, [("exact", "b_exact"), ("head", "b_head")], "doc_id", "item_id")
+
+
+@query("SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM documents) GROUP BY doc_id HAVING count(*) > 1")
+def id_collisions(spark, sf):
+    return dedup.duplicate_keys(_t(spark, sf, "labels").select("doc_id").unionByName(_t(spark, sf, "documents").select("doc_id")), "doc_id")
+
+
+# --- quality and readiness
+
+_CODES = {"TOO_SHORT": "length(text) < 80", "TOO_LONG": "length(text) > 8000", "NO_LANG": "coalesce(trim(lang), '') = ''", "SHOUTING": "regexp_matches(text, '[A-Z]{12}')", "BARS": "contains(text, ' | ')"}
+
+
+def _issues(d: DataFrame) -> DataFrame:
+    x = F.col("text")
+    tests = {"TOO_SHORT": F.length(x) < 80, "TOO_LONG": F.length(x) > 8000, "NO_LANG": ~text.has_text(F.col("lang")), "SHOUTING": x.rlike("[A-Z]{12}"), "BARS": x.contains(" | ")}
+    codes = quality.issue_codes(tests)
+    return d.withColumn("codes", codes).withColumn("severity", quality.severity(F.col("codes"), "TOO_SHORT", "NO_LANG", "BARS", ["TOO_LONG", "SHOUTING"]))
+
+
+_ISSUES = f"i AS (SELECT *, list_filter([{', '.join(f'CASE WHEN {c} THEN {k!r} END' for k, c in _CODES.items())}], lambda x: x IS NOT NULL) AS codes FROM documents), s AS (SELECT *, CASE WHEN list_contains(codes, 'TOO_SHORT') OR (list_contains(codes, 'NO_LANG') AND list_contains(codes, 'BARS')) THEN 'high' WHEN list_contains(codes, 'TOO_LONG') OR list_contains(codes, 'SHOUTING') THEN 'medium' ELSE 'low' END AS severity FROM i)"
+
+
+@query(f"WITH {_ISSUES} SELECT doc_id, array_to_string(codes, ',') AS codes, severity FROM s")
+def quality_flags(spark, sf):
+    return _issues(_t(spark, sf, "documents")).select("doc_id", F.array_join("codes", ",").alias("codes"), "severity")
+
+
+@query(f"WITH {_ISSUES}, c AS (SELECT unnest(codes) AS code FROM s) SELECT code, count(*) AS n FROM c GROUP BY code")
+def issue_counts(spark, sf):
+    return _issues(_t(spark, sf, "documents")).select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_ISSUES} SELECT doc_id, severity FROM s WHERE len(codes) > 0 ORDER BY CASE severity WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, n_chars DESC NULLS LAST, doc_id LIMIT 500")
+def review_queue_top500(spark, sf):
+    d = _issues(_t(spark, sf, "documents")).where(F.size("codes") > 0)
+    return d.orderBy(quality.severity_rank(F.col("severity")), F.col("n_chars").desc_nulls_last(), "doc_id").limit(500).select("doc_id", "severity")
+
+
+def _ready(spark, sf) -> DataFrame:
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "n_chars").join(_t(spark, sf, "labels"), "doc_id", "left")
+    tests = {
+        "title": quality.tri_state(F.col("n_chars") >= 80, F.col("n_chars").isNull()),
+        "fit": quality.tri_state(F.col("quality") == 1, F.col("quality").isNull()),
+        "safe": quality.tri_state(F.col("toxic") == 0, F.col("toxic").isNull()),
+    }
+    d = d.withColumns(tests)
+    c = {k: F.col(k) for k in tests}
+    d = d.withColumn("state", quality.readiness(c, ["title", "safe"], ["title", "fit", "safe"])).withColumn("reasons", quality.reason_codes(c, ["safe", "title", "fit"]))
+    return d.withColumn("action", quality.next_action(F.col("reasons"), "FIT_FAILED", {"FIT_FAILED": "REVIEW_FIT", "SAFE_FAILED": "REMOVE", "SAFE_UNKNOWN": "LABEL"}, "VERIFY_SOURCE"))
+
+
+_READY = """c AS (SELECT d.doc_id, d.lang, CASE WHEN n_chars IS NULL THEN 'unknown' WHEN n_chars >= 80 THEN 'pass' ELSE 'fail' END AS title, CASE WHEN quality IS NULL THEN 'unknown' WHEN quality = 1 THEN 'pass' ELSE 'fail' END AS fit,
+CASE WHEN toxic IS NULL THEN 'unknown' WHEN toxic = 0 THEN 'pass' ELSE 'fail' END AS safe FROM documents d LEFT JOIN labels l USING (doc_id)),
+r AS (SELECT *, CASE WHEN title = 'fail' OR safe = 'fail' THEN 'NOT_READY' WHEN title = 'pass' AND fit = 'pass' AND safe = 'pass' THEN 'READY' ELSE 'NEEDS_REVIEW' END AS state,
+list_filter([CASE safe WHEN 'fail' THEN 'SAFE_FAILED' WHEN 'unknown' THEN 'SAFE_UNKNOWN' END, CASE title WHEN 'fail' THEN 'TITLE_FAILED' WHEN 'unknown' THEN 'TITLE_UNKNOWN' END, CASE fit WHEN 'fail' THEN 'FIT_FAILED' WHEN 'unknown' THEN 'FIT_UNKNOWN' END], lambda x: x IS NOT NULL) AS reasons FROM c)"""
+
+
+@query(f"WITH {_READY} SELECT doc_id, state, array_to_string(reasons, ',') AS reasons, CASE WHEN list_contains(reasons, 'FIT_FAILED') THEN 'REVIEW_FIT' WHEN list_contains(reasons, 'SAFE_FAILED') THEN 'REMOVE' WHEN list_contains(reasons, 'SAFE_UNKNOWN') THEN 'LABEL' ELSE 'VERIFY_SOURCE' END AS action FROM r")
+def readiness_state(spark, sf):
+    return _ready(spark, sf).select("doc_id", "state", F.array_join("reasons", ",").alias("reasons"), "action")
+
+
+@query(f"WITH {_READY}, u AS (SELECT unnest(reasons) AS reason FROM r) SELECT reason, count(*) AS n FROM u GROUP BY reason")
+def reason_counts(spark, sf):
+    return _ready(spark, sf).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_READY} SELECT lang, count(*) FILTER (state = 'READY') AS ready, count(*) FILTER (state = 'NEEDS_REVIEW') AS needs_review, count(*) FILTER (state = 'NOT_READY') AS not_ready FROM r GROUP BY lang")
+def field_usage_pivot(spark, sf):
+    d = _ready(spark, sf)
+    return d.groupBy("lang").agg(*[F.count_if(F.col("state") == s).alias(s.lower()) for s in ("READY", "NEEDS_REVIEW", "NOT_READY")])
+
+
+# --- diffs
+
+_FIELDS = ["o_orderstatus", "o_totalprice", "o_orderpriority"]
+
+
+def _versions(spark, sf):
+    o = _t(spark, sf, "orders").select("o_orderkey", *_FIELDS)
+    new = o.where(F.col("o_orderkey") % 11 != 0).withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    new = new.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 5 == 0, "X").otherwise(F.col("o_orderstatus")))
+    return o.where(F.col("o_orderkey") % 13 != 0), new
+
+
+_DIFF = """a AS (SELECT * FROM orders WHERE o_orderkey % 13 <> 0), b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 11 <> 0),
+j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN a.o_orderkey IS NULL THEN 'ADDED' WHEN b.o_orderkey IS NULL THEN 'REMOVED' WHEN a.o_orderstatus IS DISTINCT FROM b.o_orderstatus OR a.o_totalprice IS DISTINCT FROM b.o_totalprice OR a.o_orderpriority IS DISTINCT FROM b.o_orderpriority THEN 'CHANGED' ELSE 'UNCHANGED' END AS change,
+a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AND a.o_orderstatus IS DISTINCT FROM b.o_orderstatus AS s, a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AND a.o_totalprice IS DISTINCT FROM b.o_totalprice AS p FROM a FULL JOIN b USING (o_orderkey))"""
+
+
+@query(f"WITH {_DIFF} SELECT o_orderkey, change FROM j")
+def snapshot_diff(spark, sf):
+    return diff.snapshot_diff(*_versions(spark, sf), "o_orderkey", _FIELDS).select("o_orderkey", "change")
+
+
+@query(f"WITH {_DIFF} SELECT o_orderkey, concat_ws(',', CASE WHEN p THEN 'PRICE_CHANGED' END, CASE WHEN s THEN 'STATE_CHANGED' END) AS reasons FROM j WHERE change = 'CHANGED'")
+def change_reasons(spark, sf):
+    d = diff.snapshot_diff(*_versions(spark, sf), "o_orderkey", _FIELDS).where("change = 'CHANGED'")
+    rules = {"PRICE_CHANGED": ["o_totalprice"], "STATE_CHANGED": ["o_orderstatus", "o_orderpriority"]}
+    return d.select("o_orderkey", F.array_join(diff.change_reasons(F.col("changed_fields"), rules), ",").alias("reasons"))
+
+
+@query(
+    f"WITH {_DIFF}, n AS (SELECT count(*) AS total, count(*) FILTER (change = 'CHANGED') AS changed, count(*) FILTER (change = 'REMOVED') AS removed FROM j) SELECT total, changed, removed, round(100.0 * changed / total, 2) AS changed_percent, CASE WHEN removed > total * 0.5 THEN 'TOO_MANY_REMOVED' ELSE '' END AS errors, CASE WHEN removed > total * 0.5 THEN 'REJECT' WHEN changed + removed = 0 THEN 'NO_MATERIAL_CHANGE' ELSE 'REVIEW_REQUIRED' END AS status FROM n"
+)
+def proposal_quality(spark, sf):
+    d = diff.snapshot_diff(*_versions(spark, sf), "o_orderkey", _FIELDS)
+    n = d.agg(F.count("*").alias("total"), F.count_if(F.col("change") == "CHANGED").alias("changed"), F.count_if(F.col("change") == "REMOVED").alias("removed"))
+    n = n.withColumn("e", diff.proposal_errors({"TOO_MANY_REMOVED": F.col("removed") <= F.col("total") * 0.5}))
+    status = diff.report_status(F.col("e"), F.lit(0), diff.material_changes(F.col("changed"), F.col("removed")), F.lit(0))
+    return n.select("total", "changed", "removed", diff.percent(F.col("changed"), F.col("total")).alias("changed_percent"), F.array_join("e", ",").alias("errors"), status.alias("status"))
+
+
+# --- archives
+
+
+@query("SELECT strftime(ts, '%Y-%m') AS period, event_type, count(*) AS n, count(*) FILTER (value IS NULL) AS missing FROM events GROUP BY ALL")
+def monthly_archive(spark, sf):
+    e = _t(spark, sf, "events")
+    return e.groupBy(dates.period(F.col("ts")).alias("period"), "event_type").agg(F.count("*").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"))
+
+
+@query("SELECT trim(o_orderpriority) AS key, count(*) AS n FROM orders WHERE trim(o_orderpriority) <> '' GROUP BY ALL")
+def count_by(spark, sf):
+    return quality.count_by(_t(spark, sf, "orders"), F.col("o_orderpriority"))
+
+
+@query("SELECT dim, value, count(*) AS n FROM (SELECT 'event_type' AS dim, event_type AS value FROM events UNION ALL SELECT 'day', CAST(CAST(ts AS DATE) AS VARCHAR) FROM events) GROUP BY ALL")
+def summary_grouping_sets(spark, sf):
+    return quality.summary_sets(_t(spark, sf, "events").select("event_type", F.to_date("ts").alias("day")), "event_type", "day")
+
+
+@query(
+    """WITH w AS (SELECT event_type AS label, count(*) FILTER (CAST(ts AS DATE) >= DATE '2024-01-08' AND CAST(ts AS DATE) < DATE '2024-01-15') AS previous, count(*) FILTER (CAST(ts AS DATE) >= DATE '2024-01-15' AND CAST(ts AS DATE) < DATE '2024-01-17') AS current FROM events GROUP BY ALL)
+SELECT label, previous, current, CASE WHEN current = 0 THEN 'EMPTY' WHEN current < 5 THEN 'TOO_FEW' WHEN previous <= 0 THEN 'NO_BASELINE' WHEN CAST(previous - current AS DOUBLE) / previous > 0.7 THEN 'DROP' ELSE 'OK' END AS verdict FROM w"""
+)
+def drop_guard(spark, sf):
+    day = F.to_date("ts")
+    inside = lambda a, b: F.count_if((day >= a) & (day < b))
+    w = _t(spark, sf, "events").groupBy(F.col("event_type").alias("label")).agg(inside("2024-01-08", "2024-01-15").alias("previous"), inside("2024-01-15", "2024-01-17").alias("current"))
+    return quality.drop_guard(w)
+
+
+@query("SELECT 'key_present' AS law, count(*) FILTER (o_orderkey IS NULL) AS n FROM orders UNION ALL SELECT 'price_positive', count(*) FILTER (NOT coalesce(o_totalprice > 0, false)) FROM orders UNION ALL SELECT 'state_known', count(*) FILTER (NOT coalesce(o_orderstatus IN ('O', 'F'), false)) FROM orders")
+def conservation_check(spark, sf):
+    return quality.violations(_t(spark, sf, "orders"), {"key_present": F.col("o_orderkey").isNotNull(), "price_positive": F.col("o_totalprice") > 0, "state_known": F.col("o_orderstatus").isin("O", "F")})
+
+
+# --- feedback
+
+
+@query("SELECT event_id, event_type AS decision, lag(event_type, 1, 'UNREVIEWED') OVER w AS previous_decision, CASE WHEN row_number() OVER w = 1 THEN 'CREATED' ELSE 'UPDATED' END AS event_kind FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
+def decision_history(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", "user_id", "ts", F.col("event_type").alias("decision"))
+    return feedback.history(e, "user_id", "ts", "event_id", "decision").select("event_id", "decision", "previous_decision", F.col("event_type").alias("event_kind"))
+
+
+def _state(spark, sf):
+    e = _t(spark, sf, "events").select("event_id", "user_id", "ts", F.col("event_type").alias("decision"))
+    return feedback.current_state(e, "user_id", "ts", "event_id", "decision")
+
+
+_STATE = "s AS (SELECT user_id, arg_max(event_type, (ts, event_id)) AS decision, min(ts) AS created_at, max(ts) AS updated_at, count(*) AS n_events FROM events GROUP BY user_id)"
+
+
+@query(f"WITH {_STATE} SELECT user_id, decision, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, strftime(updated_at, '%Y-%m-%d %H:%M:%S') AS updated_at, n_events FROM s")
+def current_state(spark, sf):
+    at = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return _state(spark, sf).select("user_id", "decision", at("created_at"), at("updated_at"), "n_events")
+
+
+@query(f"WITH {_STATE}, j AS (SELECT c_custkey, s.* FROM customer LEFT JOIN s ON c_custkey = user_id) SELECT count(*) AS total, count(decision) AS reviewed, count(*) - count(decision) AS unreviewed, CAST(coalesce(sum(greatest(0, n_events - 1)), 0) AS BIGINT) AS decision_changes, floor(1000.0 * count(decision) / count(*) + 0.5) / 10 AS completion FROM j")
+def feedback_metrics(spark, sf):
+    return feedback.metrics(_t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id")), _state(spark, sf), "user_id")
+
+
+@query("SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id) ORDER BY CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END, doc_id LIMIT 1")
+def next_unreviewed(spark, sf):
+    rank = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).otherwise(2)
+    return feedback.next_unreviewed(_t(spark, sf, "documents").select("doc_id", "lang"), _t(spark, sf, "labels"), "doc_id", rank).select("doc_id")
+
+
+@query(f"WITH {_STATE}, i AS (SELECT user_id + 5 AS user_id, decision FROM s), j AS (SELECT i.decision, s.decision AS mine, c.c_custkey FROM i LEFT JOIN s USING (user_id) LEFT JOIN customer c ON c_custkey = i.user_id) SELECT count(*) FILTER (mine IS NULL) AS added, count(*) FILTER (mine <> decision) AS conflicts, count(*) FILTER (mine = decision) AS same, count(*) FILTER (c_custkey IS NULL) AS orphaned FROM j")
+def import_preview(spark, sf):
+    s = _state(spark, sf)
+    moved = s.select((F.col("user_id") + 5).alias("user_id"), "decision")
+    return feedback.preview_import(s, moved, _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id")), "user_id")
+
+
+# --- prices, sets and joins
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS amount FROM events")
+def nested_amount(spark, sf):
+    return _t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("double").alias("amount"))
+
+
+@query("SELECT l_orderkey, arg_min(l_extendedprice, l_linenumber) FILTER (l_returnflag = 'R') AS first_award FROM lineitem GROUP BY l_orderkey")
+def first_award(spark, sf):
+    return _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.min(F.when(F.col("l_returnflag") == "R", F.struct("l_linenumber", "l_extendedprice"))).alias("first")
+    ).select("l_orderkey", F.col("first.l_extendedprice").alias("first_award"))
+
+
+@query("SELECT o_orderkey, c_name AS buyer, substr(CAST(o_orderdate AS VARCHAR), 1, 4) AS year, o_totalprice AS budget FROM orders JOIN customer ON o_custkey = c_custkey WHERE contains(lower(c_mktsegment), 'build')")
+def price_intel(spark, sf):
+    c = _t(spark, sf, "customer").where(text.raw_contains(F.col("c_mktsegment"), "build", pad=False)).select("c_custkey", F.col("c_name").alias("buyer"))
+    o = _t(spark, sf, "orders")
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "buyer", F.date_format("o_orderdate", "yyyy").alias("year"), F.col("o_totalprice").alias("budget"))
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def accepted_semi(spark, sf):
+    n = _t(spark, sf, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"))
+    return _t(spark, sf, "supplier").join(n, "s_nationkey", "left_semi").select("s_suppkey")
+
+
+@query("SELECT s_suppkey FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")
+def rejected_anti(spark, sf):
+    n = _t(spark, sf, "nation").where("n_regionkey = 1").select(F.col("n_nationkey").alias("s_nationkey"))
+    return _t(spark, sf, "supplier").join(n, "s_nationkey", "left_anti").select("s_suppkey")
+
+
+@query("SELECT 'documents' AS corpus, count(*) AS n FROM documents UNION ALL SELECT 'conversations', count(*) FROM conversations")
+def union_corpora(spark, sf):
+    parts = [_t(spark, sf, n).select(F.lit(n).alias("corpus")) for n in ("documents", "conversations")]
+    return parts[0].unionByName(parts[1]).groupBy("corpus").agg(F.count("*").alias("n"))
+
+
+@query("SELECT d.doc_id, coalesce(arg_max(q.quality, q.toxic), -1) AS quality FROM documents d LEFT JOIN labels q USING (doc_id) GROUP BY d.doc_id")
+def lookup_last_wins(spark, sf):
+    last = dedup.last_wins(_t(spark, sf, "labels"), "doc_id", "toxic").select("doc_id", "quality")
+    return _t(spark, sf, "documents").select("doc_id").join(last, "doc_id", "left").select("doc_id", F.coalesce("quality", F.lit(-1)).alias("quality"))
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
