@@ -554,7 +554,7 @@ def nested_amount(spark, sf):
     return _t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("double").alias("amount"))
 
 
-@query("SELECT l_orderkey, arg_min(l_extendedprice, l_linenumber) FILTER (l_returnflag = 'R') AS first_award FROM lineitem GROUP BY l_orderkey")
+@query("SELECT l_orderkey, arg_min(l_extendedprice, (l_linenumber, l_extendedprice)) FILTER (l_returnflag = 'R') AS first_award FROM lineitem GROUP BY l_orderkey")
 def first_award(spark, sf):
     return _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.min(F.when(F.col("l_returnflag") == "R", F.struct("l_linenumber", "l_extendedprice"))).alias("first")
