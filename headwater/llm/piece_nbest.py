@@ -30,7 +30,7 @@ from headwater.llm.common import checked_broadcast, map_text
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 #: Words kept by a worker; beyond that the store starts anew.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 
 class _Words(dict):
@@ -204,7 +204,7 @@ def encode_nbest(df: DataFrame, text_col: str = "text", keep: list[str] | None =
         for t in texts:
             ids, paths = lattice.encode(t)
             row = [len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), [{"score": s, "changes": [{"unit": u, "ids": p} for u, p in c]} for s, c in paths], lattice.decode(ids) == t]
-            for column, value in zip(out, row + ([ids.tolist()] if with_ids else []), strict=True):
+            for column, value in zip(out, row + ([np.array(ids, np.int32)] if with_ids else []), strict=True):
                 column.append(value)
         return out
 

@@ -75,8 +75,6 @@ class Efficiency:
         return len(run) / len(self.encoding.encode_ordinary(run))
 
 
-_loaded: dict[str, Efficiency] = {}
-
 
 def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY, max_ratio: float = 2.2, out: str = "spans") -> DataFrame:
     """Append ``out`` (kind, start, end, characters per token; the last null for pattern rules) by position."""
@@ -86,9 +84,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     shared = checked_broadcast(spark, ranks, len(ranks))
 
     def start():
-        if vocabulary not in _loaded:
-            _loaded[vocabulary] = Efficiency(shared.value)
-        return _loaded[vocabulary]
+        return Efficiency(shared.value)  # for one task, so that a worker does not hold it afterwards
 
     def spans(text: str, eff: Efficiency) -> list[dict]:
         found = [(a, k, b, None) for a, k, b in base_spans(text)]

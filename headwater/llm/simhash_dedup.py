@@ -119,5 +119,7 @@ def keep_one(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col:
     """One row of each class stays, the one of the smallest id; of several rows of that id, one of the least text hash."""
     marked = durable(fingerprints(docs.select(id_col, text_col), keep=[id_col], width=width, out="__fp"))
     chosen = classes(marked, id_col, "__fp", "__class").groupBy("__class").agg(F.min(id_col).alias("__id"))
-    kept = docs.join(chosen.select("__id"), F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    # one exchange of the texts: the join and the choice among repeated ids share its key
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    ids = chosen.select(F.coalesce(F.col("__id").cast("string"), F.lit("null")).alias("__key"))
+    return docs.withColumn("__key", key).join(ids, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
