@@ -29,18 +29,18 @@ from headwater.llm.common import checked_broadcast, map_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
-#: Words kept by a worker; beyond that the store starts anew.
-KEPT_WORDS = 100_000
+#: Words kept by a worker (some 300 bytes each); beyond that the store starts anew.
+KEPT_WORDS = 400_000
 
 
 class _Words(dict):
-    """Passed units; the store starts anew beyond ``KEPT_WORDS``."""
+    """Passed units; the store starts anew beyond so many."""
 
-    def __init__(self, make):
-        self.make = make
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
 
     def __missing__(self, unit: str) -> tuple:
-        if len(self) >= KEPT_WORDS:
+        if len(self) >= self.most:
             self.clear()
         self[unit] = made = self.make(unit)
         return made
@@ -49,7 +49,7 @@ class _Words(dict):
 class Lattice:
     """N-best segmentation of units and texts under a SentencePiece model."""
 
-    def __init__(self, model: bytes, n: int = 3):
+    def __init__(self, model: bytes, n: int = 3, kept_words: int = KEPT_WORDS):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -74,7 +74,7 @@ class Lattice:
                 self.vocab.setdefault(text[:end], None)
             self.vocab[text] = (i, score)
         self.least = min(s for _, _, s in pieces) - 10
-        self.words = _Words(self.word)
+        self.words = _Words(self.word, kept_words)
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.size = np.array([len(b) for b in self.bytes_of], np.int64)
         self.first = np.cumsum(self.size) - self.size
@@ -188,16 +188,16 @@ PATH = T.StructType(
 )
 
 
-def encode_nbest(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, model: str = MODEL, n: int = 3, with_ids: bool = True) -> DataFrame:
+def encode_nbest(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, model: str = MODEL, n: int = 3, with_ids: bool = True, kept_words: int = KEPT_WORDS) -> DataFrame:
     """Append ``n_pieces``, ``ids`` (unless left out), ``ids_sha256`` (little-endian int32), ``paths`` and ``decoded_equal``."""
     with open(model, "rb") as f:
         proto = f.read()
     shared = checked_broadcast(df.sparkSession, proto, len(proto))
 
     def start():
-        if (model, n) not in _loaded:
-            _loaded[(model, n)] = Lattice(shared.value, n)
-        return _loaded[(model, n)]
+        if (model, n, kept_words) not in _loaded:
+            _loaded[(model, n, kept_words)] = Lattice(shared.value, n, kept_words)
+        return _loaded[(model, n, kept_words)]
 
     def per_batch(texts, lattice):
         out: list[list] = [[] for _ in range(4 + with_ids)]
@@ -227,9 +227,9 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "text", model: st
     keep = [c for c in df.columns if c not in (out, ids_col)]
 
     def run(batches):
-        if (model, 3) not in _loaded:
-            _loaded[(model, 3)] = Lattice(shared.value, 3)
-        lattice = _loaded[(model, 3)]
+        if (model, 1, 1) not in _loaded:
+            _loaded[(model, 1, 1)] = Lattice(shared.value, 1, 1)
+        lattice = _loaded[(model, 1, 1)]
         for b in batches:
             ids = b.column(len(keep)).to_pylist()
             yield pa.RecordBatch.from_arrays(
