@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from headwater.llm.common import durable, map_text, release
 from headwater.llm.components import connected_components
+from headwater.llm.words import Sequences, hashed_words, mix
 
 RADIUS = 3
 #: Byte triples within the lower and the upper half.
@@ -115,11 +116,118 @@ def simhash_report(docs: DataFrame) -> DataFrame:
     return classes(marked).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each class stays, the one of the smallest id; of several rows of that id, one of the least text hash."""
-    marked = durable(fingerprints(docs.select(id_col, text_col), keep=[id_col], width=width, out="__fp"))
-    chosen = classes(marked, id_col, "__fp", "__class").groupBy("__class").agg(F.min(id_col).alias("__id"))
-    # one exchange of the texts: the join and the choice among repeated ids share its key
+#: A signature has POSITIONS bytes, each a byte of one minimum over all shingles; the index is keyed by runs of KEY_BYTES.
+POSITIONS, KEY_BYTES = 120, 5
+#: Equal bytes that a pair of the sought similarity reaches: its share of them, less five standard deviations.
+SPREAD = 5
+#: Shingles of one block of a family, and the members that a broadcast may list.
+BLOCK_SHINGLES, BROADCAST_MEMBERS = 500_000, 200_000
+
+
+def _shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all shingles, offsets by text); a shorter text is one shingle, also one without words."""
+    words, at = hashed_words(texts, lower=True)
+    count = np.diff(at)
+    held = np.maximum(1, count - width + 1)
+    offsets = np.concatenate([[0], np.cumsum(held)])
+    start = np.repeat(at[:-1] - offsets[:-1], held) + np.arange(offsets[-1])
+    return Sequences(words).at(np.minimum(start, len(words)), np.repeat(np.minimum(count, width), held)), offsets
+
+
+def signatures(texts: list[str], width: int = 5) -> tuple[list[bytes], list[int], list[bytes]]:
+    """For every text the name of its shingle set (128 bits), the size of the set and its positional bytes."""
+    from xxhash import xxh3_128_digest
+
+    h, offsets = _shingles(pa.array(texts, pa.string()), width)
+    sets = [np.unique(h[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    draws = np.random.default_rng(11).integers(0, 1 << 63, (2, POSITIONS), dtype=np.uint64)
+    out = np.empty((len(texts), POSITIONS), np.uint8)
+    for k, (a, b) in enumerate(draws.T):
+        out[:, k] = mix(np.minimum.reduceat(h * (a * np.uint64(2) + np.uint64(1)) + b, offsets[:-1])).astype(np.uint8) if len(texts) else 0
+    return [xxh3_128_digest(x.tobytes()) for x in sets], [len(x) for x in sets], [x.tobytes() for x in out]
+
+
+def _candidates(reps: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) pairs of sets that share a run of positional bytes, short lists filtered by the tally of all positions.
+
+    A long list is joined to its least member without a tally: that keeps its members together and loses no pair.
+    """
+    runs = [F.xxhash64(F.lit(k), F.substring("sig", 1 + k * KEY_BYTES, KEY_BYTES)) for k in range(POSITIONS // KEY_BYTES)]
+    index = reps.select("node", F.explode(F.array(*runs)).alias("key")).repartition("key")
+    sizes = index.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).where(F.col("n") > 1)
+    posts = durable(index.join(sizes, "key"))
+    lists = posts.where(F.col("n") <= SHORT_LIST).groupBy("key").agg(F.collect_list("node").alias("l"))
+    met = F.transform("l", lambda u, i: F.transform(F.slice("l", i + 2, SHORT_LIST), lambda v: F.struct(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))))
+    pair = lists.select(F.explode(F.flatten(met)).alias("p")).select("p.u", "p.v").distinct()
+    side = lambda c: reps.select(F.col("node").alias(c), F.col("sig").alias(f"{c}_sig"), F.col("size").alias(f"{c}_size"))
+    both = pair.join(side("u"), "u").join(side("v"), "v")
+    least = POSITIONS * similarity - SPREAD * (POSITIONS * similarity * (1 - similarity)) ** 0.5
+    tally = F.aggregate(F.sequence(F.lit(1), F.lit(POSITIONS)), F.lit(0), lambda n, k: n + (F.col("u_sig").substr(k, F.lit(1)) == F.col("v_sig").substr(k, F.lit(1))).cast("int"))
+    fits = F.least("u_size", "v_size") >= similarity * F.greatest("u_size", "v_size")
+    short = both.where(fits & (tally >= least)).select("u", "v")
+    return short.unionByName(posts.where((F.col("n") > SHORT_LIST) & (F.col("node") != F.col("least"))).select(F.col("least").alias("u"), F.col("node").alias("v")).distinct())
+
+
+def _verified(nodes: np.ndarray, texts: pa.Array, width: int, similarity: float) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the pairs whose shingle sets have the Jaccard similarity, compared exactly."""
+    h, offsets = _shingles(texts, width)
+    codes = np.unique(h, return_inverse=True)[1]
+    sets = [np.unique(codes[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+    size = np.array([len(x) for x in sets])
+    flat, starts = np.concatenate(sets), np.concatenate([[0], np.cumsum(size)])[:-1]
+    mark = np.zeros(len(h), np.int32)
+    open_, out = np.ones(len(sets), bool), []
+    for root in range(len(sets)):
+        frontier = [root] if open_[root] else []
+        open_[root] = False
+        while frontier and open_.any():
+            at = frontier.pop()
+            mark[sets[at]] = 1
+            shared = np.add.reduceat(mark[flat], starts)
+            mark[sets[at]] = 0
+            near = np.flatnonzero(open_ & (shared >= similarity * (size + size[at] - shared) - 1e-9))
+            open_[near] = False
+            out += [(nodes[at], nodes[k]) for k in near]
+            frontier += near.tolist()
+    return out
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each class of texts whose sets of ``width``-word shingles have the Jaccard similarity.
+
+    A 64-bit fingerprint cannot hold that similarity (a median of 10 bits differs at 0.8), so the positional bytes are
+    those of minima over the shingles. Equal sets are one posting; pairs that share a run of bytes and reach the
+    tally make families; within a family whole texts are compared exactly, block by block. The row of the smallest id
+    stays; of several rows of that id, any one. Null ids count as one id; texts without words are alike.
+    """
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    ids = chosen.select(F.coalesce(F.col("__id").cast("string"), F.lit("null")).alias("__key"))
+    fields = [T.StructField("__node", T.BinaryType()), T.StructField("__size", T.LongType()), T.StructField("__sig", T.BinaryType())]
+    signed = map_text(docs.select(id_col, text_col), text_col, [id_col], fields, lambda texts: list(signatures(texts, width)))
+    marked = durable(signed.groupBy(F.col("__node").alias("node"), F.col("__size").alias("size"), F.col("__sig").alias("sig")).agg(F.min(id_col).alias("id")))
+    family = connected_components(_candidates(marked, similarity))
+    members = durable(family.join(marked.select("node", "size", "id"), "node").select("node", F.col("component").alias("family"), "size", F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("key")))
+    release(docs.sparkSession)
+    blocks = members.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
+    few = members.count() <= BROADCAST_MEMBERS
+    bounded = F.broadcast if few else lambda df: df
+    texts = docs.select(key.alias("key"), F.col(text_col).alias("text")).join(bounded(members.select("key").distinct()), "key", "left_semi")
+    named = map_text(texts, "text", ["text"], [T.StructField("node", T.BinaryType())], lambda t: [signatures(t, width)[0]])
+    held = named.join(bounded(dealt.select("node", "family", F.array_distinct(pairs).alias("pairs"))), "node").select("node", "text", "family", F.explode("pairs").alias("p"))
+
+    def search(group: pa.Table) -> pa.Table:
+        nodes, text = group.column("node").to_pylist(), group.column("text").combine_chunks()
+        first = np.unique(np.array([n.hex() for n in nodes]), return_index=True)[1]  # one text of each set
+        got = _verified([nodes[k] for k in first], text.take(pa.array(first)), width, similarity)
+        return pa.table({"u": pa.array([g[0] for g in got], pa.binary()), "v": pa.array([g[1] for g in got], pa.binary())})
+
+    links = held.select("node", F.coalesce("text", F.lit("")).alias("text"), "family", "p.i", "p.j").groupBy("family", "i", "j").applyInArrow(search, "u binary, v binary")
+    found = connected_components(links)
+    release(docs.sparkSession)
+    # the least id of a class stays; ids that only name another set of their class go
+    classed = marked.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
+    chosen = classed.groupBy("component").agg(F.min("id").alias("id"))
+    ids = chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("__key")).distinct()
+    # one exchange of the texts: the join and the choice among repeated ids share its key
     return docs.withColumn("__key", key).join(ids, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)

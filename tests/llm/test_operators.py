@@ -210,6 +210,50 @@ def test_simhash_edges(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3, 4, 5] and kept.columns == edge_docs(spark).columns
 
 
+def brute_jaccard_classes(texts, width=5, similarity=0.8):
+    sets = []
+    for t in texts:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split()
+        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if 10 * len(sets[i] & sets[j]) >= 10 * similarity * len(sets[i] | sets[j]) - 1e-9:
+            a, b = sorted((root(i), root(j)))
+            parent[b] = a
+    return [root(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize(("short", "block"), [(32, 500_000), (2, 300)])
+def test_keep_one_at_a_similarity(spark, monkeypatch, short, block):
+    monkeypatch.setattr(simhash_dedup, "SHORT_LIST", short)
+    monkeypatch.setattr(simhash_dedup, "BLOCK_SHINGLES", block)
+    rng = random.Random(5)
+    texts = [None, "", "one", "ONE", "one two"]
+    for size in (8, 30, 90, 200):
+        for _ in range(8):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            texts.append(" ".join(base))
+            for edits in range(1, 12):  # similarities from 1 down to below 0.8
+                w = list(base)
+                for _ in range(edits):
+                    w[rng.randrange(size)] = f"e{rng.randrange(5000)}"
+                texts.append(" ".join(w).upper())
+    want = {k for k, c in enumerate(brute_jaccard_classes(texts)) if c == k}
+    assert 30 < len(want) < len(texts) - 30
+    assert {r.doc_id for r in simhash_dedup.keep_one(docs(spark, texts)).collect()} == want
+
+
+def test_keep_one_of_no_rows(spark):
+    none = docs(spark, ["a"]).where("false")
+    assert simhash_dedup.keep_one(none).count() == 0
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(7, 7)]
