@@ -37,7 +37,8 @@ def tag_text(html: Column, tag: str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    return F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*["']([^"']*)["']""", 1)
+    """Value between a pair of equal quotes, entities decoded."""
+    return decode_entities(F.regexp_extract(tag, rf"""(?is)\b{name}\s*=\s*(["'])(.*?)\1""", 2))
 
 
 def meta_content(html: Column, key: str) -> Column:
@@ -55,7 +56,8 @@ def anchors(html: Column) -> Column:
 
 
 def is_login_page(html: Column) -> Column:
-    return html.rlike(r"""(?i)<input[^>]+type\s*=\s*["']?password""") | html.rlike(r"(?is)<form[^>]*>.*?(login|sign ?in|masuk)")
+    """A password input, or a form whose tag speaks of logging in."""
+    return html.rlike(r"""(?i)<input\b[^>]*type\s*=\s*["']password["']""") | html.rlike(r"(?i)<form\b[^>]*(login|signin|masuk)")
 
 
 def redact(message: Column, most: int = 240) -> Column:
@@ -91,13 +93,18 @@ def normalize_url(url: Column) -> Column:
 
 
 def resolve_url(link: Column, base: Column) -> Column:
-    """Absolute form of a link on a page, without fragment; null for forms that need a relative path."""
+    """Absolute form of a link on a page, without fragment; dot segments stay as they are."""
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
-    link = F.regexp_replace(link, "#.*$", "")
+    page = F.regexp_replace(base, "[?#].*$", "")
+    folder = F.when(path(base) == "", F.concat(origin, F.lit("/"))).otherwise(F.regexp_replace(page, "[^/]*$", ""))
+    link = F.regexp_replace(F.btrim(link), "#.*$", "")
     return (
-        F.when(link.rlike("(?i)^https?://"), link)
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^([A-Za-z]+:)", 1), link))
         .when(link.startswith("/"), F.concat(origin, link))
+        .when(link == "", F.regexp_replace(base, "#.*$", ""))
+        .when(link.startswith("?"), F.concat(page, link))
+        .otherwise(F.concat(folder, link))
     )
 
 

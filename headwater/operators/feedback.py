@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headwater.operators.durable import durable
+
 
 def history(events: DataFrame, item: str, ts: str, event_id: str, decision: str) -> DataFrame:
     """Append ``previous_decision`` and ``event_type``; an item starts as UNREVIEWED."""
@@ -53,6 +55,32 @@ def preview_import(current: DataFrame, imported: DataFrame, active: DataFrame, i
     )
 
 
+def accept_records(events: DataFrame, record: str, event_id: str) -> DataFrame:
+    """(record, accepted): a record is rejected if an accepted record before it, in key order, has one of its event ids.
+
+    A rejected record reserves no ids. Decided in rounds over the records that share an id with another one: the least
+    open record of each of its ids is accepted, what shares an id with it is rejected. Rounds end when none is open.
+    """
+    e = events.select(F.col(record).alias("r"), F.col(event_id).alias("e")).where("r IS NOT NULL").distinct()
+    everyone = e.select("r").distinct()
+    shared = e.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
+    open_ = durable(e.join(shared, "e"))
+    accepted = []
+    while not open_.isEmpty():
+        least = open_.groupBy("e").agg(F.min("r").alias("least"))
+        marked = open_.join(least, "e").groupBy("r").agg(F.min(F.col("r") == F.col("least")).alias("first"))
+        taken = durable(marked.where("first").select("r"))
+        accepted.append(taken)
+        ids = open_.join(taken, "r", "left_semi").select("e").distinct()
+        gone = open_.join(ids, "e", "left_semi").select("r").distinct()
+        open_ = durable(open_.join(gone, "r", "left_anti"))
+    contested = e.join(shared, "e", "left_semi").select("r").distinct()
+    free = everyone.join(contested, "r", "left_anti")
+    for part in accepted:
+        free = free.unionByName(part)
+    return everyone.join(free.withColumn("accepted", F.lit(True)), "r", "left").select(F.col("r").alias(record), F.coalesce("accepted", F.lit(False)).alias("accepted"))
+
+
 def input_errors(decision: Column, reasons: Column, next_action: Column, review_date: Column, note: Column, rules: dict[str, dict]) -> Column:
     """Error codes of a decision: unknown decision, missing reason, action or date, wrong date, long note."""
     from headwater.functions.dates import is_strict_date

@@ -10,9 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.functions import dates, html, ids, text
+from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
-from headwater.operators import dedup, diff, feedback, quality
+from headwater.operators import dedup, diff, feedback, items, official, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -261,7 +261,7 @@ def html_links(spark, sf):
     return a.groupBy("page_id", html.attribute(F.col("a"), "href").alias("href")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT page_id, regexp_matches(html, '(?i)<input[^>]+type\\s*=\\s*[\"'']?password') OR regexp_matches(html, '(?is)<form[^>]*>.*?(login|sign ?in|masuk)') AS is_login FROM pages")
+@query("SELECT page_id, regexp_matches(html, '(?i)<input\\b[^>]*type\\s*=\\s*[\"'']password[\"'']') OR regexp_matches(html, '(?i)<form\\b[^>]*(login|signin|masuk)') AS is_login FROM pages")
 def login_page_flag(spark, sf):
     return _t(spark, sf, "pages").select("page_id", html.is_login_page(F.col("html")).alias("is_login"))
 
@@ -470,6 +470,76 @@ def proposal_quality(spark, sf):
     return n.select("total", "changed", "removed", diff.percent(F.col("changed"), F.col("total")).alias("changed_percent"), F.array_join("e", ",").alias("errors"), status.alias("status"))
 
 
+# --- official sources
+
+ROBOTS = "User-agent: other\nDisallow: /\n\nUser-agent: *\nDisallow: /en # all\nDisallow: /de/\nAllow: /en/1\n"
+_PATH = r"regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+_ORIGIN = r"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+
+
+@query(f"SELECT page_id, NOT ((starts_with({_PATH}, '/en') AND NOT starts_with({_PATH}, '/en/1')) OR starts_with({_PATH}, '/de/')) AS allowed FROM pages")
+def robots_allowed(spark, sf):
+    p = _t(spark, sf, "pages")
+    return p.select("page_id", robots.robots_allow(F.lit(ROBOTS), html.path(F.col("url")), "Headwater").alias("allowed"))
+
+
+@query(
+    f"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*\\bhref\\s*=[^>]*>.*?</a\\s*>')) AS a FROM pages),
+h AS (SELECT page_id, url, a, regexp_replace(regexp_extract(a, '(?is)\\bhref\\s*=\\s*"([^"]*)"', 1), '#.*$', '') AS href FROM a),
+l AS (SELECT page_id, url, a, CASE WHEN starts_with(href, '/') THEN {_ORIGIN} || href ELSE href END AS link FROM h)
+SELECT page_id, link, NOT starts_with(link, 'https://') AS is_external, count(*) AS n FROM l GROUP BY ALL"""
+)
+def listing_links(spark, sf):
+    p = _t(spark, sf, "pages").select("page_id", "url", "html")
+    found = official.listing_links(p, html.host(F.col("url")))
+    return found.groupBy("page_id", "link", "is_external").agg(F.count("*").alias("n"))
+
+
+@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title, regexp_replace(url, '#.*$', '') AS canonical_url, '' AS excerpt FROM pages")
+def detail_fields(spark, sf):
+    p = _t(spark, sf, "pages")
+    return p.select("page_id", official.detail_fields(F.col("html"), F.col("url")).alias("d")).select("page_id", "d.*")
+
+
+@query(f"SELECT page_id, concat_ws(',', CASE WHEN length(url) < 28 THEN 'TITLE_INVALID' END, CASE WHEN NOT starts_with(url, 'https://') THEN 'LINK_INVALID' END, CASE WHEN NOT starts_with({_PATH}, '/en') THEN 'PROVENANCE_INVALID' END, CASE WHEN length(html) > 500 THEN 'EXCERPT_TOO_LONG' END) AS errors FROM pages")
+def record_errors(spark, sf):
+    url = F.col("url")
+    found = official.record_errors(F.length(url) >= 28, url.startswith("https://"), html.path(url).startswith("/en"), F.lit("missing"), F.lit(""), F.col("html"), F.lit(True))
+    return _t(spark, sf, "pages").select("page_id", F.array_join(found, ",").alias("errors"))
+
+
+@query("SELECT event_id, CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 3 = 0 THEN 'BLOCKED' WHEN event_id % 3 = 1 THEN 'DEGRADED' ELSE 'UNAVAILABLE' END WHEN user_id % 5 = 0 OR value IS NULL THEN 'DEGRADED' ELSE 'HEALTHY' END AS state FROM events")
+def source_state(spark, sf):
+    failed = F.when(F.col("event_id") % 3 == 0, "HTTP_403").when(F.col("event_id") % 3 == 1, "LISTING_PARSE_EMPTY").otherwise("DNS_FAILED")
+    error = F.when(F.col("event_type") == "error", failed)
+    warnings = F.array_compact(F.array(F.when(F.col("value").isNull(), F.lit("DATE_MISSING")), F.lit("NOTE")))
+    return _t(spark, sf, "events").select("event_id", official.source_state(error, warnings, F.col("user_id") % 5, F.lit(0)).alias("state"))
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN regexp_matches(upper(o_orderpriority), '^[A-Z][A-Z0-9_]{1,80}$') THEN upper(o_orderpriority) ELSE 'SOURCE_ERROR' END AS code, CASE WHEN regexp_matches(lower(o_orderpriority), '^[a-z0-9.-]+$') THEN lower(o_orderpriority) ELSE '' END AS host FROM orders")
+def safe_fields(spark, sf):
+    c = F.col("o_orderpriority")
+    return _t(spark, sf, "orders").select("o_orderkey", guards.safe_code(c).alias("code"), guards.safe_host(c).alias("host"))
+
+
+@query("SELECT 'tender' AS type, trim(c_name) AS title, trim(c_mktsegment) AS source, '' AS link, count(*) AS n FROM customer GROUP BY ALL")
+def feed_items(spark, sf):
+    c = _t(spark, sf, "customer").select(F.lit(" ").alias("judul"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("sumber"))
+    return items.normalize_items(c, "tender").groupBy("type", "title", "source", "link").agg(F.count("*").alias("n"))
+
+
+@query("SELECT facet, value, count(*) AS n FROM (SELECT 'lang' AS facet, lang AS value FROM documents UNION ALL SELECT 'source', source FROM documents) WHERE trim(value) <> '' GROUP BY ALL")
+def facet_options(spark, sf):
+    return items.facet_options(_t(spark, sf, "documents"), "lang", "source")
+
+
+# Greedy over an order, so without SQL; tests hold it against a loop.
+@query()
+def accepted_records(spark, sf):
+    e = _t(spark, sf, "lineitem")
+    return feedback.accept_records(e, "l_orderkey", "l_partkey")
+
+
 # --- archives
 
 

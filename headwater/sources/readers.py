@@ -33,6 +33,30 @@ def read_releases(spark: SparkSession, path: str, release: T.StructType) -> Data
     return raw.select(F.explode(F.when(F.col("v").startswith("["), F.from_json("v", T.ArrayType(release))).otherwise(inside)).alias("r")).select("r.*")
 
 
+def read_pages(spark: SparkSession, path: str, base: str) -> DataFrame:
+    """Captured HTML files as (url, html, content_sha256); the address is the base and the file's name."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.html").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select(F.concat(F.lit(base.rstrip("/") + "/"), name).alias("url"), F.decode("content", "UTF-8").alias("html"), F.sha2("content", 256).alias("content_sha256"))
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), "length")
+
+
+def select_sources(registry: list[dict], requested: str = "", accepted: str = "ACCEPTED") -> list[dict]:
+    """Sources that are enabled and accepted, of those requested (comma-separated codes; none: all). A request for any other is an error."""
+    usable = {s["code"]: s for s in registry if s.get("enabled") and s.get("status") == accepted}
+    codes = [c.strip() for c in requested.split(",") if c.strip()]
+    known = {s["code"] for s in registry}
+    for code in codes:
+        if code not in known:
+            raise ValueError(f"unknown source {code}")
+        if code not in usable:
+            raise ValueError(f"source {code} may not be selected")
+    return [s for c, s in usable.items() if not codes or c in codes]
+
+
 def option(env: dict, name: str, kind: str, default, least=None, most=None):
     """A typed parameter: int, bool or percent; an unset one is the default, one out of range an error."""
     text = str(env.get(name, "")).strip()

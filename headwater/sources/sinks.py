@@ -40,3 +40,31 @@ def script_safe(value) -> str:
 
 def summary_markdown(title: str, counts: dict) -> str:
     return "\n".join([f"# {title}", "", "| measure | value |", "|---|---|", *[f"| {k} | {v} |" for k, v in counts.items()], ""])
+
+
+def check_target(path: str, protected: list[str], allow: bool = False) -> str:
+    """The path, unless it is a protected output or lies below one."""
+    flat = path.rstrip("/")
+    if not allow and any(flat == p.rstrip("/") or flat.startswith(p.rstrip("/") + "/") for p in protected):
+        raise PermissionError(f"{path} is a protected output")
+    return path
+
+
+def report_html(title: str, model: dict) -> str:
+    """A page that carries its model as JSON within a script element."""
+    import html
+
+    head = f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head>"
+    return f"{head}<body><h1>{html.escape(title)}</h1><script type='application/json' id='model'>{script_safe(model)}</script></body></html>"
+
+
+def export_rows(df: DataFrame, path: str, form: str = "csv") -> str:
+    """Rows as CSV with a header, or as JSON lines, one file per partition."""
+    writer = df.write.mode("overwrite")
+    if form == "csv":
+        writer.option("header", True).option("escape", '"').csv(path)
+    elif form == "json":
+        writer.json(path)
+    else:
+        raise ValueError(f"unknown form {form}")
+    return path

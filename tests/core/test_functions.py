@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.functions import dates, html, ids, rules, text
-from headwater.operators import dedup, diff, feedback, quality
+from headwater.functions import dates, guards, html, ids, robots, rules, text
+from headwater.operators import dedup, diff, feedback, items, official, quality
 from headwater.sources import readers, sinks
 
 
@@ -144,3 +144,100 @@ def test_readers_and_sinks(spark, tmp_path):
     assert "<" not in sinks.script_safe({"a": "</script>"})
     with pytest.raises(ValueError):
         readers.option({"N": "7"}, "N", "int", 1, 1, 5)
+
+
+@pytest.mark.parametrize(
+    ("rules_text", "path", "free"),
+    [
+        (None, "/x", True),
+        ("User-agent: *\nDisallow: /a # no\nAllow: /a/b", "/a/c", False),
+        ("User-agent: *\nDisallow: /a\nAllow: /a/b", "/a/b/1", True),
+        ("User-agent: *\r\nDisallow: /a\r\nAllow: /a", "/a", True),
+        ("User-agent: ours\nUser-agent: other\nDisallow: /", "/", True),
+        ("User-agent: OUR\nDisallow: /", "/", False),
+        ("Disallow: /\nUser-agent: *\nDisallow:", "/", True),
+    ],
+)
+def test_robots(spark, rules_text, path, free):
+    assert one(spark, robots.robots_allow(F.col("a"), F.col("b"), "ourbot"), a=rules_text, b=path) is free
+
+
+def test_guards(spark):
+    assert one(spark, guards.safe_stage(F.col("a")), a="tls") == "TLS" and one(spark, guards.safe_stage(F.col("a")), a=None) == "LISTING_REQUEST"
+    assert one(spark, guards.safe_code(F.col("a")), a="http_403") == "HTTP_403" and one(spark, guards.safe_code(F.col("a")), a="x y") == "SOURCE_ERROR"
+    assert one(spark, guards.safe_content_type(F.col("a")), a="text/html; charset=utf-8\r\n") == "text/html; charset=utf-8"
+    assert one(spark, guards.safe_content_type(F.col("a")), a="text html") == ""
+    allowed = lambda u: one(spark, guards.safe_url(F.col("a"), "h.example", ["/n/"]), a=u)
+    assert allowed("https://h.example/n/1") and allowed("https://h.example/robots.txt") and allowed("http://h.example/n/1") == allowed("https://h.example/x") == allowed(None) == ""
+    assert one(spark, guards.names_forbidden_action("next_action", F.col("a")), a="Send WhatsApp") and not one(spark, guards.names_forbidden_action("title", F.col("a")), a="contact")
+    schema = T.StructType.fromDDL("a string, b array<struct<send_email boolean>>")
+    assert guards.forbidden_fields(schema) == ["b.send_email"]
+
+
+def test_official_pages(spark):
+    page = (
+        '<a href="/n/1#x"><h3>12 Juli 2026 First item Unduh</h3><span class="the date">12 Juli 2026</span></a><a href="https://else.example/n/2">out</a>'
+        '<a href="/n/1">again</a><a href="/other">no</a><a href="/n">self</a><a href="mailto:a@b">m</a><a href="n/3">rel</a>'
+    )
+    df = spark.createDataFrame([(1, "https://h.example/n", page), (2, "https://h.example/n", None)], "id long, url string, html string")
+    links = official.listing_links(df, F.lit("h.example"), "/", "/n")
+    got = [(r.link, r.is_external, r.is_record) for r in links.orderBy("pos").collect()]
+    assert got == [
+        ("https://h.example/n/1", False, True), ("https://else.example/n/2", True, False), ("https://h.example/n/1", False, True), ("https://h.example/other", False, False),
+        ("https://h.example/n", False, False), ("mailto:a@b", True, False), ("https://h.example/n/3", False, True),
+    ]
+    first = official.listing_records(links, "id").orderBy("pos").collect()
+    assert [r.link[-1] for r in first] == ["1", "3"] and first[0].title == "First item" and first[0].published_text == "12 Juli 2026"
+    d = one(spark, official.detail_fields(F.col("a"), F.col("b")), a="<title>Site - The item - more</title><meta content='d &amp; e' name='description'>", b="https://h.example/n/1")
+    assert (d.title, d.canonical_url, d.excerpt) == ("The item - more", "https://h.example/n/1", "d & e")
+    rows = official.official_record(links.withColumn("excerpt", F.lit("")), F.lit("S"), F.lit("h.example"), "/n").orderBy("pos").collect()
+    assert rows[0].published_at == "2026-07-12" and rows[0].link_valid and not rows[1].link_valid and rows[1].date_status == "missing"
+
+
+def test_source_state(spark):
+    state = lambda e, w, n, bad: one(spark, official.source_state(F.lit(e), F.array(*map(F.lit, w)), F.lit(n), F.lit(bad)))
+    assert state("HTTP_429", ["x"], 0, 0) == "BLOCKED" and state("DNS", ["x"], 0, 0) == "UNAVAILABLE" and state("DETAIL_PARSE_EMPTY", ["x"], 0, 0) == "DEGRADED"
+    assert state(None, ["x"], 3, 0) == "HEALTHY" and state(None, ["x"], 3, 1) == state(None, ["DATE_MISSING"], 3, 0) == "DEGRADED"
+    errors = official.record_errors(F.lit(None).cast("boolean"), F.lit(True), F.lit(False), F.lit("valid"), F.lit("2026-1-1"), F.lit("e"), F.lit(True))
+    assert one(spark, errors) == ["TITLE_INVALID", "PROVENANCE_INVALID", "DATE_INVALID"]
+
+
+def test_items(spark):
+    df = spark.createDataFrame([(" ", "Run ", "S", "2026-07-01", None)], "nama_event string, title string, sumber string, tanggal string, lokasi string")
+    r = items.normalize_items(df, "event", extra={"location": ["lokasi"]}).first()
+    assert (r.title, r.source, r.date, r.event_date, r.link, r.location, r.folded_title) == ("Run", "S", "2026-07-01", "2026-07-01", "", "", "run")
+    assert df.select(items.resolved_by(df, ["nama_event", "title"])).first()[0] == "title" and df.select(items.resolved_by(df, ["lokasi"])).first()[0] is None
+    assert one(spark, items.searchable(F.col("a"), F.col("b")), a=" x ", b=None) == "x"
+    assert items.facets(df, {"sumber": "S", "lokasi": ""}).count() == 1 and items.facets(df, {"sumber": "T"}).count() == 0
+    assert not one(spark, items.complete_provenance(F.col("a"), F.col("b")), a="x", b=" ")
+
+
+def test_accept_records_against_loop(spark):
+    rng = random.Random(3)
+    rows = sorted({(r, rng.randrange(260)) for r in range(120) for _ in range(rng.randrange(1, 4))})
+    taken, want = set(), {}
+    for r in range(120):
+        mine = {e for q, e in rows if q == r}
+        want[r] = not mine & taken
+        taken |= mine if want[r] else set()
+    got = feedback.accept_records(spark.createDataFrame(rows, "r long, e long"), "r", "e").collect()
+    assert {x.r: x.accepted for x in got} == want and 0 < sum(want.values()) < 120 and len(got) == 120
+
+
+def test_sources_and_outputs(spark, tmp_path):
+    registry = [{"code": "a", "enabled": True, "status": "ACCEPTED"}, {"code": "b", "enabled": False, "status": "ACCEPTED"}]
+    assert [s["code"] for s in readers.select_sources(registry)] == ["a"]
+    for bad in ("b", "c"):
+        with pytest.raises(ValueError):
+            readers.select_sources(registry, bad)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.html").write_text("<h1>é</h1>")
+    p = readers.read_pages(spark, str(tmp_path / "in"), "https://h.example/").first()
+    assert (p.url, p.html) == ("https://h.example/p.html", "<h1>é</h1>") and readers.file_hashes(spark, str(tmp_path / "in")).first().sha256 == p.content_sha256
+    with pytest.raises(PermissionError):
+        sinks.check_target("/data/live/x", ["/data/live"])
+    assert sinks.check_target("/data/live2", ["/data/live"]) == "/data/live2"
+    assert "</script><b>" not in sinks.report_html("<t>", {"x": "</script><b>"})
+    df = spark.createDataFrame([(1, 'a "q", b')], "k long, v string")
+    assert spark.read.option("header", True).option("escape", '"').csv(sinks.export_rows(df, f"{tmp_path}/c")).first().v == 'a "q", b'
+    assert spark.read.json(sinks.export_rows(df, f"{tmp_path}/j", "json")).first().k == 1
