@@ -495,7 +495,7 @@ def listing_links(spark, sf):
     return found.groupBy("page_id", "link", "is_external").agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')) AS title, regexp_replace(url, '#.*$', '') AS canonical_url, '' AS excerpt FROM pages")
+@query(r"SELECT page_id, replace(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1\b[^>]*>(.*?)</h1\s*>', 1), '<[^>]+>', ' ', 'g'), '\s+', ' ', 'g')), '&amp;', '&') AS title, regexp_replace(url, '#.*$', '') AS canonical_url, '' AS excerpt FROM pages")
 def detail_fields(spark, sf):
     p = _t(spark, sf, "pages")
     return p.select("page_id", official.detail_fields(F.col("html"), F.col("url")).alias("d")).select("page_id", "d.*")
