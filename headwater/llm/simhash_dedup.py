@@ -198,14 +198,18 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: s
     A 64-bit fingerprint cannot hold that similarity (a median of 10 bits differs at 0.8), so the positional bytes are
     those of minima over the shingles. Equal sets are one posting; pairs that share a run of bytes and reach the
     tally make families; within a family whole texts are compared exactly, block by block. The row of the smallest id
-    stays; of several rows of that id, any one. Null ids count as one id; texts without words are alike.
+    stays, of a class without ids one row; repeated rows and texts without words are alike. An id that stands on
+    different texts, null included, names no text alone: its rows are told apart by their sets.
     """
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    key = name(f"`{id_col}`")
     fields = [T.StructField("__node", T.BinaryType()), T.StructField("__size", T.LongType()), T.StructField("__sig", T.BinaryType())]
     signed = map_text(docs.select(id_col, text_col), text_col, [id_col], fields, lambda texts: list(signatures(texts, width)))
-    marked = durable(signed.groupBy(F.col("__node").alias("node"), F.col("__size").alias("size"), F.col("__sig").alias("sig")).agg(F.min(id_col).alias("id")))
+    known = durable(signed.select(F.col(f"`{id_col}`").alias("id"), F.col("__node").alias("node"), F.col("__size").alias("size"), F.col("__sig").alias("sig")))
+    marked = durable(known.groupBy("node", "size", "sig").agg(F.min("id").alias("id")))
+    doubtful = durable(known.groupBy(name("id").alias("__key")).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("__key"))
     family = connected_components(_candidates(marked, similarity))
-    members = durable(family.join(marked.select("node", "size", "id"), "node").select("node", F.col("component").alias("family"), "size", F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("key")))
+    members = durable(family.join(marked.select("node", "size", "id"), "node").select("node", F.col("component").alias("family"), "size", name("id").alias("key")))
     release(docs.sparkSession)
     blocks = members.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
     dealt = members.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -225,9 +229,15 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: s
     links = held.select("node", F.coalesce("text", F.lit("")).alias("text"), "family", "p.i", "p.j").groupBy("family", "i", "j").applyInArrow(search, "u binary, v binary")
     found = connected_components(links)
     release(docs.sparkSession)
-    # the least id of a class stays; ids that only name another set of their class go
     classed = marked.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
-    chosen = classed.groupBy("component").agg(F.min("id").alias("id"))
-    ids = chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("null")).alias("__key")).distinct()
-    # one exchange of the texts: the join and the choice among repeated ids share its key
-    return docs.withColumn("__key", key).join(ids, "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    least = classed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("c")).select("c.*")
+    chosen = durable(least.select(name("id").alias("__key"), F.col("node").alias("__node")))
+    # one exchange of the texts: the join and the choice among repeated rows share its key
+    held = docs.withColumn("__key", key)
+    kept = held.join(chosen.select("__key").join(doubtful, "__key", "left_anti"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    n_doubtful = doubtful.count()
+    if not n_doubtful:
+        return kept
+    some = held.join(F.broadcast(doubtful) if n_doubtful <= BROADCAST_MEMBERS else doubtful, "__key", "left_semi")
+    told = map_text(some, text_col, some.columns, fields[:1], lambda t: [signatures(t, width)[0]])
+    return kept.unionByName(told.join(chosen, ["__key", "__node"], "left_semi").dropDuplicates(["__key", "__node"]).select(*docs.columns))

@@ -249,6 +249,14 @@ def test_keep_one_at_a_similarity(spark, monkeypatch, short, block):
     assert {r.doc_id for r in simhash_dedup.keep_one(docs(spark, texts)).collect()} == want
 
 
+def test_keep_one_of_ids_on_several_texts(spark):
+    texts = ["one text of its own", "a second text that differs", "one text of its own", "third words here", "no id at all", "nor has this one", "no id at all", "nor has this one"]
+    d = docs(spark, texts)
+    same = F.when(F.col("doc_id") < 2, 7).when(F.col("doc_id") < 4, F.col("doc_id")).cast("long")
+    got = simhash_dedup.keep_one(d.withColumn("doc_id", same)).collect()
+    assert sorted((r.doc_id or -1, r.text) for r in got) == [(-1, texts[4]), (-1, texts[5]), (2, texts[0]), (3, texts[3]), (7, texts[1])]
+
+
 def test_keep_one_of_no_rows(spark):
     none = docs(spark, ["a"]).where("false")
     assert simhash_dedup.keep_one(none).count() == 0
