@@ -63,9 +63,24 @@ def padded(c: Column) -> Column:
     return F.concat(F.lit(" "), c, F.lit(" "))
 
 
+def fold_term(term: str) -> str:
+    """A term as ``fold_search`` would leave it."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", term) if not 0x300 <= ord(c) <= 0x36F).lower()
+    return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in plain).split())
+
+
+def unique_terms(terms) -> list[str]:
+    """The first term of each folded form; terms that fold to nothing are left out."""
+    out: dict[str, str] = {}
+    for t in terms:
+        if k := fold_term(t):
+            out.setdefault(k, t)
+    return list(out.values())
+
+
 def contains_term(folded: Column, term: str) -> Column:
     """Whole-token containment in text folded by ``fold_search``; a blank term matches nothing."""
-    term = " ".join(term.lower().split())
+    term = fold_term(term)
     return padded(folded).contains(f" {term} ") if term else F.lit(False)
 
 
@@ -88,7 +103,8 @@ def raw_contains(c: Column, key: str, pad: bool = True) -> Column:
 
 def ordered_context(folded: Column, leads, actions) -> Column:
     """Some lead term and, later, some action term."""
-    return padded(folded).rlike(f" (?:{'|'.join(leads)}) (?:.* )?(?:{'|'.join(actions)}) ")
+    lead, action = ["|".join(filter(None, map(fold_term, terms))) for terms in (leads, actions)]
+    return padded(folded).rlike(f" (?:{lead}) (?:.* )?(?:{action}) ") if lead and action else F.lit(False)
 
 
 def matched_terms(folded: Column, terms, match=contains_term) -> Column:

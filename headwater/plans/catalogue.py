@@ -20,13 +20,20 @@ _SQL: dict[str, str] = {}
 
 RULES = RuleSet(
     (
-        Trigger("ALPHA", "direct", phrases=("of the", "in the"), positive=("the",), actions=("ARCHIVE", "VERIFY_TIMING", "CONTACT_OFFICIAL_CHANNEL")),
-        Trigger("BETA", "indirect", phrases=("und die",), positive=("und", "der"), negative=("nicht",), actions=("VERIFY_SOURCE", "IDENTIFY_ORGANIZATION")),
-        Trigger("GAMMA", "historical", phrases=("de la",), positive=("que", "la"), required_any=("que", "les"), actions=("ARCHIVE",)),
+        Trigger("ALPHA", "direct", phrases=("of the", "in the"), positive=("the",), actions=("ADD_TO_WATCHLIST", "VERIFY_TIMING", "PREPARE_FOR_HUMAN_QUALIFICATION")),
+        Trigger("BETA", "indirect", phrases=("und die",), positive=("und", "der"), negative=("nicht",), actions=("VERIFY_PRODUCT_NEED", "VERIFY_ORGANIZATION")),
+        Trigger("GAMMA", "historical", phrases=("de la",), positive=("que", "la"), required_any=("que", "les"), actions=("ADD_TO_WATCHLIST",)),
     ),
     ("direct", "historical", "indirect"),
     future=("with", "para"),
     completed=("was", "fue"),
+    invitation_leads=("for",),
+    invitation_actions=("to",),
+    completed_actors=("by",),
+    completed_actions=("from",),
+    completed_passive=("werden",),
+    completed_quantity=("mit",),
+    editorial=("sich",),
 )
 _FOLD = "trim(regexp_replace(lower(strip_accents(replace(replace(replace(text, '&amp;', '&'), '&quot;', '\"'), '&#39;', ''''))), '[^a-z0-9]+', ' ', 'g'))"
 _DOCS = f"d AS (SELECT *, {_FOLD} AS t FROM documents)"
@@ -195,9 +202,12 @@ def primary_rule(spark, sf):
     return _detected(spark, sf).where(F.size("found") > 0).select("doc_id", primary(F.col("found"), RULES).alias("p")).select("doc_id", "p.code", "p.trigger_class", "p.strength")
 
 
-@query(
-    f"WITH {_DETECT} SELECT doc_id, CASE WHEN trigger_class = 'historical' THEN 'HISTORICAL' WHEN {_has('with')} OR {_has('para')} THEN 'FUTURE' WHEN {_has('was')} OR {_has('fue')} THEN 'COMPLETED' ELSE 'CURRENT_OR_UNCLEAR' END AS timing FROM p WHERE n = 1"
-)
+_TIMING = f"""CASE WHEN trigger_class = 'historical' THEN 'HISTORICAL_REFERENCE' WHEN {_has('sich')} AND trigger_class <> 'direct' THEN 'INFORMATIONAL_OR_EDITORIAL'
+WHEN {_has('with')} OR {_has('para')} OR regexp_matches(' ' || t || ' ', ' for (?:.* )?to ') THEN 'FUTURE_OR_OPEN'
+WHEN {_has('was')} OR {_has('fue')} OR regexp_matches(' ' || t || ' ', ' by (?:.* )?from ') OR ({_has('werden')} AND {_has('mit')} AND {_has('by')}) THEN 'COMPLETED_OR_PAST' ELSE 'CURRENT_OR_UNCLEAR' END"""
+
+
+@query(f"WITH {_DETECT} SELECT doc_id, {_TIMING} AS timing FROM p WHERE n = 1")
 def rule_timing(spark, sf):
     p = _detected(spark, sf).where(F.size("found") > 0).withColumn("p", primary(F.col("found"), RULES))
     none = F.lit(None).cast("date")
@@ -206,24 +216,26 @@ def rule_timing(spark, sf):
 
 @query(
     """WITH e AS (SELECT event_id, event_type, date_diff('day', CAST(ts AS DATE), DATE '2024-01-20') AS age FROM events)
-SELECT event_id, CASE WHEN event_type = 'error' THEN 'HISTORICAL' WHEN age < 0 THEN 'FUTURE' WHEN event_type = 'signup' AND age <= 5 THEN 'FUTURE' WHEN age > 10 THEN 'COMPLETED' ELSE 'CURRENT_OR_UNCLEAR' END AS state FROM e"""
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'HISTORICAL_REFERENCE' WHEN event_type = 'purchase' THEN CASE WHEN age < 0 THEN 'FUTURE_OR_OPEN' WHEN age > 0 THEN 'COMPLETED_OR_PAST' ELSE 'CURRENT_OR_UNCLEAR' END
+WHEN event_type = 'signup' AND age <= 5 THEN 'FUTURE_OR_OPEN' WHEN event_type = 'signup' THEN 'CURRENT_OR_UNCLEAR' WHEN event_type = 'view' THEN 'COMPLETED_OR_PAST' ELSE 'CURRENT_OR_UNCLEAR' END AS state FROM e"""
 )
 def timing_state(spark, sf):
-    ref = F.lit("2024-01-20").cast("date")
-    age = F.datediff(ref, F.to_date("ts"))
-    state = (
-        F.when(F.col("event_type") == "error", "HISTORICAL").when(age < 0, "FUTURE").when((F.col("event_type") == "signup") & ~dates.is_stale(F.col("ts"), ref, 5), "FUTURE").when(age > 10, "COMPLETED")
-    )
-    return _t(spark, sf, "events").select("event_id", state.otherwise("CURRENT_OR_UNCLEAR").alias("state"))
+    rules = RuleSet((), future=("signup",), completed=("view",), stale_days=5)
+    kind = F.struct(F.when(F.col("event_type") == "error", "historical").otherwise("indirect").alias("trigger_class"))
+    held = F.when(F.col("event_type") == "purchase", F.to_date("ts"))
+    return _t(spark, sf, "events").select("event_id", timing(kind, held, F.col("ts"), F.lit("2024-01-20").cast("date"), F.col("event_type"), rules).alias("state"))
 
 
 @query(
-    "SELECT event_id, CASE WHEN event_type = 'error' THEN 'ARCHIVE' WHEN event_type = 'signup' AND value IS NOT NULL THEN 'CONTACT_OFFICIAL_CHANNEL' WHEN event_type = 'view' THEN 'VERIFY_TIMING' ELSE 'ARCHIVE' END AS action FROM events"
+    """SELECT event_id, CASE WHEN event_type = 'signup' AND value IS NULL THEN 'VERIFY_ORGANIZATION' WHEN event_type = 'signup' AND user_id % 2 = 0 THEN 'VERIFY_PRODUCT_NEED' WHEN event_type = 'signup' THEN 'PREPARE_FOR_HUMAN_QUALIFICATION'
+WHEN event_type = 'view' THEN 'VERIFY_TRIGGER' WHEN event_type = 'error' THEN 'ADD_TO_WATCHLIST' WHEN event_type = 'click' THEN 'VERIFY_TRIGGER' ELSE 'OPEN_OFFICIAL_SOURCE' END AS action FROM events"""
 )
 def suggested_action_query(spark, sf):
-    state = F.when(F.col("event_type") == "error", "HISTORICAL").when(F.col("event_type") == "signup", "FUTURE").when(F.col("event_type") == "view", "CURRENT_OR_UNCLEAR").otherwise("NONE")
-    allowed = F.array(*map(F.lit, ("ARCHIVE", "CONTACT_OFFICIAL_CHANNEL", "VERIFY_TIMING")))
-    return _t(spark, sf, "events").select("event_id", suggested_action(state, F.lit("direct"), F.lit("STRONG"), F.col("value").cast("string"), allowed).alias("action"))
+    kind, even = F.col("event_type"), F.col("user_id") % 2 == 0
+    state = F.when(kind == "signup", "FUTURE_OR_OPEN").when(kind == "view", "CURRENT_OR_UNCLEAR").when(kind == "error", "COMPLETED_OR_PAST").otherwise("NONE")
+    allowed = F.array(*map(F.lit, ("OPEN_OFFICIAL_SOURCE", "VERIFY_ORGANIZATION", "VERIFY_PRODUCT_NEED", "PREPARE_FOR_HUMAN_QUALIFICATION", "VERIFY_TRIGGER", "ADD_TO_WATCHLIST")))
+    found = suggested_action(state, F.when(even, "indirect").otherwise("direct"), F.when(kind == "click", "WEAK").otherwise("STRONG"), F.col("value").cast("string"), allowed)
+    return _t(spark, sf, "events").select("event_id", found.alias("action"))
 
 
 _QUERIES["suggested_action"], _SQL["suggested_action"] = _QUERIES.pop("suggested_action_query"), _SQL.pop("suggested_action_query")

@@ -67,24 +67,81 @@ def test_times(spark):
         assert one(spark, dates.names_future_date(F.col("a"), day("2026-07-12")), a=title) == want, title
 
 
+def rule_file(**changes):
+    entry = lambda code, kind, **k: {"code": code, "label": code, "description": code, "trigger_class": kind, "positive_terms": [], "phrase_terms": [], "negative_terms": [], "product_hypotheses": [], "allowed_actions": ["VERIFY_TRIGGER"]} | k
+    raw = {
+        "version": "1", "future_signal_max_published_age_days": 60, "class_precedence": ["direct", "historical", "indirect"],
+        "strength_precedence": ["STRONG", "MODERATE", "WEAK"], "timing_statuses": list(rules.TIMING), "allowed_actions": ["VERIFY_TRIGGER", "VERIFY_TIMING", "VERIFY_ORGANIZATION"],
+        "timing_rules": {
+            "future_or_open_phrases": ["sign-up open"], "invitation_lead_terms": ["come"], "invitation_action_terms": ["join"], "completed_or_past_phrases": ["has been held"],
+            "completed_actor_terms": ["runners"], "completed_action_terms": ["enliven"], "completed_passive_terms": ["attended"], "completed_quantity_terms": ["thousands"], "ambiguous_verbs": ["hold"],
+        },
+        "editorial_rules": {"terms": ["tips"], "suppressed_trigger_codes": ["OPEN"]},
+        "primary_trigger_rules": {"active_direct_terms": ["plans"], "historical_dominant_terms": ["audit"]},
+        "triggers": [
+            entry("OPEN", "indirect", positive_terms=["opens", "Hall", "hall"], negative_terms=["closed"]),
+            entry("HISTORICAL_PROCUREMENT_PATTERN", "historical", phrase_terms=["court case"]),
+            entry("DIRECT_PROCUREMENT", "direct", phrase_terms=["will buy"], context_required_terms=["will buy"], context_terms=["uniforms"]),
+            entry("NEWS", "indirect", positive_terms=["zone"], origin_scope=["official_source_pilot"]),
+        ],
+    }
+    return raw | changes
+
+
+def test_rule_file():
+    assert rules.validate(rule_file()) == []
+    bad = rule_file(version=" ", class_precedence=["direct"], future_signal_max_published_age_days=True, allowed_actions=["SEND_EMAIL"], editorial_rules={"terms": [""], "suppressed_trigger_codes": ["NONE"]})
+    bad["triggers"] = [*bad["triggers"], {"code": "OPEN", "trigger_class": "odd"}, 3]
+    found = rules.validate(bad)
+    for part in ("version", "class_precedence", "future_signal", "SEND_EMAIL is forbidden", "editorial_rules.terms", "NONE is no trigger", "OPEN: stands twice", "trigger_class", "triggers[5]"):
+        assert any(part in e for e in found), part
+    assert rules.validate([]) and rules.validate({})
+    with pytest.raises(ValueError, match="version"):
+        rules.load(bad)
+
+
 def test_rules(spark):
-    raw = {"triggers": [{"code": "A", "trigger_class": "direct", "phrases": ["buy now"]}, {"code": "A", "trigger_class": "odd", "positive": [" "]}], "class_precedence": ["direct"]}
-    assert len(rules.validate(raw)) == 4
-    good = rules.load(
-        {
-            "triggers": [
-                {"code": "OPEN", "trigger_class": "indirect", "positive": ["opens", "hall"], "negative": ["closed"]},
-                {"code": "CASE", "trigger_class": "historical", "phrases": ["court case"]},
-                {"code": "BUY", "trigger_class": "direct", "phrases": ["will buy"], "context_required": ["will buy"], "context": ["uniforms"]},
-            ],
-            "class_precedence": ["direct", "historical", "indirect"],
-        }
-    )
-    found = lambda t: {d.code: d.strength for d in one(spark, rules.detect_all(F.col("a"), good), a=t)}
-    assert found("hall opens") == {"OPEN": "MODERATE"} and found("hall opens closed") == {}
-    assert found("will buy cars") == {} and found("will buy uniforms court case") == {"BUY": "STRONG", "CASE": "STRONG"}
-    assert one(spark, rules.primary(rules.detect_all(F.col("a"), good), good), a="court case hall opens").code == "CASE"
-    assert one(spark, rules.extract_name(F.col("a"), [r"PT ([A-Z]\w+(?: \w+)*)"], ["akan"]), a="PT Maju Jaya akan buka") == "Maju Jaya"
+    good = rules.load(rule_file())
+    c = F.col("a")
+    found = lambda t, **k: {d.code: d.strength for d in one(spark, rules.detect_all(c, good, **k), a=t)}
+    assert found("hall opens") == {"OPEN": "MODERATE"} and found("hall opens closed") == {} and found("hall") == {"OPEN": "WEAK"}
+    assert found("will buy cars") == {} and found("will buy uniforms court case") == {"DIRECT_PROCUREMENT": "STRONG", "HISTORICAL_PROCUREMENT_PATTERN": "STRONG"}
+    assert found("will buy uniforms", traceable=F.lit(False)) == {"DIRECT_PROCUREMENT": "MODERATE"}
+    assert found("zone", origin=F.lit("tender_corpus")) == {} and found("zone", origin=F.lit("official_source_pilot")) == {"NEWS": "WEAK"}
+    assert found("tips hall opens") == {} and found("") == {}
+    assert one(spark, rules.editorial_suppressed(c, good), a="tips hall opens closed") and not one(spark, rules.editorial_suppressed(c, good), a="tips only")
+    main = lambda t: one(spark, rules.primary(rules.detect_all(c, good), good, c), a=t).code
+    assert main("court case hall opens") == "HISTORICAL_PROCUREMENT_PATTERN" and main("will buy uniforms court case") == "DIRECT_PROCUREMENT"
+    assert main("audit will buy uniforms court case") == "HISTORICAL_PROCUREMENT_PATTERN" and main("plans audit will buy uniforms court case") == "DIRECT_PROCUREMENT"
+    two = {d.code: d.strength for d in one(spark, rules.detect_all([c, F.col("b")], good), a="hall", b="opens")}
+    assert two == {"OPEN": "MODERATE"}
+    assert one(spark, rules.extract_name(c, [r"PT ([A-Z]\w+(?: \w+)*)"], ["akan"]), a="PT Maju Jaya akan buka") == "Maju Jaya"
+
+
+@pytest.mark.parametrize(
+    ("title", "kind", "event", "published", "state"),
+    [
+        ("sign up open", "historical", None, None, "HISTORICAL_REFERENCE"),
+        ("tips sign up open", "indirect", None, None, "INFORMATIONAL_OR_EDITORIAL"),
+        ("tips sign up open", "direct", None, None, "FUTURE_OR_OPEN"),
+        ("sign up open", "indirect", "2026-07-11", None, "COMPLETED_OR_PAST"),
+        ("has been held", "indirect", "2026-07-12", None, "CURRENT_OR_UNCLEAR"),
+        ("has been held", "indirect", "2026-07-13", None, "FUTURE_OR_OPEN"),
+        ("sign up open", "indirect", None, "2026-05-13", "FUTURE_OR_OPEN"),
+        ("sign up open", "indirect", None, "2026-05-12", "CURRENT_OR_UNCLEAR"),
+        ("sign up open 2027", "indirect", None, "2026-05-12", "FUTURE_OR_OPEN"),
+        ("come all of you and join", "indirect", None, None, "FUTURE_OR_OPEN"),
+        ("join and come", "indirect", None, None, "CURRENT_OR_UNCLEAR"),
+        ("runners enliven", "indirect", None, None, "COMPLETED_OR_PAST"),
+        ("attended by thousands of runners", "indirect", None, None, "COMPLETED_OR_PAST"),
+        ("attended by thousands", "indirect", None, None, "CURRENT_OR_UNCLEAR"),
+        ("they hold", "indirect", None, None, "CURRENT_OR_UNCLEAR"),
+    ],
+)
+def test_timing(spark, title, kind, event, published, state):
+    good, day = rules.load(rule_file()), lambda x: F.lit(x).cast("date")
+    found = rules.timing(F.struct(F.lit(kind).alias("trigger_class")), day(event), day(published), day("2026-07-12"), F.col("a"), good, dates.names_future_date(F.col("a"), day("2026-07-12")))
+    assert one(spark, found, a=title) == state
 
 
 def test_greedy_against_loop(spark):
