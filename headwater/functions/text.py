@@ -133,10 +133,11 @@ def field_excerpt(value: Column, term: str) -> Column:
     return window_excerpt(value, F.locate(term.lower(), F.lower(value)), 300, 100)
 
 
-def matched_evidence(fields: dict[str, Column], terms) -> Column:
-    """Structs (term, field, excerpt), term by term and then field by field."""
+def matched_evidence(fields: dict[str, Column], terms, folded: dict[str, Column] | None = None) -> Column:
+    """Structs (term, field, excerpt), term by term and then field by field; ``folded`` gives the fields folded before."""
+    of = folded or {n: fold_search(c) for n, c in fields.items()}
     hits = [
-        F.when(contains_term(fold_search(c), t), F.struct(F.lit(t).alias("term"), F.lit(n).alias("field"), field_excerpt(c, t).alias("excerpt"))) for t in terms for n, c in fields.items()
+        F.when(contains_term(of[n], t), F.struct(F.lit(t).alias("term"), F.lit(n).alias("field"), field_excerpt(c, t).alias("excerpt"))) for t in terms for n, c in fields.items()
     ]
     return F.array_compact(F.array(*hits))
 

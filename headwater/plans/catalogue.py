@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
-from headwater.operators import dedup, diff, feedback, items, official, quality
+from headwater.operators import dedup, diff, feedback, items, official, quality, signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -249,6 +249,38 @@ def rule_summary(spark, sf):
     return quality.summary_sets(p, "class", "strength", "code")
 
 
+def _signals(spark, sf) -> DataFrame:
+    d = _t(spark, sf, "documents")
+    rows = d.select(
+        F.col("doc_id").alias("id"), F.lit("event").alias("type"), F.col("text").alias("title"), "source", F.concat(F.lit("https://h.example/"), "doc_id").alias("link"),
+        F.lit("2026-07-01").alias("date"), F.col("lang").alias("organization"), F.lit("").alias("event_date"), F.lit("").alias("published"),
+    )
+    return signals.build_signals(rows, RULES, F.lit("2026-07-12").cast("date"))
+
+
+_ACTION = "CASE WHEN code = 'BETA' THEN 'VERIFY_PRODUCT_NEED' WHEN code = 'GAMMA' THEN 'ADD_TO_WATCHLIST' WHEN timing = 'FUTURE_OR_OPEN' THEN 'PREPARE_FOR_HUMAN_QUALIFICATION' WHEN timing = 'CURRENT_OR_UNCLEAR' THEN 'VERIFY_TIMING' ELSE 'ADD_TO_WATCHLIST' END"
+
+
+@query(f"WITH {_DETECT}, s AS (SELECT *, {_TIMING} AS timing FROM p WHERE n = 1), c AS (SELECT doc_id, count(*) AS n_triggers FROM f GROUP BY doc_id) SELECT doc_id, code, timing, {_ACTION} AS action, n_triggers FROM s JOIN c USING (doc_id)")
+def build_signals(spark, sf):
+    s = _signals(spark, sf)
+    return s.select(F.col("id").alias("doc_id"), F.col("primary_trigger").alias("code"), F.col("timing_status").alias("timing"), F.col("suggested_next_action").alias("action"), F.size("triggers").cast("long").alias("n_triggers"))
+
+
+_STATES = "('FUTURE_OR_OPEN'), ('CURRENT_OR_UNCLEAR'), ('COMPLETED_OR_PAST'), ('HISTORICAL_REFERENCE'), ('INFORMATIONAL_OR_EDITORIAL')"
+
+
+@query(
+    f"""WITH {_DETECT}, s AS (SELECT *, {_TIMING} AS timing FROM p WHERE n = 1),
+u AS (SELECT 'code' AS dim, code AS value FROM f UNION ALL SELECT 'class', trigger_class FROM s UNION ALL SELECT 'strength', strength FROM s UNION ALL SELECT 'timing', timing FROM s),
+g AS (SELECT dim, value, count(*) AS n FROM u GROUP BY ALL), o(data_origin) AS (VALUES ('all'), ('tender_corpus'), ('event_corpus'), ('official_source_pilot')),
+v AS (SELECT 'code' AS dim, unnest(['ALPHA', 'BETA', 'GAMMA']) AS value UNION ALL SELECT 'class', unnest(['direct', 'historical', 'indirect']) UNION ALL SELECT 'strength', unnest(['STRONG', 'MODERATE', 'WEAK']) UNION ALL SELECT 'timing', s FROM (VALUES {_STATES}) t(s))
+SELECT data_origin, dim, value, CAST(CASE WHEN data_origin IN ('all', 'event_corpus') THEN coalesce(n, 0) ELSE 0 END AS BIGINT) AS n FROM o CROSS JOIN v LEFT JOIN g USING (dim, value)"""
+)
+def trigger_summary(spark, sf):
+    return signals.trigger_summary(_signals(spark, sf), RULES)
+
+
 # --- HTML, URLs and ids
 
 _CLEAN = "trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b[^>]*>.*?</(script|style)\\s*>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g'))"
@@ -300,6 +332,19 @@ def url_normalize(spark, sf):
     return _t(spark, sf, "pages").select("page_id", html.normalize_url(F.col("url")).alias("url"))
 
 
+@query(
+    f"""WITH {_URL}, k AS (SELECT url, min(page_id) AS item_id FROM n GROUP BY url), x AS (SELECT url, min(page_id) AS item_id FROM pages GROUP BY url)
+SELECT p.page_id AS id, CAST(CASE WHEN p.page_id % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS tier, CASE WHEN p.page_id % 2 = 0 THEN x.item_id ELSE k.item_id END AS item_id
+FROM pages p JOIN n USING (page_id) JOIN k ON k.url = n.url JOIN x ON x.url = p.url"""
+)
+def match_official(spark, sf):
+    page = lambda link, kind: _t(spark, sf, "pages").select(F.col("page_id").alias("id"), F.lit(kind).alias("type"), F.lit("").alias("title"), F.lit("feed").alias("source"), link.alias("link"), F.lit(None).cast("string").alias("published"))
+    # Every second address is altered by a parameter that normalization drops.
+    bare = F.regexp_replace("url", "#.*$", "")
+    altered = F.concat(bare, F.when(bare.contains("?"), "&utm_source=new").otherwise("?utm_source=new"))
+    return signals.match_official(page(F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(altered), "official"), page(F.col("url"), "tender"))
+
+
 @query("SELECT page_id, starts_with(url, 'https://') AND lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) IN ('example.com', 'site1.example') AS allowed FROM pages")
 def url_allowlist(spark, sf):
     return _t(spark, sf, "pages").select("page_id", html.is_allowed_url(F.col("url"), ["example.com", "site1.example"]).alias("allowed"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.functions import dates, guards, html, ids, robots, rules, text
-from headwater.operators import dedup, diff, feedback, items, official, quality
+from headwater.operators import dedup, diff, feedback, items, official, quality, signals
 from headwater.sources import readers, sinks
 
 
@@ -298,3 +298,43 @@ def test_sources_and_outputs(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q", b')], "k long, v string")
     assert spark.read.option("header", True).option("escape", '"').csv(sinks.export_rows(df, f"{tmp_path}/c")).first().v == 'a "q", b'
     assert spark.read.json(sinks.export_rows(df, f"{tmp_path}/j", "json")).first().k == 1
+
+
+ITEM = "id string, type string, title string, source string, link string, date string, organization string, event_date string, published string, excerpt string"
+
+
+def test_signals(spark):
+    good = rules.load(rule_file())
+    rows = [
+        ("a", "tender", "Court case: Hall opens", "S", "https://h.example/a", "2026-07-01", "Org", "", "2026-07-01", None),
+        ("b", "official", "News", "S", "https://h.example/b", "2026-07-01", "", "", "", "A zone, sign-up open"),
+        ("c", "tender", "zone", "S", "x", "", None, "", "", "zone"),
+        ("d", "event", None, None, None, None, None, None, None, None),
+        ("e", "event", "tips: hall opens", "S", "https://h.example/e", "2026-07-01", "", "", "", None),
+    ]
+    df = spark.createDataFrame(rows, ITEM)
+    got = {r.id: r for r in signals.build_signals(df, good, F.lit("2026-07-12").cast("date")).collect()}
+    assert set(got) == {"a", "b"}
+    a, b = got["a"], got["b"]
+    assert (a.primary_trigger, a.timing_status, [t.trigger_code for t in a.triggers]) == ("HISTORICAL_PROCUREMENT_PATTERN", "HISTORICAL_REFERENCE", ["OPEN", "HISTORICAL_PROCUREMENT_PATTERN"])
+    assert a.triggers[0].matched_terms == ["opens", "Hall"] and a.triggers[1].evidence_strength == "STRONG" and a.suggested_next_action == "VERIFY_TRIGGER"
+    assert (b.timing_status, b.data_origin, b.triggers[0].evidence_excerpt) == ("FUTURE_OR_OPEN", "official_source_pilot", "A zone, sign-up open")
+    assert [(e.term, e.field) for e in b.triggers[0].matched_evidence] == [("zone", "excerpt")]
+    assert {r.id for r in signals.with_detections(df, good).where("editorial_suppressed").collect()} == {"e"}
+    found = signals.build_signals(df, good, F.lit("2026-07-12").cast("date"))
+    n = {(r.data_origin, r.dim, r.value): r.n for r in signals.trigger_summary(found, good).collect()}
+    assert (n["all", "class", "historical"], n["all", "code", "OPEN"], n["tender_corpus", "class", "indirect"], n["event_corpus", "timing", "FUTURE_OR_OPEN"]) == (1, 1, 0, 0)
+    assert [r.id for r in signals.dashboard_order(found).collect()] == ["b", "a"]
+    assert signals.build_signals(df.limit(0), good, F.lit("2026-07-12").cast("date")).count() == 0
+
+
+def test_match_official(spark):
+    item = lambda i, title, link, day: (i, "tender", title, "S", link, day, "", "", day, None)
+    feed = spark.createDataFrame([item("p2", "B", "https://h.example/x", "2026-07-01"), item("p1", "A", "https://h.example/x?utm_source=q", "2026-07-01"), item("p3", "Same Title", "https://o.example/1", "2026-07-02T08:00:00Z")], ITEM)
+    rows = [item("o1", "z", "https://h.example/x", ""), item("o2", "z", "https://h.example/x#f", ""), item("o3", "same  title!", "https://n.example/", "2026-07-02"), item("o4", "same title 2", "", "2026-07-02"), item("o5", "same title", None, None)]
+    own = spark.createDataFrame(rows, ITEM)
+    m = signals.match_official(own, feed)
+    assert {r.id: (r.tier, r.item_id) for r in m.collect()} == {"o1": (1, "p2"), "o2": (2, "p1"), "o3": (3, "p3")}
+    assert {r.id for r in signals.suppress_matched(own, m).collect()} == {"o4", "o5"}
+    held = {r.id: [p.official_id for p in r.official_provenance] for r in signals.attach_provenance(feed, m, own, ["link"]).collect()}
+    assert held == {"p1": ["o2"], "p2": ["o1"], "p3": ["o3"]}
