@@ -69,6 +69,11 @@ def fold_term(term: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in plain).split())
 
 
+def fold_term_loose(term: str) -> str:
+    """A term as ``fold_loose`` would leave it."""
+    return " ".join("".join(c for c in unicodedata.normalize("NFKD", term) if not 0x300 <= ord(c) <= 0x36F).lower().split())
+
+
 def unique_terms(terms) -> list[str]:
     """The first term of each folded form; terms that fold to nothing are left out."""
     out: dict[str, str] = {}
@@ -92,7 +97,7 @@ def boundary_term(loose: Column, term: str) -> Column:
     """Unicode word-boundary match in text folded by ``fold_loose``; punctuation within the term counts."""
     import re
 
-    return loose.rlike(rf"(^|[^\p{{L}}\p{{N}}]){re.escape(term)}([^\p{{L}}\p{{N}}]|$)")
+    return loose.rlike(rf"(^|[^\p{{L}}\p{{N}}]){re.escape(fold_term_loose(term))}([^\p{{L}}\p{{N}}]|$)")
 
 
 def raw_contains(c: Column, key: str, pad: bool = True) -> Column:

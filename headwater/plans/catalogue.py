@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
-from headwater.operators import dedup, diff, feedback, items, official, quality, signals
+from headwater.operators import dedup, diff, feedback, items, official, quality, review, signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -487,6 +487,77 @@ def field_usage_pivot(spark, sf):
     return d.groupBy("lang").agg(*[F.count_if(F.col("state") == s).alias(s.lower()) for s in ("READY", "NEEDS_REVIEW", "NOT_READY")])
 
 
+_NAME = "trim(regexp_replace(lower(p_name), '\\s+', ' ', 'g'))"
+_KEY = f"trim(regexp_replace({_NAME}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+
+
+@query(
+    f"""WITH k AS (SELECT *, {_NAME} AS t, CASE WHEN length({_KEY}) >= 12 THEN {_KEY} END AS k FROM part), d AS (SELECT *, k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 AS dup FROM k),
+c AS (SELECT p_partkey, list_filter([CASE WHEN len(string_split(t, ' ')) = 1 AND length(t) < 10 OR len(string_split(t, ' ')) = 2 AND length(t) <= 8 THEN 'TITLE_TOO_SHORT' END, CASE WHEN p_partkey % 5 = 0 THEN 'MISSING_SOURCE' END,
+CASE WHEN p_partkey % 7 = 0 THEN 'MISSING_LINK' END, CASE WHEN dup THEN 'DUPLICATE_NORMALIZED_TITLE' END, CASE WHEN p_partkey % 2 = 1 AND NOT contains(t, lower(p_type)) THEN 'SUSPECTED_ORGANIZATION_EXTRACTION' END,
+CASE WHEN p_partkey % 11 = 0 THEN 'SUSPECTED_LOCATION_EXTRACTION' END, CASE WHEN p_partkey % 3 = 0 THEN 'OLD_ITEM' END, CASE WHEN p_partkey % 3 = 1 THEN 'INVALID_DATE' END,
+CASE WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 THEN 'INCOMPLETE_CORE_FIELDS' END], lambda x: x IS NOT NULL) AS codes FROM d)
+SELECT p_partkey, array_to_string(codes, ',') AS codes, CASE WHEN list_contains(codes, 'MISSING_SOURCE') AND list_contains(codes, 'MISSING_LINK') THEN 'high'
+WHEN list_has_any(codes, ['TITLE_TOO_SHORT', 'DUPLICATE_NORMALIZED_TITLE', 'SUSPECTED_ORGANIZATION_EXTRACTION', 'SUSPECTED_LOCATION_EXTRACTION']) THEN 'medium' ELSE 'low' END AS severity FROM c"""
+)
+def review_issues(spark, sf):
+    n = F.col("p_partkey")
+    rows = _t(spark, sf, "part").select(
+        n.alias("id"), F.lit("tender").alias("type"), F.col("p_name").alias("title"), F.when(n % 5 != 0, F.col("p_brand")).alias("source"), F.when(n % 7 != 0, F.lit("https://h.example/")).alias("link"),
+        F.when(n % 3 == 0, "2020-01-01").when(n % 3 == 1, "soon").alias("date"), F.when(n % 2 == 1, F.col("p_type")).alias("organization"), F.when(n % 11 == 0, "Hall 7").alias("location"),
+    )
+    out = review.review_items(rows, F.to_timestamp(F.lit("2026-07-12 00:00:00")))
+    return out.select(F.col("id").alias("p_partkey"), F.array_join("issue_codes", ",").alias("codes"), "severity")
+
+
+READY_RULES = {
+    "product_relevance_terms": {"a": ["the", "und"]}, "indirect_product_fit_terms": {"b": ["que"]}, "need_evidence_terms": {"c": ["of", "die"], "d": ["la"]}, "counter_signal_terms": ["nicht"],
+    "generic_organization_terms": ["fr"], "organization_artifact_terms": ["x"], "expired_threshold_days": 1095,
+    "next_action_map": {
+        "READY_FOR_HUMAN_QUALIFICATION": "PREPARE_FOR_HUMAN_QUALIFICATION", "NEEDS_MORE_INFORMATION": "VERIFY_SOURCE", "NEEDS_DATA_REVIEW": "REVIEW_DATA_QUALITY", "EXPIRED_OR_HISTORICAL": "VERIFY_TIMING",
+        "LOW_PRODUCT_RELEVANCE": "ADD_TO_WATCHLIST", "ORGANIZATION_UNCLEAR": "VERIFY_ORGANIZATION", "PRODUCT_NEED_UNCONFIRMED": "VERIFY_PRODUCT_NEED", "DATE_UNKNOWN": "VERIFY_TIMING",
+    },
+}
+
+
+def _readiness(spark, sf) -> DataFrame:
+    n = F.col("doc_id")
+    low = _t(spark, sf, "labels").where("quality = 0").select("doc_id", F.lit("high").alias("severity")).distinct()
+    rows = _t(spark, sf, "documents").join(low, "doc_id", "left").select(
+        n.alias("id"), F.col("text").alias("title"), "source", F.lit("https://h.example/").alias("link"), F.when(n % 4 == 0, "2026-07-01").when(n % 4 == 1, "2020-07-01").when(n % 4 == 2, "soon").alias("date"),
+        F.col("lang").alias("organization"), "severity",
+    )
+    return review.readiness(rows, READY_RULES, F.to_timestamp(F.lit("2026-07-12 00:00:00")))
+
+
+_word = lambda *terms: f"regexp_matches(s, '(^|[^\\p{{L}}\\p{{N}}])({'|'.join(terms)})([^\\p{{L}}\\p{{N}}]|$)')"
+_READINESS = f"""q AS (SELECT doc_id, text, lang, lower(strip_accents(text)) AS s, trim(regexp_replace(lower(strip_accents(text)), '\\s+', ' ', 'g')) AS t, doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) AS bad FROM documents),
+h AS (SELECT doc_id, bad, lang <> 'fr' AS org, NOT (length(t) < 10 OR (len(string_split(t, ' ')) < 2 AND length(t) < 16) OR regexp_matches(text, '\\S{{91}}') OR (length(trim(text)) > 80 AND NOT regexp_matches(trim(text), '\\s'))) AS title,
+({_word('of', 'die', 'la')} AND NOT {_word('nicht')}) AS need, CASE WHEN {_word('the', 'und')} THEN 'pass' WHEN {_word('que')} THEN 'unknown' ELSE 'fail' END AS fit, doc_id % 4 AS k FROM q),
+z AS (SELECT *, CASE WHEN bad THEN 'NEEDS_DATA_REVIEW' WHEN k = 1 THEN 'EXPIRED_OR_HISTORICAL' WHEN org AND title AND need AND fit = 'pass' THEN 'READY_FOR_HUMAN_QUALIFICATION'
+WHEN NOT (org AND title AND need) OR fit = 'unknown' OR k IN (2, 3) THEN 'NEEDS_MORE_INFORMATION' ELSE 'LOW_PRODUCT_RELEVANCE' END AS state FROM h),
+w AS (SELECT *, list_filter([CASE WHEN NOT title THEN 'TITLE_UNINFORMATIVE' END, CASE WHEN NOT org THEN 'ORGANIZATION_UNCLEAR' END, CASE WHEN NOT need THEN 'NEED_EVIDENCE_WEAK' END, CASE WHEN fit = 'unknown' THEN 'PRODUCT_NEED_UNCONFIRMED' END,
+CASE WHEN fit = 'fail' THEN 'PRODUCT_FIT_WEAK' END, CASE WHEN k = 1 THEN 'DATE_EXPIRED' END, CASE WHEN k IN (2, 3) THEN 'DATE_UNKNOWN' END, CASE WHEN bad THEN 'QUALITY_REVIEW_REQUIRED' END,
+CASE WHEN state = 'READY_FOR_HUMAN_QUALIFICATION' THEN 'READY_FOR_HUMAN_REVIEW' END, CASE WHEN k = 1 THEN 'HISTORICAL_REFERENCE' END], lambda x: x IS NOT NULL) AS reasons FROM z)"""
+
+
+@query(
+    f"""WITH {_READINESS} SELECT doc_id, state, array_to_string(reasons, ',') AS reasons, CASE state WHEN 'READY_FOR_HUMAN_QUALIFICATION' THEN 'PREPARE_FOR_HUMAN_QUALIFICATION' WHEN 'NEEDS_DATA_REVIEW' THEN 'REVIEW_DATA_QUALITY' WHEN 'EXPIRED_OR_HISTORICAL' THEN 'VERIFY_TIMING'
+WHEN 'LOW_PRODUCT_RELEVANCE' THEN 'ADD_TO_WATCHLIST' ELSE CASE WHEN fit = 'unknown' THEN 'VERIFY_PRODUCT_NEED' WHEN NOT org THEN 'VERIFY_ORGANIZATION' WHEN k IN (2, 3) THEN 'VERIFY_TIMING' ELSE 'VERIFY_SOURCE' END END AS action FROM w"""
+)
+def readiness(spark, sf):
+    return _readiness(spark, sf).select(F.col("id").alias("doc_id"), F.col("readiness_state").alias("state"), F.array_join("reason_codes", ",").alias("reasons"), F.col("suggested_next_action").alias("action"))
+
+
+@query(
+    f"""WITH {_READINESS}, u AS (SELECT 'state' AS dim, state AS value FROM w UNION ALL SELECT 'reason', unnest(reasons) FROM w),
+s(value) AS (VALUES ('NEEDS_DATA_REVIEW'), ('EXPIRED_OR_HISTORICAL'), ('READY_FOR_HUMAN_QUALIFICATION'), ('NEEDS_MORE_INFORMATION'), ('LOW_PRODUCT_RELEVANCE'))
+SELECT dim, value, CAST(sum(n) AS BIGINT) AS n FROM (SELECT dim, value, 1 AS n FROM u UNION ALL SELECT 'state', value, 0 FROM s) GROUP BY ALL"""
+)
+def readiness_summary(spark, sf):
+    return review.readiness_summary(_readiness(spark, sf))
+
+
 # --- diffs
 
 _FIELDS = ["o_orderstatus", "o_totalprice", "o_orderpriority"]

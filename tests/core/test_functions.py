@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.functions import dates, guards, html, ids, robots, rules, text
-from headwater.operators import dedup, diff, feedback, items, official, quality, signals
+from headwater.operators import dedup, diff, feedback, items, official, quality, review, signals
 from headwater.sources import readers, sinks
 
 
@@ -338,3 +338,49 @@ def test_match_official(spark):
     assert {r.id for r in signals.suppress_matched(own, m).collect()} == {"o4", "o5"}
     held = {r.id: [p.official_id for p in r.official_provenance] for r in signals.attach_provenance(feed, m, own, ["link"]).collect()}
     assert held == {"p1": ["o2"], "p2": ["o1"], "p3": ["o3"]}
+
+
+REVIEW = "id string, type string, title string, source string, link string, date string, organization string, location string, severity string"
+
+
+@pytest.mark.parametrize(
+    ("title", "source", "codes"),
+    [
+        ("News", "S", ["TITLE_TOO_SHORT"]), ("Short one", "S", []), ("ab cdefg", "S", ["TITLE_TOO_SHORT"]), ("Big plans - The Post", "Feed (The Post)", ["MALFORMED_RSS_TITLE"]),
+        ("Big plans - post.example", "S", ["MALFORMED_RSS_TITLE"]), ("x" * 81, "S", ["LONG_TITLE_WITHOUT_SPACES"]), ("some " + "x" * 91, "S", ["LONG_TITLE_WITHOUT_SPACES"]), ("some " + "x" * 90, "S", []),
+        (None, "S", ["MISSING_TITLE", "INCOMPLETE_CORE_FIELDS"]), ("A plain title", " ", ["MISSING_SOURCE", "INCOMPLETE_CORE_FIELDS"]),
+    ],
+)
+def test_review_titles(spark, title, source, codes):
+    df = spark.createDataFrame([("1", "tender", title, source, "https://h.example/", None, None, None, None)], REVIEW)
+    r = review.review_items(df, F.to_timestamp(F.lit("2026-07-12 00:00:00"))).first()
+    assert r.issue_codes == codes
+
+
+def test_review_queue(spark):
+    row = lambda i, **k: tuple(({"id": i, "type": "event", "title": f"Run number {i} in the city of Solo", "source": "S", "link": "https://h.example/", "date": "2026-07-01", "organization": None, "location": None, "severity": None} | k).values())
+    rows = [row("a"), row("b", organization="Elsewhere"), row("c", organization="city of", location="Solo"), row("d", organization="number d in the city of Solo run akan"), row("e", title="Same title for all"), row("f", title="same TITLE, for all"),
+            row("g", title="same title for all", type="tender"), row("h", date="2020-01-01"), row("i", date="soon"), row("j", title=None, date=None), row("k", location="Hall 5"), row("l", title="Expo juli", location="juli")]
+    out = review.review_items(spark.createDataFrame(rows, REVIEW), F.to_timestamp(F.lit("2026-07-12 00:00:00")))
+    got = {r.id: (r.issue_codes, r.severity) for r in out.collect()}
+    assert got["a"] == ([], "low") and got["c"] == ([], "low") and got["g"] == ([], "low")
+    assert got["b"] == got["d"] == (["SUSPECTED_ORGANIZATION_EXTRACTION"], "medium") and got["k"] == got["l"] == (["SUSPECTED_LOCATION_EXTRACTION"], "medium")
+    assert got["e"] == got["f"] == (["DUPLICATE_NORMALIZED_TITLE"], "medium") and got["h"] == (["OLD_ITEM"], "low") and got["i"] == (["INVALID_DATE"], "low")
+    assert got["j"][1] == "high" and len(got) == len(rows)
+    queue = [r.id for r in review.review_queue(out).collect()]
+    assert queue[0] == "j" and queue[-2:] == ["h", "i"] and "a" not in queue
+
+
+def test_readiness(spark):
+    rules_file = {"product_relevance_terms": {"a": ["jersey"]}, "indirect_product_fit_terms": {"b": ["fun run"]}, "need_evidence_terms": {"c": ["tender"]}, "counter_signal_terms": ["mark-up"], "generic_organization_terms": ["Dinas"],
+                  "organization_artifact_terms": ["akan"], "expired_threshold_days": 1095, "next_action_map": {"NEEDS_MORE_INFORMATION": "VERIFY_SOURCE", "PRODUCT_NEED_UNCONFIRMED": "VERIFY_PRODUCT_NEED", "ORGANIZATION_UNCLEAR": "VERIFY_ORGANIZATION", "EXPIRED_OR_HISTORICAL": "SEND"},
+                  "allowed_next_actions": ["VERIFY_SOURCE", "VERIFY_PRODUCT_NEED", "VERIFY_ORGANIZATION"]}
+    row = lambda i, title, **k: tuple(({"id": i, "type": "tender", "title": title, "source": "S", "link": "https://h.example/", "date": "2026-07-01", "organization": "PT Maju", "location": None, "severity": None} | k).values())
+    rows = [row("ready", "Tender jersey baru"), row("undated", "Tender jersey baru", date=None), row("old", "Tender jersey baru", date="2020-01-01"), row("review", "Tender jersey baru", severity="medium", date="2020-01-01"), row("low", "Tender meja kantor"),
+            row("indirect", "Tender fun run", organization=None), row("counter", "Tender jersey mark-up"), row("generic", "Tender jersey baru", organization="DINAS"), row("cut", "Tender jersey baru", organization="PT akan buka"), row("nolink", "Tender jersey baru", link="ftp://x"), row("null", None, source=None)]
+    got = {r.id: r for r in review.readiness(spark.createDataFrame(rows, REVIEW), rules_file, F.to_timestamp(F.lit("2026-07-12 00:00:00"))).collect()}
+    want = {"ready": "READY_FOR_HUMAN_QUALIFICATION", "undated": "READY_FOR_HUMAN_QUALIFICATION", "old": "EXPIRED_OR_HISTORICAL", "review": "NEEDS_DATA_REVIEW", "low": "LOW_PRODUCT_RELEVANCE"}
+    assert {i: r.readiness_state for i, r in got.items()} == {i: want.get(i, "NEEDS_MORE_INFORMATION") for i in got}
+    assert got["ready"].reason_codes == ["READY_FOR_HUMAN_REVIEW"] and got["undated"].reason_codes == ["DATE_UNKNOWN", "READY_FOR_HUMAN_REVIEW"] and got["old"].reason_codes == ["DATE_EXPIRED", "HISTORICAL_REFERENCE"]
+    assert got["indirect"].suggested_next_action == "VERIFY_PRODUCT_NEED" and got["generic"].suggested_next_action == "VERIFY_ORGANIZATION" and got["counter"].suggested_next_action == "VERIFY_SOURCE" and got["old"].suggested_next_action == "VERIFY_SOURCE"
+    assert got["nolink"].reason_codes == ["SOURCE_MISSING", "SOURCE_INVALID"] and got["cut"].checks.organization_identifiable == "fail" and got["indirect"].checks.organization_identifiable == "unknown"
