@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
-from headwater.operators import dedup, diff, feedback, items, official, quality, review, signals
+from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, review, signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -175,6 +175,25 @@ def entity_extract(spark, sf):
     return _t(spark, sf, "documents").select("doc_id", extract_name(F.col("text"), ["(?:the|The) ([a-z]+ [a-z]+ [a-z]+)"], ["of", "and"]).alias("name"))
 
 
+def _label_sql(rules, default: str, pad: bool = True) -> str:
+    held = "' ' || lower(text) || ' '" if pad else "lower(text)"
+    return "CASE " + " ".join(f"WHEN {' OR '.join(f'contains({held}, {k!r})' for k in keys)} THEN {label!r}" for label, keys in rules) + f" ELSE {default!r} END"
+
+
+@query(f"SELECT doc_id, {_label_sql(feeds.CLIENT_KINDS, 'tidak_diketahui')} AS client_kind, {_label_sql(feeds.CATEGORIES, 'lainnya', False)} AS category, {_label_sql(feeds.SEGMENTS, 'tidak_diketahui')} AS segment FROM documents")
+def feed_labels(spark, sf):
+    t = F.col("text")
+    return _t(spark, sf, "documents").select("doc_id", feeds.client_kind(t).alias("client_kind"), feeds.event_category(t).alias("category"), feeds.event_segment(t).alias("segment"))
+
+
+@query("SELECT event_id, CAST(CASE WHEN event_id % 3 = 0 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) WHEN event_id % 3 = 1 THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS DOUBLE) AS amount FROM events")
+def variant_amount(spark, sf):
+    k = F.get_json_object("props", "$.k")
+    # A third each: an object with an amount, a bare number, a number within a string.
+    node = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('{"amount": '), k, F.lit("}"))).when(F.col("event_id") % 3 == 1, k).otherwise(F.concat(F.lit('"'), k, F.lit('"')))
+    return _t(spark, sf, "events").select("event_id", feeds.amount(F.parse_json(node)).alias("amount"))
+
+
 # --- rules
 
 

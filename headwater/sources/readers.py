@@ -26,6 +26,21 @@ def read_rss(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("title", "link", F.col("pubDate").alias("pub_date"), F.col("source._VALUE").alias("source"))
 
 
+def read_keyword_feeds(spark: SparkSession, feeds: dict[str, str]) -> DataFrame:
+    """Items of captured RSS files, one file or folder per keyword: keyword, kw_pos, pos, title, link, pub_date, source.
+
+    Positions are the order of the keywords and of the items within a file. A file is read whole; one that is no feed
+    gives no rows.
+    """
+    inner = "title STRING, link STRING, pubDate STRING, source STRING"
+    out = None
+    for k, (keyword, path) in enumerate(feeds.items()):
+        raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.regexp_extract_all("value", F.lit(r"(?s)<item\b[^>]*>.*?</item\s*>"), F.lit(0))).alias("pos", "x"))
+        one = raw.select(F.lit(keyword).alias("keyword"), F.lit(k).alias("kw_pos"), "pos", F.from_xml("x", inner).alias("i"))
+        out = one if out is None else out.unionByName(one)
+    return out.select("keyword", "kw_pos", "pos", "i.title", "i.link", F.col("i.pubDate").alias("pub_date"), "i.source")
+
+
 def read_releases(spark: SparkSession, path: str, release: T.StructType) -> DataFrame:
     """Releases of procurement packages, {releases: [...]} or bare arrays."""
     raw = spark.read.text(path, wholetext=True).select(F.btrim("value").alias("v"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.functions import dates, guards, html, ids, robots, rules, text
-from headwater.operators import dedup, diff, feedback, items, official, quality, review, signals
+from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, review, signals
 from headwater.sources import readers, sinks
 
 
@@ -384,3 +384,35 @@ def test_readiness(spark):
     assert got["ready"].reason_codes == ["READY_FOR_HUMAN_REVIEW"] and got["undated"].reason_codes == ["DATE_UNKNOWN", "READY_FOR_HUMAN_REVIEW"] and got["old"].reason_codes == ["DATE_EXPIRED", "HISTORICAL_REFERENCE"]
     assert got["indirect"].suggested_next_action == "VERIFY_PRODUCT_NEED" and got["generic"].suggested_next_action == "VERIFY_ORGANIZATION" and got["counter"].suggested_next_action == "VERIFY_SOURCE" and got["old"].suggested_next_action == "VERIFY_SOURCE"
     assert got["nolink"].reason_codes == ["SOURCE_MISSING", "SOURCE_INVALID"] and got["cut"].checks.organization_identifiable == "fail" and got["indirect"].checks.organization_identifiable == "unknown"
+
+
+def test_feeds(spark, tmp_path):
+    item = lambda t, d="", s="": f"<item><title>{t}</title><link>https://n.example/{len(t)}</link><pubDate>{d}</pubDate>{s}</item>"
+    wrap = lambda *x: "<?xml version='1.0'?><rss><channel><title>no item</title>" + "".join(x) + "</channel></rss>"
+    (tmp_path / "a.xml").write_text(wrap(item("Dinas Pendidikan Kota Solo Akan Beli Seragam - Pos Kota", "Sun, 12 Jul 2026 10:00:00 GMT", "<source url='https://p.example'>Pos Kota</source>"), item(" "), item("Jersey A &amp; B")))
+    (tmp_path / "b.xml").write_text(wrap(item("jersey  a &amp; b", "odd"), item("Bank Jateng Gelar Fun Run di Semarang 12-13 Juli 2026"), item("x" * 90)))
+    rss = readers.read_keyword_feeds(spark, {"seragam": f"{tmp_path}/a.xml", "jersey": f"{tmp_path}/b.xml"})
+    got = {(r.keyword, r.pos): r for r in feeds.tender_items(rss).collect()}
+    assert set(got) == {("seragam", 0), ("seragam", 2), ("jersey", 1), ("jersey", 2)}
+    r = got["seragam", 0]
+    assert (r.judul, r.instansi_terdeteksi, r.jenis_klien_tebakan) == ("Dinas Pendidikan Kota Solo Akan Beli Seragam", "Dinas Pendidikan Kota Solo", "pemerintah")
+    assert (r.sumber, r.published) == ("google_news_rss (Pos Kota)", "2026-07-12T10:00:00+00:00") and got["jersey", 2].judul == "x" * 80 + "[...]" and got["seragam", 2].published is None
+    e = {(r.keyword, r.pos): r for r in feeds.event_items(rss).collect()}["jersey", 1]
+    assert (e.tanggal, e.lokasi, e.kategori, e.penyelenggara, e.segmen, e.kontak_resmi) == ("2026-07-12", "Semarang", "lari", "Bank Jateng", "korporat", None)
+
+
+def test_price_records(spark, tmp_path):
+    releases = """[{"ocid": "o1", "date": "2025-03-01", "tender": {"title": " Seragam Batik ", "value": {"amount": 5}}, "buyer": {"name": "B"}, "awards": [{"value": {"currency": "IDR"}}, {"value": {"amount": 7.5}}, {"value": 9}], "planning": {"budget": {"amount": {"amount": 10, "currency": "IDR"}}}},
+      {"ocid": "o2", "date": "", "tender": {"title": "PDH", "value": "12"}, "planning": {"budget": {"amount": 3}}}, {"ocid": "o3", "tender": {"title": "Meja"}}, {"ocid": "o4"}]"""
+    for name, body in (("bare", releases), ("package", '{"releases": ' + releases + "}")):
+        (tmp_path / name).write_text(body)
+        rows = readers.read_releases(spark, f"{tmp_path}/{name}", T._parse_datatype_string(feeds.RELEASE))
+        got = [tuple(r) for r in feeds.price_records(rows).orderBy("ocid").collect()]
+        assert got == [("o1", "Seragam Batik", "B", "2025", 10.0, 5.0, 7.5), ("o2", "PDH", None, None, 3.0, None, None)]
+
+
+def test_source_hint(spark):
+    hint = lambda t, x: one(spark, feeds.source_hint(F.col("a"), F.col("b")), a=t, b=x)
+    h = hint("Rekrutmen massal", "Pabrik baru &amp; gerai <b>baru</b>")
+    assert (h.code, h.matched_terms, h.evidence_excerpt) == ("FACILITY_OPENING_CANDIDATE", ["pabrik baru", "gerai baru"], "Pabrik baru & gerai baru")
+    assert hint("Hiring now", None).evidence_excerpt == "Hiring now" and hint("Plain", "").code == "OTHER_OFFICIAL_NEWS" and hint("Plain", "").evidence_excerpt == "Plain"
