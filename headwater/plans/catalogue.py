@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
-from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, review, signals
+from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, refresh, review, signals
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -687,6 +687,62 @@ def accepted_records(spark, sf):
     return feedback.accept_records(e, "l_orderkey", "l_partkey")
 
 
+# --- refresh of official sources
+
+
+def _findings(spark, sf) -> DataFrame:
+    n = F.col("doc_id")
+    rows = _t(spark, sf, "documents").select(
+        n.alias("id"), F.col("text").alias("title"), F.when(n % 5 != 0, F.col("lang")).alias("organization_hint"), F.when(n % 5 == 0, "missing").when(n % 11 == 0, "guessed").otherwise("explicit").alias("organization_status"),
+        F.when(n % 13 == 0, "publisher name").alias("organization_source"), F.lit("en").alias("source_name"), F.when(n % 3 == 0, "2026-07-01").when(n % 3 == 1, "2026-02-30").alias("published_at"),
+        F.when(n % 3 == 2, "missing").otherwise("valid").alias("date_status"), F.when(n % 4 == 0, "UNKNOWN").otherwise("X").alias("hint_code"),
+    )
+    return refresh.metadata_findings(rows)
+
+
+_FINDINGS = """f AS (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'ORGANIZATION_FABRICATION_DETECTED' WHEN doc_id % 5 = 0 THEN 'ORGANIZATION_MISSING' WHEN lang = 'en' THEN 'ORGANIZATION_FABRICATION_DETECTED' WHEN doc_id % 11 = 0 THEN 'ORGANIZATION_INVALID'
+WHEN NOT contains(lower(text), lang) THEN 'ORGANIZATION_FABRICATION_DETECTED' END AS org, CASE doc_id % 3 WHEN 1 THEN 'PUBLISHED_DATE_INVALID' WHEN 2 THEN 'PUBLISHED_DATE_MISSING' END AS day, doc_id % 4 = 0 AS unknown FROM documents)"""
+
+
+@query(
+    f"""WITH {_FINDINGS} SELECT doc_id, concat_ws(',', CASE WHEN org = 'ORGANIZATION_MISSING' THEN org END, CASE WHEN day = 'PUBLISHED_DATE_MISSING' THEN day END, CASE WHEN unknown THEN 'CLASSIFICATION_HINT_UNKNOWN' END) AS warnings,
+concat_ws(',', CASE WHEN org <> 'ORGANIZATION_MISSING' THEN org END, CASE WHEN day = 'PUBLISHED_DATE_INVALID' THEN day END) AS errors FROM f"""
+)
+def metadata_findings(spark, sf):
+    return _findings(spark, sf).select(F.col("id").alias("doc_id"), F.array_join("warnings", ",").alias("warnings"), F.array_join("errors", ",").alias("errors"))
+
+
+@query(
+    f"""WITH {_FINDINGS}, a AS (SELECT count(*) AS items, count(*) FILTER (day = 'PUBLISHED_DATE_MISSING') AS missing_date_count, count(*) FILTER (org = 'ORGANIZATION_MISSING') AS missing_organization_count, count(*) FILTER (day = 'PUBLISHED_DATE_INVALID') AS invalid_date_count,
+count(*) FILTER (org <> 'ORGANIZATION_MISSING') AS invalid_organization_count, count(*) FILTER (day IS NULL) AS valid_date_count, count(*) FILTER (org <> 'ORGANIZATION_MISSING' OR day = 'PUBLISHED_DATE_INVALID') AS invalid_item_count FROM f)
+SELECT *, round(100.0 * valid_date_count / items, 2)::DOUBLE AS date_completeness_percent, round(100.0 * valid_date_count / items, 2) < 70 AS below_threshold FROM a"""
+)
+def metadata_summary(spark, sf):
+    return refresh.metadata_summary(_findings(spark, sf))
+
+
+@query(
+    f"""WITH {_DETECT}, s AS (SELECT doc_id, {_TIMING} AS timing FROM p WHERE n = 1), j AS (SELECT doc_id AS id, doc_id % 7 <> 0 AS o, doc_id % 9 <> 0 AS n, timing <> 'FUTURE_OR_OPEN' AND doc_id % 4 = 0 AS t, doc_id % 6 = 0 AS c FROM s)
+SELECT id, CASE WHEN NOT o THEN 'ADDED' WHEN NOT n THEN 'REMOVED' WHEN t OR c THEN 'CHANGED' ELSE 'UNCHANGED' END AS change, CASE WHEN o AND n THEN concat_ws(',', CASE WHEN t THEN 'timing' END, CASE WHEN c THEN 'content' END) ELSE '' END AS changes FROM j WHERE o OR n"""
+)
+def signal_changes(spark, sf):
+    s, n = _signals(spark, sf), F.col("id")
+    new = s.where(n % 9 != 0).withColumn("timing_status", F.when(n % 4 == 0, "FUTURE_OR_OPEN").otherwise(F.col("timing_status"))).withColumn("organization", F.when(n % 6 != 0, F.col("organization")))
+    return refresh.signal_changes(s.where(n % 7 != 0), new).select("id", "change", F.array_join("changes", ",").alias("changes"))
+
+
+@query(
+    """SELECT (SELECT count(*) FROM supplier) AS configured_sources, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 0) AS healthy_sources, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 1) AS degraded_sources,
+(SELECT count(*) FROM supplier WHERE s_suppkey % 3 = 2) AS unavailable_sources, (SELECT CAST(sum(s_nationkey) AS BIGINT) FROM supplier) AS raw_items, (SELECT count(*) FROM orders) AS normalized_items, (SELECT count(*) FROM customer) AS duplicate_items,
+(SELECT count(*) FROM supplier WHERE s_nationkey IS NOT NULL) AS invalid_items, (SELECT max(strftime(o_orderdate, '%Y-%m-%d')) FROM orders) AS content_reference_date"""
+)
+def run_summary(spark, sf):
+    state = F.when(F.col("s_suppkey") % 3 == 0, "HEALTHY").when(F.col("s_suppkey") % 3 == 1, "DEGRADED").otherwise("BLOCKED")
+    sources = _t(spark, sf, "supplier").select(state.alias("status"), F.col("s_nationkey").alias("raw_items"), F.lit(1).alias("invalid_items"))
+    kept = _t(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("published_at"))
+    return refresh.run_summary(sources, kept, _t(spark, sf, "customer"))
+
+
 # --- archives
 
 

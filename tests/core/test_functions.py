@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headwater.functions import dates, guards, html, ids, robots, rules, text
-from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, review, signals
+from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, refresh, review, signals
 from headwater.sources import readers, sinks
 
 
@@ -416,3 +416,71 @@ def test_source_hint(spark):
     h = hint("Rekrutmen massal", "Pabrik baru &amp; gerai <b>baru</b>")
     assert (h.code, h.matched_terms, h.evidence_excerpt) == ("FACILITY_OPENING_CANDIDATE", ["pabrik baru", "gerai baru"], "Pabrik baru & gerai baru")
     assert hint("Hiring now", None).evidence_excerpt == "Hiring now" and hint("Plain", "").code == "OTHER_OFFICIAL_NEWS" and hint("Plain", "").evidence_excerpt == "Plain"
+
+
+META = "id string, title string, excerpt string, organization_hint string, organization_status string, organization_source string, source_name string, published_at string, date_status string, date_source string, excerpt_status string, hint_code string"
+
+
+@pytest.mark.parametrize(
+    ("change", "warnings", "errors"),
+    [
+        ({}, [], []),
+        ({"organization_hint": None, "organization_status": None}, ["ORGANIZATION_MISSING"], []),
+        ({"organization_hint": "", "organization_status": "explicit"}, [], ["ORGANIZATION_INVALID"]),
+        ({"organization_status": "fabricated"}, [], ["ORGANIZATION_FABRICATION_DETECTED"]),
+        ({"organization_source": "Publisher name"}, [], ["ORGANIZATION_FABRICATION_DETECTED"]),
+        ({"organization_hint": "the  SOURCE"}, [], ["ORGANIZATION_FABRICATION_DETECTED"]),
+        ({"organization_hint": "Kementerian Investasi dan Hilirisasi/BKPM"}, [], ["ORGANIZATION_FABRICATION_DETECTED"]),
+        ({"organization_hint": "PT Lain"}, [], ["ORGANIZATION_FABRICATION_DETECTED"]),
+        ({"organization_status": "guess"}, [], ["ORGANIZATION_INVALID"]),
+        ({"published_at": "", "date_status": "missing"}, ["PUBLISHED_DATE_MISSING"], []),
+        ({"published_at": None, "date_status": "valid"}, [], ["PUBLISHED_DATE_INVALID"]),
+        ({"published_at": "2026-02-30"}, [], ["PUBLISHED_DATE_INVALID"]),
+        ({"date_source": "retrieval time"}, [], ["PUBLISHED_DATE_FABRICATION_DETECTED"]),
+        ({"excerpt_status": "fabricated", "hint_code": "unknown"}, ["CLASSIFICATION_HINT_UNKNOWN"], ["EXCERPT_FABRICATION_DETECTED"]),
+    ],
+)
+def test_metadata(spark, change, warnings, errors):
+    row = {"id": "1", "title": "PT Maju opens", "excerpt": "a hall", "organization_hint": "pt  maju", "organization_status": "explicit", "organization_source": None, "source_name": "The Source", "published_at": "2026-07-01", "date_status": "valid", "date_source": None, "excerpt_status": "available", "hint_code": "X"} | change
+    found = refresh.metadata_findings(spark.createDataFrame([tuple(row.values())], META))
+    r = found.first()
+    assert (r.warnings, r.errors) == (warnings, errors)
+    total = refresh.metadata_summary(found).first()
+    assert (total.invalid_item_count, total.below_threshold) == (int(bool(errors)), not r.date_valid)
+
+
+def test_metadata_of_no_items(spark):
+    r = refresh.metadata_summary(refresh.metadata_findings(spark.createDataFrame([], META))).first()
+    assert (r.items, r.date_completeness_percent, r.below_threshold) == (0, 0.0, False)
+
+
+def test_run_summary_of_nothing(spark):
+    none = lambda s: spark.createDataFrame([], s)
+    r = refresh.run_summary(none("status string, raw_items int, invalid_items int"), none("published_at string"), none("x int")).first()
+    assert (r.configured_sources, r.raw_items, r.normalized_items, r.content_reference_date) == (0, 0, 0, "")
+
+
+def test_proposal(spark):
+    schema = "source_code string, link_valid boolean, provenance_complete boolean, published_at string, date_status string, organization_hint string, organization_status string, source_name string, title string, excerpt string, title_valid boolean, excerpt_status string"
+    good = ("A", True, True, "2026-07-01", "valid", "", "missing", "S", "T", "E", True, "available")
+    bad = ("B", None, False, "2026-02-30", "valid", "s", "explicit", "S", "", "E", True, "available")
+    out = refresh.proposal_item_errors(spark.createDataFrame([good] * 5, schema), ["A"])
+    r = refresh.proposal_summary(out).first()
+    assert r.proposal_eligible and (r.valid_item_count, r.missing_organization_count, r.valid_link_percent) == (5, 5, 100.0)
+    out = refresh.proposal_item_errors(spark.createDataFrame([good, bad], schema), ["A"])
+    assert [r.errors for r in out.where("source_code = 'B'").collect()] == [["SOURCE_NOT_ACCEPTED", "OFFICIAL_LINK_INVALID", "PROVENANCE_INCOMPLETE", "DATE_UNVERIFIED_OR_FABRICATED", "ORGANIZATION_HINT_UNVERIFIED", "SOURCE_FIELDS_INCOMPLETE"]]
+    r = refresh.proposal_summary(out).first()
+    assert not r.proposal_eligible and r.valid_link_percent == 50.0
+
+
+def test_signal_changes(spark):
+    good = rules.load(rule_file())
+    row = lambda i, t, link="https://h.example/": (i, "tender", t, "S", link, "2026-07-01", "", "", "", None)
+    made = lambda *rows: signals.build_signals(spark.createDataFrame(list(rows), ITEM), good, F.lit("2026-07-12").cast("date"))
+    old = made(row("same", "hall opens"), row("gone", "hall"), row("text", "hall"), row("class", "hall opens"))
+    new = made(row("same", "hall opens"), row("new", "hall"), row("text", "hall", "https://h.example/2"), row("class", "hall opens court case"))
+    got = {r.id: (r.change, r.changes) for r in refresh.signal_changes(old, new).collect()}
+    assert got == {"same": ("UNCHANGED", []), "gone": ("REMOVED", []), "new": ("ADDED", []), "text": ("CHANGED", ["content"]), "class": ("CHANGED", ["classification", "timing", "evidence", "content"])}
+    p = F.struct(*[F.lit("x").alias(n) for n in ("source_name", "official_domain", "detail_url", "published_at", "retrieval_method")])
+    changes = refresh.signal_changes(old, new)
+    assert [tuple(r) for r in refresh.new_signal_errors(new.withColumn("official_provenance", p), changes).collect()] == [("new", [])]
