@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headwater.functions.dates import is_strict_date, parse_time
+from headwater.functions.text import has_text
 from headwater.operators.durable import durable
+from headwater.operators.quality import issue_codes
 
 
 def history(events: DataFrame, item: str, ts: str, event_id: str, decision: str) -> DataFrame:
@@ -81,20 +84,114 @@ def accept_records(events: DataFrame, record: str, event_id: str) -> DataFrame:
     return everyone.join(free.withColumn("accepted", F.lit(True)), "r", "left").select(F.col("r").alias(record), F.coalesce("accepted", F.lit(False)).alias("accepted"))
 
 
-def input_errors(decision: Column, reasons: Column, next_action: Column, review_date: Column, note: Column, rules: dict[str, dict]) -> Column:
-    """Error codes of a decision: unknown decision, missing reason, action or date, wrong date, long note."""
-    from headwater.functions.dates import is_strict_date
-    from headwater.functions.text import has_text
-
-    need = lambda what: decision.isin(*[d for d, r in rules.items() if r.get(what)])
-    blank = lambda c: ~F.coalesce(has_text(c), F.lit(False))
-    return F.array_compact(
-        F.array(
-            F.when(~F.coalesce(decision.isin(*rules), F.lit(False)), F.lit("UNKNOWN_DECISION")),
-            F.when(need("reasons") & (F.coalesce(F.size(reasons), F.lit(0)) == 0), F.lit("REASON_REQUIRED")),
-            F.when(need("next_action") & blank(next_action), F.lit("NEXT_ACTION_REQUIRED")),
-            F.when(need("review_date") & blank(review_date), F.lit("REVIEW_DATE_REQUIRED")),
-            F.when(~blank(review_date) & ~is_strict_date(review_date), F.lit("REVIEW_DATE_INVALID")),
-            F.when(F.length(note) > 500, F.lit("NOTE_TOO_LONG")),
-        )
-    )
+#: Decisions that a person may take, actions that no rule file may offer, and kinds of events.
+DECISIONS = ("QUALIFIED", "NEEDS_RESEARCH", "WATCHLIST", "NOT_RELEVANT")
+FORBIDDEN = ("SEND_WHATSAPP", "SEND_EMAIL", "CONTACT_PERSON", "SUBMIT_BID", "SEND_OFFER", "SET_PRICE")
+EVENT_TYPES = ("DECISION_CREATED", "DECISION_UPDATED")
+
+
+def validate_config(raw: dict) -> list[str]:
+    """All errors of a file of feedback rules; an empty list means that it may be used."""
+    if not isinstance(raw, dict):
+        return ["an object is needed"]
+    errors = [f"{k}: is missing" for k in ("schema_version", "storage_key", "reviewer_key") if not str(raw.get(k) or "").strip()]
+    part = {k: raw.get(k) if isinstance(raw.get(k), dict) else {} for k in ("decision_states", "reason_codes", "allowed_next_actions", "validation")}
+    errors += [f"{k}: an object is needed" for k in part if not isinstance(raw.get(k), dict)]
+    for d in DECISIONS:
+        codes = (part["decision_states"].get(d) or {}).get("reason_codes")
+        if not codes:
+            errors.append(f"{d}: no state or no reason codes")
+        errors += [f"{d}: unknown reason {c}" for c in codes or [] if c not in part["reason_codes"]]
+    errors += [f"{d}: is no decision" for d in part["decision_states"] if d not in DECISIONS]
+    return errors + [f"{a}: is forbidden" for a in FORBIDDEN if a in part["allowed_next_actions"]]
+
+
+def decision_errors(c: dict[str, Column] | Column, config: dict) -> Column:
+    """Error codes of a decision (human_decision, reason_codes, reviewer_alias, note, next_action, review_date); nulls count as blank.
+
+    Reasons must be those of the decision; which decisions need an action, or an action or a date, is the file's.
+    """
+    text = lambda n: F.coalesce(F.btrim(c[n]), F.lit(""))
+    states = {d: config["decision_states"][d] for d in DECISIONS if d in config["decision_states"]}
+    limits = config.get("validation") or {}
+    decision, alias, action, day = text("human_decision"), text("reviewer_alias"), text("next_action"), text("review_date")
+    reasons = F.array_distinct(F.filter(F.transform(F.coalesce(c["reason_codes"], F.array().cast("array<string>")), lambda r: F.btrim(r)), lambda r: r != ""))
+    need = lambda key: decision.isin(*[d for d, r in states.items() if r.get(key)])
+    foreign = F.lit(False)
+    for d, r in states.items():
+        foreign = foreign | ((decision == d) & (F.size(F.array_except(reasons, F.array(*map(F.lit, r["reason_codes"])))) > 0))
+    tests = {
+        "UNKNOWN_DECISION": ~decision.isin(*states),
+        "ALIAS_REQUIRED": alias == "",
+        "ALIAS_TOO_LONG": F.length(alias) > int(limits.get("reviewer_alias_max_length") or 50),
+        "NOTE_TOO_LONG": F.length(text("note")) > int(limits.get("note_max_length") or 500),
+        "REASON_REQUIRED": F.size(reasons) < int(limits.get("minimum_reason_codes") or 1),
+        "REASON_OF_OTHER_DECISION": foreign,
+        "NEXT_ACTION_REQUIRED": need("requires_next_action") & (action == ""),
+        "ACTION_OR_DATE_REQUIRED": need("requires_review_date_or_next_action") & (action == "") & (day == ""),
+        "NEXT_ACTION_UNKNOWN": (action != "") & ~action.isin(*config["allowed_next_actions"]),
+        "REVIEW_DATE_INVALID": (day != "") & ~is_strict_date(day),
+    }
+    return issue_codes(tests)
+
+
+def record_errors(records: DataFrame, config: dict) -> DataFrame:
+    """Append errors to records (item_id, the fields of a decision, created_at, updated_at, history).
+
+    History entries are structs of event_id, event_type, previous_decision, new_decision, reason_codes, next_action,
+    reviewer_alias, note, timestamp. An entry that puts an item on the watch list without an action needs no date.
+    """
+    own = decision_errors({n: F.col(n) for n in ("human_decision", "reason_codes", "reviewer_alias", "note", "next_action", "review_date")}, config)
+
+    def entry_fails(e: Column) -> Column:
+        blank = F.coalesce(F.btrim(e["next_action"]), F.lit("")) == ""
+        fields = {n: e[n] for n in ("reason_codes", "reviewer_alias", "note", "next_action")} | {"human_decision": e["new_decision"], "review_date": F.when((e["new_decision"] == "WATCHLIST") & blank, "2099-01-01").otherwise("")}
+        known = e["event_type"].isin(*EVENT_TYPES) & e["previous_decision"].isin("UNREVIEWED", *DECISIONS) & (F.btrim(e["event_id"]) != "") & parse_time(e["timestamp"]).isNotNull()
+        return ~F.coalesce(known & (F.size(decision_errors(fields, config)) == 0), F.lit(False))
+
+    held = F.coalesce(F.size("history"), F.lit(0)) > 0
+    ids = F.transform("history", lambda e: e["event_id"])
+    more = {
+        "ITEM_ID_REQUIRED": ~F.coalesce(has_text(F.col("item_id")), F.lit(False)),
+        "CREATED_AT_INVALID": parse_time(F.col("created_at")).isNull(),
+        "UPDATED_AT_INVALID": parse_time(F.col("updated_at")).isNull(),
+        "HISTORY_REQUIRED": ~held,
+        "HISTORY_EVENT_INVALID": held & F.exists("history", entry_fails),
+        "EVENT_ID_REPEATED": held & (F.size(F.array_distinct(ids)) < F.size(ids)),
+    }
+    return records.withColumn("errors", F.concat(own, issue_codes(more)))
+
+
+def import_records(current: DataFrame, imported: DataFrame, active: DataFrame, config: dict) -> DataFrame:
+    """(item_id, outcome, is_conflict, is_orphan) of each imported record: invalid, EVENT_ID_REUSED or ACCEPTED.
+
+    Invalid records reserve no event ids. A conflict is an item that has a record already, an orphan one that is not active.
+    """
+    checked = durable(record_errors(imported, config).select("item_id", F.size("errors").alias("n"), F.transform("history", lambda e: e["event_id"]).alias("ids")))
+    events = checked.where("n = 0").select("item_id", F.explode("ids").alias("event_id"))
+    taken = accept_records(events, "item_id", "event_id")
+    flag = lambda df, name: df.select("item_id").distinct().withColumn(name, F.lit(True))
+    out = checked.join(taken, "item_id", "left").join(flag(current, "c"), "item_id", "left").join(flag(active, "a"), "item_id", "left")
+    outcome = F.when(F.col("n") > 0, "INVALID").when(F.col("accepted"), "ACCEPTED").otherwise("EVENT_ID_REUSED")
+    return out.select("item_id", outcome.alias("outcome"), F.coalesce("c", F.lit(False)).alias("is_conflict"), F.col("a").isNull().alias("is_orphan"))
+
+
+def merged_history(local: Column, imported: Column, imported_type) -> Column:
+    """Both histories by time and event id; of entries of one id the first stays, local ones before imported ones."""
+    none = F.array().cast(imported_type)
+    both = F.filter(F.concat(F.coalesce(local, none), F.coalesce(imported, none)), lambda e: F.coalesce(has_text(e["event_id"]), F.lit(False)))
+    ids = F.transform(both, lambda e: e["event_id"])
+    first = F.filter(both, lambda e, i: F.array_position(ids, e["event_id"]) == i + 1)
+    return F.transform(F.array_sort(F.transform(first, lambda e: F.struct(e["timestamp"].alias("t"), e["event_id"].alias("i"), e.alias("e")))), lambda x: x["e"])
+
+
+def merge_records(local: DataFrame, imported: DataFrame) -> DataFrame:
+    """Records of both sides by item_id: the later update wins, a tie stays local; created_at is the earlier one; histories merge."""
+    fields = [c for c in local.columns if c not in ("item_id", "created_at", "history")]
+    side = lambda df, n: df.select("item_id", F.struct("created_at", "history", *fields).alias(n))
+    j = side(local, "l").join(side(imported, "i"), "item_id", "full_outer")
+    newer = F.col("l").isNull() | F.coalesce(parse_time(F.col("i.updated_at")) > parse_time(F.col("l.updated_at")), F.lit(False))
+    earlier = F.col("i").isNull() | F.coalesce(parse_time(F.col("l.created_at")) <= parse_time(F.col("i.created_at")), F.lit(False))
+    kept = [F.when(newer, F.col(f"i.{f}")).otherwise(F.col(f"l.{f}")).alias(f) for f in fields]
+    history = merged_history(F.col("l.history"), F.col("i.history"), local.schema["history"].dataType)
+    return j.select("item_id", *kept, F.when(earlier, F.col("l.created_at")).otherwise(F.col("i.created_at")).alias("created_at"), history.alias("history")).select(*local.columns)

@@ -819,6 +819,30 @@ def import_preview(spark, sf):
     return feedback.preview_import(s, moved, _t(spark, sf, "customer").select(F.col("c_custkey").alias("user_id")), "user_id")
 
 
+FEEDBACK_RULES = {
+    "schema_version": "1", "storage_key": "s", "reviewer_key": "r", "reason_codes": {"view": "", "click": "", "error": ""}, "allowed_next_actions": {"VERIFY_SOURCE": ""}, "validation": {"note_max_length": 7},
+    "decision_states": {
+        "QUALIFIED": {"reason_codes": ["view"], "requires_next_action": True}, "NEEDS_RESEARCH": {"reason_codes": ["view", "click"]},
+        "WATCHLIST": {"reason_codes": ["click"], "requires_review_date_or_next_action": True}, "NOT_RELEVANT": {"reason_codes": ["error"]},
+    },
+}
+
+
+@query(
+    """WITH c AS (SELECT event_id, event_type AS reason, user_id % 4 AS d, length(props) > 7 AS long, event_id % 3 AS k FROM events)
+SELECT event_id, concat_ws(',', CASE WHEN k = 2 THEN 'ALIAS_REQUIRED' END, CASE WHEN long THEN 'NOTE_TOO_LONG' END,
+CASE WHEN reason NOT IN (SELECT unnest(CASE d WHEN 0 THEN ['view'] WHEN 1 THEN ['view', 'click'] WHEN 2 THEN ['click'] ELSE ['error'] END)) THEN 'REASON_OF_OTHER_DECISION' END, CASE WHEN d = 0 AND k = 0 THEN 'NEXT_ACTION_REQUIRED' END,
+CASE WHEN d = 2 AND k = 0 THEN 'ACTION_OR_DATE_REQUIRED' END, CASE WHEN k = 2 THEN 'NEXT_ACTION_UNKNOWN' END, CASE WHEN k = 1 THEN 'REVIEW_DATE_INVALID' END) AS errors FROM c"""
+)
+def decision_errors(spark, sf):
+    d, k = F.col("user_id") % 4, F.col("event_id") % 3
+    fields = {
+        "human_decision": F.when(d == 0, "QUALIFIED").when(d == 1, "NEEDS_RESEARCH").when(d == 2, "WATCHLIST").otherwise("NOT_RELEVANT"), "reason_codes": F.array("event_type"), "reviewer_alias": F.when(k != 2, "me"), "note": F.col("props"),
+        "next_action": F.when(k == 1, "VERIFY_SOURCE").when(k == 2, "SEND"), "review_date": F.when(k == 1, "2026-02-30"),
+    }
+    return _t(spark, sf, "events").select("event_id", F.array_join(feedback.decision_errors(fields, FEEDBACK_RULES), ",").alias("errors"))
+
+
 # --- prices, sets and joins
 
 

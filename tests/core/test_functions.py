@@ -174,8 +174,66 @@ def test_feedback_merge(spark):
     assert {r.event_id: r.decision for r in merged.collect()} == {"e1": "KEEP", "e2": "DROP", "e3": "KEEP"}
     s = feedback.current_state(merged, "item", "ts", "event_id", "decision").first()
     assert (s.decision, s.created_at, s.updated_at, s.n_events) == ("KEEP", 1, 3, 3)
-    errors = feedback.input_errors(F.lit("WATCH"), F.array().cast("array<string>"), F.lit(""), F.lit("2026-02-30"), F.lit("n"), {"WATCH": {"reasons": True, "next_action": True}})
-    assert one(spark, errors) == ["REASON_REQUIRED", "NEXT_ACTION_REQUIRED", "REVIEW_DATE_INVALID"]
+
+
+FEEDBACK = {
+    "schema_version": "1", "storage_key": "s", "reviewer_key": "r", "reason_codes": {"GOOD": "g", "CHECK": "c", "LATER": "l", "OFF": "o"}, "allowed_next_actions": {"VERIFY_SOURCE": "v"}, "validation": {"note_max_length": 10},
+    "decision_states": {
+        "QUALIFIED": {"reason_codes": ["GOOD"], "requires_next_action": True}, "NEEDS_RESEARCH": {"reason_codes": ["CHECK"]},
+        "WATCHLIST": {"reason_codes": ["LATER"], "requires_review_date_or_next_action": True}, "NOT_RELEVANT": {"reason_codes": ["OFF"]},
+    },
+}
+ENTRY = "struct<event_id:string,event_type:string,previous_decision:string,new_decision:string,reason_codes:array<string>,next_action:string,reviewer_alias:string,note:string,timestamp:string>"
+RECORD = f"item_id string, human_decision string, reason_codes array<string>, reviewer_alias string, note string, next_action string, review_date string, created_at string, updated_at string, history array<{ENTRY}>"
+
+
+def record(item="a", decision="NEEDS_RESEARCH", reasons=("CHECK",), alias="me", note="", action="", day="", at="2026-07-01", changed="2026-07-02", events=("e1",)):
+    history = [(e, "DECISION_CREATED", "UNREVIEWED", decision, list(reasons), action, "me", "", f"2026-07-0{i + 1}T00:00:00Z") for i, e in enumerate(events)]
+    return (item, decision, list(reasons) if reasons is not None else None, alias, note, action, day, at, changed, history)
+
+
+def test_feedback_config():
+    assert feedback.validate_config(FEEDBACK) == []
+    found = feedback.validate_config(FEEDBACK | {"schema_version": "", "validation": 3, "allowed_next_actions": {"SEND_EMAIL": ""}, "decision_states": {"QUALIFIED": {"reason_codes": ["ODD"]}, "WON": {}}})
+    assert len(found) == 8 and feedback.validate_config(None)
+
+
+@pytest.mark.parametrize(
+    ("values", "errors"),
+    [
+        ({}, []),
+        ({"decision": "WON", "reasons": ["GOOD"]}, ["UNKNOWN_DECISION", "HISTORY_EVENT_INVALID"]),
+        ({"alias": None, "note": "x" * 11}, ["ALIAS_REQUIRED", "NOTE_TOO_LONG"]),
+        ({"alias": "y" * 51}, ["ALIAS_TOO_LONG"]),
+        ({"reasons": [" ", ""]}, ["REASON_REQUIRED", "HISTORY_EVENT_INVALID"]),
+        ({"decision": "QUALIFIED", "reasons": ["CHECK"]}, ["REASON_OF_OTHER_DECISION", "NEXT_ACTION_REQUIRED", "HISTORY_EVENT_INVALID"]),
+        ({"decision": "WATCHLIST", "reasons": ["LATER"]}, ["ACTION_OR_DATE_REQUIRED"]),
+        ({"decision": "WATCHLIST", "reasons": ["LATER"], "day": "2026-08-01"}, []),
+        ({"action": "SEND", "day": "2026-02-30"}, ["NEXT_ACTION_UNKNOWN", "REVIEW_DATE_INVALID", "HISTORY_EVENT_INVALID"]),
+        ({"item": " ", "at": "", "changed": None, "events": ()}, ["ITEM_ID_REQUIRED", "CREATED_AT_INVALID", "UPDATED_AT_INVALID", "HISTORY_REQUIRED"]),
+        ({"events": ("e", "e")}, ["EVENT_ID_REPEATED"]),
+    ],
+)
+def test_feedback_records(spark, values, errors):
+    assert feedback.record_errors(spark.createDataFrame([record(**values)], RECORD), FEEDBACK).first().errors == errors
+
+
+def test_feedback_import(spark):
+    rows = [record("a", events=("e1",)), record("b", events=("e1", "e2")), record("c", events=("e2",)), record("d", alias="", events=("e9",)), record("e", events=("e9",))]
+    current, active = spark.createDataFrame([record("a")], RECORD), spark.createDataFrame([("a",), ("b",), ("c",)], "item_id string")
+    got = {r.item_id: tuple(r)[1:] for r in feedback.import_records(current, spark.createDataFrame(rows, RECORD), active, FEEDBACK).collect()}
+    assert got == {"a": ("ACCEPTED", True, False), "b": ("EVENT_ID_REUSED", False, False), "c": ("ACCEPTED", False, False), "d": ("INVALID", False, True), "e": ("ACCEPTED", False, True)}
+    assert feedback.import_records(current, spark.createDataFrame([], RECORD), active, FEEDBACK).count() == 0
+
+
+def test_feedback_records_merge(spark):
+    local = [record("a", note="mine", events=("e1", "e2")), record("b", note="tie"), record("l")]
+    new = [record("a", note="new", at="2026-06-01", changed="2026-07-09", events=("e2", "e0")), record("b", note="other", at="2026-07-05"), record("i")]
+    got = {r.item_id: r for r in feedback.merge_records(spark.createDataFrame(local, RECORD), spark.createDataFrame(new, RECORD)).collect()}
+    assert set(got) == {"a", "b", "l", "i"} and got["b"].note == "tie" and got["b"].created_at == "2026-07-01"
+    a = got["a"]
+    assert (a.note, a.created_at, a.updated_at) == ("new", "2026-06-01", "2026-07-09")
+    assert [(e.event_id, e.timestamp[:10]) for e in a.history] == [("e1", "2026-07-01"), ("e0", "2026-07-02"), ("e2", "2026-07-02")]
 
 
 def test_quality_and_ids(spark):
