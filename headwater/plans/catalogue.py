@@ -399,6 +399,16 @@ def public_dates(spark, sf):
     return e.select("event_id", dates.public_date(F.col("raw")).alias("d")).select("event_id", "d.value", "d.status")
 
 
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN FALSE ELSE CAST(o_orderdate AS DATE) > DATE '1997-03-05' END AS is_future FROM orders")
+def future_dates(spark, sf):
+    o, k = _t(spark, sf, "orders"), F.col("o_orderkey") % 3
+    # The patterns know the years from 2000 on, so dates are moved by twenty years; a third each: numbers, month names, a bare day.
+    moved = F.add_months(F.to_date("o_orderdate"), 240)
+    named = F.concat_ws(" ", F.dayofmonth(moved), F.element_at(F.array(*[F.lit(m) for m in dates.MONTHS_ID]), F.month(moved)), F.year(moved))
+    held = F.when(k == 0, F.date_format(moved, "yyyy/M/d")).when(k == 1, named).otherwise(F.dayofmonth(moved).cast("string"))
+    return o.select("o_orderkey", dates.names_future_date(F.concat(F.lit("Acara "), held), F.lit("2017-03-05").cast("date")).alias("is_future"))
+
+
 # --- dedup
 
 

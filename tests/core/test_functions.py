@@ -51,7 +51,7 @@ def test_html(spark):
 
 @pytest.mark.parametrize(
     ("raw", "value", "status"),
-    [("12 Juli 2026", "2026-07-12", "valid"), ("2026-02-30", "", "invalid"), ("", "", "missing"), (None, "", "missing"), ("soon", "", "invalid")],
+    [("12 Juli 2026", "2026-07-12", "valid"), ("2026-02-30", "", "invalid"), ("", "", "missing"), (None, "", "missing"), ("soon", "", "invalid"), ("2026-02-30 atau 1 maret 2026", "2026-03-01", "valid"), ("12 July 2026", "", "invalid"), ("<b>2026-07-01</b>", "2026-07-01", "valid")],
 )
 def test_public_date(spark, raw, value, status):
     assert tuple(one(spark, dates.public_date(F.col("a")), a=raw)) == (value, status)
@@ -63,7 +63,8 @@ def test_times(spark):
     assert not one(spark, dates.is_stale(day("2026-05-13"), day("2026-07-12"), 60))
     assert one(spark, dates.is_stale(day("2026-05-12"), day("2026-07-12"), 60))
     assert one(spark, dates.event_date(F.col("a")), a="Run 30-31 Februari 2026") == "2026-02-30"
-    for title, want in (("on 2026-08-01", True), ("on 01-02-2026", False), ("in 2027", True), ("5 Agustus", True), ("5 Juni 2026", False), ("none", False)):
+    assert one(spark, dates.event_date(F.col("a")), a="Run 1 \u2013 2 Mei 2026 ") == "2026-05-01" and one(spark, dates.event_date(F.col("a")), a="Run 5 July 2026") is None
+    for title, want in (("on 2026-06-45", True), ("on 2026.7.12", False), ("on 13/07/2026", True), ("12 Juli", False), ("agustus", False), ("1 agustus", False), ("agustus 2026", True), ("\u00e1gustus 2026", True), ("april 31 2026", False), ("32 juli", False), ("x2027", False), (None, False), ("on 2026-08-01", True), ("on 01-02-2026", False), ("in 2027", True), ("5 Agustus", True), ("5 Juni 2026", False), ("none", False)):
         assert one(spark, dates.names_future_date(F.col("a"), day("2026-07-12")), a=title) == want, title
 
 
