@@ -21,7 +21,9 @@ def with_detections(items: DataFrame, rules: RuleSet) -> DataFrame:
     excerpt = F.coalesce(F.col("excerpt"), F.lit("")) if "excerpt" in items.columns else F.lit("")
     origin = F.coalesce(*[F.when(F.col("type") == t, F.lit(o)) for t, o in DATA_ORIGIN.items()])
     rows = items.withColumn("data_origin", origin)
-    rows = rows.withColumn("__t", fold_search(F.coalesce("title", F.lit("")))).withColumn("__x", F.when(F.col("data_origin") == DATA_ORIGIN["official"], fold_search(excerpt)).otherwise(""))
+    folded = F.struct(fold_search(F.coalesce("title", F.lit(""))).alias("__t"), F.when(F.col("data_origin") == DATA_ORIGIN["official"], fold_search(excerpt)).otherwise("").alias("__x"))
+    # A generator of one row: without it a filter on the detections is pushed down with the folding copied into every term.
+    rows = rows.select("*", F.explode(F.array(folded)).alias("__f")).select(*rows.columns, "__f.__t", "__f.__x")
     fields = [F.col("__t"), F.col("__x")]
     dated = dates.parse_time(F.col("date")).isNotNull()
     found = detect_all(fields, rules, origin=F.col("data_origin"), traceable=F.coalesce(html.is_traceable(F.col("source"), F.col("link")), F.lit(False)), dated=dated)
