@@ -1,10 +1,13 @@
-"""Benchmark decontamination by SimHash of item-sized windows.
+"""Benchmark decontamination by item-sized windows.
 
 Each item is compared with every window of its own length in every document. Windows that share too few five-word
-shingles with an item to reach the similarity are ruled out by counting, which loses nothing. The others get a
-64-bit SimHash; the items' fingerprints are indexed by ``radius + 1`` bit blocks, so that every item within the
-radius agrees with a window on at least one whole block. Items found are verified by the exact weighted similarity:
-shared shingle weight over joint shingle weight, a shingle weighing as often as it occurs.
+shingles with an item to reach the similarity are ruled out by counting, which loses nothing. All others are verified
+by the exact weighted similarity: shared shingle weight over joint shingle weight, a shingle weighing as often as it
+occurs.
+
+Given a ``radius``, only windows whose 64-bit SimHash is that near an item's are verified. The items' fingerprints are
+indexed by ``radius + 1`` bit blocks, so that every item within the radius agrees with a window on at least one whole
+block. This loses matches whose fingerprints lie further apart, so no query sets it.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Items of fewer than five words take no part; null items and
 texts have no words. Items with one text under several ids each match. Items reach the executors in blocks of at
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +30,7 @@ from pyspark.sql import types as T
 from headwater.llm.common import checked_broadcast, whole_texts
 from headwater.llm.words import Sequences, hashed_words
 
-WIDTH, LEAST, RADIUS = 5, 0.8, 16
+WIDTH, LEAST = 5, 0.8
 BLOCK_ITEMS = 4096
 
 
@@ -44,11 +48,24 @@ def simhash_rows(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray
     return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard similarity of two arrays of shingles."""
-    names, at = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = np.bincount(at[: len(a)], minlength=len(names)), np.bincount(at[len(a) :], minlength=len(names))
-    return float(np.minimum(x, y).sum() / np.maximum(x, y).sum())
+def sliding(hits: list[tuple[int, int]], often: dict[int, int], starts: Iterable[int], n: int) -> Iterator[tuple[int, int]]:
+    """(first shingle, weight shared with the item) of the windows of ``n`` shingles at ascending ``starts``.
+
+    ``hits`` are the places of the item's shingles in the text; ``often`` has those that the item holds more than once.
+    """
+    held, shared, left, right = defaultdict(int), 0, 0, 0
+    for a in starts:
+        while right < len(hits) and hits[right][0] < a + n:
+            u = hits[right][1]
+            shared += held[u] < often.get(u, 1)
+            held[u] += 1
+            right += 1
+        while left < right and hits[left][0] < a:
+            u = hits[left][1]
+            held[u] -= 1
+            shared -= held[u] < often.get(u, 1)
+            left += 1
+        yield a, shared
 
 
 @dataclass
@@ -58,11 +75,10 @@ class Items:
     ids: list
     shingles: list[np.ndarray]
     least: float
-    radius: int
+    radius: int | None = None
     fps: np.ndarray = field(init=False)
 
     def __post_init__(self):
-        self.fps = np.array([simhash_rows(s, np.array([0]), len(s))[0] for s in self.shingles], np.uint64)
         owners = defaultdict(set)
         for i, s in enumerate(self.shingles):
             for h in s.tolist():
@@ -71,6 +87,13 @@ class Items:
         self.owners = [sorted(owners[h]) for h in self.known.tolist()]
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        codes = [np.unique(np.searchsorted(self.known, s), return_counts=True) for s in self.shingles]
+        self.often = [dict(zip(u[c > 1].tolist(), c[c > 1].tolist(), strict=True)) for u, c in codes]
+        self.fps = np.zeros(0, np.uint64)
+        self.blocks, self.index = [], {}
+        if self.radius is None:
+            return
+        self.fps = np.array([simhash_rows(s, np.array([0]), len(s))[0] for s in self.shingles], np.uint64)
         self.blocks = bit_blocks(self.radius)
         self.index = defaultdict(set)
         for i, fp in enumerate(self.fps.tolist()):
@@ -104,32 +127,37 @@ class Items:
         hits = defaultdict(list)
         for p, u, t in zip(seen[inside].tolist(), place[inside].tolist(), text[inside].tolist(), strict=True):
             for i in self.owners[u]:
-                hits[t, i].append(p)
-        starts = defaultdict(set)
-        for (t, i), h in hits.items():
+                hits[t, i].append((p, u))
+        found = []
+        for (t, i), h in sorted(hits.items()):
             n = len(self.shingles[i])
             need = math.ceil(2 * n * self.least / (1 + self.least) - 1e-9)
-            lo, hi = int(offsets[t]), int(offsets[t + 1]) - n - WIDTH + 1
-            for a, b in zip(h, h[need - 1 :]):
-                if b - a < n:
-                    starts[t, n].update(range(max(lo, b - n + 1), min(a, hi) + 1))
-        found: dict[tuple[int, int], list] = {}
-        for (t, n), s in starts.items():
-            if not s:
+            if len(h) < need:
                 continue
-            s = np.array(sorted(s))
-            for a, fp in zip(s.tolist(), simhash_rows(shingles, s, n).tolist(), strict=True):
-                for i in self.near(fp, n):
-                    sim = similarity(shingles[a : a + n], self.shingles[i])
-                    if sim >= self.least:
-                        best = found.setdefault((t, i), [0.0, 0, 0])
-                        best[2] += 1
-                        if sim > best[0]:
-                            best[:2] = sim, a - int(offsets[t])
-        return [(t, i, s, a, n) for (t, i), (s, a, n) in sorted(found.items())]
-
-
-def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS, block_items: int = BLOCK_ITEMS) -> list[Items]:
+            first, last = int(offsets[t]), int(offsets[t + 1]) - n - WIDTH + 1
+            best, where, windows = 0.0, 0, 0
+            for a, shared in sliding(h, self.often[i], self._starts(h, need, n, first, last), n):
+                sim = shared / (2 * n - shared)
+                if sim >= self.least and (self.radius is None or i in self.near(int(simhash_rows(shingles, np.array([a]), n)[0]), n)):
+                    windows += 1
+                    if sim > best:
+                        best, where = sim, a - first
+            if windows:
+                found.append((t, i, best, where, windows))
+        return found
+
+    @staticmethod
+    def _starts(hits: list[tuple[int, int]], need: int, n: int, first: int, last: int) -> Iterator[int]:
+        """The windows from ``first`` to ``last`` with ``need`` hits at least, in order."""
+        done = first - 1
+        for (a, _), (b, _) in zip(hits, hits[need - 1 :]):
+            if b - a < n:
+                end = min(a, last)
+                yield from range(max(done + 1, b - n + 1), end + 1)
+                done = max(done, end)
+
+
+def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int | None = None, block_items: int = BLOCK_ITEMS) -> list[Items]:
     """The items in blocks of about ``block_items``, read block by block."""
     rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where(F.col("item_id").isNotNull()).distinct()
     n = max(1, math.ceil(rows.count() / block_items))

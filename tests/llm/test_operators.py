@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -576,3 +577,41 @@ def test_hamming_blocks_find_all_within_radius():
             for b in rng.choice(64, flips, replace=False).tolist():
                 f ^= 1 << b
             assert items.near(f, 20) == {i for i, g in enumerate(items.fps.tolist()) if (g ^ f).bit_count() <= 16}
+
+
+def test_leaks_of_distant_fingerprints():
+    rng = random.Random(11)
+    items = [[f"w{rng.getrandbits(40)}" for _ in range((56, 100)[k % 2])] for k in range(3000)]
+    texts = []
+    for k, p in enumerate(items):
+        w = list(p)
+        for at in (25,) if k % 2 == 0 else (30, 70):  # 47 of 57 and 86 of 106: similarity of 0.8 or more
+            w[at] = "edit"
+        texts.append(" ".join(w))
+    words, offsets = decontam.hashed_words(pa.array([" ".join(p) for p in items]), lower=True)
+    seq = decontam.Sequences(words)
+    shingles = [seq.at(np.arange(a, b - 4), 5) for a, b in zip(offsets[:-1], offsets[1:])]
+    got = decontam.Items(list(range(3000)), shingles, decontam.LEAST).matches(pa.array(texts))
+    assert [(t, i) for t, i, *_ in got] == [(t, t) for t in range(3000)]
+    # some lie so far apart that a radius of 16 bits loses them
+    assert len(decontam.Items(list(range(3000)), shingles, decontam.LEAST, 16).matches(pa.array(texts))) < 3000
+
+
+def test_leaks_of_repeated_shingles():
+    rng = random.Random(12)
+    items = [[rng.choice("ab") for _ in range(n)] for n in (7, 12, 30)] + [["a"] * 20]
+    texts = [[rng.choice("aab") for _ in range(rng.randrange(30, 80))] for _ in range(60)] + [["a"] * 90]
+    words, offsets = decontam.hashed_words(pa.array([" ".join(p) for p in items]), lower=True)
+    seq = decontam.Sequences(words)
+    block = decontam.Items(list(range(4)), [seq.at(np.arange(a, b - 4), 5) for a, b in zip(offsets[:-1], offsets[1:])], 0.8)
+    want = {}
+    for t, w in enumerate(texts):
+        for i, p in enumerate(items):
+            g = Counter(tuple(p[j : j + 5]) for j in range(len(p) - 4))
+            for a in range(len(w) - len(p) + 1):
+                x = Counter(tuple(w[j : j + 5]) for j in range(a, a + len(p) - 4))
+                s = sum((x & g).values()) / sum((x | g).values())
+                if s >= 0.8:
+                    best, n = want.get((t, i), (0, 0))
+                    want[t, i] = max(best, s), n + 1
+    assert {(t, i): (s, n) for t, i, s, _, n in block.matches(pa.array([" ".join(w) for w in texts]))} == want
