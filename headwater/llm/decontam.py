@@ -1,6 +1,7 @@
 """Benchmark decontamination by item-sized windows.
 
-Each item is compared with every window of its own length in every document. Windows that share too few five-word
+Each item is compared with every window of its own length in every document. A document that is shorter than the item
+is one window, so that a truncated copy of an item is found by its whole text. Windows that share too few five-word
 shingles with an item to reach the similarity are ruled out by counting, which loses nothing. All others are verified
 by the exact weighted similarity: shared shingle weight over joint shingle weight, a shingle weighing as often as it
 occurs.
@@ -130,15 +131,16 @@ class Items:
                 hits[t, i].append((p, u))
         found = []
         for (t, i), h in sorted(hits.items()):
-            n = len(self.shingles[i])
-            need = math.ceil(2 * n * self.least / (1 + self.least) - 1e-9)
+            first, size = int(offsets[t]), len(self.shingles[i])
+            n = min(size, int(offsets[t + 1]) - first - WIDTH + 1)
+            last = int(offsets[t + 1]) - n - WIDTH + 1
+            need = math.ceil((n + size) * self.least / (1 + self.least) - 1e-9)
             if len(h) < need:
                 continue
-            first, last = int(offsets[t]), int(offsets[t + 1]) - n - WIDTH + 1
             best, where, windows = 0.0, 0, 0
             for a, shared in sliding(h, self.often[i], self._starts(h, need, n, first, last), n):
-                sim = shared / (2 * n - shared)
-                if sim >= self.least and (self.radius is None or i in self.near(int(simhash_rows(shingles, np.array([a]), n)[0]), n)):
+                sim = shared / (n + size - shared)
+                if sim >= self.least and (self.radius is None or i in self.near(int(simhash_rows(shingles, np.array([a]), n)[0]), size)):
                     windows += 1
                     if sim > best:
                         best, where = sim, a - first

@@ -615,3 +615,24 @@ def test_leaks_of_repeated_shingles():
                     best, n = want.get((t, i), (0, 0))
                     want[t, i] = max(best, s), n + 1
     assert {(t, i): (s, n) for t, i, s, _, n in block.matches(pa.array([" ".join(w) for w in texts]))} == want
+
+
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(13)
+    items = [[f"v{rng.randrange(3000)}" for _ in range(n)] for n in (5, 9, 38, 60)] + [["a"] * 30]
+    texts = [p[cut : len(p) - end] for p in items for cut in (0, 1, 3) for end in (0, 1, 2, 6, 7, 12)] + [["v1"] + items[2][:-3], items[3][:20] + ["edit"] + items[3][21:-1], items[2][:4]]
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    want = {}
+    for d, w in enumerate(texts):
+        for i, p in enumerate(items):
+            g, n = grams(p), min(len(p), len(w))
+            for a in range(len(w) - n + 1):
+                x = grams(w[a : a + n])
+                s = sum((x & g).values()) / sum((x | g).values())
+                if s >= 0.8:
+                    want[d, i] = max(want.get((d, i), 0), s)
+    assert any(len(texts[d]) < len(items[i]) for d, i in want)
+    bench = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(items)], "item_id long, text string")
+    rows = docs(spark, [" ".join(w) for w in texts])
+    assert {(r.doc_id, r.item_id): r.similarity for r in decontam.leak_report(rows, bench).collect()} == pytest.approx(want)
+    assert {r.doc_id for r in decontam.drop_leaks(rows, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
