@@ -8,6 +8,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headwater.operators.durable import durable
+from headwater.operators.feedback import accept_records
+
 
 def first_seen(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """The first row of each key in arrival order."""
@@ -61,6 +64,30 @@ def greedy_keys(df: DataFrame, group: str, order: str, keys: list[str]) -> DataF
     return df.repartition(group).sortWithinPartitions(group, order).mapInArrow(run, schema)
 
 
+def greedy_shared(df: DataFrame, order: str, keys: list[str]) -> DataFrame:
+    """As ``greedy_keys`` over all rows at once: every key counts in the whole frame, so a key of narrower scope holds its scope.
+
+    Null and blank keys are none. Rows of equal keys stand for one record, those records are decided in rounds, and a
+    row's reason is its first key that a kept row before it holds.
+    """
+    names = [f"__k{i}" for i in range(len(keys))]
+    record = F.struct(F.col(order).alias("o"), *names)
+    rows = df.withColumns({n: F.coalesce(F.col(k).cast("string"), F.lit("")) for n, k in zip(names, keys, strict=True)}).withColumn("__r", record)
+    rows = durable(rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__r").orderBy(order))))
+    held = [F.when(F.col(n) != "", F.concat(F.lit(f"{i}:"), F.col(n))) for i, n in enumerate(names)]
+    first = rows.groupBy(*names).agg(F.min("__r").alias("__r")).select("__r", F.explode(F.array_compact(F.array(*held))).alias("__e"))
+    first = durable(first)
+    kept = accept_records(first, "__r", "__e").where("accepted").select("__r")
+    owners = durable(first.join(kept, "__r").select("__e", F.col("__r").alias("__by")))
+    out, reason = rows, F.lit("")
+    for i, (n, k) in reversed(list(enumerate(zip(names, keys, strict=True)))):
+        of = owners.where(F.col("__e").startswith(f"{i}:")).select(F.substring("__e", len(f"{i}:") + 1, 1 << 30).alias(n), F.col("__by").alias(f"__by{i}"))
+        out = out.join(of, n, "left")
+        before = (F.col(f"__by{i}") < F.col("__r")) | ((F.col(f"__by{i}") == F.col("__r")) & (F.col("__nth") > 1))
+        reason = F.when(before, k).otherwise(reason)
+    return out.select(*df.columns, reason.alias("dropped_by"))
+
+
 def last_wins(df: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, the last in order: for lookups."""
     rest = [c for c in df.columns if c != key]

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from headwater.functions import dates, guards, html, ids, robots, rules, text
 from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, refresh, review, signals
+from headwater.plans import catalogue
 from headwater.sources import readers, sinks
 
 
@@ -160,6 +161,30 @@ def test_greedy_against_loop(spark):
     assert (got[200], got[201], got[202]) == ("", "h", "")
 
 
+def test_greedy_shared_against_loop(spark):
+    rng = random.Random(2)
+    pick = lambda n: rng.choice([None, "", *map(str, range(n))])
+    rows = [(i, f"g{i % 3}", pick(40), f"h{rng.randrange(40)}", pick(25)) for i in range(150)] + [(i, "z", "u", "same", None) for i in range(200, 240)] + [(7, "g1", None, None, "")] * 2 + [(300, "z", "x", "y", "w")] * 3
+    df = spark.createDataFrame(rows, "i int, g string, u string, h string, t string").withColumn("t", F.when(F.col("t") != "", F.concat_ws("/", "g", "t")))
+    got = sorted((r.i, r.dropped_by) for r in dedup.greedy_shared(df, "i", ["u", "h", "t"]).collect())
+    taken, want = (set(), set(), set()), []
+    for i, g, u, h, t in sorted(rows, key=lambda r: (r[0], r[2] or "", r[3] or "")):
+        values = (u, h, t and f"{g}/{t}")
+        reason = next((k for k, s, v in zip("uht", taken, values) if v and v in s), "")
+        if not reason:
+            for s, v in zip(taken, values):
+                s.add(v)
+        want.append((i, reason))
+    assert got == sorted(want)
+
+
+def test_greedy_query_sees_texts_of_other_sources(spark, tmp_path):
+    rows = [(1, "One text.", "a"), (2, "one TEXT", "b"), (3, "another text", "b"), (4, "another text", "a"), (5, "one text", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.dropped_by for r in catalogue.queries()["greedy_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: "", 2: "hash", 3: "", 4: "hash", 5: "hash"}
+
+
 def test_diff(spark):
     old = spark.createDataFrame([("keep", "a"), ("change", "a"), ("remove", None)], "id string, v string")
     new = spark.createDataFrame([("keep", "a"), ("change", None), ("add", "b"), ("add2", "b")], "id string, v string")
