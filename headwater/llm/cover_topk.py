@@ -150,8 +150,10 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     """(query_id, rank, vec_id, score): the k best rows of ``df`` for each row of ``queries``."""
     spark = df.sparkSession
     ints = as_integers(df, id_col, vector_col)
-    # equal vectors score alike: the k + 1 smallest ids are enough for any query
-    twin = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    # equal vectors score alike, and a query leaves out all rows of its id: the k + 1 smallest ids are enough for any query
+    one = Window.partitionBy("v", "id").orderBy("id")
+    ints = ints.withColumn("copy", F.row_number().over(one)).where(F.col("copy") <= k).drop("copy")
+    twin = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
     ints = durable(ints.withColumn("nth", twin).where(F.col("nth") <= k + 1).drop("nth"))
     asked = durable(as_integers(queries, id_col, vector_col).distinct())
     n = asked.count()

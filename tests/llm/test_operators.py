@@ -415,6 +415,17 @@ def test_topk(spark):
     assert cover_topk.topk_report(df.where("vec_id < 3")).count() == 2
 
 
+def test_topk_repeated_rows(spark):
+    v, w = [1.0, 2.0, 3.0], [1.0, 2.0, 2.5]
+    rows = [(100, v)] * 3 + [(i, v) for i in range(101, 111)] + [(200, w)] * 15 + [(201, w)] * 12 + [(300, [3.0, 0.0, 1.0])] + [(i, [0.5, 0.5, 0.5]) for i in range(400, 420)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = defaultdict(list)
+    for r in cover_topk.topk_report(df).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert [i for _, i, _ in got[100]] == list(range(101, 111))
+    assert dict(got) == brute_topk(rows)
+
+
 def test_cover_tree_invariants():
     x = np.random.default_rng(3).normal(size=(800, 6))
     t = cover_topk.CoverTree(x)
