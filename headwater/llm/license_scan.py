@@ -53,6 +53,7 @@ SPAN = T.StructType(
 )
 
 _SPACES = bytes(32 if b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
+_START = re.compile(r"(?<![^ ])[^ ]")
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
@@ -111,13 +112,12 @@ class Scanner:
             if k:
                 for lo, hi in self._candidates(joined, seeds, len(n.phrase), k):
                     part = joined[lo:hi].decode("utf-8", "replace")
-                    for m in pattern.finditer(part, overlapped=True):
-                        edits = sum(m.fuzzy_counts)
-                        a = lo + len(part[: m.start()].encode())
-                        if 0 < edits <= k and not any(abs(a - t) <= k + max(map(len, n.phrase.split())) for t in taken):
+                    for edits, start, end in self._places(part, pattern, k):
+                        a = lo + len(part[:start].encode())
+                        if edits and not any(abs(a - t) <= k + max(map(len, n.phrase.split())) for t in taken):
                             key = (joined.count(b" ", 0, a) - 1, n.label, n.phrase)
                             if key not in found or found[key][2] > edits:
-                                found[key] = (a, lo + len(part[: m.end()].encode()), edits, n)
+                                found[key] = (a, lo + len(part[:end].encode()), edits, n)
         if not found:
             return len(words), []
         places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -129,6 +129,19 @@ class Scanner:
             )
         return len(words), out
 
+    @staticmethod
+    def _places(part: str, pattern, k: int) -> list[tuple[int, int, int]]:
+        """(edits, start, end) of the places in a window; of places that overlap the one with fewest edits, then the first.
+
+        Every word is tried as a start: a search for the best match would pass over all places before it.
+        """
+        tried = [m for w in _START.finditer(part) if (m := pattern.match(part, w.start()))]
+        out: list[tuple[int, int, int]] = []
+        for edits, a, b in sorted((sum(m.fuzzy_counts), m.start(), m.end()) for m in tried):
+            if edits <= k and all(b <= c or d <= a for _, c, d in out):
+                out.append((edits, a, b))
+        return out
+
     @staticmethod
     def _candidates(joined: bytes, seeds, length: int, k: int) -> list[tuple[int, int]]:
         """Windows, widened to whole words and merged, that hold every place with at most k edits."""

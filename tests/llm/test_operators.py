@@ -97,6 +97,33 @@ def test_license_fuzzy_against_brute_force():
         assert bool(scanner.spans(text)[1]) == near, text
 
 
+def test_license_notices_close_together():
+    scanner = license_scan.Scanner()
+    starts = lambda t: [(s["label"], s["word"], s["edits"]) for s in scanner.spans(t)[1]]
+    assert starts("licensed undxr thx mit license licensed under the mit licens") == [("mit", 1, 2), ("mit", 6, 1)]
+    assert starts("undxr the mit license under the mit license") == [("mit", 0, 1), ("mit", 4, 0)]
+    rng = random.Random(5)
+    phrases = ("under the mit license", "apache license version 2")
+    labels = dict(zip(phrases, ("mit", "apache-2")))
+    for _ in range(60):
+        words, want = [], []
+        for _ in range(rng.randrange(2, 9)):
+            phrase, n = rng.choice(phrases), rng.randrange(3)
+            open_ = [i for i, c in enumerate(phrase) if c not in " mit2"]
+            at = rng.sample(open_, n)
+            want.append((labels[phrase], len(words), n))
+            words += "".join("q" if i in at else c for i, c in enumerate(phrase)).split() + ["filler"] * rng.randrange(3)
+        text = " ".join(words)
+        brute = []
+        for phrase, label in labels.items():
+            need = {"mit", "2"} & set(phrase.split())
+            for a in range(len(words)):
+                cost = edit_distance(" ".join(words[a : a + 4]), phrase)
+                if cost <= 2 and need <= set(words[a : a + 4]):
+                    brute.append((label, a, cost))
+        assert starts(text) == sorted(brute, key=lambda x: (x[1], x[0])) == want
+
+
 def test_license_spans_are_positions():
     text = "É (c) Under the MIT-License!"
     _, spans = license_scan.Scanner().spans(text)
