@@ -426,8 +426,8 @@ def dup_title_flag(spark, sf):
 
 @query()
 def greedy_dedup(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "source", F.sha2("t", 256).alias("hash"), F.concat_ws("\n", "source", F.substring("t", 1, 24)).alias("head"))
-    return dedup.greedy_shared(d, "doc_id", ["hash", "head"]).select("doc_id", "dropped_by")
+    d = _docs(spark, sf).select("doc_id", "source", F.sha2("t", 256).alias("hash"), F.sha2(F.concat_ws("\n", "source", "t"), 256).alias("title"))
+    return dedup.greedy_shared(d, "doc_id", ["hash", "title"]).select("doc_id", "dropped_by")
 
 
 @query(f"WITH {_URL}, r AS (SELECT url, page_id, row_number() OVER (PARTITION BY lower(url) ORDER BY page_id) AS k FROM n) SELECT url AS value, CAST(page_id AS BIGINT) AS pos FROM r WHERE k = 1 ORDER BY page_id LIMIT 20")

@@ -185,6 +185,14 @@ def test_greedy_query_sees_texts_of_other_sources(spark, tmp_path):
     assert got == {1: "", 2: "hash", 3: "", 4: "hash", 5: "hash"}
 
 
+def test_greedy_query_keeps_texts_that_only_open_alike(spark, tmp_path):
+    head = "the same twenty four letters and more "
+    rows = [(1, head + "one", "a"), (2, head + "two", "a"), (3, head.upper() + "ONE!", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.dropped_by for r in catalogue.queries()["greedy_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: "", 2: "", 3: "hash"}
+
+
 def test_diff(spark):
     old = spark.createDataFrame([("keep", "a"), ("change", "a"), ("remove", None)], "id string, v string")
     new = spark.createDataFrame([("keep", "a"), ("change", None), ("add", "b"), ("add2", "b")], "id string, v string")
