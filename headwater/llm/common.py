@@ -48,11 +48,20 @@ def checked_broadcast(spark: SparkSession, value, n_bytes: int):
     return spark.sparkContext.broadcast(value)
 
 
-def whole_texts(spark: SparkSession, rows: int = 2000) -> None:
-    """Keep Arrow batches of whole texts small, unless the session has set a size of its own."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, str(rows))
+def col(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names that no column of ``df`` has, in any case, made from the given ones."""
+    held, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in held:
+            n += "_"
+        held.add(n.lower())
+        out.append(n)
+    return out
 
 
 def map_text(
@@ -61,14 +70,13 @@ def map_text(
     """Append ``fields`` computed from whole texts, Arrow batch by Arrow batch, beside the ``keep`` columns.
 
     ``per_batch(texts[, state])`` returns one list per field. ``state`` comes from ``start()``, once per task.
-    A kept column whose name equals a new field's name is dropped in favour of the new field. Null texts arrive
-    as ''.
+    A kept column whose name equals a new field's name, in any case, is dropped in favour of the new field. Null texts
+    arrive as ''. Spark bounds a batch by ``spark.sql.execution.arrow.maxBytesPerBatch`` (64 MB) as well as by rows.
     """
-    whole_texts(df.sparkSession)
-    names = {f.name for f in fields}
-    keep = [c for c in keep if c not in names]
-    src = df.select(*[F.col(f"`{c}`") for c in keep], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
-    schema = T.StructType([src.schema[c] for c in keep] + fields)
+    names = {f.name.lower() for f in fields}
+    keep = [c for c in keep if c.lower() not in names]
+    src = df.select(*map(col, keep), F.coalesce(col(text_col).cast("string"), F.lit("")).alias(spare(df, "text")[0]))
+    schema = T.StructType(src.schema.fields[: len(keep)] + fields)
     from pyspark.sql.pandas.types import to_arrow_type
 
     types = [to_arrow_type(f.dataType) for f in fields]

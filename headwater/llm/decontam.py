@@ -1,18 +1,23 @@
-"""Benchmark decontamination by item-sized windows.
+"""Benchmark decontamination by SimHash fingerprints of item-sized windows.
 
 Each item is compared with every window of its own length in every document. A document that is shorter than the item
-is one window, so that a truncated copy of an item is found by its whole text. Windows that share too few five-word
-shingles with an item to reach the similarity are ruled out by counting, which loses nothing. All others are verified
-by the exact weighted similarity: shared shingle weight over joint shingle weight, a shingle weighing as often as it
-occurs.
-
-Given a ``radius``, only windows whose 64-bit SimHash is that near an item's are verified. The items' fingerprints are
-indexed by ``radius + 1`` bit blocks, so that every item within the radius agrees with a window on at least one whole
-block. This loses matches whose fingerprints lie further apart, so no query sets it.
+is one window, so that a truncated copy of an item is found by its whole text. Windows that hold fewer shingles of items
+of that length than a match needs are no match of any; all others get a 64-bit SimHash, and the fingerprint index names the
+items to compare. These are verified by the exact weighted similarity: shared shingle weight over joint shingle weight, a
+shingle weighing as often as it occurs.
+
+The radius of an item follows from the similarity, so that no match lies beyond it. A window of ``w`` shingles that
+matches an item of ``n`` shares at least ``s = (w + n) * least / (1 + least)`` of them; if ``o`` of the item's shingles have a
+bit set, between ``o - (n - s)`` and ``o + (w - s)`` of the window's have it. Where both ends have the majority on one side, the
+bit is firm: it is the same in all matches. An item's fingerprints are those that differ in the other bits alone. The
+fingerprint is cut into blocks of four bits, and every block lists, for each of its values, the items that have it
+within their radius; the items of a window are those that all its blocks list. Given a ``radius``, items within that
+Hamming distance are compared instead, found by ``radius + 1`` blocks of which one must be equal; that can lose matches.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Items of fewer than five words take no part; null items and
-texts have no words. Items with one text under several ids each match. Items reach the executors in blocks of at
-most ``BLOCK_ITEMS``, documents stay where they are: there is no exchange.
+texts have no words. Items with one text under several ids each match. Items reach the executors in blocks of at most
+``BLOCK_BYTES`` (an item larger than that is a block of its own, no larger than a document that could match it); each
+block is one pass over the documents, which stay where they are: there is no exchange.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, whole_texts
+from headwater.llm.common import checked_broadcast, col
 from headwater.llm.words import Sequences, hashed_words
 
 WIDTH, LEAST = 5, 0.8
-BLOCK_ITEMS = 4096
+#: Bytes of a block of items, some ITEM_BYTES for each and SHINGLE_BYTES for each of its words.
+BLOCK_BYTES, ITEM_BYTES, SHINGLE_BYTES = 32 << 20, 800, 64
+#: Windows fingerprinted at a time, and shingles unpacked at a time.
+WINDOWS, UNPACKED = 8192, 1 << 16
 
 
 def bit_blocks(radius: int) -> list[tuple[int, int]]:
@@ -40,15 +48,31 @@ def bit_blocks(radius: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
-def simhash_rows(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    """Fingerprints of the runs of ``n`` shingles that begin at ``starts``."""
-    lo, hi = int(starts.min()), int(starts.max()) + n
-    bits = np.unpackbits(np.ascontiguousarray(shingles[lo:hi]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    sums = np.concatenate([np.zeros((1, 64), np.int64), np.cumsum(bits, axis=0, dtype=np.int64)])
-    ones = sums[starts - lo + n] - sums[starts - lo]
+def bit_counts(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """How many of the ``n`` shingles from each of the ascending ``starts`` on have each of the 64 bits set."""
+    asked, where = np.unique(np.concatenate([starts, starts + n]), return_inverse=True)
+    sums = np.zeros((len(asked), 64), np.int32)  # of all shingles before the place asked for
+    total, done = np.zeros(64, np.int32), 0
+    for lo in range(int(asked[0]), int(asked[-1]), UNPACKED):
+        hi = min(lo + UNPACKED, int(asked[-1]))
+        bits = np.unpackbits(np.ascontiguousarray(shingles[lo:hi]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        sum_ = np.cumsum(bits, axis=0, dtype=np.int32) + total
+        end = int(np.searchsorted(asked, hi, side="right"))
+        mine = asked[done:end]
+        sums[done:end] = np.where((mine > lo)[:, None], sum_[np.maximum(mine - lo - 1, 0)], total)
+        total, done = sum_[-1], end
+    return sums[where[len(starts) :]] - sums[where[: len(starts)]]
+
+
+def majority(ones: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(2 * ones > n, axis=1, bitorder="little").view(np.uint64).ravel()
 
 
+def simhash_rows(shingles: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
+    """Fingerprints of the runs of ``n`` shingles that begin at the ascending ``starts``."""
+    return np.concatenate([majority(bit_counts(shingles, starts[k : k + WINDOWS], n), n) for k in range(0, len(starts), WINDOWS)])
+
+
 def sliding(hits: list[tuple[int, int]], often: dict[int, int], starts: Iterable[int], n: int) -> Iterator[tuple[int, int]]:
     """(first shingle, weight shared with the item) of the windows of ``n`` shingles at ascending ``starts``.
 
@@ -69,119 +93,194 @@ def sliding(hits: list[tuple[int, int]], often: dict[int, int], starts: Iterable
         yield a, shared
 
 
-@dataclass
 class Items:
-    """A block of items with its shingle and fingerprint indexes."""
-
-    ids: list
-    shingles: list[np.ndarray]
-    least: float
-    radius: int | None = None
-    fps: np.ndarray = field(init=False)
-
-    def __post_init__(self):
-        owners = defaultdict(set)
-        for i, s in enumerate(self.shingles):
-            for h in s.tolist():
-                owners[h].add(i)
-        self.known = np.array(sorted(owners), np.uint64)
-        self.owners = [sorted(owners[h]) for h in self.known.tolist()]
+    """A block of items with its fingerprint index."""
+
+    def __init__(self, ids: list, shingles: list[np.ndarray], least: float = LEAST, radius: int | None = None):
+        self.ids, self.least, self.radius = ids, least, radius
+        self.size = np.array([len(s) for s in shingles], np.int64)
+        flat = np.concatenate([np.zeros(0, np.uint64), *shingles])
+        self.known, code = np.unique(flat, return_inverse=True)
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-        codes = [np.unique(np.searchsorted(self.known, s), return_counts=True) for s in self.shingles]
-        self.often = [dict(zip(u[c > 1].tolist(), c[c > 1].tolist(), strict=True)) for u, c in codes]
-        self.fps = np.zeros(0, np.uint64)
-        self.blocks, self.index = [], {}
-        if self.radius is None:
-            return
-        self.fps = np.array([simhash_rows(s, np.array([0]), len(s))[0] for s in self.shingles], np.uint64)
-        self.blocks = bit_blocks(self.radius)
-        self.index = defaultdict(set)
-        for i, fp in enumerate(self.fps.tolist()):
-            for b, (lo, hi) in enumerate(self.blocks):
-                self.index[b, fp >> lo & (1 << hi - lo) - 1, len(self.shingles[i])].add(i)
-        self.index = dict(self.index)
+        owner, every = np.repeat(np.arange(len(self.size)), self.size), np.arange(len(self.known) + 1)
+        # for every known shingle the items that hold it, and their lengths
+        pair = np.unique(code * max(1, len(self.size)) + owner)
+        self.owners, self.owner_from = (pair % max(1, len(self.size))).astype(np.int32), np.searchsorted(pair // max(1, len(self.size)), every)
+        pair = np.unique(np.stack([code, self.size[owner]], axis=1), axis=0)
+        self.lengths, self.length_from = pair[:, 1], np.searchsorted(pair[:, 0], every)
+        ends = np.cumsum(self.size)
+        self.codes = [code[b - n : b].astype(np.int32) for n, b in zip(self.size, ends, strict=True)]
+        self.ones = np.concatenate([np.zeros((0, 64), np.int32), *[bit_counts(flat, np.array([b - n]), int(n)) for n, b in zip(self.size, ends, strict=True)]])
+        self.fps = majority(self.ones, self.size[:, None])
+        self.of_size = {int(n): np.flatnonzero(self.size == n) for n in np.unique(self.size)}
+        self.nth = np.zeros(len(self.size), np.int64)  # an item's place among those of its length
+        for mine in self.of_size.values():
+            self.nth[mine] = np.arange(len(mine))
+        self._index: dict = {}
 
     @property
     def n_bytes(self) -> int:
-        return self.sieve.nbytes + 200 * sum(map(len, self.shingles)) + 300 * len(self.blocks) * len(self.ids)
+        held = (self.known, self.sieve, self.owners, self.owner_from, self.lengths, self.length_from, self.ones, self.fps, *self.codes)
+        return sum(x.nbytes for x in held) + 200 * len(self.ids)
+
+    def need(self, n: int, w: int) -> int:
+        """The least weight that a match of an item of ``n`` and a window of ``w`` shingles shares."""
+        return math.ceil((n + w) * self.least / (1 + self.least) - 1e-9)
+
+    def _blocks(self, n: int, w: int) -> list[list[int]]:
+        """For each block of four bits and each value the items of ``n`` shingles that list it, as a set of bits."""
+        if len(self._index) > 1024:
+            self._index.clear()
+        if (n, w) not in self._index:
+            mine, spare = self.of_size[n], self.need(n, w)
+            ones = self.ones[mine]
+            may = np.stack([2 * (ones - (n - spare)) <= w, 2 * (ones + (w - spare)) > w])  # the bit can be 0, can be 1
+            table = [[0] * 16 for _ in range(16)]
+            for b in range(16):
+                for value in range(16):
+                    fits = np.logical_and.reduce([may[value >> k & 1, :, 4 * b + k] for k in range(4)])
+                    table[b][value] = int.from_bytes(np.packbits(fits, bitorder="little").tobytes(), "little")
+            self._index[n, w] = table
+        return self._index[n, w]
 
     def near(self, fp: int, n: int) -> set[int]:
-        """Items of n shingles whose fingerprint is within the radius."""
-        met = set().union(*(self.index.get((b, fp >> lo & (1 << hi - lo) - 1, n), ()) for b, (lo, hi) in enumerate(self.blocks)))
+        """Items of n shingles whose fingerprint is within the given radius."""
+        if None not in self._index:
+            index = defaultdict(set)
+            for i, f in enumerate(self.fps.tolist()):
+                for b, (lo, hi) in enumerate(bit_blocks(self.radius)):
+                    index[b, f >> lo & (1 << hi - lo) - 1, int(self.size[i])].add(i)
+            self._index[None] = index
+        index = self._index[None]
+        met = set().union(*(index.get((b, fp >> lo & (1 << hi - lo) - 1, n), ()) for b, (lo, hi) in enumerate(bit_blocks(self.radius))))
         return {i for i in met if (int(self.fps[i]) ^ fp).bit_count() <= self.radius}
 
+    def candidates(self, fp: int, n: int, w: int) -> int:
+        """The items of ``n`` shingles that a window of ``w`` with this fingerprint can match, as a set of bits."""
+        if self.radius is not None:
+            return sum(1 << int(self.nth[i]) for i in self.near(fp, n))
+        met = -1
+        for b, row in enumerate(self._blocks(n, w)):
+            met &= row[fp >> 4 * b & 15]
+            if not met:
+                break
+        return met
+
+    def _sharing(self, code: np.ndarray, n: int, least: int) -> int:
+        """The items of ``n`` shingles that hold so many of the coded ones, as a set of bits."""
+        many = self.owner_from[code + 1] - self.owner_from[code]
+        at = np.repeat(self.owner_from[code] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        who, often = np.unique(self.owners[at], return_counts=True)
+        return sum(1 << k for k in self.nth[who[(often >= least) & (self.size[who] == n)]].tolist())
+
     def matches(self, texts: pa.Array) -> list[tuple[int, int, float, int, int]]:
         """(text's number, item's number, similarity, first word, windows) of every item that a text holds; best window."""
         words, offsets = hashed_words(texts, lower=True)
         if len(words) < WIDTH or not len(self.known):
             return []
-        at = np.arange(len(words) - WIDTH + 1)
-        shingles = Sequences(words).at(at, WIDTH)
+        shingles = Sequences(words).at(np.arange(len(words) - WIDTH + 1), WIDTH)
         seen = np.flatnonzero(self.sieve[(shingles & np.uint64((1 << 20) - 1)).astype(np.int64)])
-        place = np.searchsorted(self.known, shingles[seen])
-        place[place == len(self.known)] = 0
-        real = self.known[place] == shingles[seen]
-        seen, place = seen[real], place[real]
+        code = np.searchsorted(self.known, shingles[seen])
+        code[code == len(self.known)] = 0
+        real = self.known[code] == shingles[seen]
+        seen, code = seen[real], code[real]
         text = np.searchsorted(offsets, seen, side="right") - 1
         inside = seen + WIDTH <= offsets[text + 1]
-        hits = defaultdict(list)
-        for p, u, t in zip(seen[inside].tolist(), place[inside].tolist(), text[inside].tolist(), strict=True):
-            for i in self.owners[u]:
-                hits[t, i].append((p, u))
+        seen, code, text = seen[inside], code[inside], text[inside]
+        # one row for each length of the items that hold a shingle
+        many = self.length_from[code + 1] - self.length_from[code]
+        at = np.repeat(np.arange(len(seen)), many)
+        size = self.lengths[np.repeat(self.length_from[code] - (np.cumsum(many) - many), many) + np.arange(len(at))]
+        order = np.lexsort((seen[at], size, text[at]))
+        at, size = at[order], size[order]
+        key = text[at]
+        cuts = np.concatenate([[0], np.flatnonzero((np.diff(key) != 0) | (np.diff(size) != 0)) + 1, [len(at)]]) if len(at) else np.zeros(1, np.int64)
         found = []
-        for (t, i), h in sorted(hits.items()):
-            first, size = int(offsets[t]), len(self.shingles[i])
-            n = min(size, int(offsets[t + 1]) - first - WIDTH + 1)
-            last = int(offsets[t + 1]) - n - WIDTH + 1
-            need = math.ceil((n + size) * self.least / (1 + self.least) - 1e-9)
-            if len(h) < need:
-                continue
-            best, where, windows = 0.0, 0, 0
-            for a, shared in sliding(h, self.often[i], self._starts(h, need, n, first, last), n):
-                sim = shared / (n + size - shared)
-                if sim >= self.least and (self.radius is None or i in self.near(int(simhash_rows(shingles, np.array([a]), n)[0]), size)):
-                    windows += 1
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            t, n = int(key[lo]), int(size[lo])
+            first, held = int(offsets[t]), int(offsets[t + 1] - offsets[t]) - WIDTH + 1
+            w = min(n, held)
+            if hi - lo >= self.need(n, w):
+                group = at[lo:hi]
+                found += [(t, *m) for m in self._compare(shingles, seen[group], code[group], n, w, first, first + held - w)]
+        return sorted(found)
+
+    def _compare(self, shingles: np.ndarray, seen: np.ndarray, code: np.ndarray, n: int, w: int, first: int, last: int) -> list[tuple[int, float, int, int]]:
+        """Matches of the items of ``n`` shingles with the windows of ``w`` that begin from ``first`` to ``last``."""
+        starts = np.fromiter(self._starts(seen.tolist(), self.need(n, w), w, first, last), np.int64)
+        if not len(starts):
+            return []
+        fps, which = np.unique(simhash_rows(shingles, starts, w), return_inverse=True)
+        windows, shared = defaultdict(list), self._sharing(code, n, self.need(n, w))
+        for k, fp in enumerate(fps.tolist()):
+            met = self.candidates(fp, n, w) & shared
+            while met:
+                windows[int(self.of_size[n][(met & -met).bit_length() - 1])].append(k)
+                met &= met - 1
+        out = []
+        for i, ks in windows.items():
+            mine = np.isin(code, self.codes[i])
+            codes, often = np.unique(self.codes[i], return_counts=True)
+            often = dict(zip(codes[often > 1].tolist(), often[often > 1].tolist(), strict=True))
+            best, where, count = 0.0, 0, 0
+            for a, shared in sliding(list(zip(seen[mine].tolist(), code[mine].tolist(), strict=True)), often, starts[np.isin(which, ks)].tolist(), w):
+                sim = shared / (w + n - shared)
+                if sim >= self.least:
+                    count += 1
                     if sim > best:
                         best, where = sim, a - first
-            if windows:
-                found.append((t, i, best, where, windows))
-        return found
+            if count:
+                out.append((i, best, where, count))
+        return out
 
     @staticmethod
-    def _starts(hits: list[tuple[int, int]], need: int, n: int, first: int, last: int) -> Iterator[int]:
+    def _starts(hits: list[int], need: int, n: int, first: int, last: int) -> Iterator[int]:
         """The windows from ``first`` to ``last`` with ``need`` hits at least, in order."""
         done = first - 1
-        for (a, _), (b, _) in zip(hits, hits[need - 1 :]):
+        for a, b in zip(hits, hits[need - 1 :]):
             if b - a < n:
                 end = min(a, last)
                 yield from range(max(done + 1, b - n + 1), end + 1)
                 done = max(done, end)
 
 
-def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int | None = None, block_items: int = BLOCK_ITEMS) -> list[Items]:
-    """The items in blocks of about ``block_items``, read block by block."""
-    rows = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where(F.col("item_id").isNotNull()).distinct()
-    n = max(1, math.ceil(rows.count() / block_items))
-    out = []
-    for b in range(n):
-        got = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).orderBy("item_id", "text").collect()
-        words, offsets = hashed_words(pa.array([r.text for r in got], pa.string()), lower=True)
+def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int | None = None, block_bytes: int = BLOCK_BYTES) -> Iterator[Items]:
+    """The items in blocks of at most ``block_bytes``, one at a time on the driver."""
+    rows = benchmark.select(col("item_id").alias("i"), F.coalesce(col("text"), F.lit("")).alias("t")).where("i IS NOT NULL").distinct().orderBy("i", "t")
+
+    def block(held: list) -> Items:
+        return Items([i for i, _ in held], [s for _, s in held], least, radius)
+
+    held, n_bytes, stream = [], 0, rows.toLocalIterator()
+    while some := list(islice(stream, 256)):
+        words, at = hashed_words(pa.array([r.t for r in some], pa.string()), lower=True)
         seq = Sequences(words)
-        spans = [(r.item_id, int(a), int(b)) for r, a, b in zip(got, offsets[:-1], offsets[1:], strict=True) if b - a >= WIDTH]
-        out.append(Items([i for i, _, _ in spans], [seq.at(np.arange(a, b - WIDTH + 1), WIDTH) for _, a, b in spans], least, radius))
-    return out
+        for r, a, b in zip(some, at[:-1].tolist(), at[1:].tolist(), strict=True):
+            more = ITEM_BYTES + SHINGLE_BYTES * (b - a)
+            if b - a < WIDTH:
+                continue
+            if held and n_bytes + more > block_bytes:
+                yield block(held)
+                held, n_bytes = [], 0
+            held.append((r.i, seq.at(np.arange(a, b - WIDTH + 1), WIDTH)))
+            n_bytes += more
+    yield block(held)
+
+
+def _broadcast(spark, items: Items):
+    """A block on the executors; a lone item is bounded by the documents that can match it and not by a number."""
+    return spark.sparkContext.broadcast(items) if len(items.ids) == 1 else checked_broadcast(spark, items, items.n_bytes)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, item_id, similarity, first_word, n_windows): one row for each item that a document holds."""
-    whole_texts(docs.sparkSession)
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    src = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     kinds = [docs.schema[id_col].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
     out = None
     for items in item_blocks(benchmark, **options):
-        shared = checked_broadcast(spark, items, items.n_bytes)
+        shared = _broadcast(spark, items)
 
         def run(batches, shared=shared):
             for b in batches:
@@ -203,12 +302,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that hold no item, with all their columns."""
-    whole_texts(docs.sparkSession)
-    spark, cols = docs.sparkSession, docs.columns
-    at = cols.index(text_col)
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
     out = docs
     for items in item_blocks(benchmark, **options):
-        shared = checked_broadcast(spark, items, items.n_bytes)
+        shared = _broadcast(spark, items)
 
         def run(batches, shared=shared):
             for b in batches:

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -674,3 +675,67 @@ def test_leaks_of_documents_shorter_than_the_item(spark):
     rows = docs(spark, [" ".join(w) for w in texts])
     assert {(r.doc_id, r.item_id): r.similarity for r in decontam.leak_report(rows, bench).collect()} == pytest.approx(want)
     assert {r.doc_id for r in decontam.drop_leaks(rows, bench).collect()} == set(range(len(texts))) - {d for d, _ in want}
+
+
+def _blocks_of(items):
+    words, offsets = decontam.hashed_words(pa.array([" ".join(p) for p in items]), lower=True)
+    seq = decontam.Sequences(words)
+    return [seq.at(np.arange(a, b - 4), 5) for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def test_leaks_fingerprint_index_loses_no_match():
+    """Recall 1 of the derived radius over edits of all kinds; the index rules items out."""
+    rng = random.Random(21)
+    items = [[f"w{rng.getrandbits(40)}" if k % 3 else f"w{rng.randrange(6)}" for _ in range(rng.choice((9, 20, 38, 60, 100)))] for k in range(1200)]
+    texts, want = [], set()
+    grams = lambda w: Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    for k, p in enumerate(items):
+        w = list(p)
+        at = rng.randrange(len(w))
+        size = rng.randrange(0, max(2, len(w) // 9))
+        w[at : at + size] = rng.choice([[], ["run"] * size, [f"e{rng.random()}" for _ in range(size)]])
+        texts.append(" ".join(w))
+        x, g = grams(w) if len(w) >= 5 else Counter(), grams(p)
+        if len(w) <= len(p) and sum((x & g).values()) / sum((x | g).values()) >= 0.8:
+            want.add((k, k))
+    block = decontam.Items(list(range(len(items))), _blocks_of(items), 0.8)
+    assert len(want) > 300
+    assert want <= {(t, i) for t, i, *_ in block.matches(pa.array(texts))}
+    small = [block.candidates(rng.getrandbits(64), 34, 34).bit_count() for _ in range(200)]
+    assert len(block.of_size[34]) > 50 and sum(small) < 0.1 * 200 * len(block.of_size[34])
+
+
+def test_leaks_firm_bits_bound_the_fingerprints():
+    """Every window that reaches the similarity has a fingerprint that the index lists for the item."""
+    rng = np.random.default_rng(22)
+    for n in (1, 4, 9, 33, 96):
+        item = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        block = decontam.Items([0], [item], 0.8)
+        for w in range(math.ceil(0.8 * n), n + 1):
+            shared = block.need(n, w)
+            if shared <= w:
+                for _ in range(20):
+                    window = np.concatenate([rng.choice(item, shared, replace=False), np.repeat(rng.integers(0, 2**63, 1).astype(np.uint64), w - shared)])
+                    assert block.candidates(int(decontam.simhash_rows(window, np.array([0]), w)[0]), n, w) == 1
+
+
+def test_leaks_of_a_large_benchmark(spark, monkeypatch):
+    rng = random.Random(23)
+    items = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(100)) for _ in range(6000)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = ["x " * 50 + items[k] + " y" * 30 for k in (0, 17, 4095, 4096, 5999)] + ["nothing of the kind " * 40]
+    want = {(0, 0), (1, 17), (2, 4095), (3, 4096), (4, 5999)}
+    assert len(list(decontam.item_blocks(bench))) == 2
+    assert {(r.doc_id, r.item_id) for r in decontam.leak_report(docs(spark, texts), bench).collect()} == want
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", 3000)  # every item is larger than a block
+    few = bench.where("item_id < 20")
+    assert len(list(decontam.item_blocks(few, block_bytes=3000))) == 20
+    assert {r.doc_id for r in decontam.drop_leaks(docs(spark, texts), few, block_bytes=3000).collect()} == {2, 3, 4, 5}
+
+
+def test_bit_counts_over_pieces(monkeypatch):
+    monkeypatch.setattr(decontam, "UNPACKED", 7)
+    x = np.random.default_rng(1).integers(0, 2**63, 100).astype(np.uint64)
+    bits = np.array([[int(v) >> b & 1 for b in range(64)] for v in x])
+    starts = np.array([0, 3, 4, 20, 21, 60, 80])
+    assert (decontam.bit_counts(x, starts, 15) == [bits[a : a + 15].sum(0) for a in starts]).all()
