@@ -1,105 +1,141 @@
 """Exact top-k inner-product search with cover trees over queries and data together.
 
-A bounded sample of rows serves as the trees' common top level: queries and data alike belong to their nearest
-pivot, and rows of one pivot stay together. Every task builds cover trees below that level: centres are chosen
-farthest first, until all points lie within half the node's radius of one; centres are then at least that far
-apart. Queries go out in blocks of at most ``BLOCK_QUERIES`` with their own tree. A pair of nodes is left out if
-c_q c_d + |c_q| R_d + |c_d| R_q + R_q R_d, which no pair of its points exceeds, is below the worst k-th score in the
-query node; the k-th scores start from the sample and rise from task to task within a partition.
+A bounded sample of rows serves as the trees' common top level: queries and data alike belong to their nearest pivot.
+Data ordered by pivot fall into blocks of bounded bytes, queries into groups; each block and each group has a cover tree.
+A node of radius R has centres as children that are more than R / 2 apart and within R / 2 of all its points; the first
+child's centre is its own. A node whose points would need more centres than ``FAN``, or than half its points,
+is a leaf. A pair of nodes is left out if c_q c_d + |c_q| R_d + |c_d| R_q + R_q R_d, which no pair of its points exceeds, is
+below the worst k-th score in the query node. The k-th scores start from the sample, so whole blocks can be left out before
+a group is sent there, and rise as a block is searched.
+
+A group of queries is sent to the blocks that it needs, and each task holds one block and one group at a time: nothing
+that grows with the tables is collected or broadcast, and the data are read once however many queries there are.
 
 Components become floor(1024 x) as integers; products are integers and exact. Vectors that are null or hold a null
-or a non-finite component take no part. Missing components of shorter vectors count as zero. Of equal vectors the
-k + 1 of the smallest ids can matter and are kept. A candidate is a row of another id. Ties go to the smaller id.
-Empty tables give no rows.
+or a non-finite component take no part. Missing components of shorter vectors count as zero. Vectors so long that a score
+could leave 64 bits (a squared norm of 2**62 or more) are refused with a ValueError. Of equal vectors the k + 1 of the
+smallest ids can matter and are kept. A candidate is a row of another id. Ties go to the smaller id. Empty tables give
+no rows.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headwater.llm.common import checked_broadcast, durable
+from headwater.llm.common import BROADCAST_BYTES, checked_broadcast, col, durable
 
 SCALE = 1024
 #: Below every score.
 NONE = -(2**62)
-LEAF, FAN, TREE_ROWS = 48, 8, 4096
-SAMPLE, BLOCK_QUERIES = 512, 4096
+#: Points of a node of data and of queries that is not split, most children of a node, points on which a split is tried first, points multiplied at a time.
+LEAF, QUERY_LEAF, FAN, TRIED, SLICE = 32, 4, 256, 1024, 2048
+PIVOTS = 512
+#: Bytes of the sample, of a block of data, of a group of queries and of a row that carries a part of either.
+SAMPLE_BYTES, BLOCK_BYTES, GROUP_BYTES = 4 << 20, 32 << 20, 1 << 19
+#: Rows of a block at least, as far as there are partitions.
+BLOCK_ROWS = 2048
+
+
+def spread(x: np.ndarray, reach: float, most: int) -> tuple[list[int], np.ndarray] | None:
+    """(centres, each point's centre): farthest first from point 0 on, until all lie within reach; None beyond so many centres."""
+    owner, centres = np.zeros(len(x), np.int64), [0]
+    dist = np.linalg.norm(x - x[0], axis=1)
+    while dist.max() > reach:
+        if len(centres) >= most:
+            return None
+        far = int(dist.argmax())
+        d = np.linalg.norm(x - x[far], axis=1)
+        closer = d < dist
+        owner[closer], dist = len(centres), np.minimum(d, dist)
+        centres.append(far)
+    return centres, owner
 
 
 class CoverTree:
-    """Nodes hold points ``order[lo:hi]``, a centre and a covering radius."""
+    """Nodes hold points ``order[lo:hi]``, a centre (the first of them) and a covering radius."""
 
-    def __init__(self, x: np.ndarray):
-        self.x, self.order = x, np.arange(len(x))
+    def __init__(self, x: np.ndarray, leaf: int = LEAF):
+        self.x, self.order, self.leaf = x, np.arange(len(x)), leaf
         self.centre, self.radius, self.lo, self.hi, self.children = [], [], [], [], []
-        if len(x):
-            self._build(0, len(x))
+        open_ = [self._node(0, len(x))] if len(x) else []
+        while open_:
+            me = open_.pop()
+            self.children[me] = [self._node(lo, hi) for lo, hi in self._split(self.lo[me], self.hi[me], self.radius[me])]
+            open_ += self.children[me]
         self.norm = [float(np.linalg.norm(c)) for c in self.centre]
 
-    def _build(self, lo: int, hi: int) -> int:
-        me = len(self.lo)
+    def _node(self, lo: int, hi: int) -> int:
         pts = self.x[self.order[lo:hi]]
-        centre = pts[0]
-        dist = np.linalg.norm(pts - centre, axis=1)
-        radius = float(dist.max())
-        for column, v in zip((self.centre, self.radius, self.lo, self.hi, self.children), (centre, radius, lo, hi, []), strict=True):
+        for column, v in zip((self.centre, self.radius, self.lo, self.hi, self.children), (pts[0], float(np.linalg.norm(pts - pts[0], axis=1).max()), lo, hi, []), strict=True):
             column.append(v)
-        if hi - lo <= LEAF or radius == 0:
-            return me
-        owner, centres = np.zeros(hi - lo, np.int64), [0]
-        while len(centres) < FAN and dist.max() > radius / 2:
-            far = int(dist.argmax())
-            d = np.linalg.norm(pts - pts[far], axis=1)
-            closer = d < dist
-            owner[closer], dist = len(centres), np.minimum(d, dist)
-            centres.append(far)
-        # a child's first point is its centre
+        return len(self.lo) - 1
+
+    def _split(self, lo: int, hi: int, radius: float) -> list[tuple[int, int]]:
+        most = min(FAN, (hi - lo) // 2)
+        if hi - lo <= self.leaf or radius == 0:
+            return []
+        pts = self.x[self.order[lo:hi]]
+        if hi - lo > TRIED and spread(pts[:: (hi - lo) // TRIED], radius / 2, most) is None:
+            return []
+        got = spread(pts, radius / 2, most)
+        if got is None:
+            return []
+        centres, owner = got
         rank = np.ones(hi - lo, np.int64)
-        rank[centres] = 0
-        by = np.lexsort((rank, owner))
-        self.order[lo:hi] = self.order[lo:hi][by]
-        ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(centres)))])
-        self.children[me] = [self._build(lo + int(a), lo + int(b)) for a, b in zip(ends, ends[1:]) if b > a]
-        return me
+        rank[centres] = 0  # a child's first point is its centre
+        self.order[lo:hi] = self.order[lo:hi][np.lexsort((rank, owner))]
+        ends = lo + np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(centres)))])
+        return list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+
+
+def most_between(product: float, a: float, reach_a: float, b: float, reach_b: float) -> float:
+    """What no product of two points of balls exceeds, given the centres' product and norms and the radii."""
+    more = a * reach_b + b * reach_a + reach_a * reach_b
+    return product + more + 1e-9 * (a * b + more) + 1
 
 
 class Search:
-    """A block of queries with its tree and the best scores so far."""
+    """A group of queries with its tree and the best scores so far."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
-        self.ids, self.k = ids, k
-        self.tree = CoverTree(x)
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, least: np.ndarray | None = None):
+        self.k = k
+        self.tree = CoverTree(x, QUERY_LEAF)
         order = self.tree.order
         self.x, self.qid, self.row = x[order], ids[order], order  # in tree order
         self.scores = np.full((len(ids), k), NONE)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
-        self.least = np.full(len(ids), NONE)  # known lower bounds of the k-th scores
+        #: known lower bounds of the k-th scores
+        self.least = np.full(len(ids), NONE) if least is None else least[order]
 
     def bound_by(self, ids: np.ndarray, x: np.ndarray) -> None:
         """Lower bounds from a sample of candidates."""
         if len(ids) > self.k:
-            s = np.where(self.qid[:, None] == ids[None, :], NONE, products(self.x, x))
-            self.least = np.partition(s, len(ids) - self.k, axis=1)[:, -self.k]
+            for lo in range(0, len(self.x), 256):
+                s = np.where(self.qid[lo : lo + 256, None] == ids[None, :], NONE, products(self.x[lo : lo + 256], x))
+                self.least[lo : lo + 256] = np.partition(s, len(ids) - self.k, axis=1)[:, -self.k]
 
-    def run(self, ids: np.ndarray, x: np.ndarray) -> None:
-        if not len(self.ids) or not len(ids):
+    def run(self, d: CoverTree, x: np.ndarray, ids: np.ndarray) -> None:
+        """Search a block; ``x`` and ``ids`` are in the order of its tree."""
+        if not len(self.qid) or not len(ids):
             return
-        q, d = self.tree, CoverTree(x)
-        x, ids = x[d.order], ids[d.order]
-        kth = np.maximum(self.least, self.scores[:, -1])
+        q, kth = self.tree, np.maximum(self.least, self.scores[:, -1])
         stack = [(0, 0)]
         while stack:
             a, b = stack.pop()
-            top = float(q.centre[a] @ d.centre[b]) + q.norm[a] * d.radius[b] + d.norm[b] * q.radius[a] + q.radius[a] * d.radius[b]
-            if top * (1 + 1e-9 * np.sign(top)) + 1 < kth[q.lo[a] : q.hi[a]].min():
+            top = most_between(float(q.centre[a] @ d.centre[b]), q.norm[a], q.radius[a], d.norm[b], d.radius[b])
+            if top < kth[q.lo[a] : q.hi[a]].min():
                 continue
             if not q.children[a] and not d.children[b]:
-                self._leaf(q.lo[a], q.hi[a], x[d.lo[b] : d.hi[b]], ids[d.lo[b] : d.hi[b]], kth)
+                for lo in range(d.lo[b], d.hi[b], SLICE):
+                    hi = min(lo + SLICE, d.hi[b])
+                    self._leaf(q.lo[a], q.hi[a], x[lo:hi], ids[lo:hi], kth)
             elif q.children[a] and (not d.children[b] or q.radius[a] > d.radius[b]):
                 stack += [(c, b) for c in q.children[a]]
             else:
@@ -116,13 +152,13 @@ class Search:
             kth[lo + r] = max(kth[lo + r], self.scores[lo + r, -1])
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query's number in the block, candidate's id, score) of what is held."""
+        """(query's number in the group, candidate's id, score) of what is held."""
         real = self.scores > NONE
         return np.repeat(self.row, real.sum(1)), self.found[real], self.scores[real]
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; through floats where every sum is below 2**53."""
+    """Exact integer inner products; through floats where every sum is below 2**53, and all are below 2**62."""
     if not len(a) or not len(b):
         return np.zeros((len(a), len(b)), np.int64)
     if float(np.abs(a).max()) * float(np.abs(b).max()) * max(1, a.shape[1]) < 2**53:
@@ -139,14 +175,35 @@ def matrix(lists, width: int) -> np.ndarray:
 
 
 def as_integers(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    x = F.col(vector_col)
+    x = col(vector_col)
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return df.where(F.col(id_col).isNotNull() & x.isNotNull() & finite).select(
-        F.col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(F.lit(SCALE) * v.cast("double"))).alias("v")
+    return df.where(col(id_col).isNotNull() & x.isNotNull() & finite).select(
+        col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(F.lit(SCALE) * v.cast("double"))).alias("v")
     )
 
 
-def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def _extent(df: DataFrame) -> tuple[int, int]:
+    """(rows, longest vector); vectors whose scores could leave 64 bits are refused."""
+    n, width, norm = df.agg(F.count("*"), F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))).first()
+    if (norm or 0) >= 2**62:
+        raise ValueError("vectors are so long that their inner products could leave 64 bits")
+    return n, width or 0
+
+
+#: A part of a block (kind 0) or a group of queries (kind 1): ids and least scores as long, vectors as double, packed.
+_PART = "block int, kind int, part long, ids binary, v binary, least binary"
+
+
+def _parts(block: int, kind: int, part: int, ids: np.ndarray, x: np.ndarray, rows: int) -> Iterator[pa.RecordBatch]:
+    for lo in range(0, len(ids), rows):
+        packed = [[ids[lo : lo + rows].astype(np.int64).tobytes()], [x[lo : lo + rows].tobytes()], [b""]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([block], pa.int32()), pa.array([kind], pa.int32()), pa.array([part + lo], pa.int64()), *[pa.array(p, pa.binary()) for p in packed]],
+            names=["block", "kind", "part", "ids", "v", "least"],
+        )
+
+
+def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of ``df`` for each row of ``queries``."""
     spark = df.sparkSession
     ints = as_integers(df, id_col, vector_col)
@@ -156,47 +213,111 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     twin = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
     ints = durable(ints.withColumn("nth", twin).where(F.col("nth") <= k + 1).drop("nth"))
     asked = durable(as_integers(queries, id_col, vector_col).distinct())
-    n = asked.count()
-    width = max([0, *(r[0] or 0 for f in (ints, asked) for r in f.agg(F.max(F.size("v"))).collect())])
-    top = ints.orderBy(F.xxhash64("id", "v"), "id").limit(SAMPLE).collect()
-    pivots, pivot_ids = matrix([r.v for r in top], width), np.array([r.id for r in top], np.int64)
-    shared_pivots = checked_broadcast(spark, pivots, pivots.nbytes)
-
-    def place(batches):
+    (n, width), (_, longest) = _extent(ints), _extent(asked)
+    width = max(1, width, longest)
+    row_bytes = 8 * width
+    rows = max(1, GROUP_BYTES // row_bytes)
+    spare = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, math.ceil(n * row_bytes / block_bytes), min(spare, n // BLOCK_ROWS))
+    top = ints.orderBy(F.xxhash64("id", "v"), "id").limit(max(k + 1, SAMPLE_BYTES // row_bytes)).collect()
+    sample, sample_ids = matrix([r.v for r in top], width), np.array([r.id for r in top], np.int64)
+    shared = checked_broadcast(spark, (sample, sample_ids), sample.nbytes + sample_ids.nbytes)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector, padded and packed, with its nearest pivot."""
+        p = shared.value[0][:PIVOTS]
+        half = (p * p).sum(1)[None, :] / 2
         for b in batches:
-            x = matrix(b.column(1).to_pylist(), width)
-            p = shared_pivots.value
-            near = ((p * p).sum(1)[None, :] - 2 * x @ p.T).argmin(1) if len(p) else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near.astype(np.int32))], names=["id", "v", "pivot"])
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = durable(ints.mapInArrow(place, "id long, v array<long>, pivot int").repartitionByRange(parts, "pivot", "id"))
-    out = None
-    blocks = max(1, math.ceil(n / BLOCK_QUERIES))
-    for block in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == block).orderBy("id", "v").collect()
-        ids, x = np.array([r.id for r in rows], np.int64), matrix([r.v for r in rows], width)
-        search = Search(ids, x, k)
-        search.bound_by(pivot_ids, pivots)
-        shared = checked_broadcast(spark, search, 4 * x.nbytes + 32 * k * len(ids))
-
-        def find(batches, shared=shared, block=block):
-            mine = shared.value
-            fresh = Search.__new__(Search)
-            fresh.__dict__ = mine.__dict__ | {"scores": mine.scores.copy(), "found": mine.found.copy()}
-            for b in batches:
-                for lo in range(0, b.num_rows, TREE_ROWS):
-                    part = b.slice(lo, TREE_ROWS)
-                    fresh.run(part.column(0).to_numpy(), matrix(part.column(1).to_pylist(), width))
-            q, got, score = fresh.rows()
+            for lo in range(0, b.num_rows, SLICE):
+                part = b.slice(lo, SLICE)
+                x = matrix(part.column(1).to_pylist(), width)
+                near = (half - x @ p.T).argmin(1) if len(p) else np.zeros(len(x))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in x], pa.binary()), pa.array(near.astype(np.int32))], names=["id", "v", "pivot"])
+
+    def unpacked(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        return b.column("id").to_numpy(), np.frombuffer(b"".join(b.column("v").to_pylist())).reshape(-1, width)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One partition is one block."""
+        held = [unpacked(b) for b in batches if b.num_rows]
+        if held:
+            ids, x = (np.concatenate(c) for c in zip(*held))
+            yield from _parts(TaskContext.get().partitionId(), 0, 0, ids, x, rows)
+
+    placed = "id long, v binary, pivot int"
+    data = durable(ints.mapInArrow(place, placed).repartitionByRange(blocks, "pivot", "id").mapInArrow(pack, _PART))
+
+    def ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(block, centre, radius) of the parts of a partition, block by block."""
+        seen: dict[int, list] = {}
+        for b in batches:
+            for block, v in zip(b.column("block").to_pylist(), b.column("v").to_pylist(), strict=True):
+                x = np.frombuffer(v).reshape(-1, width)
+                s = seen.setdefault(block, [x[0].copy(), 0.0])
+                s[1] = max(s[1], float(np.linalg.norm(x - s[0], axis=1).max()))
+        if seen:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(q), block, np.int64)), pa.array(q.astype(np.int64)), pa.array(fresh.ids[q]), pa.array(got), pa.array(score)],
-                names=["block", "q", "query_id", "vec_id", "score"],
+                [pa.array(list(seen), pa.int32()), pa.array([c.tobytes() for c, _ in seen.values()], pa.binary()), pa.array([r for _, r in seen.values()], pa.float64())],
+                names=["block", "centre", "radius"],
             )
 
-        part = placed.mapInArrow(find, "block long, q long, query_id long, vec_id long, score long")
-        out = part if out is None else out.unionByName(part)
-    rank = F.row_number().over(Window.partitionBy("block", "q").orderBy(F.desc("score"), "vec_id"))
+    # balls of all blocks, if they are few enough to be held; without them every group visits every block
+    bounded = blocks * (row_bytes + 16) <= BROADCAST_BYTES
+    balls = data.select("block", "v").mapInArrow(ball, "block int, centre binary, radius double").collect() if bounded else []
+    centres = np.array([np.frombuffer(r.centre) for r in balls]).reshape(-1, width)
+    known = checked_broadcast(spark, (np.array([r.block for r in balls], np.int64), centres, np.array([r.radius for r in balls])), centres.nbytes + 16 * len(balls))
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups of queries with lower bounds of their k-th scores and the blocks that they need."""
+        nth = TaskContext.get().partitionId() << 32
+        block, centre, radius = known.value
+        norms = np.linalg.norm(centre, axis=1)
+        for b in batches:
+            ids, x = unpacked(b)
+            for lo in range(0, len(ids), rows):
+                s = Search(ids[lo : lo + rows], x[lo : lo + rows], k)
+                s.bound_by(*shared.value[::-1])
+                c, r = s.tree.centre[0], s.tree.radius[0]
+                need = block[most_between(centre @ c, s.tree.norm[0], r, norms, radius) >= s.least.min()] if bounded else np.arange(blocks)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([sorted(set(need.tolist()))], pa.list_(pa.int32())),
+                        pa.array([nth], pa.int64()),
+                        *[pa.array([v.tobytes()], pa.binary()) for v in (s.qid.astype(np.int64), s.x, s.least.astype(np.int64))],
+                    ],
+                    names=["blocks", "part", "ids", "v", "least"],
+                )
+                nth += 1
+
+    grouped = asked.mapInArrow(place, placed).repartitionByRange(spare, "pivot", "id").sortWithinPartitions("pivot", "id", "v")
+    grouped = durable(grouped.mapInArrow(group, "blocks array<int>, part long, ids binary, v binary, least binary"))
+    sent = grouped.select(F.explode("blocks").alias("block"), F.lit(1).alias("kind"), "part", "ids", "v", "least")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The parts of a block come first, then the groups that are sent there."""
+        current, held, tree = None, [], None
+        for b in batches:
+            for block, kind, part, ids, v, least in zip(*[b.column(i).to_pylist() for i in range(6)]):
+                if block != current:
+                    current, held, tree = block, [], None
+                ids, x = np.frombuffer(ids, np.int64), np.frombuffer(v).reshape(-1, width)
+                if not kind:
+                    held.append((ids, x))
+                    continue
+                if tree is None:
+                    all_ids, all_x = (np.concatenate(c) for c in zip(*held))
+                    tree = CoverTree(all_x)
+                    all_ids, all_x, held = all_ids[tree.order], all_x[tree.order], []
+                s = Search(ids, x, k, np.frombuffer(least, np.int64))
+                s.run(tree, all_x, all_ids)
+                q, got, score = s.rows()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(q), part)), pa.array(q.astype(np.int64)), pa.array(ids[q]), pa.array(got), pa.array(score)], names=["part", "q", "query_id", "vec_id", "score"]
+                )
+
+    met = data.unionByName(sent).repartitionById(blocks, "block").sortWithinPartitions("block", "kind", "part")
+    out = met.mapInArrow(find, "part long, q long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("part", "q").orderBy(F.desc("score"), "vec_id"))
     return out.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -463,17 +463,70 @@ def test_cover_tree_invariants():
         assert not kids or sorted(i for k in kids for i in range(t.lo[k], t.hi[k])) == list(range(lo, hi))
 
 
-def test_topk_query_blocks(spark, monkeypatch):
-    monkeypatch.setattr(cover_topk, "BLOCK_QUERIES", 3)
+@pytest.mark.parametrize(("group", "block"), [(3 * 32, 32 << 20), (1 << 19, 200), (64, 64)])
+def test_topk_query_groups_and_blocks(spark, monkeypatch, group, block):
+    monkeypatch.setattr(cover_topk, "GROUP_BYTES", group)
     rng = np.random.default_rng(2)
     rows = [(i * 10, rng.normal(size=4).tolist()) for i in range(120)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = defaultdict(list)
-    for r in cover_topk.topk_report(df).orderBy("query_id", "rank").collect():
+    for r in cover_topk.top_k(df, df.where("vec_id % 100 = 0"), block_bytes=block).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     assert dict(got) == brute_topk(rows)
 
 
+def test_cover_tree_covers_and_separates():
+    rng = np.random.default_rng(4)
+    clustered = np.concatenate([c + 0.01 * rng.normal(size=(150, 3)) for c in rng.normal(size=(40, 3))])
+    for x in (clustered, rng.normal(size=(3000, 2)), rng.normal(size=(500, 64)), np.ones((200, 5))):
+        t = cover_topk.CoverTree(x)
+        for me, kids in enumerate(t.children):
+            if kids:
+                centres = np.array([t.centre[c] for c in kids])
+                assert (t.centre[kids[0]] == t.centre[me]).all()
+                assert max(t.radius[c] for c in kids) <= t.radius[me] / 2 + 1e-12
+                apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) + np.diag([np.inf] * len(kids))
+                assert apart.min() > t.radius[me] / 2 - 1e-12
+            assert t.hi[me] - t.lo[me] == len(x) or me
+    assert len(cover_topk.CoverTree(clustered).lo) > 40
+
+
+def test_cover_trees_prune_clusters(monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.rint(np.concatenate([1000 * c + rng.normal(size=(400, 6)) for c in rng.normal(size=(30, 6))]))
+    tree = cover_topk.CoverTree(x)
+    ids = np.arange(len(x))
+    s = cover_topk.Search(ids[::100], x[::100], 5)
+    s.bound_by(ids[::25], x[::25])  # as the operator's groups are
+    seen = []
+    monkeypatch.setattr(cover_topk, "products", lambda a, b, f=cover_topk.products: seen.append(len(a) * len(b)) or f(a, b))
+    s.run(tree, x[tree.order], ids[tree.order])
+    assert sum(seen) < 0.5 * len(x) * len(ids[::100])
+    q, got, score = s.rows()
+    for i in range(len(ids[::100])):
+        want = sorted((-int(x[100 * i] @ x[j]), j) for j in ids.tolist() if j != 100 * i)[:5]
+        assert sorted(zip((-score[q == i]).tolist(), got[q == i].tolist())) == want
+
+
+def test_topk_of_wide_vectors_and_large_values(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(6000, 768)).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = cover_topk.top_k(df, df.where("vec_id < 5000"), k=1)
+    ints = np.floor(1024 * x.astype(np.float64))
+    scores = ints[:5000] @ ints.T
+    scores[np.arange(5000), np.arange(5000)] = -np.inf
+    assert {r.query_id: (r.vec_id, r.score) for r in got.collect()} == {i: (int(scores[i].argmax()), int(scores[i].max())) for i in range(5000)}
+    large = [(100 * i, [(i + 1) * 1e5, 3.0 - i, 0.3]) for i in range(6)]
+    many = spark.createDataFrame(large, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in cover_topk.topk_report(many).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert dict(got) == brute_topk(large)
+    with pytest.raises(ValueError, match="64 bits"):
+        cover_topk.topk_report(spark.createDataFrame([(1, [1e16]), (100, [1e16])], "vec_id long, embedding array<double>"))
+
+
 # --- 8 pieces
 
 
