@@ -1,20 +1,23 @@
 """Substring dedup by recompression.
 
-Each round names pairs of neighbouring symbols. Symbols fall into a left and a right class by their name; a left one
-followed by a right one becomes one symbol, named by a hash of the two, so that equal pairs have equal names in
-every document without an exchange. Runs of equal symbols are of one class and stay whole, to be met as repeats of
-the same context. A pair depends on its two neighbours alone, so a sequence of words that stands in two places
-loses at most one symbol at either end in each round. A symbol of round j spans at most 2**j words: after three
-rounds at most 1 + 2 + 4 = 7 words at either end differ, and all symbol boundaries from word 7 to word 27 of a window of
-35 are the same in all its places. A symbol spans at most 8 words, so there is such a boundary.
-
-A boundary's context is the 7 words before and the 8 after it, which lie within the window; the boundary of the least
-context hash stands for the window. Contexts that occur once rule out all windows they stand for; contexts that
-recur leave candidates, which a 128-bit hash of all their words verifies. Rows that carry equal hashes are combined
-within a batch before the exchange, so a passage of which a third of all rows have a copy costs one row a batch.
+Each round first names runs of equal symbols (by symbol and length) and then pairs: symbols fall into a left and a right
+class by their name, and a left one followed by a right one becomes one symbol. A name is a hash of the names it stands
+for, so equal runs and pairs have equal names in every document without an exchange. What a symbol becomes depends on
+its neighbours, so a window of words fixes all symbols of its interior: from either end a round can lose the run that
+the end cuts, and then a symbol that could pair with one outside. Those ends are followed through the rounds for
+every window; what lies between them is the same wherever the window's words stand.
+
+The key of a window is the least name of ``GRAM`` neighbouring interior symbols of the last round, of all of them where
+there are fewer, and of its words where no interior is left (a run longer than the window). Neighbouring windows of one
+key and place make an occurrence; its words are those of all its windows. Keys that occur once rule their windows out.
+Occurrences of one key whose words are all equal, by a second hash, are repeated as a whole; of those one, and each
+occurrence that is equal to no other, sends its windows if its key has occurrences of different words, and a 128-bit
+hash of all words verifies each. Rows of equal hashes are combined within a batch before the exchange, so a passage of
+which a third of all rows have a copy costs one row a batch, and are read in order, so no key is held as a whole.
 
 Windows of fewer than ``window`` words do not exist: shorter texts, null and empty ones lose nothing. Repeated rows
-and ids are allowed. Windows are judged on the input.
+and ids of any type are allowed, null ones too: a text is named by 96 bits of its words and id. Windows are judged on
+the input.
 """
 
 from __future__ import annotations
@@ -28,86 +31,150 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headwater.llm.common import durable, release
+from headwater.llm.common import col, durable, release
 from headwater.llm.words import Sequences, hashed_words, mix
 
 WINDOW = 35
-#: Documents hashed at a time.
-BATCH = 1024
+#: Symbols of a key.
+GRAM = 4
+#: Documents hashed at a time, and bytes of them beyond one.
+BATCH, BATCH_BYTES = 1024, 4 << 20
 
 
 def rounds_for(window: int) -> int:
-    """The most rounds after which both ends together lose less than half the window."""
-    r = 0
-    while 4 * (2 ** (r + 1) - 1) < window:
+    """The most rounds that leave half the window: round r loses some 1.5 symbols of (4/3)**r words at either end."""
+    r, left = 0, float(window)
+    while (left := left - 3 * (4 / 3) ** r) >= window / 2:
         r += 1
     return r
 
 
-def boundaries(words: np.ndarray, offsets: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start of every symbol, its text's number) after so many rounds."""
-    name, start = words.copy(), np.arange(len(words))
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+def recompress(name: np.ndarray, text: np.ndarray, lo: np.ndarray, hi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names of the last round, first and end of each window's interior), from words, their texts and each window's ends."""
     for r in range(rounds):
+        # runs of equal symbols; the runs that the ends cut are lost
+        first = np.ones(len(name), bool)
+        first[1:] = (name[1:] != name[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(first)
+        run = np.cumsum(first) - 1
+        size = np.diff(np.concatenate([at, [len(name)]])).astype(np.uint64)
+        lo, hi = run[np.minimum(lo, len(name) - 1)] + 1, run[np.maximum(hi, 1) - 1]
+        name, text = name[at], text[at]
+        name = np.where(size > 1, mix(name + size * np.uint64(0xA0761D6478BD642F)), name)
+        # pairs; an end loses a symbol that could pair with one outside
         left = (mix(name + np.uint64(0x1000193 * (r + 1))) >> np.uint64(63)).astype(bool)
         pair = np.zeros(len(name), bool)
         pair[:-1] = left[:-1] & ~left[1:] & (text[:-1] == text[1:])
-        first = np.flatnonzero(pair)
-        name[first] = mix(name[first] * np.uint64(0x9E3779B97F4A7C15) + mix(name[first + 1]) + np.uint64(r))
+        lo = lo + ~left[np.minimum(lo, len(name) - 1)]
+        hi = hi - left[np.maximum(hi, 1) - 1]
+        head = np.flatnonzero(pair)
+        name[head] = mix(name[head] * np.uint64(0x9E3779B97F4A7C15) + mix(name[head + 1]) + np.uint64(r))
         stays = np.ones(len(name), bool)
-        stays[first + 1] = False
-        name, start, text = name[stays], start[stays], text[stays]
-    return start, text
+        stays[head + 1] = False
+        place = np.cumsum(stays) - 1
+        some = lo < hi
+        lo, hi = np.where(some, place[np.minimum(lo, len(name) - 1)], 0), np.where(some, place[np.maximum(hi, 1) - 1] + 1, 0)
+        name, text = name[stays], text[stays]
+    return name, lo, hi
+
+
+def least_in(value: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The place of the least value, the first of equals, in each range from ``lo`` to ``hi``, both included."""
+    levels = [np.arange(len(value))]
+    longest = int((hi - lo).max()) + 1 if len(lo) else 1
+    while 2 ** len(levels) <= longest:
+        half, last = 2 ** (len(levels) - 1), levels[-1]
+        a, b = last[:-half], last[half:]
+        levels.append(np.where(value[b] < value[a], b, a))
+    level = np.log2(hi - lo + 1 + 1e-9).astype(np.int64)
+    out = np.empty(len(lo), np.int64)
+    for k, places in enumerate(levels):
+        mine = np.flatnonzero(level == k)
+        if len(mine):
+            a, b = places[lo[mine]], places[hi[mine] - 2**k + 1]
+            out[mine] = np.where(value[b] < value[a], b, a)
+    return out
 
 
 class Batch:
-    """The texts of a batch as words, with their contexts and candidate windows."""
+    """The texts of a batch as words, with their windows and occurrences of keys."""
 
     def __init__(self, texts: pa.Array, window: int):
-        self.window, rounds = window, rounds_for(window)
-        self.margin = 2**rounds - 1  # words that either end can lose
+        self.window = window
         self.words, self.offsets = hashed_words(texts)
-        size, after = len(self.words), self.margin + 1
-        at, text = boundaries(self.words, self.offsets, rounds)
-        at = at[(at - self.offsets[text] >= self.margin) & (at + after <= self.offsets[text + 1])]
-        name = Sequences(self.words).at(at - self.margin, self.margin + after)
-        rank = np.full(size, np.iinfo(np.uint64).max, np.uint64)
-        rank[at] = name
-        # windows [s, s + window) within one text, and the boundary that stands for each
+        size = len(self.words)
         start = np.arange(max(0, size - window + 1))
         owner = np.searchsorted(self.offsets, start, side="right") - 1
         start = start[start + window <= self.offsets[owner + 1]] if len(start) else start
-        span = window - 2 * self.margin
-        least = np.lib.stride_tricks.sliding_window_view(rank, span)[start + self.margin].argmin(axis=1) if len(start) else start
-        self.start, self.chosen = start, start + self.margin + least
-        self.at = np.unique(self.chosen)
-        self.names = rank[self.at]
-        self.text = np.searchsorted(self.offsets, self.at, side="right") - 1
-
-    def windows(self, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, texts) of the windows that the marked boundaries stand for."""
-        flag = np.zeros(len(self.words) + 1, bool)
-        flag[self.at[marked]] = True
-        start = self.start[flag[self.chosen]] if len(self.chosen) else self.start
-        return start, np.searchsorted(self.offsets, start, side="right") - 1
-
-
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        self.start, self.sequences = start, Sequences(self.words)
+        if not len(start):
+            self.occurrence = self.first = self.text = start
+            self.key = self.run = start.astype(np.uint64)
+            return
+        text = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
+        name, lo, hi = recompress(self.words.copy(), text, start, start + window, rounds_for(window))
+        symbols = Sequences(name)
+        many = hi - lo
+        # the place of a key is a symbol's number, or the window's own start beyond all of those
+        key, place = np.empty(len(start), np.uint64), np.empty(len(start), np.int64)
+        full, none = many >= GRAM, many == 0
+        some = ~full & ~none
+        grams = symbols.at(np.arange(max(0, len(name) - GRAM + 1)), GRAM)
+        place[full] = least_in(grams, lo[full], hi[full] - GRAM)
+        key[full] = grams[place[full]]
+        key[some], place[some] = symbols.at(lo[some], many[some]), lo[some]
+        key[none], place[none] = ~self.sequences.at(start[none], window), len(name) + start[none]
+        new = np.ones(len(start), bool)
+        new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
+        self.occurrence = np.cumsum(new) - 1
+        at = np.flatnonzero(new)
+        last = np.concatenate([at[1:], [len(start)]]) - 1
+        self.first, self.key = start[at], key[at]
+        self.run = Sequences(self.words, True).at(self.first, start[last] - start[at] + window)
+        self.text = np.searchsorted(self.offsets, self.first, side="right") - 1
+
+    def places(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the listed values, the first words of the texts that list them); a null list is an empty one."""
+        n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.repeat(self.offsets[:-1], n)
+
+    def marks(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(which occurrences are repeated as a whole, which send their windows)."""
+        value, base = self.places(lists)
+        at = np.searchsorted(self.first, base + (value >> 2))
+        out = np.zeros((2, len(self.first)), bool)
+        out[0, at[value & 2 > 0]] = True
+        out[1, at[value & 1 > 0]] = True
+        return out[0], out[1]
+
+
+def _slices(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of batches with so many texts and bytes of them, each with one text at least."""
     for b in batches:
-        for lo in range(0, b.num_rows, BATCH):
-            yield b.slice(lo, BATCH)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False))
+        lo = 0
+        while lo < b.num_rows:
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BATCH_BYTES, side="right"))
+            hi = min(max(hi, lo + 1), lo + BATCH)
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
-def _deal(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows that must be asked about, whether each one's key recurs in the batch): one row of a key that recurs."""
+def _groups(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(which rows differ from the one before, the group of each row) of sorted keys."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new, np.cumsum(new) - 1
+
+
+def _deal(keys: list[np.ndarray], sure: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the first row of each key, whether the key recurs or has a sure row, the rows that are not the first)."""
     order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    new[1:] = False
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    heads = np.flatnonzero(new)
-    size = np.diff(np.concatenate([heads, [len(order)]]))
-    return order[heads], size > 1
+    if not len(order):
+        return order, sure, order
+    new, group = _groups([k[order] for k in keys])
+    recurs = np.bincount(group, weights=1 + sure[order].astype(float)) > 1
+    return order[new], recurs, order[~new]
 
 
 def _i64(x: np.ndarray) -> pa.Array:
@@ -115,133 +182,129 @@ def _i64(x: np.ndarray) -> pa.Array:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(did, part, text): rows of one text under one id share did and part."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("did"), F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("part"), text.alias("text"), F.col(id_col).alias("id"))
+    """(did, part, text, id): rows of one text under one id share did and part."""
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    name = [col(id_col), text]
+    return docs.select(F.xxhash64(*name).alias("did"), F.shiftright(F.xxhash64(F.lit(9), *name), 32).cast("int").alias("part"), text.alias("text"), col(id_col).alias("id"))
+
+
+def _in_order(asked: DataFrame, key: list[str]) -> DataFrame:
+    return asked.repartition(int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions")), key[0]).sortWithinPartitions(*key)
 
 
-def _recurring(asked: DataFrame, key: list[str], whole: bool) -> DataFrame:
-    """Rows of (key..., did, part, pos, recurs) whose key recurs (``whole``) or those whose key does not."""
-    n = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = asked.repartition(n, *key).sortWithinPartitions(*key)
-    width = len(key)
+def _columns(b: pa.RecordBatch, held: list[np.ndarray] | None) -> list[np.ndarray]:
+    got = [c.to_numpy(zero_copy_only=False) for c in b.columns]
+    return got if held is None else [np.concatenate(p) for p in zip(held, got)]
+
+
+def _occurrences(asked: DataFrame) -> DataFrame:
+    """(did, part, mark) of the occurrences whose key recurs; a mark is 4 * place + 2 if it is repeated as a whole + 1 if it sends its windows."""
+
+    def out(did, part, pos, whole, sends) -> pa.RecordBatch:
+        pick = whole | sends
+        mark = pos[pick] * 4 + whole[pick] * 2 + sends[pick]
+        return pa.RecordBatch.from_arrays([_i64(did[pick]), pa.array(part[pick], pa.int32()), _i64(mark)], names=["did", "part", "mark"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def answer(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            t = t.combine_chunks()
-            keys = [t.column(i).to_numpy() for i in range(width)]
-            new = np.arange(t.num_rows) == 0
-            for k in keys:
-                new[1:] |= k[1:] != k[:-1]
-            group = np.cumsum(new) - 1
-            hot = np.bincount(group) > 1
-            hot |= np.bincount(group, weights=t.column("recurs").to_numpy(zero_copy_only=False).astype(float)) > 0
-            pick = (hot[group] if whole else ~hot[group]) & (t.column("pos").to_numpy() >= 0)
-            yield from t.select(["did", "part", "pos"]).filter(pa.array(pick)).to_batches()
+        held, earlier = None, False  # the first row of the last run of words, and whether its key had another run before
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key, words, did, part, pos, many = rows = _columns(b, held)
+            new_key, of_key = _groups([key])
+            new, group = _groups([key, words])
+            recurs = np.bincount(group, weights=1 + many.astype(float)) > 1
+            runs = np.bincount(of_key[new])
+            runs[0] += earlier
+            several = runs[of_key[new]] > 1
+            whole = np.where(new, recurs[group], True)
+            sends = new & several[group]
+            last = int(np.flatnonzero(new)[-1])  # waits: its run and its key may go on
+            keep = np.arange(len(key)) != last
+            yield out(*(c[keep] for c in (did, part, pos, whole, sends)))
+            held, earlier = [c[last : last + 1] for c in rows[:5]] + [np.array([recurs[-1]])], bool(several[-1])
+        if held is not None:
+            yield out(held[2], held[3], held[4], held[5].astype(bool), np.array([earlier]))
+
+    return _in_order(asked, ["key", "run"]).mapInArrow(run, "did long, part int, mark long")
+
+
+def _lone(asked: DataFrame) -> DataFrame:
+    """(did, part, pos) of the windows that no other row repeats."""
+
+    def out(rows: list[np.ndarray], pick: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([_i64(rows[2][pick]), pa.array(rows[3][pick], pa.int32()), _i64(rows[4][pick])], names=["did", "part", "pos"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            # the last key may go on in the next batch: its rows wait
-            tail = np.ones(t.num_rows, bool)
-            for i in range(width):
-                c = t.column(i).to_numpy()
-                tail &= c == c[-1]
-            cut = t.num_rows - int(tail.sum())
-            if cut:
-                yield from answer(t.slice(0, cut))
-            held = t.slice(cut)
-        if held is not None and held.num_rows:
-            yield from answer(held)
+            rows = _columns(b, held)
+            new, group = _groups(rows[:2])
+            recurs = np.bincount(group, weights=1 + rows[5].astype(float)) > 1
+            last = int(np.flatnonzero(new)[-1])
+            yield out(rows, np.flatnonzero(~recurs[group][:last]))
+            held = [c[last : last + 1] for c in rows[:5]] + [np.array([recurs[-1]])]
+        if held is not None:
+            yield out(held, np.flatnonzero(~held[5]))
 
-    return sorted_.mapInArrow(run, "did long, part long, pos long")
+    return _in_order(asked, ["one", "two"]).mapInArrow(run, "did long, part int, pos long")
 
 
-def _grouped(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("did", "part").agg(F.collect_set("pos").alias(name))
+def _listed(rows: DataFrame, value: str, name: str) -> DataFrame:
+    return rows.groupBy("did", "part").agg(F.collect_set(value).alias(name))
 
 
 def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, text, marked, lone): for each row the boundaries of recurring contexts and its candidate windows that stand alone."""
-
+    """(id, text, marked, lone): for each row its occurrences of recurring keys and those of their windows that stand alone."""
     keyed = _keyed(docs, id_col, text_col)
 
-    def ask_contexts(batches):
-        for b in _slices(batches):
+    def ask_keys(batches):
+        for b in _slices(batches, 2):
             x = Batch(b.column(2), window)
-            h = x.names
-            did, part = (b.column(i).to_numpy() for i in (0, 1))
-            head, recurs = _deal([h])
-            several = np.zeros(len(h), bool)
-            several[head] = recurs
-            known = np.isin(h, h[head[recurs]]) if recurs.any() else several
-            # a key that recurs here is asked about once without a place; its places answer themselves under keys of their own
-            single = head[~recurs]
-            mine = np.flatnonzero(known)
-            own = mix(did[x.text[mine]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + x.at[mine].astype(np.uint64))
-            rep = head[recurs]
-            key = np.concatenate([h[single], h[rep], own])
-            t = x.text
+            head, recurs, rest = _deal([x.key, x.run], np.zeros(len(x.key), bool))
+            rows = np.concatenate([head, rest])
+            did, part, pos = b.column(0).to_numpy()[x.text[rows]], b.column(1).to_numpy()[x.text[rows]], (x.first - x.offsets[x.text])[rows]
+            # repeats within the batch are whole by themselves; keys of their own keep them from one task
+            own = mix(did[len(head) :].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + pos[len(head) :].astype(np.uint64))
+            key, run = np.concatenate([x.key[head], own]), np.concatenate([x.run[head], np.zeros(len(rest), np.uint64)])
             yield pa.RecordBatch.from_arrays(
-                [
-                    _i64(key),
-                    _i64(np.concatenate([did[t[single]], np.zeros(len(rep), np.int64), did[t[mine]]])),
-                    _i64(np.concatenate([part[t[single]], np.zeros(len(rep), np.int64), part[t[mine]]])),
-                    _i64(np.concatenate([(x.at - x.offsets[t])[single], np.full(len(rep), -1), (x.at - x.offsets[t])[mine]])),
-                    pa.array(np.concatenate([np.zeros(len(single), bool), np.ones(len(rep) + len(mine), bool)])),
-                ],
-                names=["key", "did", "part", "pos", "recurs"],
+                [_i64(key), _i64(run), _i64(did), pa.array(part, pa.int32()), _i64(pos), pa.array(np.concatenate([recurs, np.ones(len(rest), bool)]))],
+                names=["key", "run", "did", "part", "pos", "many"],
             )
 
-    asked = keyed.drop("id").mapInArrow(ask_contexts, "key long, did long, part long, pos long, recurs boolean")
-    marked = durable(_grouped(_recurring(asked, ["key"], True), "marked"))
+    asked = keyed.drop("id").mapInArrow(ask_keys, "key long, run long, did long, part int, pos long, many boolean")
+    marked = durable(_listed(_occurrences(asked), "mark", "marked"))
     release(docs.sparkSession)
 
     def ask_windows(batches):
-        for b in _slices(batches):
+        for b in _slices(batches, 2):
             x = Batch(b.column(2), window)
-            start, text = x.windows(_marks(x, b.column(3)))
-            one, two = Sequences(x.words).at(start, window), Sequences(x.words, True).at(start, window)
-            did, part = (b.column(i).to_numpy() for i in (0, 1))
-            head, recurs = _deal([one, two])
+            whole, sends = x.marks(b.column(3))
+            mine = sends[x.occurrence]
+            start, sure = x.start[mine], whole[x.occurrence[mine]]
+            one, two = x.sequences.at(start, window), Sequences(x.words, True).at(start, window)
+            text = np.searchsorted(x.offsets, start, side="right") - 1
+            head, recurs, _ = _deal([one, two], sure)
+            did, part = b.column(0).to_numpy()[text[head]], b.column(1).to_numpy()[text[head]]
             yield pa.RecordBatch.from_arrays(
-                [
-                    _i64(one[head]),
-                    _i64(two[head]),
-                    _i64(did[text[head]]),
-                    _i64(part[text[head]]),
-                    _i64(np.where(recurs, -1, start[head] - x.offsets[text[head]])),
-                    pa.array(recurs),
-                ],
-                names=["one", "two", "did", "part", "pos", "recurs"],
+                [_i64(one[head]), _i64(two[head]), _i64(did), pa.array(part, pa.int32()), _i64((start - x.offsets[text])[head]), pa.array(recurs)],
+                names=["one", "two", "did", "part", "pos", "many"],
             )
 
     # one exchange of the texts serves both joins
     base = keyed.join(marked, ["did", "part"], "left")
-    some = base.where(F.col("marked").isNotNull()).select("did", "part", "text", "marked", "id")
-    asked = some.mapInArrow(ask_windows, "one long, two long, did long, part long, pos long, recurs boolean")
-    lone = _grouped(_recurring(asked, ["one", "two"], False), "lone")
-    return base.join(lone, ["did", "part"], "left").select("id", "text", "marked", "lone")
-
-
-def _marks(x: Batch, lists: pa.Array) -> np.ndarray:
-    """Which of the batch's contexts stand at the listed boundaries of their texts."""
-    return np.isin(x.at, _places(x, lists))
-
-
-def _places(x: Batch, lists: pa.Array) -> np.ndarray:
-    """Positions listed by text as positions in the batch; a null list is an empty one."""
-    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-    return np.repeat(x.offsets[:-1], n) + lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    some = base.where(F.exists("marked", lambda m: m.bitwiseAND(F.lit(1)) == 1)).select("did", "part", "text", "marked")
+    asked = some.mapInArrow(ask_windows, "one long, two long, did long, part int, pos long, many boolean")
+    return base.join(_listed(_lone(asked), "pos", "lone"), ["did", "part"], "left").select("id", "text", "marked", "lone")
 
 
 def covered(x: Batch, marked: pa.Array, lone: pa.Array) -> np.ndarray:
     """Which words of the batch a repeated window covers."""
-    start, text = x.windows(_marks(x, marked))
-    start = start[~np.isin(start, _places(x, lone))]
+    whole, sends = x.marks(marked)
+    pos, base = x.places(lone)
+    start = x.start[(whole | sends)[x.occurrence] & ~np.isin(x.start, base + pos)]
     size = len(x.words) + 1
     edge = np.bincount(start, minlength=size) - np.bincount(start + x.window, minlength=size)
     return np.cumsum(edge)[:-1] > 0
@@ -252,7 +315,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = mark_repeats(docs, id_col, text_col, window)
 
     def run(batches):
-        for b in _slices(batches):
+        for b in _slices(batches, 1):
             has = b.column(2).is_valid().to_numpy(zero_copy_only=False)
             gone = None
             if has.any():

@@ -618,6 +618,54 @@ def test_recompression_edges(spark):
     assert sorted(r.n_removed for r in got) == [0, 60, 60] and {r.kept for r in got} == {"", " ".join(map(str, range(60)))}
 
 
+def test_recompression_of_ids_of_any_kind(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    texts = [long, long + " tail", " ".join(f"v{i}" for i in range(60)), "short", long]
+    want = [x[1] for x in brute_removed(texts, 35)]
+    for kind, ids in (("string", ["a", "b", "c d", None, "a"]), ("long", [None] * 5), ("struct<x:int,y:string>", [(1, "a")] * 5), ("binary", [b"\xff"] * 5)):
+        df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(zip(ids, texts))], f"`my.id` {kind}, text string, did int")
+        got = recompress.dedup_substrings(df, id_col="my.id").collect()
+        assert sorted((r.n_words, r.n_removed) for r in got) == sorted((len(t.split()), n) for t, n in zip(texts, want))
+
+
+def test_recompression_of_many_texts_without_ids(spark):
+    rng = random.Random(31)
+    base = [" ".join(f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(300)]
+    texts = base + [b[: len(b) // 2] + " x " + b[len(b) // 2 :] for b in base[:150]]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")
+    got = Counter((r.n_words, r.n_removed, r.kept_sha256) for r in recompress.substring_report(df.repartition(7)).collect())
+    assert got == Counter(brute_removed(texts, 35))
+
+
+@pytest.mark.parametrize("alphabet", [1, 2, 3, 40])
+def test_recompression_interiors_are_the_windows_own(alphabet):
+    """A window's key is the same wherever its words stand, also within runs."""
+    rng = random.Random(alphabet)
+    window = [f"w{rng.randrange(alphabet)}" if rng.random() < 0.7 else "run" for _ in range(35)]
+    texts = [" ".join([rng.choice((window[0], "run", "q")) for _ in range(rng.randrange(9))] + window + [rng.choice((window[-1], "run", "q")) for _ in range(rng.randrange(9))]) for _ in range(50)]
+    x = recompress.Batch(pa.array(texts), 35)
+    hashes = x.sequences.at(x.start, 35)
+    mine = hashes == recompress.Batch(pa.array([" ".join(window)]), 35).sequences.at(np.array([0]), 35)[0]
+    assert mine.sum() >= 50 and len(set(x.key[x.occurrence[mine]].tolist())) == 1
+
+
+def test_least_in_ranges():
+    rng = np.random.default_rng(1)
+    v = rng.integers(0, 20, 200).astype(np.uint64)
+    lo = rng.integers(0, 160, 500)
+    hi = lo + rng.integers(0, 40, 500)
+    assert recompress.least_in(v, lo, hi).tolist() == [a + int(v[a : b + 1].argmin()) for a, b in zip(lo, hi)]
+
+
+def test_recompression_batches_by_bytes(spark, monkeypatch):
+    texts = ["a b " * 20, "x " * 400, None, "a b " * 20, " ".join(map(str, range(90)))] * 3
+    parts = list(recompress._slices(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])]), 0))
+    assert len(parts) == 1
+    monkeypatch.setattr(recompress, "BATCH_BYTES", 100)
+    parts = list(recompress._slices(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])]), 0))
+    assert len(parts) > 5 and [t for p in parts for t in p.column(0).to_pylist()] == texts
+
+
 # --- 10 decontamination
 
 
