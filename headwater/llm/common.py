@@ -64,6 +64,11 @@ def spare(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """``mapInArrow`` for columns of any names: those of the batches that ``run`` gets are their places."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(run, schema)
+
+
 def map_text(
     df: DataFrame, text_col: str, keep: list[str], fields: list[T.StructField], per_batch: Callable[[list[str]], list[list]], start: Callable[[], object] | None = None
 ) -> DataFrame:
@@ -92,7 +97,7 @@ def map_text(
                     [part.column(i) for i in range(len(keep))] + [pa.array(v, type=t) for v, t in zip(out, types, strict=True)], names=[*keep, *[f.name for f in fields]]
                 )
 
-    return src.mapInArrow(run, schema)
+    return map_batches(src, run, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -31,9 +31,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, col
+from headwater.llm.common import checked_broadcast, col, map_batches
 from headwater.llm.words import Sequences, hashed_words
 
 WIDTH, LEAST = 5, 0.8
@@ -302,7 +301,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that hold no item, with all their columns."""
-    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    spark, names, at = docs.sparkSession, docs.columns, docs.columns.index(text_col)
     out = docs
     for items in item_blocks(benchmark, **options):
         shared = _broadcast(spark, items)
@@ -313,9 +312,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **
                     part = b.slice(lo, 512)
                     keep = np.ones(part.num_rows, bool)
                     keep[[t for t, *_ in shared.value.matches(part.column(at).cast(pa.string()).fill_null(""))]] = False
-                    yield part.filter(pa.array(keep))
+                    yield pa.RecordBatch.from_arrays(part.filter(pa.array(keep)).columns, names=names)
 
-        out = out.mapInArrow(run, T.StructType(docs.schema.fields))
+        out = map_batches(out, run, docs.schema)
     return out
 
 

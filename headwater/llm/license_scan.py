@@ -12,8 +12,10 @@ no spans. Repeated rows give repeated results. Texts of any length are scanned w
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,21 +103,31 @@ class Scanner:
     def spans(self, text: str) -> tuple[int, list[dict]]:
         words = folded_words(text)
         joined = b" " + b" ".join(words) + b" "
+        spaces: list[int] = []
+
+        def word_at(at: int) -> int:
+            """The number of the word that stands before this place or begins there."""
+            if not spaces:
+                spaces.extend(np.flatnonzero(np.frombuffer(joined, np.uint8) == 32).tolist())
+            return bisect_left(spaces, at) - 1
+
         found: dict[tuple, tuple] = {}
         for n, k, exact, seeds, pattern in self.notices:
             at = joined.find(exact)
-            taken = set()
+            taken: list[int] = []
             while at >= 0:
-                taken.add(at + 1)
-                found[(joined.count(b" ", 0, at), n.label, n.phrase)] = (at + 1, at + len(exact) - 1, 0, n)
+                taken.append(at + 1)
+                found[(word_at(at + 1), n.label, n.phrase)] = (at + 1, at + len(exact) - 1, 0, n)
                 at = joined.find(exact, at + 1)
             if k:
+                reach = k + max(map(len, n.phrase.split()))
                 for lo, hi in self._candidates(joined, seeds, len(n.phrase), k):
                     part = joined[lo:hi].decode("utf-8", "replace")
                     for edits, start, end in self._places(part, pattern, k):
                         a = lo + len(part[:start].encode())
-                        if edits and not any(abs(a - t) <= k + max(map(len, n.phrase.split())) for t in taken):
-                            key = (joined.count(b" ", 0, a) - 1, n.label, n.phrase)
+                        near = bisect_left(taken, a - reach)
+                        if edits and not (near < len(taken) and taken[near] <= a + reach):
+                            key = (word_at(a), n.label, n.phrase)
                             if key not in found or found[key][2] > edits:
                                 found[key] = (a, lo + len(part[:end].encode()), edits, n)
         if not found:
@@ -123,7 +135,7 @@ class Scanner:
         places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
         out = []
         for (word, label, _), (a, b, edits, n) in sorted(found.items(), key=lambda x: x[0]):
-            last = word + joined.count(b" ", a, b)
+            last = word_at(b)
             out.append(
                 {"label": label, "word": word, "start": places[word][0], "end": places[last][1], "edits": edits, "score": 1 - edits / len(n.phrase), "base": n.base and not edits}
             )
@@ -137,9 +149,12 @@ class Scanner:
         """
         tried = [m for w in _START.finditer(part) if (m := pattern.match(part, w.start()))]
         out: list[tuple[int, int, int]] = []
+        held: list[tuple[int, int]] = []  # places taken, by position; they do not overlap
         for edits, a, b in sorted((sum(m.fuzzy_counts), m.start(), m.end()) for m in tried):
-            if edits <= k and all(b <= c or d <= a for _, c, d in out):
+            at = bisect_left(held, (a, b))
+            if edits <= k and (not at or held[at - 1][1] <= a) and (at == len(held) or b <= held[at][0]):
                 out.append((edits, a, b))
+                insort(held, (a, b))
         return out
 
     @staticmethod

@@ -2,8 +2,8 @@
 
 A forward Viterbi pass gives each lattice position the best score from the start. Those scores are exact heuristics
 for a backward A* search from the end, so complete paths leave the queue in order of total score. No piece crosses
-from a word into the following space or over a line break, so a text's lattice is a chain of word lattices: words
-are passed once per worker and kept, with the loss of their second segmentation, and the N best of a text are the best
+from a word into the following space or over a line break (a model with such pieces is refused), so a text's lattice is
+a chain of word lattices: the distinct words of a batch are passed together and kept by the worker, with the loss of their second segmentation, and the N best of a text are the best
 combinations of word segmentations. Only the N - 1 words of the smallest losses can differ in them; those are searched.
 
 Scores are those of the model's pieces. A character without a piece becomes its UTF-8 byte pieces, as one edge of
@@ -18,6 +18,7 @@ import hashlib
 import heapq
 import re
 from array import array
+from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
@@ -31,19 +32,49 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 #: Words kept by a worker (some 300 bytes each); beyond that the store starts anew.
 KEPT_WORDS = 400_000
+#: Longest word that is passed together with others, words and characters that are passed together.
+TOGETHER, WORDS, CHARS = 96, 1 << 15, 1 << 20
 
 
-class _Words(dict):
-    """Passed units; the store starts anew beyond so many."""
+class Trie:
+    """The pieces as exact transitions (node, code point) -> node, sorted for searches of many at a time."""
 
-    def __init__(self, make, most: int):
-        self.make, self.most = make, most
-
-    def __missing__(self, unit: str) -> tuple:
-        if len(self) >= self.most:
-            self.clear()
-        self[unit] = made = self.make(unit)
-        return made
+    def __init__(self, pieces: list[tuple[str, int, float]]):
+        children: dict[tuple[int, str], int] = {}
+        ends: dict[int, tuple[int, float]] = {}
+        for text, i, score in pieces:
+            at = 0
+            for c in text:
+                at = children.setdefault((at, c), len(children) + 1)
+            ends[at] = (i, score)
+        keys = np.array([n << 21 | ord(c) for n, c in children], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], np.array(list(children.values()), np.int64)[order]
+        self.piece = np.full(len(children) + 1, -1, np.int32)
+        self.score = np.zeros(len(children) + 1)
+        for n, (i, score) in ends.items():
+            self.piece[n], self.score[n] = i, score
+        self.sieve = np.zeros(1 << 22, bool)
+        self.sieve[self._slot(self.keys)] = True
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)).astype(np.int64)
+
+    def edges(self, chars: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first character, length, node) of all pieces that stand in the characters; ``left`` counts those up to the word's end."""
+        at, node, size, out = np.arange(len(chars)), np.zeros(len(chars), np.int64), 0, []
+        while len(at):
+            key = node << 21 | chars[at + size]
+            some = np.flatnonzero(self.sieve[self._slot(key)])
+            place = np.minimum(np.searchsorted(self.keys, key[some]), len(self.keys) - 1)
+            real = self.keys[place] == key[some]
+            at, node, size = at[some[real]], self.child[place[real]], size + 1
+            whole = self.piece[node] >= 0
+            out.append((at[whole], np.full(whole.sum(), size), node[whole]))
+            more = left[at] > size
+            at, node = at[more], node[more]
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
 
 
 class Lattice:
@@ -73,8 +104,13 @@ class Lattice:
             for end in range(1, len(text)):
                 self.vocab.setdefault(text[:end], None)
             self.vocab[text] = (i, score)
+        # a piece goes no further than a unit: spaces lead a word or stand alone, a line break stands alone
+        if crossing := [t for t, _, _ in pieces if _UNITS.fullmatch(t) is None]:
+            raise ValueError(f"words cannot be searched one by one under a model with pieces such as {crossing[0]!r}")
         self.least = min(s for _, _, s in pieces) - 10
-        self.words = _Words(self.word, kept_words)
+        self.trie = Trie(pieces)
+        self.words: dict[str, tuple] = {}
+        self.kept_words = kept_words
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.size = np.array([len(b) for b in self.bytes_of], np.int64)
         self.first = np.cumsum(self.size) - self.size
@@ -155,11 +191,95 @@ class Lattice:
             at = start
         return array("i", ids[::-1]).tobytes(), best[size], best[size] - second[size]
 
+    def words_of(self, units: list[str]) -> list[tuple]:
+        """``word`` of each unit, all passed together: forward by the place where a piece ends, back from all ends at once."""
+        size = np.array([len(u) for u in units], np.int64)
+        chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        first = np.cumsum(size) - size
+        owner = np.repeat(np.arange(len(units)), size)
+        offset = np.arange(len(chars)) - first[owner]
+        at, length, node = self.trie.edges(chars, size[owner] - offset)
+        bare = np.ones(len(chars), bool)
+        bare[at[length == 1]] = False
+        bare = np.flatnonzero(bare)  # characters without a piece of their own
+        at = np.concatenate([at, bare])
+        length = np.concatenate([length, np.ones(len(bare), np.int64)])
+        piece = np.concatenate([self.trie.piece[node], np.full(len(bare), -1, np.int32)])
+        score = np.concatenate([self.trie.score[node], np.full(len(bare), self.least)])
+        # a word of n characters has n + 1 places
+        start = at + owner[at]
+        end = start + length
+        order = np.lexsort((start, end, offset[at] + length))
+        start, end, piece, score = start[order], end[order], piece[order], score[order]
+        cuts = np.searchsorted((offset[at] + length)[order], np.arange(1, int(size.max()) + 2))
+        places = len(chars) + len(units)
+        best, second, back = np.full(places, -np.inf), np.full(places, -np.inf), np.full(places, -1, np.int64)
+        best[first + np.arange(len(units))] = 0.0
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            if lo == hi:
+                continue
+            one, two, to = best[start[lo:hi]] + score[lo:hi], second[start[lo:hi]] + score[lo:hi], end[lo:hi]
+            new = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+            top = np.maximum.reduceat(one, new)
+            group = np.repeat(np.arange(len(new)), np.diff(np.concatenate([new, [hi - lo]])))
+            tops = np.flatnonzero(one == top[group])
+            chosen = tops[np.unique(group[tops], return_index=True)[1]]  # among equals the longest piece
+            one[chosen] = -np.inf
+            best[to[new]], second[to[new]], back[to[new]] = top, np.maximum.reduceat(np.maximum(one, two), new), lo + chosen
+        last = first + np.arange(len(units)) + size
+        here, who, steps = last.copy(), np.arange(len(units)), []
+        while len(who):
+            e = back[here]
+            steps.append((who, piece[e]))
+            here = start[e]
+            more = here > first[who] + who
+            here, who = here[more], who[more]
+        who, ids = (np.concatenate(c[::-1]) for c in zip(*steps))
+        order = np.argsort(who, kind="stable")
+        who, packed = who[order], ids[order].astype(np.int32).tobytes()
+        ends = 4 * np.searchsorted(who, np.arange(len(units) + 1))
+        bytes_ = np.zeros(len(units), bool)
+        bytes_[who[ids[order] < 0]] = True
+        loss = (best[last] - second[last]).tolist()
+        out = [(packed[a:b], s, d) for a, b, s, d in zip(ends[:-1].tolist(), ends[1:].tolist(), best[last].tolist(), loss)]
+        for k in np.flatnonzero(bytes_).tolist():  # byte pieces are written out one by one
+            out[k] = self.word(units[k])
+        return out
+
+    def learn(self, units: set[str]) -> None:
+        """Pass the units that are not kept yet."""
+        new = {u for u in units if u not in self.words}
+        if len(self.words) + len(new) > self.kept_words:
+            self.words.clear()
+            new = units
+        short = sorted((u for u in new if len(u) <= TOGETHER), key=len)
+        for k in range(0, len(short), WORDS):
+            some = short[k : k + WORDS]
+            self.words.update(zip(some, self.words_of(some)))
+        for u in new:
+            if len(u) > TOGETHER:
+                self.words[u] = self.word(u)
+
+    def encode_all(self, texts: list[str]) -> Iterator[tuple[array, list[tuple[float, list]]]]:
+        """``encode`` of every text, some ``CHARS`` characters at a time."""
+        lo = 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CHARS):
+                size += len(texts[hi])
+                hi += 1
+            units = [_UNITS.findall(" " + t) if t else [] for t in texts[lo:hi]]
+            self.learn(set().union(*units))
+            yield from map(self._join, units)
+            lo = hi
+
     def encode(self, text: str) -> tuple[array, list[tuple[float, list]]]:
         """The best ids and the n best paths as (score, changes); a change is (unit's number, its ids)."""
-        if not text:
+        return next(self.encode_all([text]))
+
+    def _join(self, units: list[str]) -> tuple[array, list[tuple[float, list]]]:
+        if not units:
             return array("i"), [(0.0, [])]
-        units = _UNITS.findall(" " + text)
         packed, scores, losses = zip(*map(self.words.__getitem__, units))
         ids = array("i")
         ids.frombytes(b"".join(packed))
@@ -201,8 +321,7 @@ def encode_nbest(df: DataFrame, text_col: str = "text", keep: list[str] | None =
 
     def per_batch(texts, lattice):
         out: list[list] = [[] for _ in range(4 + with_ids)]
-        for t in texts:
-            ids, paths = lattice.encode(t)
+        for t, (ids, paths) in zip(texts, lattice.encode_all(texts)):
             row = [len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), [{"score": s, "changes": [{"unit": u, "ids": p} for u, p in c]} for s, c in paths], lattice.decode(ids) == t]
             for column, value in zip(out, row + ([np.array(ids, np.int32)] if with_ids else []), strict=True):
                 column.append(value)

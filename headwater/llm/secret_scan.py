@@ -1,9 +1,10 @@
 """Secret scans: pattern rules plus a token-efficiency test.
 
 A string that a byte-pair vocabulary has never seen breaks into many short tokens. Long runs of base64 or hex
-characters that mix letters and digits are encoded with a tiktoken vocabulary; those with few characters per
+characters are encoded with a tiktoken vocabulary; those with few characters per
 token count as random. Known digests (hex of 32, 40, 56, 64, 96 or 128 digits), UUIDs and dashed, dotted or
-underscored identifiers are left out first. Pattern rules are never suppressed by that test.
+underscored identifiers are left out first: all their parts are words of one case up to 24 letters, CamelCase of three letters
+or more a word, either with up to four digits behind, or short numbers. Letters alone are tested like any other run. Pattern rules are never suppressed by that test.
 
 Null texts count as empty. Positions are code points, ends exclusive. Texts of any length are read whole.
 """
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, map_text
+from headwater.llm.common import checked_broadcast, map_batches, map_text, spare
 
 #: The pattern rules, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -35,7 +36,7 @@ _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_SIZES = {32, 40, 56, 64, 96, 128}
 _UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z")
 _PARTS = re.compile(r"[-_/=+]+")
-_NAME_PART = re.compile(r"(?:[A-Za-z]*|[0-9]{1,8}|[A-Za-z]+[0-9]{1,4}|v[0-9]+)\Z")
+_NAME_PART = re.compile(r"(?:(?:[a-z]{0,24}|[A-Z]{0,24}|[A-Z]?[a-z]{2,24}(?:[A-Z][a-z]{2,24})*)[0-9]{0,4}|[0-9]{1,8}|v[0-9]+)\Z")
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 
 SPAN = T.StructType(
@@ -90,7 +91,7 @@ def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None =
         found = [(a, k, b, None) for a, k, b in base_spans(text)]
         for m in _RUN.finditer(text):
             run = m[0]
-            if any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and not is_known(run):
+            if any(c.isalpha() for c in run) and not is_known(run):
                 r = eff.ratio(run)
                 if r <= max_ratio:
                     found.append((m.start(), 3, m.end(), r))
@@ -121,7 +122,7 @@ def redact(df: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY,
     """The same rows and columns with every found span replaced by ``mark``; null texts stay null."""
 
     cols = df.columns
-    found = scan_secrets(df, text_col, cols, vocabulary, out="__spans").select(*cols, "__spans")
+    found = scan_secrets(df, text_col, cols, vocabulary, out=spare(df, "spans")[0])
     at = cols.index(text_col)
 
     def cut(text, spans):
@@ -140,4 +141,4 @@ def redact(df: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY,
             arrays[at] = pa.array(map(cut, arrays[at].to_pylist(), b.column(len(cols)).to_pylist()), type=pa.string())
             yield pa.RecordBatch.from_arrays(arrays, names=cols)
 
-    return found.mapInArrow(run, T.StructType([df.schema[c] for c in cols]))
+    return map_batches(found, run, df.schema)

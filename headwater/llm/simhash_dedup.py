@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import durable, map_text, release
+from headwater.llm.common import col, durable, map_text, release, spare
 from headwater.llm.components import connected_components
 from headwater.llm.words import Sequences, hashed_words, mix
 
@@ -101,13 +101,15 @@ def links(fps: DataFrame) -> DataFrame:
 
 def classes(marked: DataFrame, id_col: str = "doc_id", fp_col: str = "fp", out: str = "component_id") -> DataFrame:
     """Append the class of each row: the smallest id that links of at most three differing bits reach."""
-    reps = durable(marked.groupBy(F.col(fp_col).alias("fp")).agg(F.min(id_col).alias("rep")))
+    reps = durable(marked.groupBy(col(fp_col).alias("fp")).agg(F.min(col(id_col)).alias("rep")))
     found = connected_components(links(reps.select("fp")))
     named = reps.join(found, reps.fp == found.node, "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("least"))
-    name = durable(named.join(least, "component").select(F.col("fp").alias("__class_fp"), F.col("least").alias("__least")))
+    key, given = spare(marked, "fp", "least")
+    name = durable(named.join(least, "component").select(F.col("fp").alias(key), F.col("least").alias(given)))
     release(marked.sparkSession)
-    return marked.join(name, F.col(fp_col) == F.col("__class_fp")).drop("__class_fp").withColumnRenamed("__least", out)
+    held = [c for c in marked.columns if c.lower() != out.lower()]
+    return marked.join(name, col(fp_col) == F.col(key)).select(*map(col, held), F.col(given).alias(out))
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
@@ -201,13 +203,14 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: s
     stays, of a class without ids one row; repeated rows and texts without words are alike. An id that stands on
     different texts, null included, names no text alone: its rows are told apart by their sets.
     """
-    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
-    key = name(f"`{id_col}`")
-    fields = [T.StructField("__node", T.BinaryType()), T.StructField("__size", T.LongType()), T.StructField("__sig", T.BinaryType())]
-    signed = map_text(docs.select(id_col, text_col), text_col, [id_col], fields, lambda texts: list(signatures(texts, width)))
-    known = durable(signed.select(F.col(f"`{id_col}`").alias("id"), F.col("__node").alias("node"), F.col("__size").alias("size"), F.col("__sig").alias("sig")))
+    name = lambda c: F.coalesce(F.concat(F.lit("="), col(c).cast("string")), F.lit(""))
+    key = name(id_col)
+    key_, node_ = spare(docs, "key", "node")
+    fields = [T.StructField("node", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("sig", T.BinaryType())]
+    plain = docs.select(col(id_col).alias("id"), col(text_col).alias("text"))
+    known = durable(map_text(plain, "text", ["id"], fields, lambda texts: list(signatures(texts, width))))
     marked = durable(known.groupBy("node", "size", "sig").agg(F.min("id").alias("id")))
-    doubtful = durable(known.groupBy(name("id").alias("__key")).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("__key"))
+    doubtful = durable(known.groupBy(name("id").alias(key_)).agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select(key_))
     family = connected_components(_candidates(marked, similarity))
     members = durable(family.join(marked.select("node", "size", "id"), "node").select("node", F.col("component").alias("family"), "size", name("id").alias("key")))
     release(docs.sparkSession)
@@ -216,7 +219,7 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: s
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
     few = members.count() <= BROADCAST_MEMBERS
     bounded = F.broadcast if few else lambda df: df
-    texts = docs.select(key.alias("key"), F.col(text_col).alias("text")).join(bounded(members.select("key").distinct()), "key", "left_semi")
+    texts = docs.select(key.alias("key"), col(text_col).alias("text")).join(bounded(members.select("key").distinct()), "key", "left_semi")
     named = map_text(texts, "text", ["text"], [T.StructField("node", T.BinaryType())], lambda t: [signatures(t, width)[0]])
     held = named.join(bounded(dealt.select("node", "family", F.array_distinct(pairs).alias("pairs"))), "node").select("node", "text", "family", F.explode("pairs").alias("p"))
 
@@ -231,13 +234,13 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, id_col: s
     release(docs.sparkSession)
     classed = marked.join(found, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = classed.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("c")).select("c.*")
-    chosen = durable(least.select(name("id").alias("__key"), F.col("node").alias("__node")))
+    chosen = durable(least.select(name("id").alias(key_), F.col("node").alias(node_)))
     # one exchange of the texts: the join and the choice among repeated rows share its key
-    held = docs.withColumn("__key", key)
-    kept = held.join(chosen.select("__key").join(doubtful, "__key", "left_anti"), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    held, columns = docs.withColumn(key_, key), [col(c) for c in docs.columns]
+    kept = held.join(chosen.select(key_).join(doubtful, key_, "left_anti"), key_, "left_semi").dropDuplicates([key_]).select(*columns)
     n_doubtful = doubtful.count()
     if not n_doubtful:
         return kept
-    some = held.join(F.broadcast(doubtful) if n_doubtful <= BROADCAST_MEMBERS else doubtful, "__key", "left_semi")
-    told = map_text(some, text_col, some.columns, fields[:1], lambda t: [signatures(t, width)[0]])
-    return kept.unionByName(told.join(chosen, ["__key", "__node"], "left_semi").dropDuplicates(["__key", "__node"]).select(*docs.columns))
+    some = held.join(F.broadcast(doubtful) if n_doubtful <= BROADCAST_MEMBERS else doubtful, key_, "left_semi")
+    told = map_text(some, text_col, some.columns, [T.StructField(node_, T.BinaryType())], lambda t: [signatures(t, width)[0]])
+    return kept.unionByName(told.join(chosen, [key_, node_], "left_semi").dropDuplicates([key_, node_]).select(*columns))

@@ -131,6 +131,20 @@ def test_license_spans_are_positions():
     assert [text[s["start"] : s["end"]] for s in spans] == ["Under the MIT-License"]
 
 
+def test_license_many_places_in_linear_time():
+    import time
+
+    scanner = license_scan.Scanner()
+    took = []
+    for n in (2000, 16000):
+        text = "undxr the mit license under the mit license " * n
+        began = time.perf_counter()
+        got = scanner.spans(text)[1]
+        took.append(time.perf_counter() - began)
+        assert [(s["word"], s["edits"]) for s in got] == [(4 * i, 1 - i % 2) for i in range(2 * n)]
+    assert took[1] < 24 * took[0]
+
+
 # --- 2 quality
 
 
@@ -165,6 +179,26 @@ def test_quality_edges(spark):
     assert quality_knn.quality_report(d.where("false"), lab).count() == 0
 
 
+def test_quality_votes_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    x = rng.random((60, quality_knn.WIDTH)).astype(np.float32)
+    x[20:26] = x[19]  # ties at the k-th place
+    y = (rng.random(60) < 0.4).astype(float)
+    space = quality_knn.fit_space(x, y, prior=0.7, rank=8, neighbours=5, power=4.0)
+    asked = np.concatenate([x[:30], rng.random((10, quality_knn.WIDTH)).astype(np.float32), np.zeros((1, quality_knn.WIDTH), np.float32)])
+    got = space.score(asked)
+    share, z = y.mean(), space.project(asked)
+    for i in range(len(asked)):
+        sims = [sum(float(a) * float(b) for a, b in zip(z[i], v)) for v in space.vectors]
+        least = sorted(sims)[-5]
+        total = vote = 0.0
+        for s, label in zip(sims, y):
+            if s >= least - 1e-6:
+                w = max(s, 0.0) ** 4 * (0.7 / share if label else 0.3 / (1 - share))
+                total, vote = total + w, vote + w * label
+        assert got[i] == pytest.approx(vote / total if total else 0.7, abs=1e-4)
+
+
 # --- 3 SimHash
 
 
@@ -309,6 +343,27 @@ def test_components(spark):
     assert got == {x: root(x) for x in parent}
 
 
+def test_names_that_clash_or_hold_dots(spark):
+    names = ["__key", "__spans", "__score", "__node", "__TEXT", "SPANS", "Score", "key", "node", "fp", "a.b", "N_Words", "least"]
+    d = spark.createDataFrame([(i, t) for i, t in enumerate(["under the mit license", "password = abcdefghijkl", None, "x y z", "x y z"])], "doc_id long, text string")
+    for k, n in enumerate(names):
+        d = d.withColumn(n, F.lit(f"mine {k}"))
+    rows = [tuple(r)[2:] for r in d.collect()]
+    kept = simhash_dedup.keep_one(d)
+    assert kept.columns == d.columns and sorted(r[0] for r in kept.collect()) == [0, 1, 2, 3] and {tuple(r)[2:] for r in kept.collect()} == set(rows)
+    clean = secret_scan.redact(d)
+    assert clean.columns == d.columns and [tuple(r)[2:] for r in clean.orderBy("doc_id").collect()] == rows and "[SECRET]" in clean.where("doc_id = 1").first().text
+    import corpus_pipeline
+
+    scored = quality_knn.score_quality(d, quality_knn.fit(d, spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")), out="score")
+    assert scored.columns.count("score") == 1 and scored.count() == 5
+    assert corpus_pipeline.STAGES
+    assert license_scan.scan_licenses(d).where("size(spans) > 0").count() == 1
+    assert simhash_dedup.classes(simhash_dedup.fingerprints(d)).count() == 5
+    assert decontam.drop_leaks(d, spark.createDataFrame([(1, "x y z")], "item_id long, text string")).columns == d.columns
+    assert piece_nbest.encode_nbest(d).count() == 5 and recompress.dedup_substrings(d).count() == 5
+
+
 # --- 4 chat
 
 
@@ -385,6 +440,18 @@ def test_secrets(spark):
     assert rand not in clean[1] and clean[3] is None and clean[4] == "" and clean[2].startswith("digest [SECRET] uuid ")
 
 
+def test_secrets_recall_of_random_keys():
+    """Random base62 keys and letters alone are found; names and words are left alone."""
+    rng = random.Random(3)
+    eff = secret_scan.Efficiency(open(secret_scan.VOCABULARY, "rb").read())
+    b62 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    for size, letters, least in ((20, b62, 0.97), (24, b62, 0.98), (40, b62, 0.99), (24, b62[:52], 0.97)):
+        keys = ["".join(rng.choice(letters) for _ in range(size)) for _ in range(1500)]
+        assert np.mean([not secret_scan.is_known(k) and eff.ratio(k) <= 2.2 for k in keys]) >= least, (size, len(letters))
+    for name in ("someLongVariableName2024", "a-dashed-identifier-of-words", "INTERNATIONALIZATION_KEY", "Donaudampfschifffahrten", "path/to/some/file_name_v2"):
+        assert secret_scan.is_known(name), name
+
+
 # --- 6 sharding
 
 
@@ -573,6 +640,34 @@ def test_pieces_report(spark, lattice):
     assert [r.text for r in piece_nbest.decode_ids(out).orderBy("doc_id").collect()] == ["ab cd", ""]
 
 
+def test_pieces_passed_together_equal_those_passed_alone(lattice):
+    rng = random.Random(9)
+    units = {" " * rng.randrange(3) + "".join(rng.choice("etaoinsh rdlucmäß▁😀\t0123456789"[:k]).strip(" ") for _ in range(rng.randrange(1, 30))) for k in (9, 14, 20, 32) for _ in range(400)}
+    units = sorted(u for u in units if u) + ["\n", " ", "x" * 90, "é" * 96]
+    got = lattice.words_of(units)
+    assert got == [lattice.word(u) for u in units]
+    assert any(piece_nbest.array("i", got[k][0]).tolist() for k in range(len(units)))
+
+
+def test_pieces_of_a_small_store(lattice):
+    texts = ["the cat sat", None, "", "a stone under the river " * 20, "y" * 300 + " the cat", "ça 😀\n\n the"]
+    small = piece_nbest.Lattice(open(piece_nbest.MODEL, "rb").read(), 3, 4)
+    texts = [t or "" for t in texts]
+    assert [(a.tolist(), b) for a, b in small.encode_all(texts)] == [(a.tolist(), b) for a, b in map(lattice.encode, texts)]
+
+
+def test_pieces_refuse_a_model_that_crosses_words(monkeypatch):
+    import sentencepiece
+
+    class Crossing(sentencepiece.SentencePieceProcessor):
+        def id_to_piece(self, i):
+            return "of▁the" if i == 700 else super().id_to_piece(i)
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Crossing)
+    with pytest.raises(ValueError, match="of the"):
+        piece_nbest.Lattice(open(piece_nbest.MODEL, "rb").read())
+
+
 # --- 9 substrings
 
 
