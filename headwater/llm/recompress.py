@@ -8,7 +8,8 @@ the end cuts, and then a symbol that could pair with one outside. Those ends are
 every window; what lies between them is the same wherever the window's words stand.
 
 The key of a window is the least name of ``GRAM`` neighbouring interior symbols of the last round, of all of them where
-there are fewer, and of its words where no interior is left (a run longer than the window). Neighbouring windows of one
+there are fewer, and of its words where no interior is left (a run longer
+than the window; equal neighbours of that kind repeat one another). Neighbouring windows of one
 key and place make an occurrence; its words are those of all its windows. Keys that occur once rule their windows out.
 Occurrences of one key whose words are all equal, by a second hash, are repeated as a whole; of those one, and each
 occurrence that is equal to no other, sends its windows if its key has occurrences of different words, and a 128-bit
@@ -36,15 +37,15 @@ from headwater.llm.words import Sequences, hashed_words, mix
 
 WINDOW = 35
 #: Symbols of a key.
-GRAM = 4
+GRAM = 5
 #: Documents hashed at a time, and bytes of them beyond one.
 BATCH, BATCH_BYTES = 1024, 4 << 20
 
 
 def rounds_for(window: int) -> int:
-    """The most rounds that leave half the window: round r loses some 1.5 symbols of (4/3)**r words at either end."""
+    """The most rounds that leave two thirds of the window: round r loses some 1.5 symbols of (4/3)**r words at either end."""
     r, left = 0, float(window)
-    while (left := left - 3 * (4 / 3) ** r) >= window / 2:
+    while (left := left - 3 * (4 / 3) ** r) >= 2 * window / 3:
         r += 1
     return r
 
@@ -110,12 +111,13 @@ class Batch:
         if not len(start):
             self.occurrence = self.first = self.text = start
             self.key = self.run = start.astype(np.uint64)
+            self.alike = start > 0
             return
         text = np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
         name, lo, hi = recompress(self.words.copy(), text, start, start + window, rounds_for(window))
         symbols = Sequences(name)
         many = hi - lo
-        # the place of a key is a symbol's number, or the window's own start beyond all of those
+        # the place of a key is a symbol's number; neighbours without interior are together as long as they are equal
         key, place = np.empty(len(start), np.uint64), np.empty(len(start), np.int64)
         full, none = many >= GRAM, many == 0
         some = ~full & ~none
@@ -123,13 +125,15 @@ class Batch:
         place[full] = least_in(grams, lo[full], hi[full] - GRAM)
         key[full] = grams[place[full]]
         key[some], place[some] = symbols.at(lo[some], many[some]), lo[some]
-        key[none], place[none] = ~self.sequences.at(start[none], window), len(name) + start[none]
+        key[none], place[none] = ~self.sequences.at(start[none], window), len(name)
         new = np.ones(len(start), bool)
         new[1:] = (key[1:] != key[:-1]) | (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)
         self.occurrence = np.cumsum(new) - 1
         at = np.flatnonzero(new)
         last = np.concatenate([at[1:], [len(start)]]) - 1
         self.first, self.key = start[at], key[at]
+        #: occurrences of several windows without interior, which repeat one another
+        self.alike = none[at] & (last > at)
         self.run = Sequences(self.words, True).at(self.first, start[last] - start[at] + window)
         self.text = np.searchsorted(self.offsets, self.first, side="right") - 1
 
@@ -263,7 +267,7 @@ def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def ask_keys(batches):
         for b in _slices(batches, 2):
             x = Batch(b.column(2), window)
-            head, recurs, rest = _deal([x.key, x.run], np.zeros(len(x.key), bool))
+            head, recurs, rest = _deal([x.key, x.run], x.alike)
             rows = np.concatenate([head, rest])
             did, part, pos = b.column(0).to_numpy()[x.text[rows]], b.column(1).to_numpy()[x.text[rows]], (x.first - x.offsets[x.text])[rows]
             # repeats within the batch are whole by themselves; keys of their own keep them from one task
@@ -295,7 +299,7 @@ def mark_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # one exchange of the texts serves both joins
     base = keyed.join(marked, ["did", "part"], "left")
-    some = base.where(F.exists("marked", lambda m: m.bitwiseAND(F.lit(1)) == 1)).select("did", "part", "text", "marked")
+    some = base.where(F.exists("marked", lambda m: m.bitwiseAND(F.lit(1)) == 1)).select("did", "part", "text", "marked", "id")
     asked = some.mapInArrow(ask_windows, "one long, two long, did long, part int, pos long, many boolean")
     return base.join(_listed(_lone(asked), "pos", "lone"), ["did", "part"], "left").select("id", "text", "marked", "lone")
 
