@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, map_text
+from headwater.llm.common import checked_broadcast, col, map_batches, map_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
@@ -343,7 +343,7 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "text", model: st
     with open(model, "rb") as f:
         proto = f.read()
     shared = checked_broadcast(df.sparkSession, proto, len(proto))
-    keep = [c for c in df.columns if c not in (out, ids_col)]
+    keep = [c for c in df.columns if c.lower() not in (out.lower(), ids_col.lower())]
 
     def run(batches):
         if (model, 1, 1) not in _loaded:
@@ -355,8 +355,8 @@ def decode_ids(df: DataFrame, ids_col: str = "ids", out: str = "text", model: st
                 [b.column(i) for i in range(len(keep) + 1)] + [pa.array([None if x is None else lattice.decode(x) for x in ids], type=pa.string())], names=[*keep, ids_col, out]
             )
 
-    schema = T.StructType([df.schema[c] for c in [*keep, ids_col]] + [T.StructField(out, T.StringType())])
-    return df.select(*keep, ids_col).mapInArrow(run, schema)
+    src = df.select(*map(col, [*keep, ids_col]))
+    return map_batches(src, run, T.StructType(src.schema.fields + [T.StructField(out, T.StringType())]))
 
 
 def piece_report(docs: DataFrame, model: str = MODEL, n: int = 3) -> DataFrame:
