@@ -47,3 +47,16 @@ def report_status(errors: Column, production_changes: Column, material: Column,
 
 def material_changes(*counts: Column) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(0)) for c in counts])
+
+
+def fetch_failed(fetch_status: Column, status: Column, valid_items: Column, error_code: Column) -> Column:
+    """Whether a source could not be read at all, so that nothing may be concluded from what is missing."""
+    said = F.coalesce(fetch_status.startswith("LIVE_FETCH_FAILED") | status.isin("UNAVAILABLE", "BLOCKED"), F.lit(False))
+    return said | F.coalesce((valid_items == 0) & (F.btrim(error_code) != ""), F.lit(False))
+
+
+def guarded_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str], health: DataFrame, source: str) -> DataFrame:
+    """``snapshot_diff`` in which a source that failed (``health``: source, failed) keeps its old items unchanged: no removals, no additions."""
+    failed = health.where("failed").select(source).distinct()
+    rest = new.join(failed, source, "left_anti").select(key, *fields)
+    return snapshot_diff(old.select(key, *fields), rest.unionByName(old.join(failed, source, "left_semi").select(key, *fields)), key, fields)

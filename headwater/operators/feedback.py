@@ -195,3 +195,60 @@ def merge_records(local: DataFrame, imported: DataFrame) -> DataFrame:
     kept = [F.when(newer, F.col(f"i.{f}")).otherwise(F.col(f"l.{f}")).alias(f) for f in fields]
     history = merged_history(F.col("l.history"), F.col("i.history"), local.schema["history"].dataType)
     return j.select("item_id", *kept, F.when(earlier, F.col("l.created_at")).otherwise(F.col("i.created_at")).alias("created_at"), history.alias("history")).select(*local.columns)
+
+
+def with_decision(items: DataFrame, state: DataFrame, item: str, wanted: str = "") -> DataFrame:
+    """Items with their decision, ``UNREVIEWED`` where there is none; only those of the wanted one, if one is named."""
+    out = items.join(state.select(item, F.col("decision").alias("__d")), item, "left").withColumn("decision", F.coalesce("__d", F.lit("UNREVIEWED"))).drop("__d")
+    return out.where(F.col("decision") == wanted) if wanted else out
+
+
+def decision_distribution(items: DataFrame, state: DataFrame, item: str, decisions=DECISIONS) -> DataFrame:
+    """(decision, n) of every decision, also of those that no item has."""
+    held = items.join(state.select(item, "decision"), item).agg(*[F.count_if(F.col("decision") == d).alias(d) for d in decisions])
+    return held.select(F.explode(F.array(*[F.struct(F.lit(d).alias("decision"), F.col(d).alias("n")) for d in decisions])).alias("x")).select("x.*")
+
+
+def apply_decisions(records: DataFrame, inputs: DataFrame, config: dict) -> DataFrame:
+    """All records after one decision per item, with ``errors`` of the inputs; a decision with errors changes nothing.
+
+    ``records`` are as for ``record_errors``. ``inputs`` have item_id, human_decision, reason_codes, reviewer_alias, note,
+    next_action, review_date, event_id and now. History only grows: an event is appended, and one whose id the record has
+    already is refused. Refused inputs without a record are listed with their errors and no history.
+    """
+    fields = ("human_decision", "reason_codes", "reviewer_alias", "note", "next_action", "review_date")
+    j = records.select("item_id", F.struct(*[c for c in records.columns if c != "item_id"]).alias("r")).join(
+        inputs.select("item_id", F.struct(*fields, "event_id", "now").alias("i")), "item_id", "full_outer"
+    )
+    asked, prior = F.col("i").isNotNull(), F.col("r").isNotNull()
+    used = F.coalesce(F.exists("r.history", lambda e: e["event_id"] == F.col("i.event_id")), F.lit(False))
+    more = {"ITEM_ID_REQUIRED": ~F.coalesce(has_text(F.col("item_id")), F.lit(False)), "EVENT_ID_REQUIRED": ~F.coalesce(has_text(F.col("i.event_id")), F.lit(False)), "EVENT_ID_REPEATED": used}
+    errors = F.when(asked, F.concat(decision_errors({n: F.col(f"i.{n}") for n in fields}, config), issue_codes(more))).otherwise(F.array().cast("array<string>"))
+    j = j.withColumn("errors", errors)
+    done = asked & (F.size("errors") == 0)
+    trimmed = lambda n: F.coalesce(F.btrim(F.col(f"i.{n}")), F.lit(""))
+    reasons = F.array_distinct(F.filter(F.transform("i.reason_codes", lambda x: F.btrim(x)), lambda x: x != ""))
+    given = {n: reasons if n == "reason_codes" else trimmed(n) for n in fields}
+    entry = {
+        "event_id": trimmed("event_id"), "event_type": F.when(prior, EVENT_TYPES[1]).otherwise(EVENT_TYPES[0]), "previous_decision": F.coalesce("r.human_decision", F.lit("UNREVIEWED")), "new_decision": given["human_decision"],
+        "reason_codes": reasons, "next_action": given["next_action"], "reviewer_alias": given["reviewer_alias"], "note": given["note"], "timestamp": F.col("i.now"),
+    }
+    kind = records.schema["history"].dataType
+    event = F.array(F.struct(*[entry[f.name].alias(f.name) for f in kind.elementType.fields]))
+    old_start = F.when(parse_time(F.col("r.created_at")).isNotNull(), F.col("r.created_at")).otherwise(F.col("i.now"))
+    made = {n: F.when(done, given[n]).otherwise(F.col(f"r.{n}")) for n in fields}
+    made |= {
+        "created_at": F.when(done, old_start).otherwise(F.col("r.created_at")), "updated_at": F.when(done, F.col("i.now")).otherwise(F.col("r.updated_at")),
+        "history": F.when(done, F.concat(F.coalesce("r.history", F.array().cast(kind)), event)).otherwise(F.col("r.history")),
+    }
+    return j.select(*[F.col(c) if c == "item_id" else made.get(c, F.col(f"r.{c}")).alias(c) for c in records.columns], "errors")
+
+
+def apply_import(current: DataFrame, imported: DataFrame, outcomes: DataFrame, schema_version: str, now: Column) -> tuple[DataFrame, DataFrame]:
+    """(all records with the accepted ones merged in, one row of the root: schema_version, updated_at, n_records).
+
+    ``outcomes`` are those of ``import_records``; records that are invalid or reuse an event id are left out.
+    """
+    fine = imported.join(outcomes.where("outcome = 'ACCEPTED'").select("item_id").distinct(), "item_id", "left_semi")
+    merged = merge_records(current, fine)
+    return merged, merged.agg(F.lit(schema_version).alias("schema_version"), F.first(now).alias("updated_at"), F.count("*").alias("n_records"))

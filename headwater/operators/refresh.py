@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions.dates import is_strict_date
 from headwater.functions.text import has_text, plain_fold
-from headwater.operators.diff import percent
+from headwater.operators.diff import fetch_failed, percent, reasonable_minimum
 from headwater.operators.quality import issue_codes
 
 #: Names under which the publisher itself is no organisation of a record, and origins that are made up.
@@ -160,3 +160,53 @@ def new_signal_errors(signals: DataFrame, changes: DataFrame) -> DataFrame:
         whole = whole & F.coalesce(has_text(F.col(f"official_provenance.{f}")), F.lit(False))
     tests = {"NEW_SIGNAL_PROVENANCE_INCOMPLETE": ~whole, "NEW_SIGNAL_HUMAN_REVIEW_REQUIRED": ~F.coalesce(F.col("human_review_required"), F.lit(False))}
     return added.select("id", issue_codes(tests).alias("errors"))
+
+
+def proposal_contract(checked: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row per source of ``runs``: counts, sorted errors and warnings of its proposed items, and whether they may replace the old ones.
+
+    ``checked`` has source_code, id, published_at, organization_hint, link_valid, provenance_complete and the errors of
+    ``proposal_item_errors``. ``runs`` has source_code, old_total, requested, raw_items, normalized_items, duplicate_items,
+    invalid_items, fetch_status, status, http_status, content_type, n_errors and error_code; a null status means that there is
+    no health record. Item errors are listed by code, once each. A source that failed is never eligible.
+    """
+    flag = lambda n: F.coalesce(F.col(n), F.lit(False))
+    blank = lambda n: ~F.coalesce(has_text(F.col(n)), F.lit(False))
+    items = checked.groupBy("source_code").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("id").alias("n_ids"),
+        F.count_if(F.size("errors") > 0).alias("n_bad"),
+        F.array_distinct(F.flatten(F.collect_set("errors"))).alias("codes"),
+        F.count_if(blank("published_at")).alias("n_undated"),
+        F.count_if(blank("organization_hint")).alias("n_unnamed"),
+        F.count_if(flag("link_valid")).alias("n_links"),
+        F.count_if(flag("provenance_complete")).alias("n_whole"),
+    )
+    zero = lambda n: F.coalesce(F.col(n), F.lit(0)).cast("long")
+    j = runs.join(items, "source_code", "left").withColumns({n: zero(n) for n in ("n", "n_ids", "n_bad", "n_undated", "n_unnamed", "n_links", "n_whole")})
+    least = reasonable_minimum(F.least(F.greatest(F.coalesce("requested", F.lit(25)), F.lit(1)), F.lit(50)), zero("old_total"))
+    known, failed = F.col("status").isNotNull(), fetch_failed(F.col("fetch_status"), F.col("status"), F.col("n"), F.col("error_code"))
+    tests = {
+        "PROPOSED_OUTPUT_EMPTY": F.col("n") == 0,
+        "VALID_ITEM_COUNT_BELOW_MINIMUM": F.col("n") < F.col("reasonable_minimum_valid_items"),
+        "DUPLICATE_STABLE_ID": F.col("n_ids") != F.col("n"),
+        "NORMALIZED_COUNT_MISMATCH": ~F.col("normalized_items").eqNullSafe(F.col("n")),
+        "INVALID_ITEMS_PRESENT": zero("invalid_items") > 0,
+        "DUPLICATE_RATE_ABNORMAL": (zero("raw_items") > 0) & (zero("duplicate_items") / zero("raw_items") > 0.5),
+        "LIVE_FETCH_FAILED": failed,
+        "PROPOSED_HEALTH_MISSING": ~known,
+        "SOURCE_HEALTH_UNACCEPTABLE": known & ~F.col("status").isin("HEALTHY", "DEGRADED"),
+        "SOURCE_HTTP_NOT_200": known & ~F.col("http_status").eqNullSafe(F.lit(200)),
+        "SOURCE_NOT_HTML": known & ~F.coalesce(F.col("content_type").rlike(r"(?i)^text/html\b"), F.lit(False)),
+        "SOURCE_HEALTH_HAS_ERRORS": known & (zero("n_errors") > 0),
+    }
+    counted = lambda code, n: F.when(F.col(n) > 0, F.concat(F.lit(f"{code}:"), F.col(n).cast("string")))
+    none = F.array().cast("array<string>")
+    out = j.withColumn("reasonable_minimum_valid_items", least).withColumn("duplicate_count", zero("duplicate_items"))
+    out = out.withColumn("errors", F.array_sort(F.array_distinct(F.concat(issue_codes(tests), F.coalesce("codes", none)))))
+    warned = F.array_compact(F.array(counted("DUPLICATES_REMOVED", "duplicate_count"), counted("MISSING_DATE", "n_undated"), counted("MISSING_ORGANIZATION", "n_unnamed")))
+    return out.select(
+        "source_code", (F.size("errors") == 0).alias("proposal_eligible"), F.col("reasonable_minimum_valid_items").cast("long").alias("reasonable_minimum_valid_items"), (F.col("n") - F.col("n_bad")).alias("valid_item_count"),
+        F.col("n_bad").alias("invalid_item_count"), "duplicate_count", F.col("n_undated").alias("missing_date_count"), F.col("n_unnamed").alias("missing_organization_count"), F.col("n_links").alias("valid_link_count"),
+        percent(F.col("n_links"), F.col("n")).alias("valid_link_percent"), F.col("n_whole").alias("provenance_complete_count"), percent(F.col("n_whole"), F.col("n")).alias("provenance_completeness_percent"), warned.alias("warnings"), "errors",
+    )

@@ -83,3 +83,50 @@ def option(env: dict, name: str, kind: str, default, least=None, most=None):
     if (least is not None and value < least) or (most is not None and value > most):
         raise ValueError(f"{name}: {value} is outside {least}..{most}")
     return value
+
+
+def item_count(spark: SparkSession, path: str, item: T.StructType) -> tuple[int, str]:
+    """(items of a file, '') or (0, why it could not be read)."""
+    try:
+        rows = spark.read.text(path, wholetext=True).select(F.btrim("value").alias("v"))
+        whole = F.from_json("v", T.StructType([T.StructField("items", T.ArrayType(item))]))["items"]
+        held = rows.agg(F.count_if(F.col("v").startswith("{") & whole.isNotNull()).alias("good"), F.count("*").alias("files"), F.sum(F.size(whole)).alias("n")).first()
+    except Exception as error:
+        return 0, f"unreadable: {type(error).__name__}"
+    return (held.n, "") if held.files and held.good == held.files else (0, "an object with a list of items is needed")
+
+
+def read_optional(spark: SparkSession, read, schema: T.StructType, name: str) -> tuple[DataFrame, list[str]]:
+    """(rows, warnings) of an input that may be absent or broken: then there are no rows and one warning, and the rest goes on."""
+    try:
+        out = read()
+        out.limit(1).count()
+        return out, []
+    except Exception as error:
+        return spark.createDataFrame([], schema), [f"{name} is not available ({type(error).__name__})"]
+
+
+#: What can become of a source that was looked at.
+ACCEPTANCE = ("ACCEPTED_FOR_TRIGGER_PILOT", "PILOT_ONLY", "DISABLED", "REJECTED")
+
+
+def registry_errors(registry: dict, statuses=ACCEPTANCE) -> list[str]:
+    """All errors of a registry of sources; an empty list means that it may be used."""
+    if not isinstance(registry, dict) or not isinstance(registry.get("sources"), list):
+        return ["an object with a list of sources is needed"]
+    listed, errors, seen = registry.get("acceptance_statuses"), [], set()
+    if not isinstance(listed, list) or sorted(map(str, listed)) != sorted(statuses):
+        errors.append("acceptance_statuses: each status is needed once")
+    for k, s in enumerate(registry["sources"]):
+        code = str(s.get("code") or "").strip() if isinstance(s, dict) else ""
+        if not code:
+            errors.append(f"sources[{k}]: a code is needed")
+            continue
+        if code in seen:
+            errors.append(f"{code}: stands more than once")
+        seen.add(code)
+        if s.get("acceptance_status") not in statuses:
+            errors.append(f"{code}: unknown status")
+        if s.get("acceptance_status") == "REJECTED" and not str(s.get("acceptance_reason") or "").strip():
+            errors.append(f"{code}: a rejected source needs a reason")
+    return errors
