@@ -12,19 +12,77 @@ from pyspark.sql import functions as F
 SPACE = r"(?U)\s+"
 
 
-def _fold_map() -> tuple[str, str]:
-    """Characters whose compatibility decomposition is one base letter, and those letters."""
-    src, dst = [], []
-    for code in range(0x80, 0x2E80):
-        c = chr(code)
-        base = "".join(x for x in unicodedata.normalize("NFKD", c) if not 0x300 <= ord(x) <= 0x36F)
+#: The first of the syllables that decompose by rule, and how many there are.
+_HANGUL, _SYLLABLES = 0xAC00, 11172
+
+
+def _plain(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not 0x300 <= ord(x) <= 0x36F)
+
+
+def _fold_map() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility decomposition is one character, those characters, and the others with theirs."""
+    src, dst, gone, many = [], [], [], {}
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code <= 0xDFFF or _HANGUL <= code < _HANGUL + _SYLLABLES:
+            continue
+        c, base = chr(code), _plain(chr(code))
         if len(base) == 1 and base != c:
             src.append(c)
             dst.append(base)
-    return "".join(src), "".join(dst)
+        elif not base:
+            gone.append(c)
+        elif base != c:
+            many[c] = base
+    return "".join(src + gone), "".join(dst), many
+
+
+_SRC, _DST, _MANY = _fold_map()
+
+
+def _jamo(first: int, n: int) -> Column:
+    return F.lit("".join(chr(first + i) for i in range(n)))
+
+
+def _tables() -> list[tuple[int, int, str]]:
+    """Blocks of neighbouring characters that become several: first and last code point, and the block as a literal map."""
+    blocks: list[list[int]] = []
+    for code in sorted(map(ord, _MANY)):
+        if blocks and code - blocks[-1][-1] < 96:
+            blocks[-1].append(code)
+        else:
+            blocks.append([code])
+    return [(b[0], b[-1], "\x01".join(f"{chr(k)}\x02{_MANY[chr(k)]}" for k in b)) for b in blocks]
 
 
-_SRC, _DST = _fold_map()
+_TABLES = _tables()
+
+
+def _decomposed(c: Column) -> Column:
+    """Compatibility forms taken apart, marks dropped: single ones by translation, the others looked up in texts that hold one.
+
+    Most texts are plain ASCII after the translation, which two lengths tell.
+    """
+    least = min(_MANY)
+
+    def one(x: Column) -> Column:
+        code = F.ascii(x)
+        at = code - _HANGUL
+        place = lambda jamo, i: F.substr(jamo, i.cast("int") + 1, F.lit(1))
+        parts = F.concat(place(_jamo(0x1100, 19), F.floor(at / 588)), place(_jamo(0x1161, 21), F.floor(at % 588 / 28)), F.when(at % 28 > 0, place(_jamo(0x11A8, 27), at % 28 - 1)).otherwise(""))
+        out = F.when(x < least, x).when((at >= 0) & (at < _SYLLABLES), parts)
+        for first, last, pairs in _TABLES:
+            out = out.when((code >= first) & (code <= last), F.coalesce(F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02")), x), x))
+        return out.otherwise(x)
+
+    low = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b, _ in _TABLES if b < 0x250)
+    kind = f"[{low}\\x{{250}}-\\x{{10ffff}}]"
+
+    def whole(t: Column) -> Column:
+        return F.when(F.octet_length(t) == F.length(t), t).when(t.rlike(kind), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)
+
+    # the lambda binds the translation, which would be made anew wherever it is named
+    return F.get(F.transform(F.array(F.translate(c, _SRC, _DST)), whole), F.lit(0))
 
 
 def has_text(c: Column) -> Column:
@@ -37,11 +95,13 @@ def first_text(*cols: Column) -> Column:
 
 
 def fold_loose(c: Column) -> Column:
-    """Entities decoded (the ampersand first), accents folded, lower case, white space collapsed."""
+    """Entities decoded (the ampersand first), compatibility forms and accents folded, lower case, white space collapsed.
+
+    Marks of other scripts keep the order in which they stand.
+    """
     for coded, raw in (("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'")):
         c = F.replace(c, F.lit(coded), F.lit(raw))
-    c = F.regexp_replace(F.translate(c, _SRC, _DST), "[\\u0300-\\u036f]", "")
-    return F.btrim(F.regexp_replace(F.lower(c), SPACE, " "))
+    return F.btrim(F.regexp_replace(F.lower(_decomposed(c)), SPACE, " "))
 
 
 def fold_search(c: Column) -> Column:

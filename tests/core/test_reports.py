@@ -64,3 +64,20 @@ def test_registry_errors():
     assert readers.registry_errors([]) and readers.registry_errors({"sources": {}})
     wrong = {"acceptance_statuses": ["REJECTED"], "sources": [{"code": "A", "acceptance_status": "X"}, {"code": "A", "acceptance_status": "REJECTED"}, {"code": " "}, 3]}
     assert len(readers.registry_errors(wrong)) == 6
+
+
+def test_folding_of_every_character(spark):
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    from headwater.functions import text
+
+    chars = [chr(c) for c in range(0x80, 0x20000) if not 0xD800 <= c <= 0xDFFF]
+    rows = spark.createDataFrame([(c, "x" + c) for c in chars] + [("two", "\ufb03 \uac01\u2460\u2026 \uff21\u33ab")], "c string, t string")
+    got = {r.c: r.f for r in rows.select("c", text._decomposed(F.col("t")).alias("f")).collect()}
+    want = lambda t: "".join(x for x in unicodedata.normalize("NFKD", t) if not 0x300 <= ord(x) <= 0x36F)
+    assert [c for c in chars if got[c] != want("x" + c)] == []
+    assert got["two"] == want("\ufb03 \uac01\u2460\u2026 \uff21\u33ab")
+    folded = spark.createDataFrame([("\uff34\uff25\uff2e\uff24\uff25\uff32 \ufb01n\u2122",)], "t string").select(text.fold_search(F.col("t")).alias("f")).first().f
+    assert folded == "tender fintm"
