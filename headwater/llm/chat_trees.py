@@ -102,27 +102,14 @@ def format_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         F.concat(F.lit(OPEN), F.replace(escape(F.coalesce("role", F.lit(""))), F.lit("\n"), F.lit("&#10;")), F.lit(SEP)).alias("head"),
         escape(F.coalesce("text", F.lit(""))).alias("body"),
     )
-    rows = turns.groupBy("tree", "rank").agg(F.array_sort(F.collect_list(F.struct("pos", "head", "body", "loss"))).alias("t"))
-    ends = F.aggregate(
-        "t",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-        lambda a, t: F.struct(
-            (a["at"] + F.length(t["head"]) + F.length(t["body"]) + len(CLOSE)).cast("long").alias("at"),
-            F.when(
-                t["loss"],
-                F.concat(
-                    a["spans"],
-                    F.array(
-                        F.struct((a["at"] + F.length(t["head"])).cast("long").alias("start"), (a["at"] + F.length(t["head"]) + F.length(t["body"])).cast("long").alias("end"))
-                    ),
-                ),
-            )
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
+    before = Window.partitionBy("tree", "rank").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("head") + F.length("body")
+    turns = turns.withColumn("at", F.coalesce(F.sum((size + len(CLOSE)).cast("long")).over(before), F.lit(0).cast("long")) + F.length("head"))
+    span = F.when(F.col("loss"), F.struct(F.col("at").alias("start"), (F.col("at") + F.length("body")).alias("end")))
+    rows = turns.groupBy("tree", "rank").agg(
+        F.array_sort(F.collect_list(F.struct("pos", F.concat("head", "body", F.lit(CLOSE)).alias("turn")))).alias("t"), F.array_sort(F.collect_list(span)).alias("loss_spans")
     )
-    text = F.array_join(F.transform("t", lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))), "")
-    return rows.select("tree", "rank", text.alias("formatted"), ends["spans"].alias("loss_spans"))
+    return rows.select("tree", "rank", F.array_join(F.transform("t", lambda t: t["turn"]), "").alias("formatted"), "loss_spans")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
