@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from headwater.functions import dates, guards, html, ids, robots, text
 from headwater.functions.rules import RuleSet, Trigger, detect_all, extract_name, first_in_list, first_match, primary, suggested_action, timing
 from headwater.operators import dedup, diff, feedback, feeds, items, official, quality, refresh, review, signals
+from headwater.operators.durable import durable
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -421,7 +422,9 @@ def dedup_first_seen(spark, sf):
 
 @query(f"WITH {_DOCS}, k AS (SELECT doc_id, CASE WHEN length(t) >= 12 THEN t END AS k FROM d) SELECT doc_id, k IS NOT NULL AND count(*) OVER (PARTITION BY k) > 1 AS is_duplicate FROM k")
 def dup_title_flag(spark, sf):
-    return dedup.flag_duplicates(_docs(spark, sf).select("doc_id", F.when(F.length("t") >= 12, F.sha2("t", 256)).alias("k")), F.col("k")).select("doc_id", "is_duplicate")
+    # ids and hashes are written once, as they are read twice: the texts are read and folded once
+    keyed = durable(_docs(spark, sf).select("doc_id", F.when(F.length("t") >= 12, F.sha2("t", 256)).alias("k")))
+    return dedup.flag_duplicates(keyed, F.col("k")).select("doc_id", "is_duplicate")
 
 
 @query()
@@ -436,14 +439,16 @@ def top_titles(spark, sf):
 
 
 @query(
-    f"""WITH {_DOCS}, b AS (SELECT item_id, substr(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g')), 1, 12) AS h FROM benchmark),
-m AS (SELECT doc_id, 1 AS tier, item_id FROM d JOIN benchmark USING (text) UNION ALL SELECT doc_id, 2, item_id FROM d JOIN b ON substr(t, 1, 12) = h),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tier, item_id) AS n FROM m) SELECT doc_id, CAST(tier AS INTEGER) AS tier, item_id FROM r WHERE n = 1"""
+    f"""WITH {_DOCS}, k AS (SELECT *, doc_id IN (SELECT doc_id FROM labels) AS known FROM d), a AS (SELECT * FROM k WHERE NOT known), b AS (SELECT doc_id AS first_id, text, t FROM k WHERE known),
+m AS (SELECT doc_id, 1 AS tier, first_id FROM a JOIN b USING (text) UNION ALL SELECT doc_id, 2, first_id FROM a JOIN b USING (t) WHERE t <> ''),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY tier, first_id) AS n FROM m) SELECT doc_id, CAST(tier AS INTEGER) AS tier, first_id FROM r WHERE n = 1"""
 )
 def exact_dup_cross_corpus(spark, sf):
-    d = _docs(spark, sf).select("doc_id", F.col("text").alias("exact"), F.substring("t", 1, 12).alias("head"))
-    b = _t(spark, sf, "benchmark").select("item_id", F.col("text").alias("b_exact"), F.substring(text.fold_search(F.col("text")), 1, 12).alias("b_head"))
-    return dedup.match_tiers(d, b, [("exact", "b_exact"), ("head", "b_head")], "doc_id", "item_id")
+    # the labelled documents are one corpus, the others the second; the keys are whole texts, hashed once
+    keyed = durable(_docs(spark, sf).select("doc_id", F.sha2("text", 256).alias("exact"), F.when(F.col("t") != "", F.sha2("t", 256)).alias("folded")))
+    known = _t(spark, sf, "labels").select("doc_id")
+    first = keyed.join(known, "doc_id", "left_semi").select(F.col("doc_id").alias("first_id"), F.col("exact").alias("f_exact"), F.col("folded").alias("f_folded"))
+    return dedup.match_tiers(keyed.join(known, "doc_id", "left_anti"), first, [("exact", "f_exact"), ("folded", "f_folded")], "doc_id", "first_id")
 
 
 @query("SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM labels UNION ALL SELECT doc_id FROM documents) GROUP BY doc_id HAVING count(*) > 1")
