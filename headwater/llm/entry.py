@@ -13,7 +13,7 @@ from headwater.llm.hash_shards import shard_report, shard_sql
 from headwater.llm.license_scan import license_report
 from headwater.llm.piece_nbest import piece_report
 from headwater.llm.quality_knn import quality_report
-from headwater.llm.recompress import substring_report
+from headwater.llm.recompress import SUBSTRING_SQL, substring_report
 from headwater.llm.secret_scan import secret_report
 from headwater.llm.simhash_dedup import simhash_report
 
@@ -82,4 +82,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_trees": CHAT_SQL, "op6_hash_shards": shard_sql(SHARD_BYTES), "op7_cover_topk": TOPK_SQL}
+    return {"op4_chat_trees": CHAT_SQL, "op6_hash_shards": shard_sql(SHARD_BYTES), "op7_cover_topk": TOPK_SQL, "op9_recompress": SUBSTRING_SQL}

@@ -350,3 +350,16 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def substring_report(docs: DataFrame) -> DataFrame:
     return dedup_substrings(docs.select("doc_id", "text"), with_text=False).withColumnRenamed("id", "doc_id")
+
+
+#: Every window is compared as a string: plain, and far too wide for large tables.
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+w AS (SELECT r, i, ws[i] AS word, CASE WHEN i + 34 <= len(ws) THEN array_to_string(ws[i:i + 34], ' ') END AS s FROM p),
+f AS (SELECT r, i, word, s IS NOT NULL AND count(*) OVER (PARTITION BY s) > 1 AS again FROM w),
+c AS (SELECT r, i, word, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM f),
+g AS (SELECT r, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
