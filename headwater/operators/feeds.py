@@ -171,13 +171,20 @@ def price_records(releases: DataFrame, terms=PACKAGE_TERMS) -> DataFrame:
 def source_hint(title: Column, excerpt: Column) -> Column:
     """Struct (code, matched_terms, evidence_excerpt, human_review_required) of the first group of hints with a term in title or excerpt."""
     title, excerpt = F.coalesce(title, F.lit("")), F.coalesce(excerpt, F.lit(""))
-    t, x = fold_search(html.clean_text(title)), fold_search(html.clean_text(excerpt))
-    made = []
-    for code, terms in HINTS:
-        found = matched_terms(None, terms, lambda _, term: contains_term(t, term) | contains_term(x, term))
-        in_title = F.exists(F.slice(found, 1, 1), lambda term: F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), term, F.lit(" "))))
-        made.append(F.when(F.size(found) > 0, _hint(F.lit(code), found, F.when(in_title, title).otherwise(excerpt))))
-    return F.coalesce(*made, _hint(F.lit("OTHER_OFFICIAL_NEWS"), F.array().cast("array<string>"), F.when(excerpt != "", excerpt).otherwise(title)))
+    none = _hint(F.lit("OTHER_OFFICIAL_NEWS"), F.array().cast("array<string>"), F.when(excerpt != "", excerpt).otherwise(title))
+
+    def first(folded: Column) -> Column:
+        t, x = folded["t"], folded["x"]
+        made = []
+        for code, terms in HINTS:
+            found = matched_terms(None, terms, lambda _, term: contains_term(t, term) | contains_term(x, term))
+            in_title = F.exists(F.slice(found, 1, 1), lambda term: F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), term, F.lit(" "))))
+            made.append(F.when(F.size(found) > 0, _hint(F.lit(code), found, F.when(in_title, title).otherwise(excerpt))))
+        return F.coalesce(*made, none)
+
+    # the lambda binds the folded texts, which would be made anew for every term
+    both = F.struct(fold_search(html.clean_text(title)).alias("t"), fold_search(html.clean_text(excerpt)).alias("x"))
+    return F.get(F.transform(F.array(both), first), F.lit(0))
 
 
 def _hint(code: Column, terms: Column, evidence: Column) -> Column:
