@@ -9,8 +9,11 @@ from headwater.llm.chat_trees import CHAT_SQL, chat_report
 from headwater.llm.common import table
 from headwater.llm.cover_topk import TOPK_SQL, topk_report
 from headwater.llm.decontam import leak_report
+from headwater.llm.exact_digest import digest_report
 from headwater.llm.hash_shards import shard_report, shard_sql
 from headwater.llm.license_scan import license_report
+from headwater.llm.merkle import MERKLE_SQL, merkle_report
+from headwater.llm.periodic_runs import runs_report
 from headwater.llm.piece_nbest import piece_report
 from headwater.llm.quality_knn import quality_report
 from headwater.llm.recompress import SUBSTRING_SQL, substring_report
@@ -65,6 +68,18 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_exact_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_report(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_report(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     ops = (
         op1_license_scan,
@@ -77,9 +92,12 @@ def queries() -> dict:
         op8_piece_nbest,
         op9_recompress,
         op10_decontam,
+        op11_exact_digest,
+        op12_merkle_manifest,
+        op13_periodic_runs,
     )
     return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_trees": CHAT_SQL, "op6_hash_shards": shard_sql(SHARD_BYTES), "op7_cover_topk": TOPK_SQL, "op9_recompress": SUBSTRING_SQL}
+    return {"op4_chat_trees": CHAT_SQL, "op6_hash_shards": shard_sql(SHARD_BYTES), "op7_cover_topk": TOPK_SQL, "op9_recompress": SUBSTRING_SQL, "op12_merkle_manifest": MERKLE_SQL}
