@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: White space as text feeds know it, the no-break space included.
@@ -85,6 +85,14 @@ def _decomposed(c: Column) -> Column:
     return F.get(F.transform(F.array(F.translate(c, _SRC, _DST)), whole), F.lit(0))
 
 
+def bind(df: DataFrame, **values: Column) -> DataFrame:
+    """Columns computed once a row, however often they are used later.
+
+    A generator of one row holds them; a projection would be copied into every filter that is pushed below it.
+    """
+    return df.select("*", F.explode(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))).alias("__b")).select(*df.columns, *[F.col(f"__b.{n}").alias(n) for n in values])
+
+
 def has_text(c: Column) -> Column:
     return c.isNotNull() & (F.btrim(c) != "")
 

@@ -4,7 +4,17 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Largest table that an operator broadcasts, in bytes.
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: Column) -> DataFrame:
+    """Marked for broadcast if its measured bytes fit the bound; else joined by shuffling. ``df`` should be durable: it is read once more."""
+    size = df.agg(F.sum(row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def durable(df: DataFrame) -> DataFrame:

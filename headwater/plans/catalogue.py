@@ -46,8 +46,7 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
-    # A generator of one row folds each text once; a projection would be copied into every term of a pushed filter.
-    return _t(spark, sf, "documents").select("*", F.explode(F.array(text.fold_search(F.col("text")))).alias("t"))
+    return text.bind(_t(spark, sf, "documents"), t=text.fold_search(F.col("text")))
 
 
 def query(sql: str | None = None, name: str | None = None):
