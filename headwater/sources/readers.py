@@ -10,13 +10,16 @@ from pyspark.sql import types as T
 def read_items(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
     """Items of a JSON file that is an array or an envelope {generated_at, items}; (generated_at, pos, item fields).
 
-    Files are read whole, one file to a row; what is not an object becomes a row of nulls.
+    Files are read whole, one file to a row (``feed_files.read_feed_files`` reads large ones in ranges). What is no
+    object is dropped (a string that holds the JSON text of an object counts as that object); ``pos`` counts all values,
+    so that gaps show where.
     """
     raw = spark.read.text(path, wholetext=True).select(F.btrim("value").alias("v"))
-    bare = F.from_json("v", T.ArrayType(item))
-    envelope = F.from_json("v", T.StructType([T.StructField("generated_at", T.StringType()), T.StructField("items", T.ArrayType(item))]))
-    both = raw.select(F.when(F.col("v").startswith("["), bare).otherwise(envelope["items"]).alias("items"), F.when(~F.col("v").startswith("["), envelope["generated_at"]).alias("generated_at"))
-    return both.select("generated_at", F.posexplode("items").alias("pos", "item")).select("generated_at", "pos", "item.*")
+    values = T.ArrayType(T.StringType())  # as their JSON text
+    envelope = F.from_json("v", T.StructType([T.StructField("generated_at", T.StringType()), T.StructField("items", values)]))
+    both = raw.select(F.when(F.col("v").startswith("["), F.from_json("v", values)).otherwise(envelope["items"]).alias("items"), F.when(~F.col("v").startswith("["), envelope["generated_at"]).alias("generated_at"))
+    rows = both.select("generated_at", F.posexplode("items").alias("pos", "x")).where(F.coalesce(F.json_object_keys("x").isNotNull(), F.lit(False)))
+    return rows.select("generated_at", "pos", F.from_json("x", item).alias("item")).select("generated_at", "pos", "item.*")
 
 
 def read_rss(spark: SparkSession, path: str) -> DataFrame:
