@@ -72,3 +72,36 @@ def forbidden_fields(schema: T.StructType, at: str = "") -> list[str]:
         if isinstance(kind, T.StructType):
             found += forbidden_fields(kind, f"{name}.")
     return found
+
+
+#: A string of a JSON text, with the colon and the beginning of the value if it is a key.
+_MEMBER = r'"(?:[^"\\]|\\.)*+"(?:\s*+:\s*+(?:"(?:[^"\\]|\\.)*+"|-?[0-9])?+)?+'
+
+
+def json_members(value: Column) -> Column:
+    """ARRAY<STRUCT<key, text, is_number>> of all members of a JSON text, at any depth, in their order.
+
+    ``text`` is the value if it is a text. One scan over the strings, whatever the depth: a string is a key if a colon
+    follows. VARIANT, struct, map and array values are given as ``to_json`` of them. Null has no members; a broken text
+    has those that can be read.
+    """
+    plain = lambda t: F.when(t.contains("\\"), F.get(F.from_json(F.concat(F.lit('["'), t, F.lit('"]')), "array<string>"), F.lit(0))).otherwise(t)
+    inside = r'(?s)^"((?:[^"\\]|\\.)*+)"\s*+:\s*+'
+
+    def member(m: Column) -> Column:
+        is_text = m.rlike(inside + '"')
+        said = F.when(is_text, plain(F.regexp_extract(m, inside + r'"((?:[^"\\]|\\.)*+)"$', 2)))
+        return F.struct(plain(F.regexp_extract(m, inside, 1)).alias("key"), said.alias("text"), m.rlike(inside + "-?[0-9]$").alias("is_number"))
+
+    found = F.regexp_extract_all(F.coalesce(value, F.lit("")), F.lit(f"(?s){_MEMBER}"), F.lit(0))
+    return F.transform(F.filter(found, lambda m: m.rlike(inside)), member)
+
+
+def forbidden_members(members: Column) -> Column:
+    """Keys, each once and sorted, that act on people or prices, that hold a number as a score, or whose text names such an action."""
+    bad = lambda m: (
+        m["key"].rlike("(?i)outreach_action|contact_action|send_email|send_whatsapp|set_price")
+        | (m["key"].rlike("(?i)score") & m["is_number"])
+        | (m["key"].rlike("(?i)action|outreach|contact") & F.coalesce(m["text"].rlike("(?i)outreach|contact|send[_ -]?(email|whatsapp)|set[_ -]?price"), F.lit(False)))
+    )
+    return F.array_sort(F.array_distinct(F.transform(F.filter(members, bad), lambda m: m["key"])))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest table that an operator broadcasts, in bytes.
@@ -17,12 +18,18 @@ def broadcast_if_small(df: DataFrame, row_bytes: Column) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Checkpoint to the folder named in ``spark.checkpoint.dir``; to a temporary one only in local mode, where it is unset."""
-    spark, sc = df.sparkSession, df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's address below the one named in ``spark.checkpoint.dir``; below a temporary one only in local mode, where it is unset."""
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not folder and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="headwater-checkpoint-"))
+    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Checkpoint to the shared folder; lineage ends there."""
+    shared_folder(df.sparkSession, "")
     return df.checkpoint(eager=True)

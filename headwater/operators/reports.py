@@ -16,7 +16,12 @@ OFFICIAL = "official_source_pilot"
 
 
 def source_counters(items: DataFrame) -> DataFrame:
-    """One row of 19 counters over all input items (data_origin, outcome, has_signal, editorial_suppressed); nulls are false.
+    """One row of the ``source_counter_columns`` of all input items."""
+    return items.agg(*[c.alias(n) for n, c in source_counter_columns().items()])
+
+
+def source_counter_columns() -> dict[str, Column]:
+    """19 counters, as aggregates over input items (data_origin, outcome, has_signal, editorial_suppressed); nulls are false.
 
     Production items are evaluated always; official ones are evaluated, rejected, or duplicates of production items.
     """
@@ -24,27 +29,27 @@ def source_counters(items: DataFrame) -> DataFrame:
     pilot = F.coalesce(F.col("data_origin") == OFFICIAL, F.lit(False))
     own, joined = ~pilot, pilot & F.coalesce(F.col("outcome") == "evaluated", F.lit(False))
     signal, muted, n = yes("has_signal"), yes("editorial_suppressed"), F.count_if
-    return items.agg(
-        n(F.col("data_origin") == "tender_corpus").alias("tender_total"),
-        n(F.col("data_origin") == "event_corpus").alias("event_total"),
-        n(own).alias("production_evaluated_total"),
-        n(own).alias("evaluated_total"),
-        n(own & signal).alias("production_signal_total"),
-        n(own & signal).alias("signal_total"),
-        n(own & ~signal).alias("production_items_without_trigger"),
-        n(own & ~signal).alias("items_without_trigger"),
-        n(own & muted).alias("suppressed_editorial_total"),
-        n(pilot).alias("source_pilot_input_total"),
-        n(joined).alias("source_pilot_integrated_total"),
-        n(joined & signal).alias("source_pilot_signal_total"),
-        n(joined & ~signal).alias("source_pilot_without_trigger"),
-        n(joined & muted).alias("source_pilot_suppressed_editorial_total"),
-        n(pilot & (F.col("outcome") == "duplicate")).alias("cross_corpus_duplicates"),
-        n(pilot & (F.col("outcome") == "rejected")).alias("rejected_source_items"),
-        n(own | joined).alias("total_evaluated"),
-        n((own | joined) & signal).alias("total_signal_total"),
-        n((own | joined) & ~signal).alias("total_items_without_trigger"),
-    )
+    return {
+        "tender_total": n(F.col("data_origin") == "tender_corpus"),
+        "event_total": n(F.col("data_origin") == "event_corpus"),
+        "production_evaluated_total": n(own),
+        "evaluated_total": n(own),
+        "production_signal_total": n(own & signal),
+        "signal_total": n(own & signal),
+        "production_items_without_trigger": n(own & ~signal),
+        "items_without_trigger": n(own & ~signal),
+        "suppressed_editorial_total": n(own & muted),
+        "source_pilot_input_total": n(pilot),
+        "source_pilot_integrated_total": n(joined),
+        "source_pilot_signal_total": n(joined & signal),
+        "source_pilot_without_trigger": n(joined & ~signal),
+        "source_pilot_suppressed_editorial_total": n(joined & muted),
+        "cross_corpus_duplicates": n(pilot & (F.col("outcome") == "duplicate")),
+        "rejected_source_items": n(pilot & (F.col("outcome") == "rejected")),
+        "total_evaluated": n(own | joined),
+        "total_signal_total": n((own | joined) & signal),
+        "total_items_without_trigger": n((own | joined) & ~signal),
+    }
 
 
 def source_laws() -> dict[str, Column]:

@@ -88,7 +88,12 @@ def source_counters(spark, sf):
     return reports.source_counters(_tagged(spark, sf))
 
 
-@query("SELECT unnest(['production_is_tender_and_event', 'production_splits', 'pilot_splits', 'pilot_input_splits', 'evaluated_adds_up', 'signals_add_up', 'rest_adds_up']) AS law, CAST(0 AS BIGINT) AS n")
+@query(
+    f"""WITH {_TAGGED}, n AS (SELECT count(*) FILTER (o = 0) AS te, count(*) FILTER (o = 1) AS ev, count(*) FILTER (o < 2) AS pe, count(*) FILTER (o < 2 AND s) AS ps, count(*) FILTER (o < 2 AND NOT s) AS pw, count(*) FILTER (o > 1) AS pi, count(*) FILTER (o > 1 AND c > 1) AS pj,
+count(*) FILTER (o > 1 AND c > 1 AND s) AS js, count(*) FILTER (o > 1 AND c > 1 AND NOT s) AS jw, count(*) FILTER (o > 1 AND c = 0) AS du, count(*) FILTER (o > 1 AND c = 1) AS re, count(*) FILTER (c > 1) AS ta, count(*) FILTER (c > 1 AND s) AS ts, count(*) FILTER (c > 1 AND NOT s) AS tw FROM t)
+SELECT x.law, CAST(x.bad AS BIGINT) AS n FROM (SELECT unnest([{{'law': 'production_is_tender_and_event', 'bad': pe <> te + ev}}, {{'law': 'production_splits', 'bad': pe <> ps + pw}}, {{'law': 'pilot_splits', 'bad': pj <> js + jw}}, {{'law': 'pilot_input_splits', 'bad': pi <> pj + du + re}},
+{{'law': 'evaluated_adds_up', 'bad': ta <> pe + pj}}, {{'law': 'signals_add_up', 'bad': ts <> ps + js}}, {{'law': 'rest_adds_up', 'bad': tw <> ta - ts}}]) AS x FROM n)"""
+)
 def source_laws(spark, sf):
     return quality.violations(reports.source_counters(_tagged(spark, sf)), reports.source_laws())
 

@@ -1,4 +1,4 @@
-"""Sinks: versioned tables behind a pointer, envelopes and reports."""
+"""Sinks: versions of a table, envelopes and reports."""
 
 from __future__ import annotations
 
@@ -7,22 +7,17 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headwater.sources import versions
 
-def publish(df: DataFrame, base: str, version: str, accept: bool = True) -> str:
-    """Write a version and move the pointer; without acceptance the last good version stays current."""
-    spark = df.sparkSession
-    if accept:
-        df.write.mode("overwrite").parquet(f"{base}/versions/{version}")
-        spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{base}/current")
-    return current(spark, base)
+
+def publish(df: DataFrame, base: str, version: str, accept: bool = True) -> str | None:
+    """Write a version and accept it; without acceptance the last good version stays current. The current version."""
+    return (versions.publish(df, base, version) if accept else versions.publish_health(df.sparkSession, base))["version"]
 
 
 def current(spark, base: str) -> str | None:
-    try:
-        row = spark.read.parquet(f"{base}/current").first()
-    except Exception:  # no version has been published
-        return None
-    return row.version if row else None
+    known = versions.last_marker(spark, base)
+    return known["version"] if known else None
 
 
 def envelope(df: DataFrame, generated_at: str) -> DataFrame:
