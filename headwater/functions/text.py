@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -93,6 +94,11 @@ def bind(df: DataFrame, **values: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(F.struct(*[v.alias(n) for n, v in values.items()]))).alias("__b")).select(*df.columns, *[F.col(f"__b.{n}").alias(n) for n in values])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` names it within lambdas."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def has_text(c: Column) -> Column:
     return c.isNotNull() & (F.btrim(c) != "")
 

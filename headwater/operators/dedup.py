@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,37 +35,12 @@ def top_distinct(df: DataFrame, value: Column, order: Column, n: int = 20) -> Da
     return rows.groupBy(F.lower("value").alias("key")).agg(F.min_by("value", "pos").alias("value"), F.min("pos").alias("pos")).orderBy("pos").limit(n).select("value", "pos")
 
 
-def greedy_keys(df: DataFrame, group: str, order: str, keys: list[str]) -> DataFrame:
-    """Keep a row if none of its keys belongs to a kept row before it; the reason of a drop is the first such key.
-
-    Sequential within a group: a dropped row reserves none of its keys. Rows arrive sorted and are streamed, so only
-    the keys of one group are held.
-    """
-    cols = df.columns
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, taken = object(), [set() for _ in keys]
-        for b in batches:
-            reasons = []
-            for g, *values in zip(b.column(cols.index(group)).to_pylist(), *[b.column(cols.index(k)).to_pylist() for k in keys], strict=True):
-                if g != current:
-                    current, taken = g, [set() for _ in keys]
-                hit = next((k for k, t, v in zip(keys, taken, values, strict=True) if v not in (None, "") and v in t), "")
-                if not hit:
-                    for t, v in zip(taken, values, strict=True):
-                        t.add(v)
-                reasons.append(hit)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(reasons, pa.string())], names=[*cols, "dropped_by"])
-
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema] + ["dropped_by string"])
-    return df.repartition(group).sortWithinPartitions(group, order).mapInArrow(run, schema)
-
-
 def greedy_shared(df: DataFrame, order: str, keys: list[str]) -> DataFrame:
-    """As ``greedy_keys`` over all rows at once: every key counts in the whole frame, so a key of narrower scope holds its scope.
+    """Keep a row if none of its keys belongs to a kept row before it; ``dropped_by`` is the first such key of a dropped one.
 
-    Null and blank keys are none. Rows of equal keys stand for one record, those records are decided in rounds, and a
-    row's reason is its first key that a kept row before it holds.
+    A dropped row reserves none of its keys. Every key counts in the whole frame, so a key of narrower scope holds its
+    scope. Null and blank keys are none. Rows of equal keys stand for one record; those records are decided by
+    ``feedback.accept_records``, and a row's reason is its first key that a kept row before it holds.
     """
     names = [f"__k{i}" for i in range(len(keys))]
     record = F.struct(F.col(order).alias("o"), *names)

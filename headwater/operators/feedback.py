@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from headwater.functions.dates import is_strict_date, parse_time
-from headwater.functions.text import has_text
+from headwater.functions.text import has_text, let
+from headwater.operators.components import components
 from headwater.operators.durable import durable
 from headwater.operators.quality import issue_codes
 
@@ -61,15 +67,18 @@ def preview_import(current: DataFrame, imported: DataFrame, active: DataFrame, i
 def accept_records(events: DataFrame, record: str, event_id: str) -> DataFrame:
     """(record, accepted): a record is rejected if an accepted record before it, in key order, has one of its event ids.
 
-    A rejected record reserves no ids. Decided in rounds over the records that share an id with another one: the least
-    open record of each of its ids is accepted, what shares an id with it is rejected. Rounds end when none is open.
+    A rejected record reserves no ids. Records that share no id are accepted at once. Of the others, rounds accept the
+    least open record of all of its ids and reject what shares an id with it, as long as a round at least halves the
+    open rows; so there are as many rounds as the rows have binary digits at most. What is left, chains above all, is
+    decided record by record within its connected component, the components spread over tasks. Null records are left
+    out; null ids are shared with none.
     """
     e = events.select(F.col(record).alias("r"), F.col(event_id).alias("e")).where("r IS NOT NULL").distinct()
-    everyone = e.select("r").distinct()
-    shared = e.groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
+    e = durable(e)
+    shared = e.where("e IS NOT NULL").groupBy("e").agg(F.count("*").alias("n")).where("n > 1").select("e")
     open_ = durable(e.join(shared, "e"))
-    accepted = []
-    while not open_.isEmpty():
+    contested, accepted, size = open_.select("r").distinct(), [], open_.count()
+    while size:
         least = open_.groupBy("e").agg(F.min("r").alias("least"))
         marked = open_.join(least, "e").groupBy("r").agg(F.min(F.col("r") == F.col("least")).alias("first"))
         taken = durable(marked.where("first").select("r"))
@@ -77,13 +86,61 @@ def accept_records(events: DataFrame, record: str, event_id: str) -> DataFrame:
         ids = open_.join(taken, "r", "left_semi").select("e").distinct()
         gone = open_.join(ids, "e", "left_semi").select("r").distinct()
         open_ = durable(open_.join(gone, "r", "left_anti"))
-    contested = e.join(shared, "e", "left_semi").select("r").distinct()
-    free = everyone.join(contested, "r", "left_anti")
+        before, size = size, open_.count()
+        if size * 2 > before:
+            accepted.append(_accept_in_order(open_))
+            break
+    free = e.select("r").distinct().join(contested, "r", "left_anti")
     for part in accepted:
         free = free.unionByName(part)
+    everyone = e.select("r").distinct()
     return everyone.join(free.withColumn("accepted", F.lit(True)), "r", "left").select(F.col("r").alias(record), F.coalesce("accepted", F.lit(False)).alias("accepted"))
 
 
+def _accept_in_order(open_: DataFrame) -> DataFrame:
+    """The accepted records of ``open_(r, e)``, decided in order within each component.
+
+    The rows of a component stream through one task, sorted by record, first to test a record's ids and then to reserve
+    them; only ids that a later record has too are held, and each until its last record has passed.
+    """
+    ends = open_.groupBy("e").agg(F.min("r").alias("least"), F.max("r").alias("last"))
+    linked = durable(open_.join(ends, "e"))
+    groups = components(linked.select(F.col("r").alias("u"), F.col("least").alias("v")))
+    # a record that shares no id with an open one any more is a component of its own
+    placed = linked.join(groups.withColumnRenamed("node", "r"), "r", "left").withColumn("component", F.coalesce("component", "r"))
+    phases = F.explode(F.array(F.lit(0), F.lit(1))).alias("phase")
+    rows = placed.select(F.xxhash64("component").alias("part"), "component", "r", F.col("e").alias("id"), (F.col("r") == F.col("last")).alias("ends"), phases)
+    kind = open_.schema["r"].dataType
+    out = T.StructType([T.StructField("r", kind)])
+    arrow = to_arrow_schema(out)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        component = record = None
+        taken, good, told = set(), False, False
+        for b in batches:
+            kept = []
+            for c, r, key, ends, phase in zip(*[b.column(i).to_pylist() for i in range(1, 6)]):
+                if c != component:
+                    component, taken = c, set()
+                    record = None
+                if r != record:
+                    record, good, told = r, True, False
+                if phase == 0:
+                    good = good and key not in taken
+                    continue
+                if good and not told:
+                    kept.append(r)
+                    told = True
+                if ends:
+                    taken.discard(key)
+                elif good:
+                    taken.add(key)
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array(kept, arrow.field(0).type)], schema=arrow)
+
+    return durable(rows.repartition("part").sortWithinPartitions("part", "component", "r", "phase").mapInArrow(decide, out))
+
+
 #: Decisions that a person may take, actions that no rule file may offer, and kinds of events.
 DECISIONS = ("QUALIFIED", "NEEDS_RESEARCH", "WATCHLIST", "NOT_RELEVANT")
 FORBIDDEN = ("SEND_WHATSAPP", "SEND_EMAIL", "CONTACT_PERSON", "SUBMIT_BID", "SEND_OFFER", "SET_PRICE")
@@ -180,9 +237,14 @@ def merged_history(local: Column, imported: Column, imported_type) -> Column:
     """Both histories by time and event id; of entries of one id the first stays, local ones before imported ones."""
     none = F.array().cast(imported_type)
     both = F.filter(F.concat(F.coalesce(local, none), F.coalesce(imported, none)), lambda e: F.coalesce(has_text(e["event_id"]), F.lit(False)))
-    ids = F.transform(both, lambda e: e["event_id"])
-    first = F.filter(both, lambda e, i: F.array_position(ids, e["event_id"]) == i + 1)
-    return F.transform(F.array_sort(F.transform(first, lambda e: F.struct(e["timestamp"].alias("t"), e["event_id"].alias("i"), e.alias("e")))), lambda x: x["e"])
+
+    def entries(both: Column) -> Column:
+        # sorted by id and place, an entry is the first of its id if the one before it has another id
+        order = F.array_sort(F.transform(both, lambda e, i: F.struct(e["event_id"].alias("i"), i.alias("n"))))
+        first = lambda order: F.filter(order, lambda x, n: (n == 0) | (F.get(order, n - 1)["i"] != x["i"]))
+        return F.transform(let(order, first), lambda x: F.get(both, x["n"]))
+
+    return F.transform(F.array_sort(F.transform(let(both, entries), lambda e: F.struct(e["timestamp"].alias("t"), e["event_id"].alias("i"), e.alias("e")))), lambda x: x["e"])
 
 
 def merge_records(local: DataFrame, imported: DataFrame) -> DataFrame:

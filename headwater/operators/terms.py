@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwater.functions.rules import RuleSet
-from headwater.functions.text import fold_search, fold_term, unique_terms
+from headwater.functions.text import fold_search, fold_term, let, unique_terms
 from headwater.operators.durable import broadcast_if_small, durable
 
 #: Roles of a term within a rule. FREE: a phrase that needs no context.
@@ -37,8 +37,7 @@ def token_grams(folded: Column, lengths: list[int]) -> Column:
     def of(words: Column) -> Column:
         return F.array_distinct(F.concat(*[runs(words, k) for k in lengths]))
 
-    # the lambda binds the tokens, which would be split anew for every length
-    return F.get(F.transform(F.array(F.split(F.coalesce(folded, F.lit("")), " ")), of), F.lit(0)) if lengths else F.array().cast("array<string>")
+    return let(F.split(F.coalesce(folded, F.lit("")), " "), of) if lengths else F.array().cast("array<string>")
 
 
 def term_table(terms: DataFrame, term: str = "term", order: str = "no") -> DataFrame:
@@ -50,7 +49,8 @@ def term_table(terms: DataFrame, term: str = "term", order: str = "no") -> DataF
 def _matched(docs: DataFrame, keep: list[str], folded: list[str], table: DataFrame) -> DataFrame:
     """Every (kept columns, columns of the table) where a field holds the table's form."""
     lengths = [r.n for r in table.select(F.size(F.split("form", " ")).alias("n")).distinct().orderBy("n").collect()]
-    grams = F.array_distinct(F.concat(*[token_grams(F.col(c), lengths) for c in folded]))
+    grams = [token_grams(F.col(c), lengths) for c in folded]
+    grams = F.array_distinct(F.concat(*grams)) if len(grams) > 1 else grams[0]
     held = docs.select(*keep, F.explode(grams).alias("form"))
     row_bytes = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(32))
     return held.join(broadcast_if_small(table, row_bytes), "form")

@@ -149,7 +149,8 @@ def test_timing(spark, title, kind, event, published, state):
 def test_greedy_against_loop(spark):
     rng = random.Random(1)
     rows = [(i, f"g{i % 3}", f"u{rng.randrange(20)}", f"h{rng.randrange(20)}") for i in range(120)] + [(200, "z", "u0", "h1"), (201, "z", "u1", "h1"), (202, "z", "u1", "h9")]
-    got = {r.i: r.dropped_by for r in dedup.greedy_keys(spark.createDataFrame(rows, "i int, g string, u string, h string"), "g", "i", ["u", "h"]).collect()}
+    df = spark.createDataFrame(rows, "i int, g string, u string, h string").withColumns({k: F.concat_ws("/", "g", k) for k in "uh"})
+    got = {r.i: r.dropped_by for r in dedup.greedy_shared(df, "i", ["u", "h"]).collect()}
     taken = {}
     for i, g, u, h in rows:
         su, sh = taken.setdefault(g, (set(), set()))
@@ -373,6 +374,65 @@ def test_accept_records_against_loop(spark):
     assert {x.r: x.accepted for x in got} == want and 0 < sum(want.values()) < 120 and len(got) == 120
 
 
+def accepted_by_loop(rows):
+    taken, want = set(), {}
+    for r in sorted({r for r, _ in rows}):
+        mine = {e for q, e in rows if q == r and e is not None}
+        want[r] = not mine & taken
+        taken |= mine if want[r] else set()
+    return want
+
+
+@pytest.mark.parametrize("kind", ["chain", "chains", "star", "dense", "wheel", "null"])
+def test_accept_records_of_shapes_in_bounded_rounds(spark, kind, monkeypatch):
+    rng = random.Random(4)
+    made = {
+        "chain": lambda: [(r, r + k) for r in range(5000) for k in (0, 1)],
+        "chains": lambda: [(r * 50 + c, c * 1000 + r + k) for c in range(30) for r in range(40) for k in (0, 1)],
+        "star": lambda: [(r, e) for r in range(300) for e in (0, r + 1)],
+        "dense": lambda: [(r, rng.randrange(12)) for r in range(200) for _ in range(3)],
+        "wheel": lambda: [(r, e) for r in range(1, 200) for e in (r, r + 1, 1000 + r % 7)],
+        "null": lambda: [(r, None) for r in range(5)] + [(9, 1), (9, None), (10, 1)],
+    }[kind]()
+    if kind == "chain":
+        want = {r: r % 2 == 0 for r in range(5000)}
+    else:
+        want = accepted_by_loop(made)
+    steps = []
+    monkeypatch.setattr(feedback, "durable", lambda df, f=feedback.durable: (steps.append(1), f(df))[1])
+    got = feedback.accept_records(spark.createDataFrame(made, "r long, e long").repartition(5), "r", "e").collect()
+    assert {x.r: x.accepted for x in got} == want and len(got) == len(want)
+    assert len(steps) < 20
+
+
+def test_components_against_union_find(spark):
+    from headwater.operators.components import components
+
+    rng = random.Random(5)
+    edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(250)] + [(1000 + i, 1001 + i) for i in range(300)] + [(3000, 3000 + i) for i in range(100)] + [(5, 5)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: root(x) for u, v in edges if u != v for x in (u, v)}
+
+
+def test_merged_history_of_many_entries(spark):
+    entry = "struct<event_id:string,timestamp:string,note:string>"
+    df = spark.range(1).select(
+        *[F.transform(F.sequence(F.lit(a), F.lit(b)), lambda i: F.struct(F.concat(F.lit("e"), i).alias("event_id"), F.lpad(10000 - i, 5, "0").alias("timestamp"), F.lit("s").alias("note"))).cast(f"array<{entry}>").alias(side) for side, a, b in (("l", 0, 3000), ("i", 1000, 5000))]
+    )
+    got = df.select(feedback.merged_history(F.col("l"), F.col("i"), f"array<{entry}>").alias("h")).first().h
+    assert [e.event_id for e in got] == [f"e{i}" for i in range(5000, -1, -1)]
+
+
 def test_sources_and_outputs(spark, tmp_path):
     registry = [{"code": "a", "enabled": True, "status": "ACCEPTED"}, {"code": "b", "enabled": False, "status": "ACCEPTED"}]
     assert [s["code"] for s in readers.select_sources(registry)] == ["a"]
