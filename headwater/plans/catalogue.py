@@ -426,7 +426,15 @@ def dup_title_flag(spark, sf):
     return dedup.flag_duplicates(keyed, F.col("k")).select("doc_id", "is_duplicate")
 
 
-@query()
+#: The least record of all its ids is taken, what shares an id with it is out, again and again; of ``held(r, e)``.
+_GREEDY = """w(r, e, done) AS (SELECT r, e, 0 FROM held UNION ALL (WITH a AS (SELECT r, e, r = min(r) OVER (PARTITION BY e) AS least FROM w WHERE done = 0), b AS (SELECT r, e, bool_and(least) OVER (PARTITION BY r) AS first FROM a),
+c AS (SELECT r, e, first, bool_or(first) OVER (PARTITION BY e) AS hit FROM b) SELECT r, e, CASE WHEN first THEN 1 WHEN bool_or(hit) OVER (PARTITION BY r) THEN 2 ELSE 0 END FROM c))"""
+
+
+@query(
+    f"""WITH RECURSIVE {_DOCS}, k AS (SELECT doc_id, 'h' || sha256(t) AS hash, 't' || sha256(source || chr(10) || t) AS title FROM d), held AS (SELECT doc_id AS r, hash AS e FROM k UNION ALL SELECT doc_id, title FROM k), {_GREEDY},
+o AS (SELECT DISTINCT r, e FROM w WHERE done = 1) SELECT k.doc_id, CASE WHEN a.r < k.doc_id THEN 'hash' WHEN b.r < k.doc_id THEN 'title' ELSE '' END AS dropped_by FROM k LEFT JOIN o a ON a.e = k.hash LEFT JOIN o b ON b.e = k.title"""
+)
 def greedy_dedup(spark, sf):
     d = _docs(spark, sf).select("doc_id", "source", F.sha2("t", 256).alias("hash"), F.sha2(F.concat_ws("\n", "source", "t"), 256).alias("title"))
     return dedup.greedy_shared(d, "doc_id", ["hash", "title"]).select("doc_id", "dropped_by")
@@ -695,8 +703,7 @@ def facet_options(spark, sf):
     return items.facet_options(_t(spark, sf, "documents"), "lang", "source")
 
 
-# Greedy over an order, so without SQL; tests hold it against a loop.
-@query()
+@query(f"WITH RECURSIVE held AS (SELECT DISTINCT l_orderkey AS r, l_partkey AS e FROM lineitem), {_GREEDY} SELECT DISTINCT r AS l_orderkey, done = 1 AS accepted FROM w WHERE done > 0")
 def accepted_records(spark, sf):
     e = _t(spark, sf, "lineitem")
     return feedback.accept_records(e, "l_orderkey", "l_partkey")
