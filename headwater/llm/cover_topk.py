@@ -1,21 +1,25 @@
 """Exact top-k inner-product search with cover trees over queries and data together.
 
-A bounded sample of rows serves as the trees' common top level: queries and data alike belong to their nearest pivot.
-Data ordered by pivot fall into blocks of bounded bytes, queries into groups; each block and each group has a cover tree.
-A node of radius R has centres as children that are more than R / 2 apart and within R / 2 of all its points; the first
-child's centre is its own. A node whose points would need more centres than ``FAN``, or than half its points,
-is a leaf. A pair of nodes is left out if c_q c_d + |c_q| R_d + |c_d| R_q + R_q R_d, which no pair of its points exceeds, is
-below the worst k-th score in the query node. The k-th scores start from the sample, so whole blocks can be left out before
-a group is sent there, and rise as a block is searched.
-
-A group of queries is sent to the blocks that it needs, and each task holds one block and one group at a time: nothing
-that grows with the tables is collected or broadcast, and the data are read once however many queries there are.
-
-Components become floor(1024 x) as integers; products are integers and exact. Vectors that are null or hold a null
-or a non-finite component take no part. Missing components of shorter vectors count as zero. Vectors so long that a score
-could leave 64 bits (a squared norm of 2**62 or more) are refused with a ValueError. Of equal vectors the k + 1 of the
-smallest ids can matter and are kept. A candidate is a row of another id. Ties go to the smaller id. Empty tables give
-no rows.
+A bounded sample of rows, the pivots, serves as the trees' common top level: queries and data alike belong to their
+nearest pivot. Data ordered by pivot fall into blocks of bounded bytes, queries into groups; each block and each group
+has a cover tree. The children of a node are found farthest first: centres that are farther from each other than the
+level's reach, which is at most half the node's radius where ``FAN`` centres cover that, and what the ``FAN`` farthest
+ones cover where not. Every point goes to its nearest centre, so every node with more than a leaf's points is split.
+
+Queries and data meet node by node, one node of queries with all nodes of data that its parent has left. With the data taken relative to the pivots' mean m, q d = q m + q (d - m), and q m is
+known for each query, so a pair of nodes is left out if c_q c_d + |c_q| R_d + |c_d| R_q + R_q R_d, which no q (d - m) of its
+points exceeds, is below the worst k-th score less q m in the query node. The k-th scores start from the pivots alone
+and rise as a block is searched; the balls of whole blocks are tested first, so a group is sent only where it is needed.
+
+The balls of all blocks are a table too: they are dealt in chunks, and each group meets every chunk. A task holds one
+chunk or one block and one group at a time: nothing that grows with the tables is collected or broadcast, and the data
+are read once however many queries there are.
+
+Components become floor(1024 x) as integers; products are integers and exact, of any size. A pair whose score does not
+fit a long has no score and is left out, as is a vector that is null or holds a component that is null, not finite, or
+1e150 or more when taken 1024 times (its length could not be told). Missing components of shorter vectors count as zero. Of equal vectors the k + 1 of the smallest ids can
+matter and are kept. A candidate is a row of another id; ids are integers, others are refused with a TypeError. Ties go to
+the smaller id. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,28 +32,30 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from headwater.llm.common import BROADCAST_BYTES, checked_broadcast, col, durable
+from headwater.llm.common import checked_broadcast, col, durable
 
 SCALE = 1024
 #: Below every score.
-NONE = -(2**62)
-#: Points of a node of data and of queries that is not split, most children of a node, points on which a split is tried first, points multiplied at a time.
-LEAF, QUERY_LEAF, FAN, TRIED, SLICE = 32, 4, 256, 1024, 2048
+NONE = np.iinfo(np.int64).min
+#: Points of a node of data and of queries that is not split, most children of a node, vectors placed or multiplied at a time.
+LEAF, QUERY_LEAF, FAN, SLICE = 64, 1, 16, 2048
+#: Queries that may be searched together where pruning helps little.
+JOINT = 64
 PIVOTS = 512
-#: Bytes of the sample, of a block of data, of a group of queries and of a row that carries a part of either.
+#: Bytes of the pivots, of a block of data, of a group of queries and of a row that carries a part of either.
 SAMPLE_BYTES, BLOCK_BYTES, GROUP_BYTES = 4 << 20, 32 << 20, 1 << 19
 #: Rows of a block at least, as far as there are partitions.
 BLOCK_ROWS = 2048
 
 
-def spread(x: np.ndarray, reach: float, most: int) -> tuple[list[int], np.ndarray] | None:
-    """(centres, each point's centre): farthest first from point 0 on, until all lie within reach; None beyond so many centres."""
+def spread(x: np.ndarray, fan: int) -> tuple[list[int], np.ndarray]:
+    """(centres, each point's nearest centre): farthest first from point 0 on, until half the radius covers all or there are ``fan``."""
     owner, centres = np.zeros(len(x), np.int64), [0]
     dist = np.linalg.norm(x - x[0], axis=1)
-    while dist.max() > reach:
-        if len(centres) >= most:
-            return None
+    reach = dist.max() / 2
+    while dist.max() > reach and len(centres) < fan:
         far = int(dist.argmax())
         d = np.linalg.norm(x - x[far], axis=1)
         closer = d < dist
@@ -62,108 +68,160 @@ class CoverTree:
     """Nodes hold points ``order[lo:hi]``, a centre (the first of them) and a covering radius."""
 
     def __init__(self, x: np.ndarray, leaf: int = LEAF):
-        self.x, self.order, self.leaf = x, np.arange(len(x)), leaf
-        self.centre, self.radius, self.lo, self.hi, self.children = [], [], [], [], []
-        open_ = [self._node(0, len(x))] if len(x) else []
+        self.x, self.order = x, np.arange(len(x))
+        self.lo, self.hi, self.children = [], [], []
+        centres, radii = [], []
+        open_ = [(0, len(x), None)] if len(x) else []
         while open_:
-            me = open_.pop()
-            self.children[me] = [self._node(lo, hi) for lo, hi in self._split(self.lo[me], self.hi[me], self.radius[me])]
-            open_ += self.children[me]
-        self.norm = [float(np.linalg.norm(c)) for c in self.centre]
-
-    def _node(self, lo: int, hi: int) -> int:
-        pts = self.x[self.order[lo:hi]]
-        for column, v in zip((self.centre, self.radius, self.lo, self.hi, self.children), (pts[0], float(np.linalg.norm(pts - pts[0], axis=1).max()), lo, hi, []), strict=True):
-            column.append(v)
-        return len(self.lo) - 1
-
-    def _split(self, lo: int, hi: int, radius: float) -> list[tuple[int, int]]:
-        most = min(FAN, (hi - lo) // 2)
-        if hi - lo <= self.leaf or radius == 0:
-            return []
-        pts = self.x[self.order[lo:hi]]
-        if hi - lo > TRIED and spread(pts[:: (hi - lo) // TRIED], radius / 2, most) is None:
-            return []
-        got = spread(pts, radius / 2, most)
-        if got is None:
-            return []
-        centres, owner = got
-        rank = np.ones(hi - lo, np.int64)
-        rank[centres] = 0  # a child's first point is its centre
-        self.order[lo:hi] = self.order[lo:hi][np.lexsort((rank, owner))]
-        ends = lo + np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(centres)))])
-        return list(zip(ends[:-1].tolist(), ends[1:].tolist()))
-
-
-def most_between(product: float, a: float, reach_a: float, b: float, reach_b: float) -> float:
+            lo, hi, parent = open_.pop()
+            me = len(self.lo)
+            if parent is not None:
+                self.children[parent].append(me)
+            pts = x[self.order[lo:hi]]
+            radius = float(np.linalg.norm(pts - pts[0], axis=1).max())
+            centres.append(pts[0])
+            radii.append(radius)
+            self.lo.append(lo)
+            self.hi.append(hi)
+            self.children.append([])
+            if hi - lo > leaf and radius > 0:
+                heads, owner = spread(pts, FAN)
+                rank = np.ones(hi - lo, np.int64)
+                rank[heads] = 0  # a child's first point is its centre
+                self.order[lo:hi] = self.order[lo:hi][np.lexsort((rank, owner))]
+                ends = lo + np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(heads)))])
+                open_ += [(a, b, me) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        self.centre, self.radius = np.array(centres).reshape(len(centres), x.shape[1]), np.array(radii)
+        self.norm = np.linalg.norm(self.centre, axis=1)
+        self.children = [np.array(c, np.int64) for c in self.children]
+        self.inner, self.size = np.array([len(c) > 0 for c in self.children], bool), np.array(self.hi) - np.array(self.lo)
+
+    def below(self, nodes: np.ndarray, split: np.ndarray) -> np.ndarray:
+        """The nodes with those marked replaced by their children, if they have any."""
+        split = split & self.inner[nodes]
+        return np.concatenate([nodes[~split], *[self.children[b] for b in nodes[split].tolist()]])
+
+
+def most_between(product, a, reach_a, b, reach_b):
     """What no product of two points of balls exceeds, given the centres' product and norms and the radii."""
     more = a * reach_b + b * reach_a + reach_a * reach_b
     return product + more + 1e-9 * (a * b + more) + 1
 
 
 class Search:
-    """A group of queries with its tree and the best scores so far."""
+    """A group of queries with its tree and the best scores so far; ``mean`` is what the data are relative to."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, least: np.ndarray | None = None):
-        self.k = k
+    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int, mean: np.ndarray, least: np.ndarray | None = None):
+        self.k, self.mean = k, mean
         self.tree = CoverTree(x, QUERY_LEAF)
         order = self.tree.order
         self.x, self.qid, self.row = x[order], ids[order], order  # in tree order
+        self.shift = self.x @ mean
+        self.slack = 1 + 1e-9 * np.linalg.norm(self.x, axis=1) * float(np.linalg.norm(mean))
         self.scores = np.full((len(ids), k), NONE)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.held = np.zeros((len(ids), k), bool)
         #: known lower bounds of the k-th scores
-        self.least = np.full(len(ids), NONE) if least is None else least[order]
+        self.kth = np.full(len(ids), NONE) if least is None else least[order]
+        #: pairs of nodes looked at and pairs of points multiplied
+        self.pairs = self.multiplied = 0
 
     def bound_by(self, ids: np.ndarray, x: np.ndarray) -> None:
-        """Lower bounds from a sample of candidates."""
+        """Lower bounds from the pivots."""
         if len(ids) > self.k:
             for lo in range(0, len(self.x), 256):
-                s = np.where(self.qid[lo : lo + 256, None] == ids[None, :], NONE, products(self.x[lo : lo + 256], x))
-                self.least[lo : lo + 256] = np.partition(s, len(ids) - self.k, axis=1)[:, -self.k]
+                s, fits = products(self.x[lo : lo + 256], x)
+                s = np.where(fits & (self.qid[lo : lo + 256, None] != ids[None, :]), s, NONE)
+                self.kth[lo : lo + 256] = np.partition(s, len(ids) - self.k, axis=1)[:, -self.k]
+
+    def low(self, lo: int, hi: int) -> float:
+        """What a product with data relative to the mean must reach to matter for some of these queries."""
+        kth = self.kth[lo:hi].astype(float)
+        return float((kth - 1e-9 * np.abs(kth) - self.shift[lo:hi] - self.slack[lo:hi]).min())
+
+    def kept(self, a: int, d: CoverTree, nodes: np.ndarray, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(the data's nodes that may hold a result of a query of the node ``a``, or of its centre alone, and their bounds)."""
+        q = self.tree
+        lo, hi, radius = q.lo[a], q.lo[a] + 1 if alone else q.hi[a], 0.0 if alone else q.radius[a]
+        tops = most_between(d.centre[nodes] @ q.centre[a], q.norm[a], radius, d.norm[nodes], d.radius[nodes])
+        self.pairs += len(nodes)
+        near = ~(tops < self.low(lo, hi))
+        return nodes[near], tops[near]
+
+    def leaves(self, a: int, d: CoverTree, nodes: np.ndarray, alone: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """As ``kept``, down to the data's leaves."""
+        nodes, tops = self.kept(a, d, nodes, alone)
+        while (inner := d.inner[nodes]).any():
+            more, more_tops = self.kept(a, d, d.below(nodes[inner], np.ones(int(inner.sum()), bool)), alone)
+            nodes, tops = np.concatenate([nodes[~inner], more]), np.concatenate([tops[~inner], more_tops])
+        return nodes, tops
 
     def run(self, d: CoverTree, x: np.ndarray, ids: np.ndarray) -> None:
-        """Search a block; ``x`` and ``ids`` are in the order of its tree."""
+        """Search a block; ``x`` and ``ids`` are in the order of its tree, ``x`` not relative to the mean.
+
+        A node of queries meets the data's nodes that its parent has left, all at once. Of those, the ones of larger
+        radius are split before its children meet them; a leaf of queries goes down to the data's leaves, best bounds
+        first. A node of few queries is taken for a leaf if its centre alone would have to see all of the block, but for a hundredth.
+        """
         if not len(self.qid) or not len(ids):
             return
-        q, kth = self.tree, np.maximum(self.least, self.scores[:, -1])
-        stack = [(0, 0)]
+        q, stack = self.tree, [(0, np.zeros(1, np.int64))]
         while stack:
-            a, b = stack.pop()
-            top = most_between(float(q.centre[a] @ d.centre[b]), q.norm[a], q.radius[a], d.norm[b], d.radius[b])
-            if top < kth[q.lo[a] : q.hi[a]].min():
+            a, nodes = stack.pop()
+            lo, hi = q.lo[a], q.hi[a]
+            nodes, _ = self.kept(a, d, nodes)
+            if len(q.children[a]) and (hi - lo > JOINT or d.size[self.leaves(a, d, nodes, alone=True)[0]].sum() <= 0.99 * len(x)):
+                nodes = d.below(nodes, d.radius[nodes] > q.radius[a])
+                stack += [(int(c), nodes) for c in q.children[a]]
                 continue
-            if not q.children[a] and not d.children[b]:
-                for lo in range(d.lo[b], d.hi[b], SLICE):
-                    hi = min(lo + SLICE, d.hi[b])
-                    self._leaf(q.lo[a], q.hi[a], x[lo:hi], ids[lo:hi], kth)
-            elif q.children[a] and (not d.children[b] or q.radius[a] > d.radius[b]):
-                stack += [(c, b) for c in q.children[a]]
-            else:
-                stack += sorted(((a, c) for c in d.children[b]), key=lambda p: q.centre[a] @ d.centre[p[1]])
-
-    def _leaf(self, lo: int, hi: int, x: np.ndarray, ids: np.ndarray, kth: np.ndarray) -> None:
-        s = products(self.x[lo:hi], x)
-        hit = (s >= kth[lo:hi, None]) & (self.qid[lo:hi, None] != ids[None, :])
+            nodes, tops = self.leaves(a, d, nodes)
+            order, size = np.argsort(-tops), 1
+            nodes, tops = nodes[order], tops[order]
+            while len(nodes):
+                now, nodes, tops, size = nodes[:size], nodes[size:], tops[size:], 2 * size
+                at = np.concatenate([np.arange(d.lo[b], d.hi[b]) for b in now.tolist()])
+                for first in range(0, len(at), SLICE):
+                    self._leaf(lo, hi, x[at[first : first + SLICE]], ids[at[first : first + SLICE]])
+                near = tops >= self.low(lo, hi)
+                nodes, tops = nodes[near], tops[near]
+
+    def _leaf(self, lo: int, hi: int, x: np.ndarray, ids: np.ndarray) -> None:
+        s, fits = products(self.x[lo:hi], x)
+        self.multiplied += s.size
+        hit = fits & (s >= self.kth[lo:hi, None]) & (self.qid[lo:hi, None] != ids[None, :])
         for r in np.flatnonzero(hit.any(axis=1)).tolist():
-            score = np.concatenate([self.scores[lo + r], s[r][hit[r]]])
-            found = np.concatenate([self.found[lo + r], ids[hit[r]]])
-            best = np.lexsort((found, -score))[: self.k]
-            self.scores[lo + r], self.found[lo + r] = score[best], found[best]
-            kth[lo + r] = max(kth[lo + r], self.scores[lo + r, -1])
+            mine = self.held[lo + r]
+            score = np.concatenate([self.scores[lo + r][mine], s[r][hit[r]]])
+            found = np.concatenate([self.found[lo + r][mine], ids[hit[r]]])
+            best = np.lexsort((found, -1 - score))[: self.k]  # -1 - score turns every long around
+            n = len(best)
+            self.scores[lo + r, :n], self.found[lo + r, :n], self.held[lo + r, :n] = score[best], found[best], True
+            if n == self.k:
+                self.kth[lo + r] = max(self.kth[lo + r], self.scores[lo + r, -1])
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query's number in the group, candidate's id, score) of what is held."""
-        real = self.scores > NONE
-        return np.repeat(self.row, real.sum(1)), self.found[real], self.scores[real]
-
-
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products; through floats where every sum is below 2**53, and all are below 2**62."""
-    if not len(a) or not len(b):
-        return np.zeros((len(a), len(b)), np.int64)
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * max(1, a.shape[1]) < 2**53:
-        return np.rint(a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+        return np.repeat(self.row, self.held.sum(1)), self.found[self.held], self.scores[self.held]
+
+
+def products(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exact integer inner products, whether they fit a long): through floats where every sum is below 2**53, through longs below 2**62, else through Python's integers."""
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(1, a.shape[1])
+    if most < 2**62:
+        s = np.rint(a @ b.T).astype(np.int64) if most < 2**53 else a.astype(np.int64) @ b.astype(np.int64).T
+        return s, np.ones(s.shape, bool)
+    out, fits = np.zeros((len(a), len(b)), np.int64), np.zeros((len(a), len(b)), bool)
+    norms, others = (np.abs(v).sum(axis=1) for v in (a, b))
+    whole = [[[int(c) for c in row] for row in v] for v in (a, b)]
+    for i, x in enumerate(whole[0]):
+        for j, y in enumerate(whole[1]):
+            if norms[i] and others[j]:
+                s = sum(p * q for p, q in zip(x, y))
+                if NONE <= s <= -1 - int(NONE):
+                    out[i, j], fits[i, j] = s, True
+            else:
+                fits[i, j] = True
+    return out, fits
 
 
 def matrix(lists, width: int) -> np.ndarray:
@@ -175,32 +233,24 @@ def matrix(lists, width: int) -> np.ndarray:
 
 
 def as_integers(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    x = col(vector_col)
-    finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return df.where(col(id_col).isNotNull() & x.isNotNull() & finite).select(
-        col(id_col).cast("long").alias("id"), F.transform(x, lambda v: F.floor(F.lit(SCALE) * v.cast("double"))).alias("v")
-    )
-
-
-def _extent(df: DataFrame) -> tuple[int, int]:
-    """(rows, longest vector); vectors whose scores could leave 64 bits are refused."""
-    n, width, norm = df.agg(F.count("*"), F.max(F.size("v")), F.max(F.aggregate("v", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))).first()
-    if (norm or 0) >= 2**62:
-        raise ValueError("vectors are so long that their inner products could leave 64 bits")
-    return n, width or 0
+    """(id, v): components as whole doubles, which hold floor(1024 x) of any double x."""
+    kind = df.select(col(id_col)).schema[0].dataType
+    if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        raise TypeError(f"ids must be integers, {id_col} is {kind.simpleString()}")
+    x = F.transform(col(vector_col), lambda v: F.lit(float(SCALE)) * v.cast("double"))
+    whole = F.transform(x, lambda v: F.when(F.abs(v) < 2.0**52, F.floor(v).cast("double")).otherwise(v) + F.lit(0.0))
+    rows = df.select(col(id_col).cast("long").alias("id"), whole.alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+    return rows.where(F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e150)))
 
 
 #: A part of a block (kind 0) or a group of queries (kind 1): ids and least scores as long, vectors as double, packed.
 _PART = "block int, kind int, part long, ids binary, v binary, least binary"
+_TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
-def _parts(block: int, kind: int, part: int, ids: np.ndarray, x: np.ndarray, rows: int) -> Iterator[pa.RecordBatch]:
-    for lo in range(0, len(ids), rows):
-        packed = [[ids[lo : lo + rows].astype(np.int64).tobytes()], [x[lo : lo + rows].tobytes()], [b""]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([block], pa.int32()), pa.array([kind], pa.int32()), pa.array([part + lo], pa.int64()), *[pa.array(p, pa.binary()) for p in packed]],
-            names=["block", "kind", "part", "ids", "v", "least"],
-        )
+def _batch(block: int, kind: int, part: int, *packed: np.ndarray) -> pa.RecordBatch:
+    values = [block, kind, part, *[p.tobytes() for p in packed]]
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, _TYPES)], names=["block", "kind", "part", "ids", "v", "least"])
 
 
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -213,19 +263,20 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
     twin = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
     ints = durable(ints.withColumn("nth", twin).where(F.col("nth") <= k + 1).drop("nth"))
     asked = durable(as_integers(queries, id_col, vector_col).distinct())
-    (n, width), (_, longest) = _extent(ints), _extent(asked)
-    width = max(1, width, longest)
+    n, width = ints.agg(F.count("*"), F.max(F.size("v"))).first()
+    width = max(1, width or 0, asked.agg(F.max(F.size("v"))).first()[0] or 0)
     row_bytes = 8 * width
     rows = max(1, GROUP_BYTES // row_bytes)
     spare = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, math.ceil(n * row_bytes / block_bytes), min(spare, n // BLOCK_ROWS))
-    top = ints.orderBy(F.xxhash64("id", "v"), "id").limit(max(k + 1, SAMPLE_BYTES // row_bytes)).collect()
-    sample, sample_ids = matrix([r.v for r in top], width), np.array([r.id for r in top], np.int64)
-    shared = checked_broadcast(spark, (sample, sample_ids), sample.nbytes + sample_ids.nbytes)
+    top = ints.orderBy(F.xxhash64("id", "v"), "id").limit(max(k + 1, min(PIVOTS, SAMPLE_BYTES // row_bytes))).collect()
+    pivots, pivot_ids = matrix([r.v for r in top], width), np.array([r.id for r in top], np.int64)
+    mean = np.rint(pivots.mean(axis=0)) if len(pivots) else np.zeros(width)
+    shared = checked_broadcast(spark, (pivots, pivot_ids, mean), pivots.nbytes + pivot_ids.nbytes + mean.nbytes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector, padded and packed, with its nearest pivot."""
-        p = shared.value[0][:PIVOTS]
+        p = shared.value[0]
         half = (p * p).sum(1)[None, :] / 2
         for b in batches:
             for lo in range(0, b.num_rows, SLICE):
@@ -242,60 +293,74 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
         held = [unpacked(b) for b in batches if b.num_rows]
         if held:
             ids, x = (np.concatenate(c) for c in zip(*held))
-            yield from _parts(TaskContext.get().partitionId(), 0, 0, ids, x, rows)
+            for lo in range(0, len(ids), rows):
+                yield _batch(TaskContext.get().partitionId(), 0, lo, ids[lo : lo + rows].astype(np.int64), x[lo : lo + rows], np.zeros(0))
 
     placed = "id long, v binary, pivot int"
     data = durable(ints.mapInArrow(place, placed).repartitionByRange(blocks, "pivot", "id").mapInArrow(pack, _PART))
 
     def ball(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(block, centre, radius) of the parts of a partition, block by block."""
+        """(block, centre and radius) of the parts of a partition, block by block."""
         seen: dict[int, list] = {}
         for b in batches:
             for block, v in zip(b.column("block").to_pylist(), b.column("v").to_pylist(), strict=True):
                 x = np.frombuffer(v).reshape(-1, width)
                 s = seen.setdefault(block, [x[0].copy(), 0.0])
                 s[1] = max(s[1], float(np.linalg.norm(x - s[0], axis=1).max()))
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.int32()), pa.array([c.tobytes() for c, _ in seen.values()], pa.binary()), pa.array([r for _, r in seen.values()], pa.float64())],
-                names=["block", "centre", "radius"],
-            )
-
-    # balls of all blocks, if they are few enough to be held; without them every group visits every block
-    bounded = blocks * (row_bytes + 16) <= BROADCAST_BYTES
-    balls = data.select("block", "v").mapInArrow(ball, "block int, centre binary, radius double").collect() if bounded else []
-    centres = np.array([np.frombuffer(r.centre) for r in balls]).reshape(-1, width)
-    known = checked_broadcast(spark, (np.array([r.block for r in balls], np.int64), centres, np.array([r.radius for r in balls])), centres.nbytes + 16 * len(balls))
+        for block, (centre, radius) in seen.items():
+            yield _batch(block, 0, block, np.zeros(0, np.int64), centre, np.array([radius]))
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Groups of queries with lower bounds of their k-th scores and the blocks that they need."""
+        """Groups of queries with lower bounds of their k-th scores."""
         nth = TaskContext.get().partitionId() << 32
-        block, centre, radius = known.value
-        norms = np.linalg.norm(centre, axis=1)
+        pivots, pivot_ids, mean = shared.value
         for b in batches:
             ids, x = unpacked(b)
             for lo in range(0, len(ids), rows):
-                s = Search(ids[lo : lo + rows], x[lo : lo + rows], k)
-                s.bound_by(*shared.value[::-1])
-                c, r = s.tree.centre[0], s.tree.radius[0]
-                need = block[most_between(centre @ c, s.tree.norm[0], r, norms, radius) >= s.least.min()] if bounded else np.arange(blocks)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([sorted(set(need.tolist()))], pa.list_(pa.int32())),
-                        pa.array([nth], pa.int64()),
-                        *[pa.array([v.tobytes()], pa.binary()) for v in (s.qid.astype(np.int64), s.x, s.least.astype(np.int64))],
-                    ],
-                    names=["blocks", "part", "ids", "v", "least"],
-                )
+                s = Search(ids[lo : lo + rows], x[lo : lo + rows], k, mean)
+                s.bound_by(pivot_ids, pivots)
+                yield _batch(0, 1, nth, s.qid.astype(np.int64), s.x, s.kth)
                 nth += 1
 
+    balls = durable(data.select("block", "v").mapInArrow(ball, _PART))
     grouped = asked.mapInArrow(place, placed).repartitionByRange(spare, "pivot", "id").sortWithinPartitions("pivot", "id", "v")
-    grouped = durable(grouped.mapInArrow(group, "blocks array<int>, part long, ids binary, v binary, least binary"))
-    sent = grouped.select(F.explode("blocks").alias("block"), F.lit(1).alias("kind"), "part", "ids", "v", "least")
+    grouped = durable(grouped.mapInArrow(group, _PART))
+    # chunks of balls, each in as many copies as keep the tasks busy; a group meets one copy of every chunk
+    chunks = max(1, math.ceil(blocks * (row_bytes + 64) / block_bytes))
+    copies, each = max(1, spare // chunks), math.ceil(blocks / chunks)
+    here, there = F.sequence(F.lit(0), F.lit(copies - 1)), F.sequence(F.lit(0), F.lit(chunks - 1))
+    dealt = balls.withColumn("chunk", F.floor(F.col("block") / each).cast("int")).withColumn("copy", F.explode(here))
+    dealt = dealt.unionByName(grouped.withColumn("chunk", F.explode(there)).withColumn("copy", F.pmod(F.xxhash64("part"), F.lit(copies)).cast("int")))
+    dealt = dealt.withColumn("at", F.col("chunk") * copies + F.col("copy"))
+
+    def need(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The groups, once for each block that they need; the balls of a chunk come first."""
+        current, held, known, mean = None, [], None, shared.value[2]
+        for b in batches:
+            for at, block, kind, part, ids, v, least in zip(*[b.column(i).to_pylist() for i in range(7)]):
+                if at != current:
+                    current, held, known = at, [], None
+                if not kind:
+                    held.append((block, np.frombuffer(v) - mean, np.frombuffer(least)[0]))
+                    continue
+                if not held:
+                    continue
+                if known is None:
+                    known = np.array([h[0] for h in held]), np.array([h[1] for h in held]), np.array([h[2] for h in held])
+                numbers, centre, radius = known
+                ids, x, kth = np.frombuffer(ids, np.int64), np.frombuffer(v).reshape(-1, width), np.frombuffer(least, np.int64)
+                s = Search(ids, x, k, mean, kth)
+                c, r = s.tree.centre[0], s.tree.radius[0]
+                tops = most_between(centre @ c, s.tree.norm[0], r, np.linalg.norm(centre, axis=1), radius)
+                for block in sorted(set(numbers[tops >= s.low(0, len(ids))].tolist())):
+                    yield _batch(block, 1, part, ids, x, kth)
+
+    dealt = dealt.repartitionById(chunks * copies, "at").sortWithinPartitions("at", "kind", "part", "block")
+    sent = dealt.select("at", "block", "kind", "part", "ids", "v", "least").mapInArrow(need, _PART)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The parts of a block come first, then the groups that are sent there."""
-        current, held, tree = None, [], None
+        current, held, tree, mean = None, [], None, shared.value[2]
         for b in batches:
             for block, kind, part, ids, v, least in zip(*[b.column(i).to_pylist() for i in range(6)]):
                 if block != current:
@@ -306,9 +371,9 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
                     continue
                 if tree is None:
                     all_ids, all_x = (np.concatenate(c) for c in zip(*held))
-                    tree = CoverTree(all_x)
+                    tree = CoverTree(all_x - mean)
                     all_ids, all_x, held = all_ids[tree.order], all_x[tree.order], []
-                s = Search(ids, x, k, np.frombuffer(least, np.int64))
+                s = Search(ids, x, k, mean, np.frombuffer(least, np.int64))
                 s.run(tree, all_x, all_ids)
                 q, got, score = s.rows()
                 yield pa.RecordBatch.from_arrays(

@@ -527,7 +527,7 @@ def test_cover_tree_invariants():
     for c, r, lo, hi, kids in zip(t.centre, t.radius, t.lo, t.hi, t.children, strict=True):
         pts = x[t.order[lo:hi]]
         assert np.linalg.norm(pts - c, axis=1).max() <= r + 1e-9
-        assert not kids or sorted(i for k in kids for i in range(t.lo[k], t.hi[k])) == list(range(lo, hi))
+        assert not len(kids) or sorted(i for k in kids for i in range(t.lo[k], t.hi[k])) == list(range(lo, hi))
 
 
 @pytest.mark.parametrize(("group", "block"), [(3 * 32, 32 << 20), (1 << 19, 200), (64, 64)])
@@ -545,30 +545,37 @@ def test_topk_query_groups_and_blocks(spark, monkeypatch, group, block):
 def test_cover_tree_covers_and_separates():
     rng = np.random.default_rng(4)
     clustered = np.concatenate([c + 0.01 * rng.normal(size=(150, 3)) for c in rng.normal(size=(40, 3))])
-    for x in (clustered, rng.normal(size=(3000, 2)), rng.normal(size=(500, 64)), np.ones((200, 5))):
+    for x in (clustered, rng.normal(size=(3000, 2)), rng.normal(size=(500, 64)), np.ones((200, 5)), 2.0 ** np.arange(300)[:, None]):
         t = cover_topk.CoverTree(x)
         for me, kids in enumerate(t.children):
-            if kids:
+            if len(kids):
                 centres = np.array([t.centre[c] for c in kids])
-                assert (t.centre[kids[0]] == t.centre[me]).all()
-                assert max(t.radius[c] for c in kids) <= t.radius[me] / 2 + 1e-12
+                assert (t.centre[kids] == t.centre[me]).all(axis=1).any() and max(t.radius[c] for c in kids) <= t.radius[me] + 1e-12
                 apart = np.linalg.norm(centres[:, None] - centres[None], axis=2) + np.diag([np.inf] * len(kids))
-                assert apart.min() > t.radius[me] / 2 - 1e-12
-            assert t.hi[me] - t.lo[me] == len(x) or me
+                assert apart.min() >= max(t.radius[c] for c in kids) - 1e-9  # no centre lies within another's reach
+            else:
+                assert t.size[me] <= cover_topk.LEAF or t.radius[me] == 0
     assert len(cover_topk.CoverTree(clustered).lo) > 40
 
 
+def test_cover_tree_of_the_given_table_has_many_nodes(spark):
+    rows = cover_topk.as_integers(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), "vec_id", "embedding").collect()
+    x = cover_topk.matrix([r.v for r in rows], 64)
+    t = cover_topk.CoverTree(x - np.rint(x.mean(axis=0)))
+    assert len(t.lo) > 100 and sum(len(c) == 0 for c in t.children) > 50 and len(cover_topk.CoverTree(x[::100], 1).lo) > 20
+
+
 def test_cover_trees_prune_clusters(monkeypatch):
     rng = np.random.default_rng(5)
     x = np.rint(np.concatenate([1000 * c + rng.normal(size=(400, 6)) for c in rng.normal(size=(30, 6))]))
-    tree = cover_topk.CoverTree(x)
     ids = np.arange(len(x))
-    s = cover_topk.Search(ids[::100], x[::100], 5)
+    tree = cover_topk.CoverTree(x - np.rint(x.mean(axis=0)))
+    s = cover_topk.Search(ids[::100], x[::100], 5, np.rint(x.mean(axis=0)))
     s.bound_by(ids[::25], x[::25])  # as the operator's groups are
     seen = []
     monkeypatch.setattr(cover_topk, "products", lambda a, b, f=cover_topk.products: seen.append(len(a) * len(b)) or f(a, b))
     s.run(tree, x[tree.order], ids[tree.order])
-    assert sum(seen) < 0.5 * len(x) * len(ids[::100])
+    assert sum(seen) < 0.1 * len(x) * len(ids[::100]) and sum(seen) == s.multiplied
     q, got, score = s.rows()
     for i in range(len(ids[::100])):
         want = sorted((-int(x[100 * i] @ x[j]), j) for j in ids.tolist() if j != 100 * i)[:5]
@@ -590,8 +597,21 @@ def test_topk_of_wide_vectors_and_large_values(spark):
     for r in cover_topk.topk_report(many).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     assert dict(got) == brute_topk(large)
-    with pytest.raises(ValueError, match="64 bits"):
-        cover_topk.topk_report(spark.createDataFrame([(1, [1e16]), (100, [1e16])], "vec_id long, embedding array<double>"))
+
+
+def test_topk_of_huge_values_leaves_out_what_fits_no_long(spark):
+    huge = [(100, [1.0, -2.0, 0.5]), (200, [0.0, 0.0, 0.25]), (1, [1e19, 1e19, 1e19]), (2, [-1e15, 5e14, 0.0]), (3, [1e15, 5e14, 0.0]), (4, [1e308, 1.0, 1.0]), (5, [2.0, 0.0, 0.0]), (300, [1e16, 0.0, 0.0]), (6, [0.0, 1e300, 0.0]), (7, [0.0, 1e120, 0.0])]
+    ints = {i: [math.floor(1024 * c) for c in v] for i, v in huge if all(abs(1024 * c) < 1e150 for c in v)}
+    want = {}
+    for q in (100, 200, 300):
+        s = sorted((-t, i) for i, v in ints.items() if i != q and -(2**63) <= (t := sum(a * b for a, b in zip(ints[q], v))) < 2**63)
+        want[q] = [(n, i, -t) for n, (t, i) in enumerate(s, 1)]
+    got = defaultdict(list)
+    for r in cover_topk.topk_report(spark.createDataFrame(huge, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert dict(got) == want and len(want[100]) < len(huge) - 1
+    with pytest.raises(TypeError, match="integers"):
+        cover_topk.top_k(spark.createDataFrame([("a", [1.0])], "vec_id string, embedding array<double>"), spark.createDataFrame([("a", [1.0])], "vec_id string, embedding array<double>"))
 
 
 # --- 8 pieces
