@@ -2,8 +2,8 @@
 
 Each item is compared with every window of its own length in every document. A document that is shorter than the item
 is one window, so that a truncated copy of an item is found by its whole text. Windows that hold fewer shingles of items
-of that length than a match needs are no match of any; all others get a 64-bit SimHash, and the fingerprint index names the
-items to compare. These are verified by the exact weighted similarity: shared shingle weight over joint shingle weight, a
+of that length than a match needs are no match of any; all others get a 64-bit SimHash, and the fingerprint index alone
+names the items to compare: no other step tells the items of one length apart. These are verified by the exact weighted similarity: shared shingle weight over joint shingle weight, a
 shingle weighing as often as it occurs.
 
 The radius of an item follows from the similarity, so that no match lies beyond it. A window of ``w`` shingles that
@@ -16,8 +16,8 @@ Hamming distance are compared instead, found by ``radius + 1`` blocks of which o
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Items of fewer than five words take no part; null items and
 texts have no words. Items with one text under several ids each match. Items reach the executors in blocks of at most
-``BLOCK_BYTES`` (an item larger than that is a block of its own, no larger than a document that could match it); each
-block is one pass over the documents, which stay where they are: there is no exchange.
+``BLOCK_BYTES`` (an item larger than that is a block of its own; it is sent only if a document is large enough to match
+it); each block is one pass over the documents, which stay where they are: there is no exchange.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headwater.llm.common import checked_broadcast, col, map_batches
+from headwater.llm.common import BROADCAST_BYTES, checked_broadcast, col, map_batches
 from headwater.llm.words import Sequences, hashed_words
 
 WIDTH, LEAST = 5, 0.8
@@ -103,9 +103,7 @@ class Items:
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.known & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         owner, every = np.repeat(np.arange(len(self.size)), self.size), np.arange(len(self.known) + 1)
-        # for every known shingle the items that hold it, and their lengths
-        pair = np.unique(code * max(1, len(self.size)) + owner)
-        self.owners, self.owner_from = (pair % max(1, len(self.size))).astype(np.int32), np.searchsorted(pair // max(1, len(self.size)), every)
+        # for every known shingle the lengths of the items that hold it
         pair = np.unique(np.stack([code, self.size[owner]], axis=1), axis=0)
         self.lengths, self.length_from = pair[:, 1], np.searchsorted(pair[:, 0], every)
         ends = np.cumsum(self.size)
@@ -117,10 +115,11 @@ class Items:
         for mine in self.of_size.values():
             self.nth[mine] = np.arange(len(mine))
         self._index: dict = {}
+        self.compared = 0  # pairs of a fingerprint of windows and an item that were verified
 
     @property
     def n_bytes(self) -> int:
-        held = (self.known, self.sieve, self.owners, self.owner_from, self.lengths, self.length_from, self.ones, self.fps, *self.codes)
+        held = (self.known, self.sieve, self.lengths, self.length_from, self.ones, self.fps, *self.codes)
         return sum(x.nbytes for x in held) + 200 * len(self.ids)
 
     def need(self, n: int, w: int) -> int:
@@ -166,13 +165,6 @@ class Items:
                 break
         return met
 
-    def _sharing(self, code: np.ndarray, n: int, least: int) -> int:
-        """The items of ``n`` shingles that hold so many of the coded ones, as a set of bits."""
-        many = self.owner_from[code + 1] - self.owner_from[code]
-        at = np.repeat(self.owner_from[code] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        who, often = np.unique(self.owners[at], return_counts=True)
-        return sum(1 << k for k in self.nth[who[(often >= least) & (self.size[who] == n)]].tolist())
-
     def matches(self, texts: pa.Array) -> list[tuple[int, int, float, int, int]]:
         """(text's number, item's number, similarity, first word, windows) of every item that a text holds; best window."""
         words, offsets = hashed_words(texts, lower=True)
@@ -211,15 +203,18 @@ class Items:
         if not len(starts):
             return []
         fps, which = np.unique(simhash_rows(shingles, starts, w), return_inverse=True)
-        windows, shared = defaultdict(list), self._sharing(code, n, self.need(n, w))
+        windows = defaultdict(list)
         for k, fp in enumerate(fps.tolist()):
-            met = self.candidates(fp, n, w) & shared
+            met = self.candidates(fp, n, w)
+            self.compared += met.bit_count()
             while met:
                 windows[int(self.of_size[n][(met & -met).bit_length() - 1])].append(k)
                 met &= met - 1
         out = []
         for i, ks in windows.items():
             mine = np.isin(code, self.codes[i])
+            if mine.sum() < self.need(n, w):
+                continue
             codes, often = np.unique(self.codes[i], return_counts=True)
             often = dict(zip(codes[often > 1].tolist(), often[often > 1].tolist(), strict=True))
             best, where, count = 0.0, 0, 0
@@ -267,19 +262,31 @@ def item_blocks(benchmark: DataFrame, least: float = LEAST, radius: int | None =
     yield block(held)
 
 
-def _broadcast(spark, items: Items):
-    """A block on the executors; a lone item is bounded by the documents that can match it and not by a number."""
-    return spark.sparkContext.broadcast(items) if len(items.ids) == 1 else checked_broadcast(spark, items, items.n_bytes)
+def _broadcasts(docs: DataFrame, benchmark: DataFrame, text_col: str, **options) -> Iterator:
+    """The blocks of items on the executors, one after the other.
+
+    A block above the bound is one long item. A match has ``least`` times its shingles, each of which begins with a word
+    and a space of its own; if no document is that large, the item is left out, as it can match none. Else the item is
+    bounded by a multiple of the largest document, which a task holds as well.
+    """
+    spark, largest = docs.sparkSession, None
+    for items in item_blocks(benchmark, **options):
+        if items.n_bytes <= BROADCAST_BYTES or len(items.ids) > 1:
+            yield checked_broadcast(spark, items, items.n_bytes)
+            continue
+        if largest is None:
+            largest = docs.agg(F.max(F.octet_length(col(text_col).cast("string")))).first()[0] or 0
+        if 2 * items.least * int(items.size.max(initial=0)) <= largest:
+            yield spark.sparkContext.broadcast(items)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """(id, item_id, similarity, first_word, n_windows): one row for each item that a document holds."""
-    spark = docs.sparkSession
     src = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     kinds = [docs.schema[id_col].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
+    schema = f"id {kinds[0]}, item_id {kinds[1]}, similarity double, first_word long, n_windows long"
     out = None
-    for items in item_blocks(benchmark, **options):
-        shared = _broadcast(spark, items)
+    for shared in _broadcasts(docs, benchmark, text_col, **options):
 
         def run(batches, shared=shared):
             for b in batches:
@@ -294,17 +301,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                             names=["id", "item_id", "similarity", "first_word", "n_windows"],
                         )
 
-        found = src.mapInArrow(run, f"id {kinds[0]}, item_id {kinds[1]}, similarity double, first_word long, n_windows long")
+        found = src.mapInArrow(run, schema)
         out = found if out is None else out.unionByName(found)
-    return out
+    return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows that hold no item, with all their columns."""
-    spark, names, at = docs.sparkSession, docs.columns, docs.columns.index(text_col)
+    names, at = docs.columns, docs.columns.index(text_col)
     out = docs
-    for items in item_blocks(benchmark, **options):
-        shared = _broadcast(spark, items)
+    for shared in _broadcasts(docs, benchmark, text_col, **options):
 
         def run(batches, shared=shared):
             for b in batches:

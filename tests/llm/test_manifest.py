@@ -293,3 +293,61 @@ def test_runs_time_grows_with_the_text():
         periodic_runs._search([" ".join("ab" for _ in range(n))], 6, 4)
         took.append(time.perf_counter() - began)
     assert took[1] < 16 * took[0] + 1
+
+
+# --- 10 decontamination: what the fingerprint index is for
+
+
+def item_block(items, cls=None):
+    import pyarrow as pa
+
+    from headwater.llm import decontam
+    from headwater.llm.words import Sequences, hashed_words
+
+    words, at = hashed_words(pa.array(items, pa.string()), lower=True)
+    seq = Sequences(words)
+    import numpy as np
+
+    return (cls or decontam.Items)(list(range(len(items))), [seq.at(np.arange(a, b - 4), 5) for a, b in zip(at[:-1].tolist(), at[1:].tolist())])
+
+
+def test_fingerprint_index_rules_out_items_and_loses_none():
+    import pyarrow as pa
+
+    from headwater.llm import decontam
+
+    class Every(decontam.Items):
+        def candidates(self, fp, n, w):
+            return (1 << len(self.of_size[n])) - 1
+
+    rng = random.Random(1)
+    vocab = [f"w{i}" for i in range(400)]
+    stems = [[rng.choice(vocab) for _ in range(12)] for _ in range(40)]
+    items = [" ".join(sum((rng.choice(stems) for _ in range(5)), [])) for _ in range(1500)]
+    texts = []
+    for _ in range(60):
+        w = items[rng.randrange(1500)].split()
+        for _ in range(rng.randrange(3)):
+            w[rng.randrange(60)] = "other"
+        texts.append(" ".join([rng.choice(vocab) for _ in range(50)] + w + rng.choice(items).split()[:30]))
+    on, off = item_block(items), item_block(items, Every)
+    texts = pa.array(texts, pa.string())
+    found = on.matches(texts)
+    assert found == off.matches(texts) and len(found) > 30
+    assert 10 * on.compared < off.compared
+
+
+def test_item_above_the_broadcast_bound(spark, monkeypatch):
+    from headwater.llm import decontam
+
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 3 << 19)
+    long = " ".join(f"v{i}" for i in range(30_000))
+    bench = spark.createDataFrame([(1, long), (2, "one two three four five six seven")], "item_id long, text string")
+    small = spark.createDataFrame([(1, "zero one two three four five six seven eight"), (2, None)], "doc_id long, text string")
+    large = small.unionByName(spark.createDataFrame([(3, "x " + long.replace("v7 ", "w7 ") + " y")], "doc_id long, text string"))
+    pairs = lambda docs: sorted((r.id, r.item_id) for r in decontam.find_leaks(docs, bench, block_bytes=1 << 20).collect())
+    assert pairs(small) == [(1, 2)] and pairs(large) == [(1, 2), (3, 1)]
+    assert [r.doc_id for r in decontam.drop_leaks(large, bench, block_bytes=1 << 20).collect()] == [2]
+    sent = [b.value.ids for b in decontam._broadcasts(small, bench, "text", block_bytes=1 << 20)]
+    assert [2] in sent and [1] not in sent
+    assert decontam.find_leaks(small, bench.where("item_id = 0")).collect() == []
