@@ -1,6 +1,6 @@
 """License scans: bounded-error search for short notices.
 
-A notice of length n allows k = n // 10 edits. By the pigeonhole principle a place with at most k edits holds at
+A notice of length n allows k = n // 10 edits, none where it has fewer than ten letters (``cc by nc``). By the pigeonhole principle a place with at most k edits holds at
 least one of the k + 1 pieces of the notice unchanged, so exact searches for the pieces find every candidate
 place; the ``regex`` library's bounded-error matching then verifies the place and counts its edits. Words that
 tell one licence from another (``mit``, ``2``) must stand unchanged.
@@ -12,7 +12,8 @@ no spans. Repeated rows give repeated results. Texts of any length are scanned w
 from __future__ import annotations
 
 import re
-from bisect import bisect_left, insort
+from bisect import bisect_left
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -70,6 +71,14 @@ def pieces(phrase: str, k: int) -> list[tuple[int, str]]:
     return [(a, phrase[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def byte_places(text: str) -> Sequence[int]:
+    """For every place in a text, its end included, the UTF-8 bytes before it."""
+    if text.isascii():
+        return range(len(text) + 1)
+    code = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.concatenate([[0], np.cumsum(1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))]).tolist()
+
+
 class Scanner:
     """Finds the notices in one text at a time."""
 
@@ -123,13 +132,14 @@ class Scanner:
                 reach = k + max(map(len, n.phrase.split()))
                 for lo, hi in self._candidates(joined, seeds, len(n.phrase), k):
                     part = joined[lo:hi].decode("utf-8", "replace")
+                    byte = byte_places(part)
                     for edits, start, end in self._places(part, pattern, k):
-                        a = lo + len(part[:start].encode())
+                        a = lo + byte[start]
                         near = bisect_left(taken, a - reach)
                         if edits and not (near < len(taken) and taken[near] <= a + reach):
                             key = (word_at(a), n.label, n.phrase)
                             if key not in found or found[key][2] > edits:
-                                found[key] = (a, lo + len(part[:end].encode()), edits, n)
+                                found[key] = (a, lo + byte[end], edits, n)
         if not found:
             return len(words), []
         places = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -149,12 +159,11 @@ class Scanner:
         """
         tried = [m for w in _START.finditer(part) if (m := pattern.match(part, w.start()))]
         out: list[tuple[int, int, int]] = []
-        held: list[tuple[int, int]] = []  # places taken, by position; they do not overlap
+        held = bytearray(len(part))  # characters of places that are taken
         for edits, a, b in sorted((sum(m.fuzzy_counts), m.start(), m.end()) for m in tried):
-            at = bisect_left(held, (a, b))
-            if edits <= k and (not at or held[at - 1][1] <= a) and (at == len(held) or b <= held[at][0]):
+            if edits <= k and held.find(1, a, b) < 0:
                 out.append((edits, a, b))
-                insort(held, (a, b))
+                held[a:b] = b"\x01" * (b - a)
         return out
 
     @staticmethod

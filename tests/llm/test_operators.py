@@ -142,7 +142,21 @@ def test_license_many_places_in_linear_time():
         got = scanner.spans(text)[1]
         took.append(time.perf_counter() - began)
         assert [(s["word"], s["edits"]) for s in got] == [(4 * i, 1 - i % 2) for i in range(2 * n)]
-    assert took[1] < 24 * took[0]
+    assert took[1] < 12 * took[0]
+
+
+@pytest.mark.parametrize("word", ["x", "é漢😀"])
+def test_license_fuzzy_places_in_linear_time(word):
+    import time
+
+    scanner, took = license_scan.Scanner(), []
+    for n in (2000, 16000):
+        text = f"{word} undxr the mit license " * n
+        began = time.perf_counter()
+        got = scanner.spans(text)[1]
+        took.append(time.perf_counter() - began)
+        assert [(s["word"], s["edits"], text[s["start"] : s["end"]]) for s in got] == [(5 * i + 1, 1, "undxr the mit license") for i in range(n)]
+    assert took[1] < 12 * took[0]
 
 
 # --- 2 quality
