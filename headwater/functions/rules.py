@@ -75,6 +75,7 @@ _TRIGGER = {
     "phrase_terms": "phrases", "positive_terms": "positive", "negative_terms": "negative", "allowed_actions": "actions", "product_hypotheses": "hypotheses",
     "required_any_terms": "required_any", "context_required_terms": "context_required", "context_terms": "context", "origin_scope": "origins",
 }
+#: Keys that every trigger of a rule file has.
 _NEEDED = ("phrase_terms", "positive_terms", "negative_terms", "allowed_actions", "product_hypotheses")
 
 
@@ -154,7 +155,7 @@ def first_in_list(c: Column, names) -> Column:
     """The first name in list order that stands in the text as a word, any case."""
     import re
 
-    return F.coalesce(*[F.when(c.rlike(rf"(?i)(^|[^\p{{L}}\p{{N}}]){re.escape(n)}([^\p{{L}}\p{{N}}]|$)"), F.lit(n)) for n in names])
+    return F.coalesce(*[F.when(c.rlike(rf"(?iu)(^|[^\p{{L}}\p{{N}}_]){re.escape(n)}([^\p{{L}}\p{{N}}_]|$)"), F.lit(n)) for n in names])
 
 
 def extract_name(c: Column, patterns, stop_words, least: int = 2) -> Column:

@@ -103,6 +103,11 @@ def has_text(c: Column) -> Column:
     return c.isNotNull() & (F.btrim(c) != "")
 
 
+def unique_texts(values: Column) -> Column:
+    """The texts of an array, trimmed, without blank ones, each once in the order of its first place; null is an empty array."""
+    return F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.btrim(v)), lambda v: F.coalesce(v != "", F.lit(False))))
+
+
 def first_text(*cols: Column) -> Column:
     """The first non-blank value, trimmed, else ''."""
     return F.coalesce(*[F.nullif(F.btrim(c), F.lit("")) for c in cols], F.lit(""))

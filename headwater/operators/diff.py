@@ -23,6 +23,62 @@ def change_reasons(changed_fields: Column, rules: dict[str, list[str]]) -> Colum
     return F.array_compact(F.array(*[F.when(F.arrays_overlap(changed_fields, F.array(*map(F.lit, fields))), F.lit(name)) for name, fields in rules.items()]))
 
 
+#: What a change of a source's item means, by the fields that differ, and the fields of an item in a report.
+CHANGE_RULES = {
+    "CONTENT_CHANGED": ["title", "excerpt", "content_hash"], "DATE_CHANGED": ["published_at"], "LINK_CHANGED": ["link"], "QUALITY_CHANGED": ["quality"],
+    "PROVENANCE_CHANGED": ["provenance"], "ORGANIZATION_HINT_CHANGED": ["organization_hint"], "CLASSIFICATION_HINT_CHANGED": ["classification_hint"],
+}
+SNAPSHOT_FIELDS = ("id", "source_code", "source_name", "title", "link", "published_at", "organization_hint", "excerpt", "provenance", "quality", "classification_hint", "content_hash")
+SNAPSHOT_EXCERPT = 500
+
+
+def snapshot_item(kinds: dict[str, str], at: str = "") -> Column:
+    """An item with the twelve fields of a report: texts trimmed and never null, the excerpt cut, nested values as they are.
+
+    ``kinds`` are the item's columns and types (``dict(df.dtypes)``), ``at`` is a prefix such as ``o.``; a field that is absent is
+    an empty text, or null if it is a nested one.
+    """
+    nested = ("provenance", "quality", "classification_hint")
+
+    def field(n: str) -> Column:
+        if n in nested:
+            return F.col(f"{at}{n}") if n in kinds else F.lit(None).cast("string")
+        c = F.coalesce(F.btrim(f"{at}{n}"), F.lit("")) if kinds.get(n) == "string" else F.lit("")
+        return F.substring(c, 1, SNAPSHOT_EXCERPT) if n == "excerpt" else c
+
+    return F.struct(*[field(n).alias(n) for n in SNAPSHOT_FIELDS])
+
+
+def refresh_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(id, title, change, changed_fields, reasons, old_item, new_item) of a source's items, by id, then title.
+
+    Items without an id are left out; of rows that share one the last title counts. Fields and reasons are sorted; a field
+    that neither side has does not differ. The items are those of ``snapshot_item``, null where there is none. One full
+    outer join; the order is a range of ids, not one task.
+    """
+    fields = [f for fs in CHANGE_RULES.values() for f in fs]
+
+    def side(df: DataFrame, n: str) -> DataFrame:
+        kinds = dict(df.dtypes)
+        held = F.struct(*[(F.col(f) if f in kinds else F.lit(None).cast("string")).alias(f) for f in fields], snapshot_item(kinds).alias("item"))
+        rows = df.where(F.btrim("id") != "").select(F.btrim("id").alias("id"), F.struct(F.coalesce("title", F.lit("")).alias("t"), held.alias("h")).alias("x"))
+        return rows.groupBy("id").agg(F.max_by("x", "x.t").alias("x")).select("id", F.col("x.h").alias(n))
+
+    j = side(old, "o").join(side(new, "n"), "id", "full_outer")
+    both = F.col("o").isNotNull() & F.col("n").isNotNull()
+    differs = F.array_compact(F.array(*[F.when(both & ~F.col(f"o.{f}").eqNullSafe(F.col(f"n.{f}")), F.lit(f)) for f in sorted(fields)]))
+    j = j.withColumn("changed_fields", differs)
+    change = F.when(F.col("o").isNull(), "ADDED").when(F.col("n").isNull(), "REMOVED").when(F.size("changed_fields") > 0, "CHANGED").otherwise("UNCHANGED")
+    title = F.coalesce(F.nullif(F.col("n.item.title"), F.lit("")), F.col("o.item.title"), F.lit(""))
+    out = j.select("id", title.alias("title"), change.alias("change"), "changed_fields", F.array_sort(change_reasons(F.col("changed_fields"), CHANGE_RULES)).alias("reasons"), F.col("o.item").alias("old_item"), F.col("n.item").alias("new_item"))
+    return ordered(out)
+
+
+def ordered(df: DataFrame, *by: str) -> DataFrame:
+    """Rows of a report by id, then title, or by the columns named."""
+    return df.orderBy(*(by or ("id", "title")))
+
+
 def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(100.0 * part, whole), 2), F.lit(0.0))
 

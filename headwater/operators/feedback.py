@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from headwater.functions.dates import is_strict_date, parse_time
-from headwater.functions.text import has_text, let
+from headwater.functions.text import has_text, let, unique_texts
 from headwater.operators.components import components
 from headwater.operators.durable import durable
 from headwater.operators.quality import issue_codes
@@ -172,7 +172,7 @@ def decision_errors(c: dict[str, Column] | Column, config: dict) -> Column:
     states = {d: config["decision_states"][d] for d in DECISIONS if d in config["decision_states"]}
     limits = config.get("validation") or {}
     decision, alias, action, day = text("human_decision"), text("reviewer_alias"), text("next_action"), text("review_date")
-    reasons = F.array_distinct(F.filter(F.transform(F.coalesce(c["reason_codes"], F.array().cast("array<string>")), lambda r: F.btrim(r)), lambda r: r != ""))
+    reasons = unique_texts(c["reason_codes"])
     need = lambda key: decision.isin(*[d for d, r in states.items() if r.get(key)])
     foreign = F.lit(False)
     for d, r in states.items():
@@ -289,7 +289,7 @@ def apply_decisions(records: DataFrame, inputs: DataFrame, config: dict) -> Data
     j = j.withColumn("errors", errors)
     done = asked & (F.size("errors") == 0)
     trimmed = lambda n: F.coalesce(F.btrim(F.col(f"i.{n}")), F.lit(""))
-    reasons = F.array_distinct(F.filter(F.transform("i.reason_codes", lambda x: F.btrim(x)), lambda x: x != ""))
+    reasons = unique_texts(F.col("i.reason_codes"))
     given = {n: reasons if n == "reason_codes" else trimmed(n) for n in fields}
     entry = {
         "event_id": trimmed("event_id"), "event_type": F.when(prior, EVENT_TYPES[1]).otherwise(EVENT_TYPES[0]), "previous_decision": F.coalesce("r.human_decision", F.lit("UNREVIEWED")), "new_decision": given["human_decision"],

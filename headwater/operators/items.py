@@ -60,6 +60,21 @@ def facets(df: DataFrame, chosen: dict[str, str]) -> DataFrame:
     return df
 
 
+#: The choices of the dashboard, and the column of ``signals.build_signals`` that each one tests.
+DASHBOARD = {"category": "primary_trigger", "class": "primary_class", "strength": "primary_strength", "timing": "timing_status", "type": "type", "origin": "data_origin", "source_code": "source_code"}
+
+
+def dashboard_facets(signals: DataFrame, chosen: dict[str, str]) -> DataFrame:
+    """Signals that have every choice of the dashboard; a category is one of all triggers of a signal, not its primary one alone."""
+    unknown = sorted(set(chosen) - set(DASHBOARD))
+    if unknown:
+        raise ValueError(f"no choice of the dashboard: {', '.join(unknown)}")
+    rest = {DASHBOARD[n]: v for n, v in chosen.items() if n != "category"}
+    if value := chosen.get("category"):
+        signals = signals.where(F.exists("triggers", lambda t: t["trigger_code"] == value))
+    return facets(signals, rest)
+
+
 def facet_options(df: DataFrame, *names: str) -> DataFrame:
     """(facet, value, n) of the named columns, read once; blank values are no option."""
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("facet"), F.btrim(F.col(f"`{n}`").cast("string")).alias("value")) for n in names]))

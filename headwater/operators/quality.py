@@ -54,6 +54,14 @@ def count_by(df: DataFrame, c: Column, key: str = "key") -> DataFrame:
     return df.select(F.btrim(c).alias(key)).where(has_text(F.col(key))).groupBy(key).agg(F.count("*").alias("n"))
 
 
+def ordered_counts(counts: DataFrame, key: str = "key", rank: list[str] | None = None) -> DataFrame:
+    """Counts in the order of a report: by the configured rank of the keys, those without one last, else the most frequent first; then by key."""
+    if rank is None:
+        return counts.orderBy(F.desc("n"), key)
+    place = F.array_position(F.array(*map(F.lit, rank)), F.col(key))
+    return counts.orderBy(F.when(place > 0, place).otherwise(len(rank) + 1), F.desc("n"), key)
+
+
 def zero_filled(dimension: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     return dimension.join(counts, key, "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
 

@@ -34,6 +34,41 @@ REASONS = (
     "SOURCE_MISSING", "SOURCE_INVALID", "TITLE_UNINFORMATIVE", "ORGANIZATION_UNCLEAR", "NEED_EVIDENCE_WEAK", "PRODUCT_NEED_UNCONFIRMED", "PRODUCT_FIT_WEAK",
     "DATE_EXPIRED", "DATE_UNKNOWN", "QUALITY_REVIEW_REQUIRED", "NEXT_ACTION_UNCLEAR", "READY_FOR_HUMAN_REVIEW", "HISTORICAL_REFERENCE",
 )
+#: States that only a person may give.
+DISALLOWED_STATES = ("QUALIFIED", "WON", "LOST", "REJECTED")
+
+
+def rule_errors(raw) -> list[str]:
+    """All errors of a file of readiness rules at once; an empty list means that it may be used."""
+    if not isinstance(raw, dict):
+        return ["an object is needed"]
+    errors = [] if str(raw.get("version") or "").strip() else ["version: is missing"]
+    states = raw.get("states")
+    if not isinstance(states, list):
+        errors.append("states: a list is needed")
+    held = [s.get("code") for s in states if isinstance(s, dict)] if isinstance(states, list) else []
+    errors += [f"states: {s} is missing" for s in STATES if s not in held]
+    errors += [f"states: {s} is not allowed" for s in DISALLOWED_STATES if s in held]
+    reasons = raw.get("reason_codes")
+    if not isinstance(reasons, dict):
+        errors.append("reason_codes: an object is needed")
+    errors += [f"reason_codes: {c} is missing" for c in REASONS if not (reasons if isinstance(reasons, dict) else {}).get(c)]
+    actions, mapped = raw.get("allowed_next_actions"), raw.get("next_action_map")
+    if mapped is not None and not isinstance(mapped, dict):
+        errors.append("next_action_map: an object is needed")
+    if actions is not None and not isinstance(actions, list):
+        errors.append("allowed_next_actions: a list is needed")
+    mapped = mapped if isinstance(mapped, dict) else {}
+    if isinstance(actions, list):
+        errors += [f"next_action_map: {a} is not allowed" for a in dict.fromkeys(mapped.values()) if a not in actions]
+    return errors
+
+
+def load_rules(raw: dict) -> dict:
+    """The rules of a file; a file with errors is refused with all of them."""
+    if errors := rule_errors(raw):
+        raise ValueError("; ".join(errors))
+    return raw
 
 
 def _words(folded: Column) -> Column:

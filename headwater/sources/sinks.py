@@ -37,6 +37,42 @@ def summary_markdown(title: str, counts: dict) -> str:
     return "\n".join([f"# {title}", "", "| measure | value |", "|---|---|", *[f"| {k} | {v} |" for k, v in counts.items()], ""])
 
 
+#: What the summary of a refreshed source and that of its triggers tell, line by line.
+SOURCE_LINES = {
+    "Baseline item count": "baseline_total", "Proposed item count": "proposed_total", "Source fetch failed": "source_fetch_failed", "Added": "added_count", "Removed": "removed_count", "Changed": "changed_count",
+    "Unchanged": "unchanged_count", "Valid item count": "valid_item_count", "Invalid item count": "invalid_item_count", "Duplicate count": "duplicate_count", "Missing date count": "missing_date_count",
+    "Missing organization count": "missing_organization_count", "Invalid date count": "invalid_date_count", "Invalid organization count": "invalid_organization_count",
+    "Date completeness": "date_completeness_percent", "Minimum date completeness": "minimum_date_completeness_percent", "Official provenance completeness": "provenance_completeness_percent",
+    "Valid official link": "valid_link_percent", "Production unchanged": "production_unchanged",
+}
+TRIGGER_LINES = {
+    "New official trigger count": "new_trigger_count", "Removed official trigger count": "removed_trigger_count", "Trigger classification changes": "classification_change_count", "Timing changes": "timing_change_count",
+    "Evidence changes": "evidence_change_count", "Production semantic changes": "production_change_count",
+}
+
+
+def _lines(summary: dict, names: dict[str, str]) -> list[str]:
+    said = lambda v: str(v).lower() if isinstance(v, bool) else str(v)
+    return [f"- {label}: {said(summary[key])}{'%' if key.endswith('_percent') else ''}" for label, key in names.items() if key in summary]
+
+
+def source_markdown(status: str, summary: dict, health: dict, fetched: list[str], excluded: list[str], warnings: list[str], errors: list[str]) -> str:
+    """The summary of a proposed refresh, from one row of counts; what is proposed has not been accepted."""
+    listed = lambda values: ", ".join(values) or "NONE"
+    said = lambda values: [f"- {v}" for v in values] or ["- None"]
+    head = [
+        f"- Source: {health.get('source_code') or 'UNKNOWN'}", f"- Source status: {health.get('status') or 'UNKNOWN'}", f"- Source fetched: {listed(fetched)}", f"- Rejected source excluded: {listed(excluded)}",
+        f"- Live fetch status: {health.get('fetch_status') or 'UNKNOWN'}", f"- TLS trust mode: {health.get('tls_trust_mode') or 'NODE_BUNDLED_CA'}", f"- Acceptance recommendation: **{status}**",
+    ]
+    return "\n".join(["# Source refresh", "", "> A proposal; nothing is accepted without a person.", "", *head, *_lines(summary, SOURCE_LINES), "", "## Warnings", "", *said(warnings), "", "## Errors", "", *said(errors), ""])
+
+
+def trigger_markdown(status: str, summary: dict) -> str:
+    """The summary of the triggers that a proposed refresh changes; triggers in use may not change by it."""
+    gate = "PASS" if not summary.get("production_change_count") else "FAIL"
+    return "\n".join(["# Trigger changes", "", "> A proposal; the triggers in use stay as they are.", "", f"- Acceptance recommendation: **{status}**", *_lines(summary, TRIGGER_LINES), f"- Production gate: {gate}", ""])
+
+
 def check_target(path: str, protected: list[str], allow: bool = False) -> str:
     """The path, unless it is a protected output or lies below one."""
     flat = path.rstrip("/")
