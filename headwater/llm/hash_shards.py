@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from headwater.llm.common import durable
+from headwater.llm.common import col, durable
 
 BITS, ROUND = 60, 15
 
@@ -54,9 +54,18 @@ def _overflow(rows: DataFrame, limit: int) -> DataFrame:
     return paged.drop("sum", "nth", "b0", "n0", "part", "big", "depth", "shard_bytes").join(size, ["hash", "page"]).withColumn("depth", F.lit(BITS))
 
 
-def assign_shards(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", limit: int = 256 << 20) -> DataFrame:
-    """(key, n_bytes, shard, depth, shard_bytes) for every row; ``shard`` is the bucket's bits, then the page if any."""
-    rows = durable(df.select(F.col(key_col).alias("key"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(key_col)).alias("hash")))
+def assign_shards(df: DataFrame, key_col: str = "doc_id", text_col: str = "text", limit: int = 256 << 20, keep: list[str] | None = None) -> DataFrame:
+    """(key, n_bytes, shard, depth, shard_bytes, kept columns) for every row; ``shard`` is the bucket's bits, then the page if any.
+
+    Columns are found by their exact names. Those that are kept travel with their row in one struct, so their names meet
+    none of the operator's; they may not be named as a result is. Other columns stay behind: join them by key.
+    """
+    keep = keep or []
+    if {k.lower() for k in keep} & {"key", "n_bytes", "shard", "depth", "shard_bytes"}:
+        raise ValueError("kept columns may not be named as results are")
+    held = [F.struct(*[col(c).alias(f"c{i}") for i, c in enumerate(keep)]).alias("held")] if keep else []
+    rows = durable(df.select(col(key_col).alias("key"), F.coalesce(F.octet_length(col(text_col)), F.lit(0)).cast("long").alias("n_bytes"), key_hash(col(key_col)).alias("hash"), *held))
+    names = ["key", "n_bytes", "hash", *(["held"] if keep else [])]
     done, rest = [], rows
     for base in range(0, BITS, ROUND):
         shift = BITS - base - ROUND
@@ -66,15 +75,16 @@ def assign_shards(df: DataFrame, key_col: str = "doc_id", text_col: str = "text"
         done.append(placed.where(F.col("depth").isNotNull()).withColumn("page", F.lit(None).cast("string")))
         if found.where(F.col("depth").isNull()).isEmpty():
             break
-        rest = durable(placed.where(F.col("depth").isNull()).select("key", "n_bytes", "hash"))
+        rest = durable(placed.where(F.col("depth").isNull()).select(*names))
     else:
         done.append(_overflow(rest, limit))
-    cols = ["key", "n_bytes", "hash", "depth", "shard_bytes", "page"]
+    cols = [*names, "depth", "shard_bytes", "page"]
     out = done[0].select(*cols)
     for d in done[1:]:
         out = out.unionByName(d.select(*cols))
     bits = F.when(F.col("depth") > 0, F.expr(f"lpad(bin(shiftright(hash, {BITS} - depth)), depth, '0')")).otherwise("")
-    return out.select("key", "n_bytes", F.concat(bits, F.coalesce(F.concat(F.lit("/"), F.col("page")), F.lit(""))).alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes")
+    shard = F.concat(bits, F.coalesce(F.concat(F.lit("/"), F.col("page")), F.lit(""))).alias("shard")
+    return out.select("key", "n_bytes", shard, F.col("depth").cast("int").alias("depth"), "shard_bytes", *[F.col(f"held.c{i}").alias(c) for i, c in enumerate(keep)])
 
 
 def shard_report(docs: DataFrame, limit: int) -> DataFrame:

@@ -2,9 +2,11 @@
 
 A string that a byte-pair vocabulary has never seen breaks into many short tokens. Long runs of base64 or hex
 characters are encoded with a tiktoken vocabulary; those with few characters per
-token count as random. Known digests (hex of 32, 40, 56, 64, 96 or 128 digits), UUIDs and dashed, dotted or
-underscored identifiers are left out first: all their parts are words of one case up to 24 letters, CamelCase of three letters
-or more a word, either with up to four digits behind, or short numbers. Letters alone are tested like any other run. Pattern rules are never suppressed by that test.
+token count as random. Known digests (hex of 32, 40, 56, 64, 96 or 128 digits) and UUIDs are left out first. Runs in the
+form of identifiers (dashed, dotted or underscored parts of one case up to 24 letters, CamelCase of three letters or more
+a word, either with up to four digits behind, or short numbers) are judged by their parts without the signs between them:
+words have many characters a token, so what has few is random for all its form. Runs of fewer than 20 characters are not
+tested. Pattern rules are never suppressed by that test.
 
 Null texts count as empty. Positions are code points, ends exclusive. Texts of any length are read whole.
 """
@@ -44,10 +46,17 @@ SPAN = T.StructType(
 )
 
 
+#: Characters per token up to which a run is random, and up to which one in the form of an identifier is.
+MAX_RATIO, NAME_RATIO = 2.2, 2.05
+
+
 def is_known(run: str) -> bool:
-    """A digest of a usual length, a UUID, or an identifier made of plain words and short numbers."""
-    if _DIGEST.match(run) and len(run) in _DIGEST_SIZES or _UUID.match(run):
-        return True
+    """A digest of a usual length or a UUID."""
+    return bool(_DIGEST.match(run) and len(run) in _DIGEST_SIZES or _UUID.match(run))
+
+
+def looks_named(run: str) -> bool:
+    """Whether all parts of a run have the form of plain words and short numbers."""
     return all(_NAME_PART.match(p) for p in _PARTS.split(run))
 
 
@@ -75,9 +84,22 @@ class Efficiency:
     def ratio(self, run: str) -> float:
         return len(run) / len(self.encoding.encode_ordinary(run))
 
+    def part_ratio(self, run: str) -> float:
+        """Characters per token of the parts with letters, each as it stands at the beginning of a text or within one."""
+        parts = [p for p in _PARTS.split(run) if p and not p.isdigit()]
+        tokens = (min(len(self.encoding.encode_ordinary(p)), len(self.encoding.encode_ordinary(f" {p}"))) for p in parts)
+        return sum(map(len, parts)) / max(1, sum(tokens))
+
+    def random_ratio(self, run: str, max_ratio: float = MAX_RATIO, name_ratio: float = NAME_RATIO) -> float | None:
+        """Characters per token of a run that counts as random; None if it does not."""
+        if not any(c.isalpha() for c in run) or is_known(run):
+            return None
+        named = looks_named(run)
+        r = self.part_ratio(run) if named else self.ratio(run)
+        return r if r <= (name_ratio if named else max_ratio) else None
 
 
-def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY, max_ratio: float = 2.2, out: str = "spans") -> DataFrame:
+def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY, max_ratio: float = MAX_RATIO, out: str = "spans") -> DataFrame:
     """Append ``out`` (kind, start, end, characters per token; the last null for pattern rules) by position."""
     spark = df.sparkSession
     with open(vocabulary, "rb") as f:
@@ -90,11 +112,9 @@ def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None =
     def spans(text: str, eff: Efficiency) -> list[dict]:
         found = [(a, k, b, None) for a, k, b in base_spans(text)]
         for m in _RUN.finditer(text):
-            run = m[0]
-            if any(c.isalpha() for c in run) and not is_known(run):
-                r = eff.ratio(run)
-                if r <= max_ratio:
-                    found.append((m.start(), 3, m.end(), r))
+            r = eff.random_ratio(m[0], max_ratio)
+            if r is not None:
+                found.append((m.start(), 3, m.end(), r))
         return [{"kind": KINDS[k], "start": a, "end": b, "ratio": r} for a, k, b, r in sorted(found, key=lambda x: x[:3])]
 
     def per_batch(texts, eff):

@@ -455,20 +455,36 @@ def test_secrets(spark):
 
 
 def test_secrets_recall_of_random_keys():
-    """Random base62 keys and letters alone are found; names and words are left alone."""
+    """Random keys of base62, base32, one case and dashed groups are found; names and words are left alone."""
     rng = random.Random(3)
     eff = secret_scan.Efficiency(open(secret_scan.VOCABULARY, "rb").read())
-    b62 = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
-    for size, letters, least in ((20, b62, 0.97), (24, b62, 0.98), (40, b62, 0.99), (24, b62[:52], 0.97)):
-        keys = ["".join(rng.choice(letters) for _ in range(size)) for _ in range(1500)]
-        assert np.mean([not secret_scan.is_known(k) and eff.ratio(k) <= 2.2 for k in keys]) >= least, (size, len(letters))
-    for name in ("someLongVariableName2024", "a-dashed-identifier-of-words", "INTERNATIONALIZATION_KEY", "Donaudampfschifffahrten", "path/to/some/file_name_v2"):
-        assert secret_scan.is_known(name), name
+    low = "abcdefghijklmnopqrstuvwxyz"
+    b62, b32 = low + low.upper() + "0123456789", low.upper() + "234567"
+    made = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    cases = [(lambda n=n, s=s: made(s, n), least) for n, s, least in ((20, b62, 0.97), (24, b62, 0.98), (40, b62, 0.99), (24, b62[:52], 0.97))]
+    cases += [(lambda n=n, s=s: made(s, n), 0.97) for n in (20, 24, 32, 40) for s in (low, low.upper(), b32)]
+    cases += [(lambda n=n, k=k: "-".join(made(low, k) for _ in range(n // k)), 0.98) for n in (20, 40) for k in (4, 5, 10)]
+    for k, (make, least) in enumerate(cases):
+        assert np.mean([eff.random_ratio(make()) is not None for _ in range(1000)]) >= least, k
+    names = ("someLongVariableName2024", "a-dashed-identifier-of-words", "INTERNATIONALIZATION_KEY", "Donaudampfschifffahrten", "path/to/some/file_name_v2", "0123456789-0123456789", "the_quick_brown_fox_jumps")
+    for name in (*names, "0123456789abcdef" * 2, "123e4567-e89b-12d3-a456-426614174000"):
+        assert eff.random_ratio(name) is None, name
 
 
 # --- 6 sharding
 
 
+def test_shards_of_dotted_names_and_kept_columns(spark):
+    d = docs(spark, [f"x{i}" * (i % 9) for i in range(60)] + [None]).withColumnRenamed("doc_id", "id.of").withColumnRenamed("text", "the `text`")
+    got = hash_shards.assign_shards(d, "id.of", "the `text`", 40, keep=["lang", "score"]).collect()
+    want = hash_shards.assign_shards(d.select(F.col("`id.of`").alias("doc_id"), F.col("`the ``text```").alias("text")), limit=40).collect()
+    short = lambda r: (r.key, r.n_bytes, r.shard, r.depth, r.shard_bytes)
+    assert sorted(map(short, got)) == sorted(map(short, want)) and {(r.lang, r.score) for r in got} == {("en", "clash")}
+    assert hash_shards.assign_shards(d, "id.of", "the `text`", 40, keep=["lang"]).columns == ["key", "n_bytes", "shard", "depth", "shard_bytes", "lang"]
+    with pytest.raises(ValueError):
+        hash_shards.assign_shards(d, "id.of", "the `text`", keep=["key"])
+
+
 def test_shards(spark):
     texts = ["x" * (i % 50) for i in range(500)]
     d = docs(spark, texts)
