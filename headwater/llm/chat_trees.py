@@ -130,7 +130,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def chat_report(conversations: DataFrame) -> DataFrame:
     """One row per conversation: digests read back from the formatted output."""
-    messages = link_turns(conversations)
+    messages = durable(link_turns(conversations))  # read for links, texts and ids: numbered once
     ids = messages.select("tree", "conv_id").distinct()
     out = read_back(format_paths(messages)).join(ids, "tree")
     spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

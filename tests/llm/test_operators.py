@@ -418,6 +418,33 @@ def test_reply_trees(spark):
     assert dict(paths) == {1: [(1, 1), (2, 2), (3, 4)], 2: [(1, 1), (2, 3), (3, 5), (4, 6)], 3: [(1, 9)]}
 
 
+def test_chat_of_branching_trees_over_the_given_table(spark):
+    """Turn t answers turn t // 2, so trees branch; paths, ranks and formatted turns against a plain walk."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").where("conv_id % 5 = 0").collect()
+    gain = lambda r: float(len(r.text or "") % 7)
+    made = [(str(r.conv_id), r.turn + 1, (r.turn + 1) // 2 or None, r.role, r.text, gain(r)) for r in rows]
+    df = spark.createDataFrame(made, "tree string, id long, parent long, role string, text string, score double").withColumn("leaf", F.lit("clash"))
+    trees = defaultdict(dict)
+    for tree, i, parent, role, text, score in made:
+        trees[tree][i] = (parent, role, text, score)
+    want = {}
+    for tree, held in trees.items():
+        paths = []
+        for leaf in held.keys() - {p for p, *_ in held.values()}:
+            path = [leaf]
+            while held[path[0]][0] in held:
+                path.insert(0, held[path[0]][0])
+            paths.append((-sum(held[i][3] for i in path), leaf, path))
+        for rank, (_, leaf, path) in enumerate(sorted(paths)[:3], 1):
+            want[tree, rank] = (leaf, path)
+    got = defaultdict(list)
+    for r in chat_trees.best_paths(df, 3).orderBy("tree", "rank", "pos").collect():
+        got[r.tree, r.rank].append((r.leaf, r.id))
+    assert {k: (v[0][0], [i for _, i in v]) for k, v in got.items()} == want and any(rank == 3 for _, rank in want)
+    read = {(r.tree, r.rank): [(t.role, t.text) for t in r.turns] for r in chat_trees.read_back(chat_trees.format_paths(df, 3)).collect()}
+    assert read == {k: [(trees[k[0]][i][1] or "", trees[k[0]][i][2] or "") for i in path] for k, (_, path) in want.items()}
+
+
 # --- 5 secrets
 
 
