@@ -59,6 +59,17 @@ def _tables() -> list[tuple[int, int, str]]:
 _TABLES = _tables()
 
 
+def _ranges() -> str:
+    """The characters that ``one`` changes, as ranges of a pattern: curly quotes, dashes and other scripts' letters are not among them."""
+    ranges: list[list[int]] = [[_HANGUL, _HANGUL + _SYLLABLES - 1]]
+    for code in sorted(map(ord, _MANY)):
+        if code == ranges[-1][1] + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+
+
 def _decomposed(c: Column) -> Column:
     """Compatibility forms taken apart, marks dropped: single ones by translation, the others looked up in texts that hold one.
 
@@ -76,8 +87,7 @@ def _decomposed(c: Column) -> Column:
             out = out.when((code >= first) & (code <= last), F.coalesce(F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02")), x), x))
         return out.otherwise(x)
 
-    low = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b, _ in _TABLES if b < 0x250)
-    kind = f"[{low}\\x{{250}}-\\x{{10ffff}}]"
+    kind = rf"(?=[^\x00-\x7f])[{_ranges()}]"
 
     def whole(t: Column) -> Column:
         return F.when(F.octet_length(t) == F.length(t), t).when(t.rlike(kind), F.array_join(F.transform(F.split(t, ""), one), "")).otherwise(t)

@@ -276,15 +276,15 @@ def apply_decisions(records: DataFrame, inputs: DataFrame, config: dict) -> Data
 
     ``records`` are as for ``record_errors``. ``inputs`` have item_id, human_decision, reason_codes, reviewer_alias, note,
     next_action, review_date, event_id and now. History only grows: an event is appended, and one whose id the record has
-    already is refused. Refused inputs without a record are listed with their errors and no history.
+    already is refused. Refused inputs without a record are listed with their errors and no history. Several inputs for
+    one item are all refused (``INPUT_REPEATED``), so an item keeps one row.
     """
     fields = ("human_decision", "reason_codes", "reviewer_alias", "note", "next_action", "review_date")
-    j = records.select("item_id", F.struct(*[c for c in records.columns if c != "item_id"]).alias("r")).join(
-        inputs.select("item_id", F.struct(*fields, "event_id", "now").alias("i")), "item_id", "full_outer"
-    )
+    asked = inputs.groupBy("item_id").agg(F.min_by(F.struct(*fields, "event_id", "now"), F.struct("now", "event_id")).alias("i"), F.count("*").alias("n_inputs"))
+    j = records.select("item_id", F.struct(*[c for c in records.columns if c != "item_id"]).alias("r")).join(asked, "item_id", "full_outer")
     asked, prior = F.col("i").isNotNull(), F.col("r").isNotNull()
     used = F.coalesce(F.exists("r.history", lambda e: e["event_id"] == F.col("i.event_id")), F.lit(False))
-    more = {"ITEM_ID_REQUIRED": ~F.coalesce(has_text(F.col("item_id")), F.lit(False)), "EVENT_ID_REQUIRED": ~F.coalesce(has_text(F.col("i.event_id")), F.lit(False)), "EVENT_ID_REPEATED": used}
+    more = {"ITEM_ID_REQUIRED": ~F.coalesce(has_text(F.col("item_id")), F.lit(False)), "EVENT_ID_REQUIRED": ~F.coalesce(has_text(F.col("i.event_id")), F.lit(False)), "EVENT_ID_REPEATED": used, "INPUT_REPEATED": F.col("n_inputs") > 1}
     errors = F.when(asked, F.concat(decision_errors({n: F.col(f"i.{n}") for n in fields}, config), issue_codes(more))).otherwise(F.array().cast("array<string>"))
     j = j.withColumn("errors", errors)
     done = asked & (F.size("errors") == 0)

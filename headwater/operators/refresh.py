@@ -94,8 +94,8 @@ def metadata_summary(findings: DataFrame, least_percent: float = 70.0) -> DataFr
     return out.withColumn("below_threshold", (F.col("items") > 0) & (F.col("date_completeness_percent") < least_percent))
 
 
-def proposal_item_errors(items: DataFrame, accepted: list[str], publisher: str = PUBLISHER) -> DataFrame:
-    """Append errors of an item of a proposal.
+def proposal_item_errors(items: DataFrame, accepted: list[str] | Column, publisher: str = PUBLISHER) -> DataFrame:
+    """Append errors of an item of a proposal; ``accepted`` lists the accepted sources, or says whether the item's is one.
 
     Read are source_code, link_valid, provenance_complete, published_at, date_status, organization_hint,
     organization_status, source_name, title, excerpt, title_valid and excerpt_status; null flags fail.
@@ -104,7 +104,7 @@ def proposal_item_errors(items: DataFrame, accepted: list[str], publisher: str =
     bad = lambda c: ~F.coalesce(c, F.lit(False))
     org, day = col("organization_hint"), col("published_at")
     tests = {
-        "SOURCE_NOT_ACCEPTED": ~col("source_code").isin(*accepted),
+        "SOURCE_NOT_ACCEPTED": bad(accepted) if isinstance(accepted, Column) else ~col("source_code").isin(*accepted),
         "OFFICIAL_LINK_INVALID": bad(F.col("link_valid")),
         "PROVENANCE_INCOMPLETE": bad(F.col("provenance_complete")),
         "DATE_UNVERIFIED_OR_FABRICATED": (day != "") & (~is_strict_date(day) | ~day.startswith("20") | (col("date_status") != "valid")),

@@ -870,21 +870,34 @@ def decision_errors(spark, sf):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS amount FROM events")
 def nested_amount(spark, sf):
-    return _t(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("double").alias("amount"))
+    node = F.try_variant_get(F.parse_json("props"), "$.k", "variant")
+    return _t(spark, sf, "events").select("event_id", feeds.amount(node).alias("amount"))
+
+
+def _packages(rows: DataFrame, **fields) -> DataFrame:
+    """Releases as ``feeds.price_records`` reads them; amounts become variants."""
+    value = lambda c: F.parse_json(F.to_json(F.struct(c.alias("amount"))))
+    none = F.lit(None).cast("double")
+    return rows.select(
+        fields["ocid"].cast("string").alias("ocid"), fields.get("date", F.lit("2026")).alias("date"), F.struct(fields["title"].alias("title"), value(none).alias("value")).alias("tender"), F.struct(fields.get("buyer", F.lit("")).alias("name")).alias("buyer"),
+        F.transform(fields.get("awards", F.array(none)), lambda a: F.struct(value(a).alias("value"))).alias("awards"), F.struct(F.struct(value(fields.get("budget", none)).alias("amount")).alias("budget")).alias("planning"),
+    )
 
 
 @query("SELECT l_orderkey, arg_min(l_extendedprice, (l_linenumber, l_extendedprice)) FILTER (l_returnflag = 'R') AS first_award FROM lineitem GROUP BY l_orderkey")
 def first_award(spark, sf):
-    return _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.min(F.when(F.col("l_returnflag") == "R", F.struct("l_linenumber", "l_extendedprice"))).alias("first")
-    ).select("l_orderkey", F.col("first.l_extendedprice").alias("first_award"))
+    award = F.struct("l_linenumber", F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")).alias("v"))
+    rows = _t(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(award)).alias("a"))
+    found = feeds.price_records(_packages(rows, ocid=F.col("l_orderkey"), title=F.lit("lines"), awards=F.transform("a", lambda x: x["v"])), ("lines",))
+    return found.select(F.col("ocid").cast("long").alias("l_orderkey"), F.col("nilai_penetapan_pemenang").alias("first_award"))
 
 
 @query("SELECT o_orderkey, c_name AS buyer, substr(CAST(o_orderdate AS VARCHAR), 1, 4) AS year, o_totalprice AS budget FROM orders JOIN customer ON o_custkey = c_custkey WHERE contains(lower(c_mktsegment), 'build')")
 def price_intel(spark, sf):
-    c = _t(spark, sf, "customer").where(text.raw_contains(F.col("c_mktsegment"), "build", pad=False)).select("c_custkey", F.col("c_name").alias("buyer"))
-    o = _t(spark, sf, "orders")
-    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "buyer", F.date_format("o_orderdate", "yyyy").alias("year"), F.col("o_totalprice").alias("budget"))
+    o = _t(spark, sf, "orders").join(_t(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    made = _packages(o, ocid=F.col("o_orderkey"), date=F.date_format("o_orderdate", "yyyy-MM-dd"), title=F.col("c_mktsegment"), buyer=F.col("c_name"), budget=F.col("o_totalprice"))
+    found = feeds.price_records(made, ("build",))
+    return found.select(F.col("ocid").cast("long").alias("o_orderkey"), F.col("instansi").alias("buyer"), F.col("tahun").alias("year"), F.col("nilai_pagu").alias("budget"))
 
 
 @query("SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)")

@@ -53,14 +53,14 @@ def proposal_contract(spark, sf):
         F.lit("valid").alias("date_status"), F.when(k % 3 > 0, "A ministry").alias("organization_hint"), F.lit("explicit").alias("organization_status"), F.lit("publisher").alias("source_name"), (k % 11 != 0).alias("link_valid"),
         (k % 13 != 0).alias("provenance_complete"), F.lit(True).alias("title_valid"), F.lit("available").alias("excerpt_status"),
     )
-    brands = [r.p_brand for r in part.select("p_brand").distinct().orderBy("p_brand").collect()]  # the registry's codes
+    registry = part.select(F.col("p_brand").alias("source_code"), F.lit(True).alias("known")).distinct()
     b, n = F.col("p_brand"), F.count("*")
     runs = part.groupBy("p_brand").agg(n.alias("old_total"), n.alias("raw_items"), n.alias("normalized_items"), F.floor(n / 3).alias("duplicate_items")).select(
         b.alias("source_code"), "old_total", F.lit(25).alias("requested"), "raw_items", "normalized_items", "duplicate_items", F.lit(0).alias("invalid_items"), F.lit("OK").alias("fetch_status"),
         F.when(b == "Brand#22", F.lit(None)).when(b == "Brand#23", "BLOCKED").otherwise("HEALTHY").alias("status"), F.when(b == "Brand#21", 404).otherwise(200).alias("http_status"),
         F.when(b == "Brand#31", "text/htmlx").otherwise("text/html; charset=utf-8").alias("content_type"), F.lit(0).alias("n_errors"), F.lit("").alias("error_code"),
     )
-    out = refresh.proposal_contract(refresh.proposal_item_errors(items, brands), runs)
+    out = refresh.proposal_contract(refresh.proposal_item_errors(items.join(registry, "source_code", "left"), F.col("known")).drop("known"), runs)
     return out.select(
         "source_code", F.col("reasonable_minimum_valid_items").alias("least"), F.col("valid_item_count").alias("valid"), F.col("invalid_item_count").alias("invalid"), F.col("valid_link_percent").alias("link_percent"),
         F.col("provenance_completeness_percent").alias("whole_percent"), F.array_join("warnings", ",").alias("warnings"), F.array_join("errors", ",").alias("errors"),
@@ -225,13 +225,19 @@ def apply_decisions(spark, sf):
     return out.select("item_id", F.col("human_decision").alias("decision"), history.alias("history"), F.array_join("errors", ",").alias("errors"))
 
 
-@query("SELECT '2' AS schema_version, '2026-03-01T00:00:00Z' AS updated_at, count(*) AS n_records FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0")
+@query(
+    """WITH c AS (SELECT c_custkey AS k, c_custkey % 3 <> 0 AS mine, c_custkey % 2 = 0 AS theirs FROM customer)
+SELECT CAST(k AS VARCHAR) AS item_id, CASE WHEN mine AND theirs THEN array_to_string(list_sort(['e' || k, 'e' || (k + 1000000000)]), ',') WHEN theirs THEN 'e' || (k + 1000000000) ELSE 'e' || k END AS events,
+'2' AS schema_version, '2026-03-01T00:00:00Z' AS updated_at, (SELECT count(*) FROM c WHERE mine OR theirs) AS n_records FROM c WHERE mine OR theirs"""
+)
 def apply_import(spark, sf):
     k = F.col("item_id").cast("long")
     every = _records(spark, sf, "c_custkey")
     current, imported = every.where(k % 3 != 0), _records(spark, sf, "c_custkey + 1000000000").where(k % 2 == 0)
     outcomes = feedback.import_records(current, imported, every.select("item_id"), FEEDBACK_RULES)
-    return feedback.apply_import(current, imported, outcomes, "2", F.lit("2026-03-01T00:00:00Z"))[1]
+    merged, root = feedback.apply_import(current, imported, outcomes, "2", F.lit("2026-03-01T00:00:00Z"))
+    events = F.array_join(F.array_sort(F.transform("history", lambda e: e["event_id"])), ",")
+    return merged.select("item_id", events.alias("events")).join(F.broadcast(root))  # the root is one row
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS item_id, CASE WHEN c_custkey % 2 = 0 THEN array_to_string(list_sort(['e' || c_custkey, 'e' || (c_custkey + 1000000000)]), ',') ELSE 'e' || c_custkey END AS events FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'e' || (c_custkey + 1000000000) FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 0")
