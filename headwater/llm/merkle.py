@@ -59,7 +59,9 @@ def siblings(proof: Column) -> Column:
 
 def _numbered(df: DataFrame, *order: str) -> DataFrame:
     """Add ``nth`` within ``tree`` (from 0) and ``m``, the rows of the tree."""
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in ("tree", *order)]).sortWithinPartitions("tree", *[F.col(c).asc_nulls_first() for c in order])
+    keys = [F.col(c).asc_nulls_first() for c in ("tree", *order)]
+    # equal rows may part: their order does not matter
+    ranged = df.repartitionByRange(*keys, F.monotonically_increasing_id()).sortWithinPartitions(*keys)
     ranged = durable(ranged.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()))
     # one row for each tree and partition: the trees and the partitions bound its size, whatever the rows
     pieces = ranged.groupBy("tree", "part").agg(F.min("at").alias("least"), F.count("*").alias("n"))
