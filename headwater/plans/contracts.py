@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from headwater.operators import contracts, diff, quality, signals
-from headwater.plans.catalogue import _DETECT, RULES, _signals, _t, query
+from headwater.operators import contracts, diff, feeds, quality, signals
+from headwater.plans.catalogue import _DETECT, RULES, _label_sql, _signals, _t, query
 
 _KEPT = "doc_id % 9 <> 0"
 
@@ -87,3 +87,34 @@ def summary_contract(spark, sf):
 @query("SELECT trim(o_orderpriority) AS key, count(*) AS n FROM orders GROUP BY 1 ORDER BY n DESC, key")
 def ordered_counts(spark, sf):
     return quality.ordered_counts(quality.count_by(_t(spark, sf, "orders"), F.col("o_orderpriority")))
+
+
+_TAIL = r"(?:\s* - \s*(?:https?://\S+|[A-Za-z0-9.\-]+\.[a-z]{2,}"
+_CLEAN = f"trim(regexp_replace(trim(raw, ' '), '{_TAIL}' || CASE WHEN coalesce(trim(source, ' '), '') <> '' THEN '|(?i:' || regexp_escape(trim(source, ' ')) || ')' ELSE '' END || '))+\\s*$', ''), ' ')"
+_ARRIVED = f"""c AS (SELECT doc_id, lang, source, CASE WHEN doc_id % 3 = 0 THEN text || ' - ' || source WHEN doc_id % 3 = 1 THEN text || ' - news.example.com' ELSE replace(text, ' ', '') END AS raw FROM documents),
+e AS (SELECT doc_id, lang, source, {_CLEAN} AS t FROM c), s AS (SELECT doc_id, lang, source, CASE WHEN length(t) > 80 AND NOT contains(t, ' ') THEN substr(t, 1, 80) || '[...]' ELSE t END AS text FROM e),
+r AS (SELECT *, row_number() OVER (PARTITION BY trim(regexp_replace(lower(text), '\s+', ' ', 'g'), ' ') ORDER BY CASE lang WHEN 'en' THEN 0 ELSE 1 END, doc_id) AS n FROM s WHERE text <> '')"""
+
+
+def _feed(spark, sf):
+    k = F.col("doc_id")
+    title = F.when(k % 3 == 0, F.concat("text", F.lit(" - "), "source")).when(k % 3 == 1, F.concat("text", F.lit(" - news.example.com"))).otherwise(F.replace("text", F.lit(" "), F.lit("")))
+    return _t(spark, sf, "documents").select(
+        F.col("lang").alias("keyword"), F.when(F.col("lang") == "en", 0).otherwise(1).alias("kw_pos"), k.alias("pos"), title.alias("title"), F.concat(F.lit(" https://h.example/"), k).alias("link"),
+        F.when(k % 2 == 0, "Mon, 05 Jan 2026 10:00:00 GMT").otherwise("soon").alias("pub_date"), "source",
+    )
+
+
+@query(
+    f"""WITH {_ARRIVED} SELECT doc_id AS pos, lang AS keyword, md5(text) AS title, {_label_sql(feeds.CLIENT_KINDS, 'tidak_diketahui')} AS kind, 'https://h.example/' || doc_id AS link, 'google_news_rss' || coalesce(' (' || nullif(trim(source, ' '), '') || ')', '') AS sumber,
+CASE WHEN doc_id % 2 = 0 THEN '2026-01-05T10:00:00+00:00' END AS published FROM r WHERE n = 1"""
+)
+def document_tenders(spark, sf):
+    return feeds.tender_items(_feed(spark, sf)).select("pos", "keyword", F.md5("judul").alias("title"), F.col("jenis_klien_tebakan").alias("kind"), "link", "sumber", "published")
+
+
+@query(
+    f"""WITH {_ARRIVED} SELECT doc_id AS pos, md5(text) AS title, {_label_sql(feeds.CATEGORIES, 'lainnya', False)} AS category, {_label_sql(feeds.SEGMENTS, 'tidak_diketahui')} AS segment, lang AS keyword FROM r WHERE n = 1"""
+)
+def document_events(spark, sf):
+    return feeds.event_items(_feed(spark, sf)).select("pos", F.md5("nama_event").alias("title"), F.col("kategori").alias("category"), F.col("segmen").alias("segment"), "keyword")
