@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from headwater.operators import diff, feedback, feeds, quality, refresh, reports, signals
-from headwater.plans.catalogue import FEEDBACK_RULES, _t, query
+from headwater.plans.catalogue import _CLEAN, _FOLD, FEEDBACK_RULES, _t, query
 
 _FAILED = "o_orderpriority IN ('1-URGENT', '5-LOW')"
 
@@ -314,12 +314,23 @@ def dashboard_order(spark, sf):
     return signals.dashboard_order(s).select("id", F.col("rank").cast("int").alias("rank"))
 
 
+_CLEANED = lambda c: _CLEAN.replace("html,", f"{c},", 1)
+_FOLDED = lambda c: _FOLD.replace("(text,", f"({c},", 1)
+_HINTED = """CASE doc_id % 5 WHEN 0 THEN text WHEN 1 THEN '<b>Pabrik</b> baru ' || source WHEN 2 THEN 'Penambahan Kapasitas ' || source ELSE source END AS title,
+CASE doc_id % 5 WHEN 3 THEN text || ' membuka-lowongan dan hiring' WHEN 2 THEN 'cabang baru ' || text WHEN 4 THEN NULL ELSE text END AS excerpt"""
+_HITS = lambda terms: "list_filter([" + ", ".join(f"CASE WHEN contains(t, ' {x} ') OR contains(x, ' {x} ') THEN '{x}' END" for x in terms) + "], lambda v: v IS NOT NULL)"
+
+
 @query(
-    """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'OTHER_OFFICIAL_NEWS' WHEN 1 THEN 'TITLE' ELSE 'EXCERPT' END AS place, doc_id % 3 > 0 AS found FROM documents"""
+    f"""WITH a AS (SELECT doc_id, {_HINTED} FROM documents), c AS (SELECT doc_id, coalesce(title, '') AS title, coalesce(excerpt, '') AS excerpt, {_CLEANED("coalesce(title, '')")} AS ct, {_CLEANED("coalesce(excerpt, '')")} AS cx FROM a),
+f AS (SELECT *, ' ' || {_FOLDED("ct")} || ' ' AS t, ' ' || {_FOLDED("cx")} || ' ' AS x FROM c),
+h AS (SELECT *, {", ".join(f"{_HITS(terms)} AS h{i}" for i, (_, terms) in enumerate(feeds.HINTS))} FROM f),
+g AS (SELECT *, CASE {" ".join(f"WHEN len(h{i}) > 0 THEN {code!r}" for i, (code, _) in enumerate(feeds.HINTS))} ELSE 'OTHER_OFFICIAL_NEWS' END AS code, CASE {" ".join(f"WHEN len(h{i}) > 0 THEN h{i}" for i in range(len(feeds.HINTS)))} ELSE [] END AS terms FROM h)
+SELECT doc_id, code, array_to_string(terms, ',') AS terms, md5(substr(CASE WHEN len(terms) > 0 AND contains(t, ' ' || terms[1] || ' ') THEN ct WHEN len(terms) > 0 OR excerpt <> '' THEN cx ELSE ct END, 1, 500)) AS evidence FROM g"""
 )
 def source_hint(spark, sf):
-    k, term = F.col("doc_id") % 3, feeds.HINTS[0][1][0]
-    h = feeds.source_hint(F.when(k == 1, f"x {term} y").otherwise("qq"), F.when(k == 2, f"z {term}").otherwise("zz"))
-    rows = _t(spark, sf, "documents").select("doc_id", h.alias("h"))
-    place = F.when(F.col("h.code") != feeds.HINTS[0][0], F.col("h.code")).when(F.col("h.evidence_excerpt").startswith("x"), "TITLE").otherwise("EXCERPT")
-    return rows.select("doc_id", place.alias("place"), (F.size("h.matched_terms") > 0).alias("found"))
+    k, source, body = F.col("doc_id") % 5, F.col("source"), F.col("text")
+    title = F.when(k == 0, body).when(k == 1, F.concat(F.lit("<b>Pabrik</b> baru "), source)).when(k == 2, F.concat(F.lit("Penambahan Kapasitas "), source)).otherwise(source)
+    excerpt = F.when(k == 3, F.concat(body, F.lit(" membuka-lowongan dan hiring"))).when(k == 2, F.concat(F.lit("cabang baru "), body)).when(k != 4, body)
+    rows = _t(spark, sf, "documents").select("doc_id", feeds.source_hint(title, excerpt).alias("h"))
+    return rows.select("doc_id", "h.code", F.array_join("h.matched_terms", ",").alias("terms"), F.md5("h.evidence_excerpt").alias("evidence"))
