@@ -93,7 +93,7 @@ _TAIL = r"(?:\s* - \s*(?:https?://\S+|[A-Za-z0-9.\-]+\.[a-z]{2,}"
 _CLEAN = f"trim(regexp_replace(trim(raw, ' '), '{_TAIL}' || CASE WHEN coalesce(trim(source, ' '), '') <> '' THEN '|(?i:' || regexp_escape(trim(source, ' ')) || ')' ELSE '' END || '))+\\s*$', ''), ' ')"
 _ARRIVED = f"""c AS (SELECT doc_id, lang, source, CASE WHEN doc_id % 3 = 0 THEN text || ' - ' || source WHEN doc_id % 3 = 1 THEN text || ' - news.example.com' ELSE replace(text, ' ', '') END AS raw FROM documents),
 e AS (SELECT doc_id, lang, source, {_CLEAN} AS t FROM c), s AS (SELECT doc_id, lang, source, CASE WHEN length(t) > 80 AND NOT contains(t, ' ') THEN substr(t, 1, 80) || '[...]' ELSE t END AS text FROM e),
-r AS (SELECT *, row_number() OVER (PARTITION BY trim(regexp_replace(lower(text), '\s+', ' ', 'g'), ' ') ORDER BY CASE lang WHEN 'en' THEN 0 ELSE 1 END, doc_id) AS n FROM s WHERE text <> '')"""
+r AS (SELECT *, row_number() OVER (PARTITION BY trim(regexp_replace(lower(text), '\\s+', ' ', 'g'), ' ') ORDER BY CASE lang WHEN 'en' THEN 0 ELSE 1 END, doc_id) AS n FROM s WHERE text <> '')"""
 
 
 def _feed(spark, sf):
