@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions import dates, html
 from headwater.functions.rules import extract_name, first_in_list, first_match
-from headwater.functions.text import contains_term, fold_search, has_text, matched_terms, plain_fold, raw_contains, shorten_spaceless, strip_suffix
+from headwater.functions.text import contains_term, fold_search, has_text, let, matched_terms, plain_fold, raw_contains, shorten_spaceless, strip_suffix
 from headwater.operators.dedup import first_seen
 
 #: Rules of the client's kind, first match wins; a key may hit within words.
@@ -175,16 +175,20 @@ def source_hint(title: Column, excerpt: Column) -> Column:
 
     def first(folded: Column) -> Column:
         t, x = folded["t"], folded["x"]
+
+        def hint(code: str, found: Column) -> Column:
+            in_title = F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), F.try_element_at(found, F.lit(1)), F.lit(" ")))
+            return F.when(F.size(found) > 0, _hint(F.lit(code), found, F.when(in_title, title).otherwise(excerpt)))
+
         made = []
         for code, terms in HINTS:
             found = matched_terms(None, terms, lambda _, term: contains_term(t, term) | contains_term(x, term))
-            in_title = F.exists(F.slice(found, 1, 1), lambda term: F.contains(F.concat(F.lit(" "), t, F.lit(" ")), F.concat(F.lit(" "), term, F.lit(" "))))
-            made.append(F.when(F.size(found) > 0, _hint(F.lit(code), found, F.when(in_title, title).otherwise(excerpt))))
+            made.append(let(found, partial(hint, code)))
         return F.coalesce(*made, none)
 
     # the lambda binds the folded texts, which would be made anew for every term
     both = F.struct(fold_search(html.clean_text(title)).alias("t"), fold_search(html.clean_text(excerpt)).alias("x"))
-    return F.get(F.transform(F.array(both), first), F.lit(0))
+    return let(both, first)
 
 
 def _hint(code: Column, terms: Column, evidence: Column) -> Column:
