@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,8 +34,14 @@ def clean_text(c: Column) -> Column:
     return F.btrim(F.regexp_replace(decode_entities(c), r"\s+", " "))
 
 
-def tag_text(html: Column, tag: str) -> Column:
-    return clean_text(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
+def bare_text(c: Column) -> Column:
+    """Tags dropped, white space of ASCII collapsed; the ampersand is the only entity decoded, all others stay as written."""
+    c = F.regexp_replace(c, "<[^>]+>", " ")
+    return F.replace(F.btrim(F.regexp_replace(c, r"[ \t\n\f\r]+", " ")), F.lit("&amp;"), F.lit("&"))
+
+
+def tag_text(html: Column, tag: str, clean: Callable[[Column], Column] = clean_text) -> Column:
+    return clean(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1))
 
 
 def attribute(tag: Column, name: str) -> Column:

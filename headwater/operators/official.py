@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headwater.functions import dates, html, ids
-from headwater.functions.text import first_text, has_text
+from headwater.functions.text import has_text
 
 #: Error codes by the state that they put a source in; any other code makes it UNAVAILABLE.
 BLOCKING = ("HTTP_401", "HTTP_403", "HTTP_429", "ROBOTS_BLOCKED", "ROBOTS_DISALLOWED", "LOGIN_REQUIRED")
@@ -41,14 +43,20 @@ def listing_records(links: DataFrame, page: str) -> DataFrame:
     return links.where("is_record").withColumn("__n", first).where("__n = 1").drop("__n")
 
 
-def detail_fields(page: Column, url: Column, title_tag: str = "h1", excerpt_meta: str = "description", rel: str = "canonical") -> Column:
-    """Struct of title, canonical_url and excerpt. Without a heading the document's title serves, less what stands before its first dash."""
+def detail_fields(
+    page: Column, url: Column, title_tag: str = "h1", excerpt_meta: str = "description", rel: str = "canonical", clean: Callable[[Column], Column] = html.clean_text
+) -> Column:
+    """Struct of title, canonical_url and excerpt. Without a heading the document's title serves, less what stands before its first dash.
+
+    ``clean`` makes the title's text of its HTML. A page without a canonical link is found under its own address.
+    """
     headed = page.rlike(rf"(?is)<{title_tag}\b[^>]*>.*?</{title_tag}\s*>")
-    whole = html.tag_text(page, "title")
+    whole = html.tag_text(page, "title", clean)
     rest = F.when(F.contains(whole, F.lit(" - ")), F.btrim(F.substring(whole, F.locate(" - ", whole) + 3, F.length(whole)))).otherwise(whole)
-    canonical = html.resolve_url(first_text(html.link_rel(page, rel), url), url)
-    excerpt = F.substring(html.clean_text(html.meta_content(page, excerpt_meta)), 1, 500)
-    return F.struct(F.when(headed, html.tag_text(page, title_tag)).otherwise(rest).alias("title"), canonical.alias("canonical_url"), excerpt.alias("excerpt"))
+    link = html.link_rel(page, rel)
+    canonical = F.when(has_text(link), html.resolve_url(link, url)).otherwise(F.regexp_replace(url, "#.*$", ""))
+    excerpt = F.coalesce(F.substring(html.clean_text(html.meta_content(page, excerpt_meta)), 1, 500), F.lit(""))
+    return F.struct(F.when(headed, html.tag_text(page, title_tag, clean)).otherwise(rest).alias("title"), canonical.alias("canonical_url"), excerpt.alias("excerpt"))
 
 
 def official_record(df: DataFrame, code: Column, host_name: Column, prefix: str = "/") -> DataFrame:

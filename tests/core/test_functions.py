@@ -344,6 +344,23 @@ def test_official_pages(spark):
     assert rows[0].published_at == "2026-07-12" and rows[0].link_valid and not rows[1].link_valid and rows[1].date_status == "missing"
 
 
+def test_detail_fields_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    heads = [
+        'token = &quot;0b96&quot; &lt;x&gt; &#39;y&#39; &#65;', "a &amp; b &amp;quot; &amp;amp;", " <b>in</b>\n\tner \f x ", "a<script>var t;</script>b", "a\x0bb\xa0c&nbsp;d", "",
+    ]
+    rows = [(i, f"https://h.example/n/{i}#top", f"<title>T</title><h1 class='c'>{h}</h1 ><p>z</p><h1>no</h1>") for i, h in enumerate(heads)]
+    rows += [(100, "n/1?q#f", "<H1>t</H1>"), (101, None, "<h1>t</h1>"), (102, "https://h.example", None), (103, " https://h.example/a ", "<h1>t</h1>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = [tuple(r) for r in catalogue.queries()["detail_fields"](spark, str(tmp_path)).orderBy("page_id").collect()]
+    assert got == con.execute(f"SELECT * FROM ({catalogue.oracle_sql()['detail_fields']}) ORDER BY page_id").fetchall()
+    # the operator itself decodes every entity
+    assert one(spark, official.detail_fields(F.col("a"), F.col("b")), a=rows[0][2], b=rows[0][1]).title == "token = \"0b96\" <x> 'y' A"
+
+
 def test_source_state(spark):
     state = lambda e, w, n, bad: one(spark, official.source_state(F.lit(e), F.array(*map(F.lit, w)), F.lit(n), F.lit(bad)))
     assert state("HTTP_429", ["x"], 0, 0) == "BLOCKED" and state("DNS", ["x"], 0, 0) == "UNAVAILABLE" and state("DETAIL_PARSE_EMPTY", ["x"], 0, 0) == "DEGRADED"
