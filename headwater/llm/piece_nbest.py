@@ -32,8 +32,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _UNITS = re.compile(r" *[^ \n]+| +|\n")
 #: Words kept by a worker (some 300 bytes each); beyond that the store starts anew.
 KEPT_WORDS = 400_000
-#: Longest word that is passed together with others, words and characters that are passed together.
-TOGETHER, WORDS, CHARS = 96, 1 << 15, 1 << 20
+#: Longest word that is passed together with others, characters of words that are passed together (some 230 bytes each), characters of texts.
+TOGETHER, PASSED, CHARS = 96, 1 << 17, 1 << 20
 
 
 class Trie:
@@ -253,9 +253,15 @@ class Lattice:
             self.words.clear()
             new = units
         short = sorted((u for u in new if len(u) <= TOGETHER), key=len)
-        for k in range(0, len(short), WORDS):
-            some = short[k : k + WORDS]
+        lo = 0
+        while lo < len(short):
+            hi, size = lo, 0
+            while hi < len(short) and (hi == lo or size + len(short[hi]) <= PASSED):
+                size += len(short[hi])
+                hi += 1
+            some = short[lo:hi]
             self.words.update(zip(some, self.words_of(some)))
+            lo = hi
         for u in new:
             if len(u) > TOGETHER:
                 self.words[u] = self.word(u)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headwater.llm.common import checked_broadcast, map_batches, map_text, spare
+from headwater.llm.common import checked_broadcast, map_batches, map_text
 
 #: The pattern rules, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -99,23 +99,31 @@ class Efficiency:
         return r if r <= (name_ratio if named else max_ratio) else None
 
 
-def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY, max_ratio: float = MAX_RATIO, out: str = "spans") -> DataFrame:
-    """Append ``out`` (kind, start, end, characters per token; the last null for pattern rules) by position."""
-    spark = df.sparkSession
+def all_spans(text: str, eff: Efficiency, max_ratio: float = MAX_RATIO) -> list[tuple[int, int, int, float | None]]:
+    """(start, kind's number, end, characters per token) of a text's base spans and random runs, by position."""
+    found = [(a, k, b, None) for a, k, b in base_spans(text)]
+    for m in _RUN.finditer(text):
+        r = eff.random_ratio(m[0], max_ratio)
+        if r is not None:
+            found.append((m.start(), 3, m.end(), r))
+    return sorted(found, key=lambda x: x[:3])
+
+
+def _ranks(df: DataFrame, vocabulary: str):
     with open(vocabulary, "rb") as f:
         ranks = f.read()
-    shared = checked_broadcast(spark, ranks, len(ranks))
+    return checked_broadcast(df.sparkSession, ranks, len(ranks))
+
+
+def scan_secrets(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, vocabulary: str = VOCABULARY, max_ratio: float = MAX_RATIO, out: str = "spans") -> DataFrame:
+    """Append ``out`` (kind, start, end, characters per token; the last null for pattern rules) by position."""
+    shared = _ranks(df, vocabulary)
 
     def start():
         return Efficiency(shared.value)  # for one task, so that a worker does not hold it afterwards
 
     def spans(text: str, eff: Efficiency) -> list[dict]:
-        found = [(a, k, b, None) for a, k, b in base_spans(text)]
-        for m in _RUN.finditer(text):
-            r = eff.random_ratio(m[0], max_ratio)
-            if r is not None:
-                found.append((m.start(), 3, m.end(), r))
-        return [{"kind": KINDS[k], "start": a, "end": b, "ratio": r} for a, k, b, r in sorted(found, key=lambda x: x[:3])]
+        return [{"kind": KINDS[k], "start": a, "end": b, "ratio": r} for a, k, b, r in all_spans(text, eff, max_ratio)]
 
     def per_batch(texts, eff):
         return [[spans(t, eff) for t in texts]]
@@ -139,26 +147,31 @@ def secret_report(df: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
 
 def redact(df: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY, mark: str = "[SECRET]") -> DataFrame:
-    """The same rows and columns with every found span replaced by ``mark``; null texts stay null."""
+    """The same rows and columns with every found span replaced by ``mark``; null texts stay null.
 
-    cols = df.columns
-    found = scan_secrets(df, text_col, cols, vocabulary, out=spare(df, "spans")[0])
+    Texts are scanned and cut in one pass: with two, a task would hold two Python workers, which outlive it.
+    """
+    cols, shared = df.columns, _ranks(df, vocabulary)
     at = cols.index(text_col)
 
-    def cut(text, spans):
-        if text is None or not spans:
+    def cut(text: str | None, eff: Efficiency) -> str | None:
+        spans = text and all_spans(text, eff)
+        if not spans:
             return text
         parts, done = [], 0
-        for s in spans:
-            if s["start"] >= done:
-                parts += [text[done : s["start"]], mark]
-            done = max(done, s["end"])
+        for start, _, end, _ in spans:
+            if start >= done:
+                parts += [text[done:start], mark]
+            done = max(done, end)
         return "".join([*parts, text[done:]])
 
     def run(batches):
+        eff = Efficiency(shared.value)  # for one task, so that a worker does not hold it afterwards
         for b in batches:
-            arrays = [b.column(i) for i in range(len(cols))]
-            arrays[at] = pa.array(map(cut, arrays[at].to_pylist(), b.column(len(cols)).to_pylist()), type=pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=cols)
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                arrays = part.columns
+                arrays[at] = pa.array([cut(t, eff) for t in arrays[at].to_pylist()], type=pa.string())
+                yield pa.RecordBatch.from_arrays(arrays, names=cols)
 
-    return map_batches(found, run, df.schema)
+    return map_batches(df, run, df.schema)

@@ -481,6 +481,15 @@ def test_secrets(spark):
     assert rand not in clean[1] and clean[3] is None and clean[4] == "" and clean[2].startswith("digest [SECRET] uuid ")
 
 
+def test_redaction_is_one_pass_of_python(spark):
+    d = spark.createDataFrame([(1, "a password = abcdefghijkl. token = abcdefghijkl0", 5), (2, None, None), (3, "x", 7)], "doc_id long, text string, n long").repartition(1)
+    clean = secret_scan.redact(d)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert [tuple(r) for r in clean.orderBy("doc_id").collect()] == [(1, "a [SECRET] [SECRET]", 5), (2, None, None), (3, "x", 7)]
+    many = d.where("doc_id = 1").select(F.explode(F.sequence(F.lit(0), F.lit(1200))).alias("doc_id"), F.concat(F.lit("secret: "), F.lpad("doc_id", 16, "0")).alias("text"))
+    assert {(r.doc_id, r.text) for r in secret_scan.redact(many).collect()} == {(i, "[SECRET]") for i in range(1201)}
+
+
 def test_secrets_recall_of_random_keys():
     """Random keys of base62, base32, one case and dashed groups are found; names and words are left alone."""
     rng = random.Random(3)
@@ -726,6 +735,19 @@ def test_pieces_passed_together_equal_those_passed_alone(lattice):
     assert any(piece_nbest.array("i", got[k][0]).tolist() for k in range(len(units)))
 
 
+def test_pieces_of_long_words_in_little_memory():
+    import tracemalloc
+
+    small, rng = piece_nbest.Lattice(open(piece_nbest.MODEL, "rb").read(), 3), random.Random(5)
+    units = {"".join(rng.choices("etaoinshrdlu", k=90)) for _ in range(11000)} | {" a", "\n"}
+    tracemalloc.start()
+    small.learn(units)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(small.words) == units and peak < 80 << 20
+    assert all(small.words[u] == small.word(u) for u in sorted(units)[::100])
+
+
 def test_pieces_of_a_small_store(lattice):
     texts = ["the cat sat", None, "", "a stone under the river " * 20, "y" * 300 + " the cat", "ça 😀\n\n the"]
     small = piece_nbest.Lattice(open(piece_nbest.MODEL, "rb").read(), 3, 4)
